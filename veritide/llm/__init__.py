@@ -1,0 +1,8 @@
+"""Operators for preparing text corpora; nothing else in the library imports this subpackage."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in Python workers travel with their tasks: executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
