@@ -4,9 +4,10 @@ A 64-bit fingerprint is embedded as the bit counts of its 16 segments of 4 bits.
 distance of two embeddings is a lower bound of the Hamming distance of the fingerprints, so
 fingerprints within 2 bits lie within 2 in the grid, and then some grid point is at most 1 away
 from both. Every fingerprint visits the at most 33 grid points around it; who never meets another
-has no link. Those left are verified exactly: fingerprints differ in at most 2 bits if and only if
-they share a word at most one bit away from both. Such a word has at most 65 fingerprints, which
-are joined to the least of them, so no group of any size is ever paired out and no link is lost.
+has no link. Two that meet alone are compared. Where more meet, however many, they are verified
+through their neighbours: fingerprints differ in at most 2 bits if and only if they share a word at
+most one bit away from both. Such a word has at most 65 fingerprints, which are linked to the least
+of them, so no group of any size is ever paired out and no link is lost.
 
 Defined results: null and empty texts have fingerprint zero, which links like any other. Rows
 with a null id get the component of their fingerprint. Repeated rows stay, with equal results.
@@ -81,14 +82,16 @@ def links(fps: DataFrame, max_distance: int = 2) -> DataFrame:
         raise ValueError("max_distance must be 0, 1 or 2")
     if max_distance == 0:
         return fps.select(F.col("fp").alias("a"), F.col("fp").alias("b")).where("false")
-    points = fps.select("fp", F.explode(grid_points(F.col("fp"))).alias("point"))
-    shared = points.groupBy("point").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi")).where("lo < hi").select("point")
-    near = points.join(shared, "point", "left_semi").select("fp").distinct()
+    parts = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    points = fps.repartition(parts).select("fp", F.explode(grid_points(F.col("fp"))).alias("point"))
+    cells = points.groupBy("point").agg(F.count("*").alias("n"), F.min("fp").alias("b"), F.max("fp").alias("a")).where("n > 1")
+    pairs = cells.where("n = 2").select("a", "b")
+    near = points.join(cells.where("n > 2").select("point"), "point", "left_semi").select("fp").distinct()
     flips = F.array(F.col("fp"), *(F.col("fp").bitwiseXOR(F.lit(_as_long(i))) for i in range(64)))
     met = near.select("fp", F.explode(flips).alias("word")).groupBy("word").agg(F.collect_set("fp").alias("fps"))  # at most 65 each
     hub = F.array_min("fps") if max_distance == 2 else F.when(F.array_contains("fps", F.col("word")), F.col("word"))
     stars = met.where(F.size("fps") > 1).select(F.explode("fps").alias("a"), hub.alias("b")).where("a != b").distinct()
-    return stars.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_distance)
+    return pairs.union(stars).where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_distance).distinct()
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, max_distance: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
