@@ -5,9 +5,10 @@ from __future__ import annotations
 from veritide.llm.decontaminate import OP8_SQL, op8_decontamination
 from veritide.llm.langid import op3_language_id
 from veritide.llm.mixing import OP4_SQL, op4_mixing
+from veritide.llm.quality_rules import OP10_SQL, op10_quality_rules
 from veritide.llm.sharding import OP1_SQL, op1_sharding
 from veritide.llm.simhash import op7_simhash_near_dedup
 from veritide.llm.token_counts import op9_token_counts
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op3_language_id, op4_mixing, op7_simhash_near_dedup, op8_decontamination, op9_token_counts)}
-SQL: dict[str, str] = {"op1_sharding": OP1_SQL, "op4_mixing": OP4_SQL, "op8_decontamination": OP8_SQL}
+QUERIES = {f.__name__: f for f in (op1_sharding, op3_language_id, op4_mixing, op7_simhash_near_dedup, op8_decontamination, op9_token_counts, op10_quality_rules)}
+SQL: dict[str, str] = {"op1_sharding": OP1_SQL, "op4_mixing": OP4_SQL, "op8_decontamination": OP8_SQL, "op10_quality_rules": OP10_SQL}
