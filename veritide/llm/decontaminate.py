@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 from veritide.llm.shared import cut
 
 TOKEN = r"[\p{L}\p{N}]+"
+#: Windows of a text that are handled together.
+PIECE = 256
 MASKS = ("11101100111", "11011011011", "10111011101")
 
 
@@ -33,55 +35,60 @@ def tokens(text: str) -> Column:
     return F.transform(F.regexp_extract_all(F.lower(F.col(text)), F.lit(TOKEN), F.lit(0)), lambda w: F.xxhash64(w))
 
 
-def _windows(rows: DataFrame, masks: tuple[str, ...]) -> DataFrame:
-    """Adds at (start of a window) and key (its hash under a mask) to rows with an array column h.
+def _windows(rows: DataFrame, masks: tuple[str, ...], overlap: int) -> DataFrame:
+    """Adds start (of a window of tokens), key (its hash under a mask), near (the row's tokens around it) and from (where they begin in near).
 
-    Outer generators: for inner ones Spark infers filters that compute h once more.
+    rows has an array column h, which is cut into pieces first, so that a long text is never copied
+    for each of its windows. The generators are outer ones: for inner ones Spark infers filters
+    that compute h once more.
     """
     span = len(masks[0])
-    at = F.when(F.size("h") >= span, F.sequence(F.lit(0), F.size("h") - span))
-    keys = [F.xxhash64(F.lit(k), *(F.get("h", F.col("at") + i) for i, c in enumerate(mask) if c == "1")) for k, mask in enumerate(masks)]
-    opened = rows.select("*", F.explode_outer(at).alias("at"))
-    return opened.select("*", F.explode_outer(F.when(F.col("at").isNotNull(), F.array(*keys))).alias("key"))
+    reach = overlap - span  # tokens that a comparison may need on either side of a window
+    padded = F.concat(F.array_repeat(F.lit(None).cast("long"), reach), F.col("h"))
+    pieces = F.when(F.size("h") >= span, F.transform(F.sequence(F.lit(0), F.size("h") - span, F.lit(PIECE)), lambda s: F.slice(padded, s + 1, F.lit(PIECE + span + 2 * reach - 1))))
+    others = [c for c in rows.columns if c != "h"]
+    cut_up = rows.select(*others, F.posexplode_outer(pieces).alias("piece", "near"))
+    at = F.when(F.col("near").isNotNull(), F.sequence(F.lit(0), F.least(F.lit(PIECE - 1), F.size("near") - reach - span)))
+    opened = cut_up.select(*others, "piece", "near", F.explode_outer(at).alias("from"))
+    keys = [F.xxhash64(F.lit(k), *(F.get("near", F.col("from") + reach + i) for i, c in enumerate(mask) if c == "1")) for k, mask in enumerate(masks)]
+    hashed = opened.select("*", F.explode_outer(F.when(F.col("from").isNotNull(), F.array(*keys))).alias("key"))
+    return hashed.select(*others, (F.col("piece") * PIECE + F.col("from")).alias("start"), "key", "near", "from")
 
 
 def seeds(benchmark: DataFrame, masks: tuple[str, ...], overlap: int, id_col: str, text_col: str) -> DataFrame:
-    """(key, item_id, item_at, item_n, near): near has the item's tokens within reach of the window."""
-    reach = overlap - len(masks[0])
-    items = benchmark.select(F.col(id_col).alias("item_id"), tokens(text_col).alias("h")).where("h is not null")
-    start = F.greatest(F.col("at") - reach, F.lit(0))
-    return _windows(items, masks).where("key is not null").select(
-        "key", "item_id", F.col("at").alias("item_at"), F.size("h").alias("item_n"), F.slice("h", start + 1, F.lit(overlap + reach)).alias("near"), start.alias("near_at")
-    ).distinct()
+    """(key, item_id, item_at, item_n, item_near): windows of items, and the tokens from overlap - span before to as many after them."""
+    items = benchmark.select(F.col(id_col).alias("item_id"), tokens(text_col).alias("h")).where("h is not null").withColumn("item_n", F.size("h"))
+    near = F.slice("near", F.col("from") + 1, F.lit(2 * overlap - len(masks[0])))
+    return _windows(items, masks, overlap).where("key is not null").select("key", "item_id", F.col("start").alias("item_at"), "item_n", near.alias("item_near")).distinct()
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MASKS, overlap: int = 13, similarity: float = 0.8, block_rows: int = 200_000, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """(doc_id, item_id, n_seeds, first_token, last_token): verified seed hits, and the tokens their overlaps span."""
     span = len(masks[0])
-    if len(set(map(len, masks))) != 1 or overlap < span:
+    reach = overlap - span
+    if len(set(map(len, masks))) != 1 or reach < 0:
         raise ValueError("masks must have one length, not above overlap")
     table = cut(seeds(benchmark, masks, overlap, item_id_col, item_text_col), "seeds")
     blocks = max(1, -(-table.count() // block_rows))
-    probes = _windows(docs.select(F.col(id_col).alias("doc_id"), tokens(text_col).alias("h")), masks)
+    probes = _windows(docs.select(F.col(id_col).alias("doc_id"), tokens(text_col).alias("h")), masks, overlap)
     size = F.least(F.lit(overlap), F.col("item_n"))
     hits = []
     for k in range(blocks):
         part = table if blocks == 1 else table.where(F.pmod("key", F.lit(blocks)) == k)
         met = probes.join(F.broadcast(part), "key")  # at most about block_rows rows
-        # windows of `size` item tokens around the hit, by their start in the item
+        # overlaps of `size` item tokens around the hit, by their start in the item
         starts = F.sequence(F.greatest(F.col("item_at") + span - size, F.lit(0)), F.least(F.col("item_at"), F.col("item_n") - size))
-        equal = F.transform(F.col("near"), lambda x, i: (F.get("h", F.col("at") - F.col("item_at") + F.col("near_at") + i).eqNullSafe(x)).cast("int"))
-        aligned = met.select("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift"), "near_at", size.alias("size"), starts.alias("starts"), equal.alias("equal"))
-        same = lambda s: F.aggregate(F.slice("equal", s - F.col("near_at") + 1, F.col("size")), F.lit(0), lambda a, x: a + x)
+        equal = F.transform("item_near", lambda x, i: F.get("near", F.col("from") + i).eqNullSafe(x).cast("int"))
+        aligned = met.select("doc_id", "item_id", "item_at", (F.col("start") - F.col("item_at")).alias("shift"), size.alias("size"), starts.alias("starts"), equal.alias("equal"))
+        same = lambda s: F.aggregate(F.slice("equal", s - F.col("item_at") + reach + 1, F.col("size")), F.lit(0), lambda a, x: a + x)
         good = F.filter("starts", lambda s: same(s) >= F.ceil(F.lit(similarity) * F.col("size")))
-        hits.append(aligned.select("doc_id", "item_id", "shift", "size", good.alias("good")).where(F.size("good") > 0))
-    found = reduce(DataFrame.unionByName, hits)
-    first = F.greatest(F.array_min("good") + F.col("shift"), F.lit(0))
-    return found.groupBy("doc_id", "item_id").agg(
-        F.count("*").alias("n_seeds"),
-        F.min(first).cast("long").alias("first_token"),
-        F.max(F.array_max("good") + F.col("shift") + F.col("size") - 1).cast("long").alias("last_token"),
+        hits.append(aligned.select("doc_id", "item_id", "shift", "size", good.alias("good")))
+    # hits that are not verified go after the sums: a filter here would move into the join and out of its compiled stage
+    ok, first, last = F.size("good") > 0, F.greatest(F.array_min("good") + F.col("shift"), F.lit(0)), F.array_max("good") + F.col("shift") + F.col("size") - 1
+    sums = reduce(DataFrame.unionByName, hits).groupBy("doc_id", "item_id").agg(
+        F.count_if(ok).alias("n_seeds"), F.min(F.when(ok, first)).cast("long").alias("first_token"), F.max(F.when(ok, last)).cast("long").alias("last_token")
     )
+    return sums.where("n_seeds > 0")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
