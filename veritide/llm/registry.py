@@ -7,10 +7,11 @@ from veritide.llm.langid import op3_language_id
 from veritide.llm.license_scan import op2_license_scan
 from veritide.llm.mixing import OP4_SQL, op4_mixing
 from veritide.llm.ngram_lm import op6_lm_scoring
+from veritide.llm.pii import op5_pii
 from veritide.llm.quality_rules import OP10_SQL, op10_quality_rules
 from veritide.llm.sharding import OP1_SQL, op1_sharding
 from veritide.llm.simhash import op7_simhash_near_dedup
 from veritide.llm.token_counts import op9_token_counts
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_license_scan, op3_language_id, op4_mixing, op6_lm_scoring, op7_simhash_near_dedup, op8_decontamination, op9_token_counts, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_license_scan, op3_language_id, op4_mixing, op5_pii, op6_lm_scoring, op7_simhash_near_dedup, op8_decontamination, op9_token_counts, op10_quality_rules)}
 SQL: dict[str, str] = {"op1_sharding": OP1_SQL, "op4_mixing": OP4_SQL, "op8_decontamination": OP8_SQL, "op10_quality_rules": OP10_SQL}
