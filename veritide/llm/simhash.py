@@ -16,7 +16,7 @@ Copies share one fingerprint and are worked on once. Other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,21 +28,34 @@ from veritide.llm.shared import components, cut
 
 SEED, BLOCK = 42, 1 << 16
 SEGMENTS, WIDTH, SLOT = 16, 4, 3
+CLASS_BITS, LEAST = 4, 6
+CLASSES = 1 << CLASS_BITS
 
 
-def fingerprint(text: bytes | None, shingle: int = 3) -> int:
-    """Signed 64-bit SimHash of the word shingles of UTF-8 text, repeats included."""
+def shingle_hashes(text: bytes | None, shingle: int) -> Iterator[np.ndarray]:
+    """XXH64 of the word shingles of UTF-8 text in blocks, repeats included. Fewer words are one shingle; no words give none."""
     words = (text or b"").lower().split()  # bytes: ASCII case and ASCII white space only
     if not words:
-        return 0
+        return
     joined, n = b" ".join(words), max(1, len(words) - shingle + 1)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))[:n].tolist()
-    stops, digest, ones = ends[-n:].tolist(), xxhash.xxh64_intdigest, np.zeros(64, np.int64)
+    stops, digest = ends[-n:].tolist(), xxhash.xxh64_intdigest
     for i in range(0, n, BLOCK):
-        hashes = np.array([digest(joined[s:e], SEED) for s, e in zip(starts[i : i + BLOCK], stops[i : i + BLOCK], strict=True)], dtype="<u8")
+        yield np.array([digest(joined[s:e], SEED) for s, e in zip(starts[i : i + BLOCK], stops[i : i + BLOCK], strict=True)], dtype="<u8")
+
+
+def simhash(blocks: Iterable[np.ndarray]) -> int:
+    """Signed 64-bit fingerprint of hashes: a bit is 1 if it is set in over half of them."""
+    ones, n = np.zeros(64, np.int64), 0
+    for hashes in blocks:
         ones += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int32)
-    return int(np.packbits(2 * ones > n, bitorder="little").view("<i8")[0])
+        n += len(hashes)
+    return int(np.packbits(2 * ones > n, bitorder="little").view("<i8")[0]) if n else 0
+
+
+def fingerprint(text: bytes | None, shingle: int = 3) -> int:
+    return simhash(shingle_hashes(text, shingle))
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -103,12 +116,63 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_distance: int = 2, id
     return rooted.join(least, "root").select(F.col("id").alias("doc_id"), "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, shingle: int = 3, max_distance: int = 2) -> DataFrame:
-    """docs with one document of each group: the one with the least doc_id. Rows without an id stay."""
-    found = near_duplicates(docs, shingle, max_distance)
-    ids = found.groupBy("doc_id").agg(F.count("*").alias("n"), F.max(F.col("doc_id") == F.col("component_id")).alias("first"))
-    lost = ids.where("doc_id is not null and not first").select("doc_id")
-    again = cut(ids.where("doc_id is not null and first and n > 1").select("doc_id"), "repeated")  # rows that repeat an id: seldom any
+def sketch(text: bytes | None, shingle: int) -> tuple[bytes, int, list[int]]:
+    """Digest of the words, fingerprint, and class sketches: for each class of hashes (by leading bits) a hash of its LEAST least ones."""
+    blocks = list(shingle_hashes(text, shingle))
+    own = np.unique(np.concatenate(blocks)) if blocks else np.zeros(0, "<u8")
+    edges = np.searchsorted(own, np.arange(CLASSES, dtype=np.uint64) << np.uint64(64 - CLASS_BITS))
+    bands = [xxhash.xxh64_intdigest(own[a : min(a + LEAST, b)].tobytes(), c) for c, (a, b) in enumerate(zip(edges, [*edges[1:], len(own)], strict=True)) if a < b]
+    words = b" ".join((text or b"").lower().split())
+    return xxhash.xxh128_digest(words), simhash(blocks), np.array(bands, np.uint64).view(np.int64).tolist()
+
+
+def similar_links(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, max_distance: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Edges (a, b) of ids: equal words, or a Jaccard similarity of word shingles of `similarity` or more.
+
+    Equal texts are linked to the least id and go on as one. Candidates are fingerprints that the grid
+    links, and documents that agree in a class sketch: each of CLASSES classes of shingle hashes gives
+    one, of its LEAST least hashes, so two texts with similarity J agree in a class with probability of
+    about J ** LEAST (0.26 at 0.8, and in one class of 16 at least with 0.99). Documents of a
+    sketch are linked to the least id among them, never paired out. All candidates are verified on their
+    whole sets of shingles. Rows without an id take no part.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cols = list(zip(*(sketch(x.as_py(), shingle) for x in batch.column(1)), strict=True)) or [(), (), ()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(cols[0], pa.binary()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.list_(pa.int64()))], ["id", "words", "fp", "bands"])
+
+    rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"))
+    own = cut(rows.mapInArrow(run, "id long, words binary, fp long, bands array<long>"), "sketches")
+    one = cut(own.groupBy("words").agg(F.min("id").alias("rep"), F.min("fp").alias("fp"), F.min("bands").alias("bands")), "distinct")
+    copies = own.join(one.select("words", "rep"), "words").where("id != rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
+
+    by_fp = one.groupBy("fp").agg(F.min("rep").alias("hub"))
+    same = one.join(by_fp, "fp").where("rep != hub").select(F.col("rep").alias("a"), F.col("hub").alias("b"))
+    grid = links(by_fp.select("fp"), max_distance)
+    hub = lambda side: by_fp.select(F.col("fp").alias(side), F.col("hub").alias(f"hub_{side}"))
+    near = grid.join(hub("a"), "a").join(hub("b"), "b").select(F.col("hub_a").alias("a"), F.col("hub_b").alias("b"))
+    bands = one.select("rep", F.explode("bands").alias("band"))
+    met = bands.groupBy("band").agg(F.min("rep").alias("hub"), F.max("rep").alias("last")).where("hub < last").select("band", "hub")
+    banded = bands.join(met, "band").where("rep != hub").select(F.col("rep").alias("a"), F.col("hub").alias("b"))
+    pairs = cut(same.union(near).union(banded).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "candidates")
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [np.unique(np.concatenate(list(shingle_hashes(x.as_py(), shingle)) or [np.zeros(0, "<u8")])).view(np.int64) for x in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], ["id", "set"])
+
+    used = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    held = cut(rows.join(used, "id", "left_semi").mapInArrow(sets, "id long, set array<long>"), "sets")
+    both = pairs.join(held.select(F.col("id").alias("a"), F.col("set").alias("x")), "a").join(held.select(F.col("id").alias("b"), F.col("set").alias("y")), "b")
+    shared = F.size(F.array_intersect("x", "y"))
+    return copies.union(both.where(shared >= similarity * (F.size("x") + F.size("y") - shared)).select("a", "b"))
+
+
+def keep_one(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, max_distance: int = 2) -> DataFrame:
+    """docs with one document of each group of similar_links: the one with the least doc_id. Rows without an id stay."""
+    lost = components(similar_links(docs, shingle, similarity, max_distance)).select(F.col("node").alias("doc_id"))
+    again = cut(docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("doc_id is not null and n > 1").select("doc_id"), "repeated")  # rows that repeat an id: seldom any
     kept = docs.join(lost, "doc_id", "left_anti")
     if again.isEmpty():
         return kept.select(docs.columns)
