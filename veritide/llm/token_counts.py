@@ -19,6 +19,8 @@ from __future__ import annotations
 
 import json
 import re
+import sys
+import types
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -27,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Words a worker remembers; the memory is emptied when full.
-REMEMBERED = 300_000
+REMEMBERED = 500_000
 END = "</w>"
 
 
@@ -59,7 +61,9 @@ class PrefixCounter:
         self.plain = re.compile("[^\t-\r\x20-\x7e\xa1-įı-ɏ]")  # a character that needs the library's Unicode steps
         self.letters = byte_letters()
         self.spines: dict[str, tuple | None] = {}
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.after: dict[str, dict[str, bool]] = {}
+        self.states: dict[str, tuple[str, int]] = {}
+        self.ends = {t[: -len(END)]: t for t in self.vocab if t.endswith(END) and len(t) > len(END)}
         self.words: dict[str, int] = {}
         self.chunks: dict[str, int] = {}
 
@@ -92,40 +96,60 @@ class PrefixCounter:
 
     def _compatible(self, a: str, b: str) -> bool:
         """Whether no merge crosses the border of a and b. Of equal merges the left one comes first."""
-        found = self.pairs.get((a, b))
+        right, left = self._spine(a)[0], self._spine(b)[1]
+        return not any((k := self.rank.get((x, y))) is not None and k < tx and k <= ty for x, tx in right for y, ty in left)
+
+    def _follows(self, a: str, b: str) -> bool:
+        known = self.after.setdefault(a, {})
+        found = known.get(b)
         if found is None:
-            right, left = self._spine(a)[0], self._spine(b)[1]
-            found = self.pairs[a, b] = not any((k := self.rank.get((x, y))) is not None and k < tx and k <= ty for x, tx in right for y, ty in left)
+            found = known[b] = self._spine(b) is not None and (not a or self._compatible(a, b))
         return found
 
-    def _last(self, word: str, i: int, last: list, end: str) -> tuple[int, str]:
-        """Start and text of the last token of word[:i], the word ending there if end is given."""
+    def _inner(self, word: str) -> tuple[list[str], list[int]]:
+        """For each i the last token and the count of word[:i], no word ending there. Prefixes that words share are worked out once."""
+        states, vocab, after = self.states, self.vocab, self.after
+        if len(states) > 2 * REMEMBERED:
+            states.clear()
+        last, count = [""], [0]
+        for i in range(1, len(word) + 1):
+            prefix = word[:i]
+            state = states.get(prefix)
+            if state is None:
+                for j in range(max(0, i - self.longest_token), i):
+                    token = word[j:i]
+                    if token in vocab:
+                        before = last[j]
+                        known = after.get(before)
+                        ok = known.get(token) if known is not None else None
+                        if ok is None:
+                            ok = self._follows(before, token)
+                        if ok:
+                            state = states[prefix] = (token, count[j] + 1)
+                            break
+                else:
+                    raise ValueError(f"no token ends {prefix!r}")
+            last.append(state[0])
+            count.append(state[1])
+        return last, count
+
+    def _ending(self, word: str, i: int, last: list[str], count: list[int]) -> int:
+        """Count of word[:i] as a whole word."""
         for j in range(max(0, i - self.longest_token), i):
-            token = word[j:i] + end
-            if token in self.vocab and self._spine(token) and (j == 0 or self._compatible(last[j], token)):
-                return j, token
+            token = self.ends.get(word[j:i])
+            if token and self._follows(last[j], token):
+                return count[j] + 1
         raise ValueError(f"no token ends {word[:i]!r}")
 
     def word_prefixes(self, word: str) -> list[int]:
         """Counts of word[:i] as a whole word for i = 0, 1, ..., over byte letters."""
-        last, inner, out = [""], [0], [0]
-        for i in range(1, len(word) + 1):
-            j, _ = self._last(word, i, last, END)
-            out.append(inner[j] + 1)
-            j, token = self._last(word, i, last, "")
-            last.append(token)
-            inner.append(inner[j] + 1)
-        return out
+        last, count = self._inner(word)
+        return [0, *(self._ending(word, i, last, count) for i in range(1, len(word) + 1))]
 
     def word_count(self, word: str) -> int:
         found = self.words.get(word)
         if found is None:
-            last, inner, n = [""], [0], len(word)
-            for i in range(1, n):
-                j, token = self._last(word, i, last, "")
-                last.append(token)
-                inner.append(inner[j] + 1)
-            found = inner[self._last(word, n, last, END)[0]] + 1
+            found = self._ending(word, len(word), *self._inner(word[:-1]))
             if len(self.words) >= REMEMBERED:
                 self.words.clear()
             self.words[word] = found
@@ -192,11 +216,20 @@ class PrefixCounter:
         return len(text)
 
 
+def kept_counter(path: str) -> PrefixCounter:
+    """The counter of this Python process: workers that serve several tasks remember their words."""
+    kept = sys.modules.setdefault("_veritide_kept", types.ModuleType("_veritide_kept"))
+    found = vars(kept).setdefault("counters", {})
+    if path not in found:
+        found[path] = PrefixCounter(path)
+    return found[path]
+
+
 def count_tokens(docs: DataFrame, path: str, limit: int = 2048, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_bytes, n_tokens, over_limit) for each row of docs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = PrefixCounter(path)
+        counter = kept_counter(path)
         for batch in batches:
             counts = pa.array([counter.count(x.as_py()) for x in batch.column(2)], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), counts], ["doc_id", "n_bytes", "n_tokens"])
