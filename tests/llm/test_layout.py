@@ -4,6 +4,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import duckdb
+import pandas as pd
 import pytest
 
 from veritide.llm import decontaminate, mixing, quality_rules, sharding
@@ -20,7 +21,7 @@ def test_query_equals_sql(spark, name):
     got, want = QUERIES[name](spark, DATA).toPandas(), c.sql(SQL[name]).df()
     cols = sorted(got.columns)
     assert cols == sorted(want.columns)
-    text = lambda df: sorted(tuple("-" if v is None or v != v else f"{float(v):.9g}" if not isinstance(v, str) else v for v in r) for r in df[cols].itertuples(index=False))
+    text = lambda df: sorted(tuple("-" if pd.isna(v) else f"{float(v):.9g}" if not isinstance(v, str) else v for v in r) for r in df[cols].itertuples(index=False))
     assert text(got) == text(want)
 
 
