@@ -22,7 +22,7 @@ def duck():
 def rows(df: pd.DataFrame) -> list:
     out = []
     for r in df[sorted(df.columns)].itertuples(index=False):
-        out.append(tuple("-" if v is None or v is pd.NaT or v != v else f"{float(v):.7g}" if isinstance(v, (int, float)) or hasattr(v, "dtype") and v.dtype.kind in "iufb" else str(v) for v in r))
+        out.append(tuple("-" if pd.api.types.is_scalar(v) and pd.isna(v) else f"{float(v):.7g}" if isinstance(v, (int, float)) or hasattr(v, "dtype") and v.dtype.kind in "iufb" else str(v) for v in r))
     return sorted(out)
 
 

@@ -388,10 +388,10 @@ def series_states(spark: SparkSession, d: str) -> DataFrame:
     return s.select("user_id", "event_type", "n", F.array_join("states", ",").alias("states"))
 
 
-@_query("""SELECT count(*) AS n, sum(event_id)::BIGINT AS ids FROM events e WHERE NOT EXISTS (SELECT 1 FROM events x WHERE x.event_type = 'error' AND x.user_id = e.user_id)""")
+@_query("""SELECT count(*) AS n, sum(event_id)::BIGINT AS ids FROM events e WHERE NOT EXISTS (SELECT 1 FROM events x WHERE x.event_type = 'error' AND x.value > 200 AND x.user_id = e.user_id)""")
 def invalidated(spark: SparkSession, d: str) -> DataFrame:
     e = _read(spark, d, "events")
-    return versions.without(e, states.invalidated(e, "user_id", "error"), ["user_id"]).agg(F.count("*").alias("n"), F.sum("event_id").alias("ids"))
+    return versions.without(e, states.invalidated(e.where("value > 200"), "user_id", "error"), ["user_id"]).agg(F.count("*").alias("n"), F.sum("event_id").alias("ids"))
 
 
 @_query("""SELECT count(*) AS n, sum(o_orderkey)::BIGINT AS keys FROM orders o WHERE NOT EXISTS (SELECT 1 FROM orders x WHERE x.o_orderstatus = 'F' AND x.o_orderkey + 1 = o.o_orderkey)""")
