@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -39,6 +40,7 @@ BITS = 6
 SHARDS, BUFFER, REMEMBERED = 1 << BITS, 1 << 20, 300_000
 END = b"\n"  # never part of a word
 LOW = 0xFFFFFFFF
+ROWS, COUNTS, WORD = 0, 1, 2  # kinds of what the writing tasks tell
 
 
 def tokens(text: bytes | None) -> list[bytes]:
@@ -75,7 +77,7 @@ class SortedArrays:
     def find(self, keys: np.ndarray, shard: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ranks and counts of keys; rank -1 and count 0 where a key isn't there."""
         ranks, counts = np.full(len(keys), -1, np.int64), np.zeros(len(keys), np.int64)
-        order = np.argsort(shard, kind="stable")
+        order = np.argsort(shard.astype(np.uint8), kind="stable")
         ends = np.searchsorted(shard[order], np.arange(SHARDS + 1))
         for s in range(SHARDS):
             at = order[ends[s] : ends[s + 1]]
@@ -119,15 +121,15 @@ def _texts(batch: pa.RecordBatch, column: int, most: int = 1 << 18) -> Iterator[
 def _write_sorted(folder: str, kind: str, stats: bool):
     """A task that writes sorted (shard, key, count) rows as arrays, equal keys merged.
 
-    Gives (shard, id, kind, a, b, c, d): rows written and the sum of their counts ('rows'); with stats also counts of counts
-    ('counts'), for first words pairs seen once, twice and more ('left'), for second words contexts ('right').
+    Gives (kind, id, a, b, c, d) to be summed by kind and id: for each shard the rows written and the sum of their
+    counts (ROWS); with stats also counts of counts (COUNTS), for first words the pairs seen once, twice and more and
+    for second words in d the contexts (WORD).
     """
-    names = ["shard", "id", "kind", "a", "b", "c", "d"]
+    names = ["kind", "id", "a", "b", "c", "d"]
 
-    def give(shard: int, what: str, ids: np.ndarray, *cols: np.ndarray) -> pa.RecordBatch:
-        n = len(ids)
-        cols = [*cols, *(np.zeros(n, np.int64) for _ in range(4 - len(cols)))]
-        return pa.RecordBatch.from_arrays([pa.array(np.full(n, shard, np.int64)), pa.array(ids.astype(np.int64)), pa.array([what] * n), *(pa.array(c.astype(np.int64)) for c in cols)], names)
+    def give(what: int, ids: np.ndarray, *cols: np.ndarray) -> pa.RecordBatch:
+        cols = [*cols, *(np.zeros(len(ids), np.int64) for _ in range(4 - len(cols)))]
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), what, np.int32)), pa.array(ids.astype(np.int64)), *(pa.array(c.astype(np.int64)) for c in cols)], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, files, temporary, total, occurrences, held, size = None, [], "", 0, 0, [], 0
@@ -143,18 +145,20 @@ def _write_sorted(folder: str, kind: str, stats: bool):
             files[1].write(counts.tobytes())
             total, occurrences = total + len(keys), occurrences + int(counts.sum())
             if stats and len(keys):
-                yield give(shard, "counts", np.array([-1]), *(np.array([(counts == c).sum()]) for c in (1, 2, 3, 4)))
+                yield give(COUNTS, np.array([0]), *(np.array([(counts == c).sum()]) for c in (1, 2, 3, 4)))
                 left, right = (keys >> np.uint64(32)).astype(np.int64), (keys & np.uint64(LOW)).astype(np.int64)
                 first = np.flatnonzero(np.concatenate(([True], left[1:] != left[:-1])))
-                yield give(shard, "left", left[first], *(np.add.reduceat(x.astype(np.int64), first) for x in (counts == 1, counts == 2, counts > 2)))
-                yield give(shard, "right", *np.unique(right, return_counts=True))
+                yield give(WORD, left[first], *(np.add.reduceat(x.astype(np.int64), first) for x in (counts == 1, counts == 2, counts > 2)))
+                found, contexts = np.unique(right, return_counts=True)
+                none = np.zeros(len(found), np.int64)
+                yield give(WORD, found, none, none, none, contexts)
 
         def close() -> Iterator[pa.RecordBatch]:
             yield from flush(True)
             for f, end in zip(files, ("keys", "counts"), strict=True):
                 f.close()
                 os.replace(f"{temporary}.{end}", f"{folder}/{kind}-{shard}.{end}")
-            yield give(shard, "rows", np.array([-1]), np.array([total]), np.array([occurrences]))
+            yield give(ROWS, np.array([shard]), np.array([total]), np.array([occurrences]))
 
         for batch in batches:
             shards = batch.column(0).to_numpy()
@@ -179,17 +183,18 @@ def _write_sorted(folder: str, kind: str, stats: bool):
     return run
 
 
-SHARD_SCHEMA = "shard long, id long, kind string, a long, b long, c long, d long"
-
-
 def _store(counted: DataFrame, folder: str, kind: str, stats: bool = False) -> DataFrame:
-    """Writes (shard, key, count) rows, keys repeated or not, as sorted arrays."""
-    dealt = counted.repartitionById(SHARDS, F.col("shard").cast("int")).sortWithinPartitions("shard", "key")
-    return cut(dealt.mapInArrow(_write_sorted(folder, kind, stats), SHARD_SCHEMA), f"{kind}-stats")
+    """Writes (shard, key, count) rows, keys repeated or not, as sorted arrays; gives the sums of what the tasks tell.
+
+    Partition s holds shard s and no other, so rows are sorted by their key alone, which Spark does by radix.
+    """
+    dealt = counted.repartitionById(SHARDS, F.col("shard")).sortWithinPartitions("key")
+    told = dealt.mapInArrow(_write_sorted(folder, kind, stats), "kind int, id long, a long, b long, c long, d long")
+    return cut(told.groupBy("kind", "id").agg(*(F.sum(x).alias(x) for x in "abcd")), f"{kind}-stats")
 
 
 def _rows(stored: DataFrame) -> list[int]:
-    found = {r["shard"]: r["a"] for r in stored.where("kind = 'rows'").collect()}  # one row for each shard
+    found = {r["id"]: r["a"] for r in stored.where(F.col("kind") == ROWS).collect()}  # one row for each shard
     return [found.get(s, 0) for s in range(SHARDS)]
 
 
@@ -228,7 +233,7 @@ def train(spark: SparkSession, docs: DataFrame, text_col: str = "text") -> Model
     rows = docs.select(F.col(text_col).cast("binary").alias("text"))
 
     def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[bytes, int] = {}
+        known: Counter[bytes] = Counter()
 
         def give() -> pa.RecordBatch:
             keys, counts = _summed(digests(list(known)), np.fromiter(known.values(), np.int64, len(known)))
@@ -237,8 +242,7 @@ def train(spark: SparkSession, docs: DataFrame, text_col: str = "text") -> Model
 
         for batch in batches:
             for x in batch.column(0):
-                for word in tokens(x.as_py()):
-                    known[word] = known.get(word, 0) + 1
+                known.update(tokens(x.as_py()))
                 if len(known) >= REMEMBERED:
                     yield give()
         if known:
@@ -271,10 +275,7 @@ def train(spark: SparkSession, docs: DataFrame, text_col: str = "text") -> Model
 
     stats = _store(rows.mapInArrow(count_pairs, "shard int, key long, count long"), folder, "pairs", stats=True)
     pairs = _rows(stats)
-    sums = stats.where("kind in ('left', 'right')").groupBy("id").agg(
-        *(F.sum(F.when(F.col("kind") == "left", F.col(x))).alias(f"n{i}") for i, x in enumerate("abc", 1)), F.sum(F.when(F.col("kind") == "right", F.col("a"))).alias("before")
-    )
-    sums = cut(sums.na.fill(0), "by-word")
+    sums = stats.where(F.col("kind") == WORD)
     step = -(-(size + 1) // SHARDS)
 
     def write_by_id(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -290,11 +291,11 @@ def train(spark: SparkSession, docs: DataFrame, text_col: str = "text") -> Model
             os.replace(temporary, f"{folder}/by-id-{s}")
         yield pa.RecordBatch.from_pydict({"shards": [len(arrays)]})
 
-    dealt = sums.select("id", "n1", "n2", "n3", "before").repartitionById(SHARDS, F.expr(f"cast(id div {step} as int)"))
+    dealt = sums.select("id", "a", "b", "c", "d").repartitionById(SHARDS, F.expr(f"cast(id div {step} as int)"))
     dealt.mapInArrow(write_by_id, "shards long").agg(F.sum("shards")).collect()
-    one = sums.agg(F.sum("before").alias("all"), *(F.count_if(F.col("before") == k).alias(f"k{k}") for k in (1, 2, 3, 4)), F.count_if(F.col("before") > 2).alias("more")).first()
-    counts = stats.where("kind = 'counts'").agg(*(F.coalesce(F.sum(x), F.lit(0)) for x in "abcd")).first()
-    total = stored.where("kind = 'rows'").agg(F.coalesce(F.sum("b"), F.lit(0))).first()[0]
+    one = sums.agg(F.sum("d").alias("all"), *(F.count_if(F.col("d") == k).alias(f"k{k}") for k in (1, 2, 3, 4)), F.count_if(F.col("d") > 2).alias("more")).first()
+    counts = stats.where(F.col("kind") == COUNTS).agg(*(F.coalesce(F.sum(x), F.lit(0)) for x in "abcd")).first()
+    total = stored.where(F.col("kind") == ROWS).agg(F.coalesce(F.sum("b"), F.lit(0))).first()[0]
     low, low_counts = discounts([one[f"k{k}"] or 0 for k in (1, 2, 3, 4)]), [one["k1"] or 0, one["k2"] or 0, one["more"] or 0]
     mass = sum(d * n for d, n in zip(low, low_counts, strict=True)) / one["all"] if one["all"] else 1.0
     return Model(folder, words, pairs, total, one["all"] or 0, discounts(list(counts)), low, mass)
@@ -321,6 +322,9 @@ def score(docs: DataFrame, model: Model, keep: list[str | Column], text_col: str
                 out[own] = by_id[s][ids[own] - s * step]
             return out
 
+        start = stats(np.array([size]))
+        start_mass = float((start[:, :3] @ np.array(model.high))[0] / texts) if texts else 1.0
+
         def counts_of(ids: np.ndarray) -> np.ndarray:
             out = np.zeros(len(ids), np.int64)
             shard = np.searchsorted(vocabulary.arrays.starts, ids, side="right") - 1
@@ -350,17 +354,11 @@ def score(docs: DataFrame, model: Model, keep: list[str | Column], text_col: str
                 real = keys >= 0
                 pair_counts = np.zeros(len(keys), np.int64)
                 pair_counts[real] = pairs.find(keys[real].view(np.uint64), pair_shard(keys[real]))[1]
-                contexts, at = np.unique(left, return_inverse=True)
-                seen = contexts >= 0
-                n = np.zeros((len(contexts), 4), np.int64)
-                n[seen] = stats(contexts[seen])
-                follow = np.zeros(len(contexts), np.int64)  # tokens after a context: its own count, for the start the texts
-                inner = seen & (contexts < size)
-                follow[inner] = counts_of(contexts[inner])
-                follow[contexts == size] = texts
-                rest = np.where(follow > 0, (n[:, :3] @ np.array(model.high)) / np.maximum(follow, 1), 1.0)
-                f = follow[at]
-                p = np.where(f > 0, taken(pair_counts[back], model.high) / np.maximum(f, 1), 0.0) + rest[at] * p_low
+                # a context is a word before; its tokens are its own count, those of a text's start the texts
+                mass = np.where(c > 0, (by[:, :3] @ np.array(model.high)) / np.maximum(c, 1), 1.0)
+                f, rest = np.concatenate(([0], c[place[:-1]])), np.concatenate(([0.0], mass[place[:-1]]))
+                f[starts], rest[starts] = texts, start_mass
+                p = np.where(f > 0, taken(pair_counts[back], model.high) / np.maximum(f, 1), 0.0) + rest * p_low
                 out += zip(sizes, np.add.reduceat((ids >= 0).astype(np.int64), starts).tolist(), np.add.reduceat(base, starts).tolist(), np.add.reduceat(np.log10(p), starts).tolist(), strict=True)
             cols = list(zip(*out, strict=True)) or [()] * 4
             arrays = [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array([total] * len(out), pa.int64()), pa.array(cols[2], pa.float64()), pa.array(cols[3], pa.float64())]
