@@ -36,6 +36,16 @@ def test_typed_prices(spark, tmp_path):
     assert float(row["opening_home"]) == 1234.5 and row["current_home"] is None and row["market"] == "ouzhi"
 
 
+def test_every_type_has_a_schema(spark, tmp_path):
+    kinds = [*facts.TYPES, *facts.RESEARCH_TYPES]
+    write(tmp_path / "a.jsonl", [rec(k, k) for k in kinds])
+    log = facts.scan(spark, str(tmp_path))
+    assert len(kinds) == 29
+    for k in kinds:
+        assert facts.typed(log, k).columns[0] == "record_id"
+    assert [r["record_id"] for r in facts.typed(log, kinds[-1]).collect()] == [kinds[-1]]
+
+
 def test_append_only(spark):
     before = spark.createDataFrame([("a", 10, "x"), ("b", 10, "y"), ("c", 10, "z"), ("d", 10, "w")], "path string, size long, last_record_id string")
     now = spark.createDataFrame([("a", 12, ["x", "n"]), ("b", 9, ["y"]), ("c", 12, ["q"])], "path string, size long, record_ids array<string>")

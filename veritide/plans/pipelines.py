@@ -16,7 +16,7 @@ def import_facts(spark: SparkSession, path: str, stored: DataFrame | None = None
     """new records with event time, rejected lines, conflicting ids, records of unknown type."""
     records, rejected = facts.validated(facts.scan(spark, path))
     new = facts.with_event_time(facts.new_records(records, stored))
-    return {"new": new, "rejected": rejected, "conflicts": facts.conflicts(records), "unsupported": contracts.unsupported(new, "record_type", tuple(facts.TYPES))}
+    return {"new": new, "rejected": rejected, "conflicts": facts.conflicts(records), "unsupported": contracts.unsupported(new, "record_type", (*facts.TYPES, *facts.RESEARCH_TYPES))}
 
 
 def current_views(records: DataFrame) -> dict[str, DataFrame]:

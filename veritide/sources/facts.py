@@ -33,6 +33,24 @@ TYPES = {
     "VerifiedResult": "fixture_id string, confirmed_at string, home_goals int, away_goals int, scope string, verification_method string, verification_status string, candidate_id string, supersedes_record_id string",
     "QualityEvent": "occurred_at string, event_type string, status string, fixture_id string, competition string, market string, cutoff string, details string",
 }
+_assessment = "fixture_id string, target string, prediction_cutoff string, assessed_at string, policy_sha256 string, raw_features string, rule_evaluations map<string,struct<status:string,reasons:array<string>>>, rule_flags array<string>, proposed_action string, proposed_confidence_cap string, reasons array<string>, audit_status string"
+_evaluation = "evaluated_at string, model_key string, model_version string, result_set_hash string, metrics string"
+#: Payload schemas of the research records.
+RESEARCH_TYPES = {
+    "ResearchSourceAsset": "source_id string, asset_id string, url string, asset_kind string, sha256 string, size_bytes long, blob_path string, downloaded_at string",
+    "ResearchFixture": "source_id string, source_asset_record_id string, source_fixture_key string, competition string, match_date date, home_team string, away_team string, home_goals int, away_goals int, result_scope string, result_eligible boolean",
+    "ResearchMarketObservation": "fixture_record_id string, source_id string, asset_sha256 string, cohort string, market string, bookmaker string, line string, values map<string,double>, market_contract string",
+    "ResearchFeatureRow": "source_fixture_key string, competition string, match_date date, season string, cohort string, feature_schema string, features map<string,string>",
+    "ResearchQualityEvent": "occurred_at string, event_type string, status string, details string",
+    "ResearchModelDataset": "model_key string, dataset_hash string, training_before_date date, created_at string, source_record_count long, fixture_count long, feature_schema string",
+    "ResearchModelVersion": "model_key string, model_version string, dataset_record_id string, trained_at string, algorithm string, metrics string",
+    "ResearchModelActivation": "channel string, model_key string, model_version string, model_record_id string, activated_at string, active_from string, active_until string, status string",
+    "ResearchShadowPrediction": "channel string, fixture_id string, target string, prediction_cutoff string, published_at string, status string, model_key string, model_version string, probabilities map<string,double>, abstention_reason string, competition_id string, market_evidence_tier string, classification_status string, raw_confidence_label string, competition_confidence_cap string, confidence_label string",
+    "ResearchK1GuardrailAssessment": _assessment,
+    "ResearchEuropeGuardrailAssessment": _assessment,
+    "ResearchRetrospectiveEvaluation": _evaluation,
+    "ResearchShadowEvaluation": _evaluation,
+}
 PRICES = ("home", "draw", "away", "line", "over", "under")
 
 
@@ -75,7 +93,7 @@ def new_records(records: DataFrame, stored: DataFrame | None, key: str = "record
 
 def typed(records: DataFrame, kind: str) -> DataFrame:
     """Rows of one record type; prices of market rows also as twelve decimal columns."""
-    rows = records.where(F.col("record_type") == kind).select("record_id", F.from_json("raw", TYPES[kind]).alias("p")).select("record_id", "p.*")
+    rows = records.where(F.col("record_type") == kind).select("record_id", F.from_json("raw", (TYPES | RESEARCH_TYPES)[kind]).alias("p")).select("record_id", "p.*")
     if kind == "BookmakerMarketRow":
         rows = rows.withColumns({f"{side}_{p}": F.expr(f"try_cast(nullif(replace({side}.{p}.decimal, ',', ''), '') AS decimal(18,8))") for side in ("opening", "current") for p in PRICES})
     return rows

@@ -139,11 +139,6 @@ def drain(stream: DataFrame, checkpoint: str, target: str, key: str | None = Non
     writer.start().awaitTermination()
 
 
-def tumbling_on_table(path: str, spark, schema: str, at: str, keys: list[str]) -> Callable[[], DataFrame]:
-    """The stream of daily_counts over closed Parquet files below path."""
-    return lambda: daily_counts(spark.readStream.schema(schema).parquet(path), at, keys)
-
-
 def rebuild(log: DataFrame, key: str, at: str, record: str, team: str, kickoff: str, metadata: list[str], exclusions: DataFrame) -> DataFrame:
     """State of each key from its whole log: the last status, kickoff and whether it is excluded. The batch twin of identity_stream."""
     states = identity_states(log, key, at, record, team, kickoff, metadata)
