@@ -140,3 +140,17 @@ def test_decontamination_of_odd_rows(spark, odd, empty):
     kept = D.decontaminate(odd, b)
     assert kept.columns == odd.columns and kept.where("doc_id = 1").count() == 0 and kept.count() == odd.count() - 2
     assert D.decontaminate(empty, b).count() == 0 and D.decontaminate(odd, b.limit(0)).count() == odd.count()
+
+
+def test_sieve_splits_rows_and_misses_no_id(spark):
+    from veritide.llm.shared import sieve, sifted
+
+    docs = spark.createDataFrame([(i, f"t{i}") for i in range(2000)] + [(None, "none")], "doc_id long, text string")
+    lost = docs.where("doc_id % 7 = 0").select("doc_id")
+    bits = sieve(lost, "doc_id")
+    held, rest = (sifted(docs, "doc_id", bits, held=h) for h in (True, False))
+    assert held.columns == docs.columns
+    assert held.count() + rest.count() == docs.count()
+    assert not rest.where("doc_id % 7 = 0").count() and rest.where("doc_id is null").count() == 1
+    nothing = sieve(lost.limit(0), "doc_id")
+    assert not sifted(docs, "doc_id", nothing, held=True).count() and sifted(docs, "doc_id", nothing, held=False).count() == docs.count()

@@ -9,6 +9,9 @@ from urllib.parse import urlparse
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Bits of a sieve, 2 MB of them in at most 262,144 rows: the bound of what is broadcast.
+SIEVE_BITS = 24
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder named in spark.checkpoint.dir; a temporary one only where it is unset (tests)."""
@@ -37,6 +40,25 @@ def cut(df: DataFrame, name: str = "part") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def sieve(ids: DataFrame, col: str) -> DataFrame:
+    """Bits of hashed ids as rows (_sieve_slot, _sieve_bits): at most 2 ** (SIEVE_BITS - 6) rows, however many ids there are."""
+    placed = ids.select(F.pmod(F.xxhash64(F.col(col).cast("long")), F.lit(1 << SIEVE_BITS)).alias("p"))
+    return placed.groupBy(F.expr("p >> 6").alias("_sieve_slot")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("_sieve_bits"))
+
+
+def sifted(df: DataFrame, col: str, bits: DataFrame, held: bool) -> DataFrame:
+    """Rows of df whose col may be among the ids of a sieve (held), or surely isn't. Nulls surely aren't.
+
+    The bits are broadcast, so df isn't shuffled. With more ids than bits most rows may be held: what
+    follows must be right for any rows, and then does the work that it would do without a sieve.
+    """
+    place = F.pmod(F.xxhash64(F.col(col).cast("long")), F.lit(1 << SIEVE_BITS))
+    key = F.when(F.col(col).isNotNull(), F.shiftright(place, 6))
+    joined = df.withColumns({"_sieve_key": key, "_sieve_bit": F.pmod(place, F.lit(64)).cast("int")}).join(F.broadcast(bits), F.col("_sieve_key") == F.col("_sieve_slot"), "left")
+    may = F.coalesce(F.expr("(shiftrightunsigned(_sieve_bits, _sieve_bit) & 1L) = 1L"), F.lit(False))
+    return joined.where(may if held else ~may).select(*(F.col(f"`{c}`") for c in df.columns))
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Connected components of an undirected edge table of longs: rows (node, root), root the least node.
 

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veritide.llm.shared import components, cut
+from veritide.llm.shared import components, cut, sieve, sifted
 
 SEED, BLOCK = 42, 1 << 16
 SEGMENTS, WIDTH, SLOT = 16, 4, 3
@@ -163,7 +163,8 @@ def similar_links(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, ma
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], ["id", "set"])
 
     used = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    held = cut(rows.join(used, "id", "left_semi").mapInArrow(sets, "id long, set array<long>"), "sets")
+    near_rows = sifted(rows, "id", sieve(used, "id"), held=True).join(used, "id", "left_semi")
+    held = cut(near_rows.mapInArrow(sets, "id long, set array<long>"), "sets")
     both = pairs.join(held.select(F.col("id").alias("a"), F.col("set").alias("x")), "a").join(held.select(F.col("id").alias("b"), F.col("set").alias("y")), "b")
     shared = F.size(F.array_intersect("x", "y"))
     return copies.union(both.where(shared >= similarity * (F.size("x") + F.size("y") - shared)).select("a", "b"))
@@ -172,8 +173,9 @@ def similar_links(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, ma
 def keep_one(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, max_distance: int = 2) -> DataFrame:
     """docs with one document of each group of similar_links: the one with the least doc_id. Rows without an id stay."""
     lost = components(similar_links(docs, shingle, similarity, max_distance)).select(F.col("node").alias("doc_id"))
+    bits = cut(sieve(lost, "doc_id"), "lost-bits")
     again = cut(docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("doc_id is not null and n > 1").select("doc_id"), "repeated")  # rows that repeat an id: seldom any
-    kept = docs.join(lost, "doc_id", "left_anti")
+    kept = sifted(docs, "doc_id", bits, held=False).unionByName(sifted(docs, "doc_id", bits, held=True).join(lost, "doc_id", "left_anti"))
     if again.isEmpty():
         return kept.select(docs.columns)
     once = kept.join(again, "doc_id", "left_anti")
