@@ -130,11 +130,15 @@ def similar_links(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, ma
     """Edges (a, b) of ids: equal words, or a Jaccard similarity of word shingles of `similarity` or more.
 
     Equal texts are linked to the least id and go on as one. Candidates are fingerprints that the grid
-    links, and documents that agree in a class sketch: each of CLASSES classes of shingle hashes gives
-    one, of its LEAST least hashes, so two texts with similarity J agree in a class with probability of
-    about J ** LEAST (0.26 at 0.8, and in one class of 16 at least with 0.99). Documents of a
-    sketch are linked to the least id among them, never paired out. All candidates are verified on their
-    whole sets of shingles. Rows without an id take no part.
+    links, and documents of a bucket: those with one fingerprint, or that agree in a class sketch. Each of
+    CLASSES classes of shingle hashes gives one, of its LEAST least hashes, so two texts with similarity J
+    agree in a class with probability of about J ** LEAST (0.26 at 0.8, and in one class of 16 at least
+    with 0.99). A bucket's documents are compared with a hub, first with the one that meets most others
+    over all its buckets: of an original and its copies that is the original. While a bucket has documents
+    of more than one component, it gets further hubs, until each of its documents was one: no pair of a
+    bucket is lost, and none that is linked already is tried. Only buckets of many documents that are
+    unlike each other cost more than a few comparisons for each document, up to all their pairs. All
+    candidates are verified on their whole sets of shingles. Rows without an id take no part.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -148,14 +152,17 @@ def similar_links(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, ma
     copies = own.join(one.select("words", "rep"), "words").where("id != rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
 
     by_fp = one.groupBy("fp").agg(F.min("rep").alias("hub"))
-    same = one.join(by_fp, "fp").where("rep != hub").select(F.col("rep").alias("a"), F.col("hub").alias("b"))
     grid = links(by_fp.select("fp"), max_distance)
     hub = lambda side: by_fp.select(F.col("fp").alias(side), F.col("hub").alias(f"hub_{side}"))
     near = grid.join(hub("a"), "a").join(hub("b"), "b").select(F.col("hub_a").alias("a"), F.col("hub_b").alias("b"))
-    bands = one.select("rep", F.explode("bands").alias("band"))
-    met = bands.groupBy("band").agg(F.min("rep").alias("hub"), F.max("rep").alias("last")).where("hub < last").select("band", "hub")
-    banded = bands.join(met, "band").where("rep != hub").select(F.col("rep").alias("a"), F.col("hub").alias("b"))
-    pairs = cut(same.union(near).union(banded).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "candidates")
+    buckets = one.select("rep", F.explode(F.array_append(F.coalesce("bands", F.array().cast("array<long>")), F.xxhash64("fp"))).alias("band"))
+    sizes = buckets.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
+    crowded = cut(buckets.join(sizes, "band"), "buckets")
+    weights = crowded.groupBy("rep").agg(F.sum("n").alias("weight"))
+    live = cut(crowded.join(weights, "rep").select("band", "rep", "weight", F.col("rep").alias("root"), F.lit(True).alias("open")), "members")
+    hubs = cut(_hubs(live, 1), "hubs")
+    ordered = lambda pairs: pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    pairs = cut(ordered(near.union(_met(live, hubs))), "candidates")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -165,9 +172,46 @@ def similar_links(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, ma
     used = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     near_rows = sifted(rows, "id", sieve(used, "id"), held=True).join(used, "id", "left_semi")
     held = cut(near_rows.mapInArrow(sets, "id long, set array<long>"), "sets")
+    limit, step, found, tried = weights.count(), 1, copies, pairs
+    while True:
+        new = cut(_similar(pairs, held, similarity), "links")
+        found = found.union(new)
+        live = live.join(hubs.withColumn("was", F.lit(True)), ["band", "rep"], "left").withColumn("open", F.col("open") & F.col("was").isNull()).drop("was")
+        if not new.isEmpty():
+            # links of before are in the roots already
+            linked = live.where("root != rep").select(F.col("rep").alias("a"), F.col("root").alias("b"))
+            roots = components(linked.union(new)).select(F.col("node").alias("rep"), F.col("root").alias("least"))
+            live = live.join(roots, "rep", "left").withColumn("root", F.coalesce("least", "root")).drop("least")
+        state = live.groupBy("band").agg(F.count("*").alias("n"), F.min("root").alias("least"), F.max("root").alias("most"), F.bool_or("open").alias("any"))
+        split = cut(state.where("any and least < most").select("band", "n"), "split")
+        todo = split.agg(F.sum(F.expr("n * (n - 1) / 2")).alias("pairs")).first()["pairs"]
+        if not todo:
+            return found
+        live = cut(live.join(split.select("band"), "band", "left_semi").select("band", "rep", "weight", "root", "open"), "members")
+        step *= 4
+        # few pairs are left in most cases: no more than there are documents, and all are tried at once
+        hubs = cut(live.where("open").select("band", "rep") if todo <= limit else _hubs(live, step), "hubs")
+        pairs = cut(ordered(_met(live, hubs)).join(tried, ["a", "b"], "left_anti"), "candidates")
+        tried = tried.union(pairs)
+
+
+def _hubs(members: DataFrame, n: int) -> DataFrame:
+    """(band, rep): up to n hubs of each bucket, and one at least, of those that were none yet. Members are dealt to n parts by a hash."""
+    part = F.pmod(F.xxhash64("rep", F.lit(n)), F.lit(n)).alias("part")
+    return members.where("open").groupBy("band", part).agg(F.max_by("rep", F.struct("weight", -F.col("rep"))).alias("rep")).select("band", "rep")
+
+
+def _met(members: DataFrame, hubs: DataFrame) -> DataFrame:
+    """Pairs (a, b) of a member and a hub of its bucket, of different components."""
+    heads = members.join(hubs, ["band", "rep"], "left_semi").select("band", F.col("rep").alias("b"), F.col("root").alias("root_b"))
+    return members.join(heads, "band").where("root != root_b").select(F.col("rep").alias("a"), "b")
+
+
+def _similar(pairs: DataFrame, held: DataFrame, similarity: float) -> DataFrame:
+    """The pairs whose sets of shingles are similar."""
     both = pairs.join(held.select(F.col("id").alias("a"), F.col("set").alias("x")), "a").join(held.select(F.col("id").alias("b"), F.col("set").alias("y")), "b")
     shared = F.size(F.array_intersect("x", "y"))
-    return copies.union(both.where(shared >= similarity * (F.size("x") + F.size("y") - shared)).select("a", "b"))
+    return both.where(shared >= similarity * (F.size("x") + F.size("y") - shared)).select("a", "b")
 
 
 def keep_one(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, max_distance: int = 2) -> DataFrame:
