@@ -208,3 +208,40 @@ def test_no_pair_of_a_bucket_is_lost(spark):
     pairs = S.similar_links(spark.createDataFrame(rows, "doc_id long, text string"))
     root = {r["node"]: r["root"] for r in shared.components(pairs).collect()}
     assert len(root) == 11 and set(root.values()) == {min(i for i, _ in rows)}
+
+
+def test_masks_leave_no_two_substitutions():
+    hit = lambda masks, n, bad: any(all(p + k not in bad for k, c in enumerate(m) if c == "1") for m in masks for p in range(n - len(m) + 1))
+    for n in (11, 12, 13):
+        pairs = [(i, j) for i in range(n) for j in range(i)]
+        assert all(hit(D.COVERING, n, p) for p in pairs)
+    assert sum(not hit(D.MASKS, 13, p) for p in pairs) == 22
+
+
+def test_contamination_without_masks(spark):
+    """All overlaps that the definition has, however they are found, and exact copies of items too short for it."""
+    rng = random.Random(8)
+    vocab = [f"w{i}" for i in range(200)]
+    text = lambda n: [rng.choice(vocab) for _ in range(n)]
+    items = [(i, text(n)) for i, n in enumerate((11, 12, 13, 15, 16, 17, 20, 10, 6, 2))]
+    docs = []
+    for i, item in items:
+        for k in range(24):
+            w = list(item)
+            for j in rng.sample(range(len(w)), min(len(w), k % 4 + len(w) // 16)):
+                w[j] = "other"
+            a, b = (rng.choice((0, 5, 280)), rng.choice((0, 4))) if k < 18 else (0, 0)
+            docs.append((len(docs), text(a) + (w if k < 18 else item[k % 3 : len(item) - k // 3 % 2]) + text(b)))
+
+    def held(w, v):
+        if len(v) < 11:
+            return any(w[p : p + len(v)] == v for p in range(len(w) - len(v) + 1))
+        size = min(13, len(v))
+        return any(sum(0 <= s + k + shift < len(w) and w[s + k + shift] == v[s + k] for k in range(size)) >= -(-8 * size // 10) for shift in range(-len(v), len(w)) for s in range(len(v) - size + 1))
+
+    want = {(d, i) for d, w in docs for i, v in items if held(w, v)}
+    d = spark.createDataFrame([(k, " ".join(w)) for k, w in docs] + [(900, None), (901, "")], "doc_id long, text string")
+    b = spark.createDataFrame([(i, " ".join(v)) for i, v in items] + [(50, None), (51, "")], "item_id long, text string")
+    got = D.contaminated(d, b, masks=D.COVERING, whole=True).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == want
+    assert {r["doc_id"] for r in D.decontaminate(d, b).collect()} == {k for k, _ in docs} - {k for k, _ in want} | {900, 901}

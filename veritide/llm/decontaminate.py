@@ -6,7 +6,12 @@ match. Windows of benchmark items are hashed under each mask into a table; every
 document probes it. Around each hit the aligned texts are compared: a document is contaminated by
 an item if some `overlap` aligned tokens that contain the hit are equal in at least `similarity` of
 the places. Items shorter than `overlap` are compared over their whole length; items of fewer than
-`span` tokens have no window and match nothing.
+`span` tokens have no window and match nothing, unless `whole` is set.
+
+MASKS, which the query and its SQL use, miss 22 of the 78 ways to substitute 2 tokens of 13. COVERING has
+a mask for any 2 substitutions in a window, so with it every overlap of 11 to 13 tokens with up to 2 is
+hit. `whole` adds what no window inside both texts shows: overlaps that begin or end outside a
+document, and exact copies of items of fewer than `span` tokens. decontaminate() uses both.
 
 The seed table is broadcast in blocks of at most `block_rows` rows, counted first: a benchmark of any
 size takes more passes, never more memory. Documents are not shuffled; of them only hits are.
@@ -28,6 +33,8 @@ TOKEN = r"[\p{L}\p{N}]+"
 #: Windows of a text that are handled together.
 PIECE = 256
 MASKS = ("11101100111", "11011011011", "10111011101")
+#: Any two places are ignored together by a mask, so none of 2 substitutions is in the way. No six masks of 6 tokens can do that.
+COVERING = ("01010011101", "10100001111", "11110010010", "11101100100", "10110111000", "01001101011", "00011110110")
 
 
 def tokens(text: str) -> Column:
@@ -62,15 +69,18 @@ def seeds(benchmark: DataFrame, masks: tuple[str, ...], overlap: int, id_col: st
     return _windows(items, masks, overlap).where("key is not null").select("key", "item_id", F.col("start").alias("item_at"), "item_n", near.alias("item_near")).distinct()
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MASKS, overlap: int = 13, similarity: float = 0.8, block_rows: int = 200_000, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """(doc_id, item_id, n_seeds, first_token, last_token): verified seed hits, and the tokens their overlaps span."""
+def contaminated(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MASKS, overlap: int = 13, similarity: float = 0.8, block_rows: int = 200_000, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", whole: bool = False) -> DataFrame:
+    """(doc_id, item_id, n_seeds, first_token, last_token): verified seed hits (of short items: places), and the tokens their overlaps span."""
     span = len(masks[0])
     reach = overlap - span
     if len(set(map(len, masks))) != 1 or reach < 0:
         raise ValueError("masks must have one length, not above overlap")
     table = cut(seeds(benchmark, masks, overlap, item_id_col, item_text_col), "seeds")
     blocks = max(1, -(-table.count() // block_rows))
-    probes = _windows(docs.select(F.col(id_col).alias("doc_id"), tokens(text_col).alias("h")), masks, overlap)
+    words = docs.select(F.col(id_col).alias("doc_id"), tokens(text_col).alias("h"))
+    outside = reach if whole else 0  # places before and after a document
+    beyond = F.array_repeat(F.lit(None).cast("long"), outside)
+    probes = _windows(words.withColumn("h", F.concat(beyond, "h", beyond)) if whole else words, masks, overlap)
     size = F.least(F.lit(overlap), F.col("item_n"))
     hits = []
     for k in range(blocks):
@@ -79,7 +89,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] =
         # overlaps of `size` item tokens around the hit, by their start in the item
         starts = F.sequence(F.greatest(F.col("item_at") + span - size, F.lit(0)), F.least(F.col("item_at"), F.col("item_n") - size))
         equal = F.transform("item_near", lambda x, i: F.get("near", F.col("from") + i).eqNullSafe(x).cast("int"))
-        aligned = met.select("doc_id", "item_id", "item_at", (F.col("start") - F.col("item_at")).alias("shift"), size.alias("size"), starts.alias("starts"), equal.alias("equal"))
+        aligned = met.select("doc_id", "item_id", "item_at", (F.col("start") - outside - F.col("item_at")).alias("shift"), size.alias("size"), starts.alias("starts"), equal.alias("equal"))
         same = lambda s: F.aggregate(F.slice("equal", s - F.col("item_at") + reach + 1, F.col("size")), F.lit(0), lambda a, x: a + x)
         good = F.filter("starts", lambda s: same(s) >= F.ceil(F.lit(similarity) * F.col("size")))
         hits.append(aligned.select("doc_id", "item_id", "shift", "size", good.alias("good")))
@@ -88,12 +98,33 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] =
     sums = reduce(DataFrame.unionByName, hits).groupBy("doc_id", "item_id").agg(
         F.count_if(ok).alias("n_seeds"), F.min(F.when(ok, first)).cast("long").alias("first_token"), F.max(F.when(ok, last)).cast("long").alias("last_token")
     )
-    return sums.where("n_seeds > 0")
+    found = sums.where("n_seeds > 0")
+    if whole:
+        items = benchmark.select(F.col(item_id_col).alias("item_id"), tokens(item_text_col).alias("h"))
+        for places in _copied(words, items.where(F.size("h").between(1, span - 1)), block_rows):
+            found = found.unionByName(places)
+    return found
+
+
+def _copied(words: DataFrame, items: DataFrame, block_rows: int) -> list[DataFrame]:
+    """Places of a document that hold all tokens of an item, for items of few tokens, in tables like that of contaminated(); none without such items."""
+    table = cut(items.select("item_id", F.size("h").alias("n"), F.xxhash64(F.size("h"), "h").alias("key")).distinct(), "short-items")
+    counts = {r["n"]: r["count"] for r in table.groupBy("n").count().collect()}
+    out = []
+    for n, count in sorted(counts.items()):
+        at = F.when(F.size("h") >= n, F.transform(F.sequence(F.lit(0), F.size("h") - n), lambda i: F.struct(i.alias("at"), F.xxhash64(F.lit(n), F.slice("h", i + 1, n)).alias("key"))))  # noqa: B023
+        places = words.select("doc_id", F.explode_outer(at).alias("p")).select("doc_id", "p.at", "p.key")
+        blocks = max(1, -(-count // block_rows))
+        for k in range(blocks):
+            part = table.where((F.col("n") == n) & (F.pmod("key", F.lit(blocks)) == k))
+            met = places.join(F.broadcast(part), "key")
+            out.append(met.groupBy("doc_id", "item_id").agg(F.count("*").alias("n_seeds"), F.min("at").cast("long").alias("first_token"), (F.max("at") + n - 1).cast("long").alias("last_token")))
+    return out
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """docs without the documents that contaminated() reports."""
-    bad = contaminated(docs, benchmark, **options).select("doc_id").distinct()
+    """docs without the documents that contaminated() reports, by default with masks and places that miss none."""
+    bad = contaminated(docs, benchmark, **{"masks": COVERING, "whole": True, **options}).select("doc_id").distinct()
     return docs.join(bad, "doc_id", "left_anti").select(docs.columns)
 
 
