@@ -205,3 +205,17 @@ def test_pipeline_equals_its_parts(spark):
     copies = collections.Counter(r["doc_id"] for r in seen[4].select("doc_id").collect())
     assert max(copies.values()) <= 2 and set(copies) <= {r["doc_id"] for r in seen[3].collect()}
     assert collections.Counter(r["doc_id"] for r in seen[5].collect()) == copies and p.run(spark, d).count() == seen[5].count()
+
+
+def test_unknown_languages_go(spark):
+    """Scripts and languages that were never learned go, and random letters; documents of learned languages stay, short ones too."""
+    rng = random.Random(4)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").limit(600).select("doc_id", "text", "lang").where("doc_id is not null")
+    alphabets = ["абвгдежзийклмнопрстуфхцчшщъыьэюя", "αβγδεζηθικλμνξοπρστυφχψω", "".join(map(chr, range(0xAC00, 0xAC00 + 500))), "abcdefghijklmnopqrstuvwxyz"]
+    strange = [" ".join("".join(rng.choices(a, k=rng.randint(2, 9))) for _ in range(300)) for a in alphabets for _ in range(10)]
+    strange.append("kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan heille on annettu järki ja omatunto ja heidän on toimittava toisiaan kohtaan veljeyden hengessä")
+    rows = spark.createDataFrame([(10**6 + i, t, None) for i, t in enumerate(strange)], "doc_id long, text string, lang string")
+    kept = {r["doc_id"] for r in langid.keep_known(docs.union(rows)).select("doc_id").collect()}
+    lettered = {r["doc_id"] for r in docs.collect() if any(c.isalpha() for c in r["text"] or "")}
+    assert not {i for i in kept if i >= 10**6}
+    assert len(lettered - kept) <= len(lettered) // 200

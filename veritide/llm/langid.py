@@ -160,10 +160,34 @@ def held_out(id_col: str, parts: int = 3, part: int = 1) -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % parts == part, F.lit(False))
 
 
-def keep_known(docs: DataFrame, min_score: float = 0.0) -> DataFrame:
-    """docs without those whose language cannot be told: no letters, or a cosine of min_score or less with the best prototype."""
-    found = predict(docs, learn(docs.where(~held_out("doc_id"))), [F.struct(*docs.columns).alias("row_in")])
-    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") > min_score)).select("row_in.*")
+def least_score(docs: DataFrame, prototypes: dict[str, np.ndarray], share: float = 0.2) -> float:
+    """share of the median score of labelled documents that were held out; 0 if there are none. Scores are counted by their first three places, at most 1001 rows."""
+    rows = docs.where(held_out("doc_id") & F.col("lang").isNotNull())
+    counts = predict(rows, prototypes, []).where(F.col("lang_pred") != UNKNOWN).groupBy(F.round("score", 3).alias("score")).count().orderBy("score").collect()
+    half, seen = sum(r["count"] for r in counts) / 2, 0
+    for r in counts:
+        seen += r["count"]
+        if seen >= half:
+            return share * r["score"]
+    return 0.0
+
+
+def keep_known(docs: DataFrame, min_score: float | None = None, short: int = 64) -> DataFrame:
+    """docs without those whose language cannot be told: no letters, or a cosine of min_score or less with the best prototype.
+
+    Without min_score that is least_score: texts of unknown languages and random letters have cosines of up
+    to a fifth of those of learned languages. Texts of fewer than `short` letters have few trigrams
+    and lower cosines, which grow with the root of their number, and so does the least score for them.
+    """
+    prototypes = learn(docs.where(~held_out("doc_id")))
+    least = least_score(docs, prototypes) if min_score is None else min_score
+    found = predict(docs, prototypes, [F.struct(*docs.columns).alias("row_in")])
+    if min_score is not None:
+        known = F.col("score") > least
+    else:
+        letters = F.length(F.regexp_replace("row_in.text", r"[^\p{L}]+", " "))
+        known = F.when(F.col("score") > least, True).otherwise(F.col("score") > least * F.sqrt(F.least(letters, F.lit(short)) / short))
+    return found.where((F.col("lang_pred") != UNKNOWN) & known).select("row_in.*")
 
 
 def op3_language_id(spark, sf_dir: str) -> DataFrame:
