@@ -219,3 +219,11 @@ def test_unknown_languages_go(spark):
     lettered = {r["doc_id"] for r in docs.collect() if any(c.isalpha() for c in r["text"] or "")}
     assert not {i for i in kept if i >= 10**6}
     assert len(lettered - kept) <= len(lettered) // 200
+
+
+def test_long_words_take_linear_memory(tok):
+    path, lib = tok
+    counter = token_counts.PrefixCounter(path)
+    texts = ["=" * 30_000, "ab" * 15_000, "ж" * 10_000]
+    assert [counter.count(t) for t in texts] == [len(lib.encode(t, add_special_tokens=False).ids) for t in texts]
+    assert sum(map(len, [*counter.states, *counter.words, *counter.chunks])) < 100_000

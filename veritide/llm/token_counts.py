@@ -30,6 +30,8 @@ from pyspark.sql import functions as F
 
 #: Words a worker remembers; the memory is emptied when full.
 REMEMBERED = 500_000
+#: Longer words and prefixes are worked out anew, so that memory is linear in a word.
+REMEMBERED_LENGTH = 64
 END = "</w>"
 
 
@@ -107,14 +109,14 @@ class PrefixCounter:
         return found
 
     def _inner(self, word: str) -> tuple[list[str], list[int]]:
-        """For each i the last token and the count of word[:i], no word ending there. Prefixes that words share are worked out once."""
+        """For each i the last token and the count of word[:i], no word ending there. Short prefixes that words share are worked out once."""
         states, vocab, after = self.states, self.vocab, self.after
         if len(states) > 2 * REMEMBERED:
             states.clear()
         last, count = [""], [0]
         for i in range(1, len(word) + 1):
-            prefix = word[:i]
-            state = states.get(prefix)
+            prefix = word[:i] if i <= REMEMBERED_LENGTH else None
+            state = states.get(prefix) if prefix else None
             if state is None:
                 for j in range(max(0, i - self.longest_token), i):
                     token = word[j:i]
@@ -125,10 +127,12 @@ class PrefixCounter:
                         if ok is None:
                             ok = self._follows(before, token)
                         if ok:
-                            state = states[prefix] = (token, count[j] + 1)
+                            state = (token, count[j] + 1)
+                            if prefix:
+                                states[prefix] = state
                             break
                 else:
-                    raise ValueError(f"no token ends {prefix!r}")
+                    raise ValueError(f"no token ends {word[:i]!r}")
             last.append(state[0])
             count.append(state[1])
         return last, count
@@ -152,7 +156,8 @@ class PrefixCounter:
             found = self._ending(word, len(word), *self._inner(word[:-1]))
             if len(self.words) >= REMEMBERED:
                 self.words.clear()
-            self.words[word] = found
+            if len(word) <= REMEMBERED_LENGTH:
+                self.words[word] = found
         return found
 
     def _bytes(self, word: str) -> str:
@@ -161,7 +166,9 @@ class PrefixCounter:
     def _chunk(self, chunk: str) -> int:
         if len(self.chunks) >= REMEMBERED:
             self.chunks.clear()
-        found = self.chunks[chunk] = sum(self.word_count(self._bytes(w)) for w in self.split.findall(chunk))
+        found = sum(self.word_count(self._bytes(w)) for w in self.split.findall(chunk))
+        if len(chunk) <= REMEMBERED_LENGTH:
+            self.chunks[chunk] = found
         return found
 
     def count(self, text: str | None) -> int:
