@@ -245,3 +245,68 @@ def test_contamination_without_masks(spark):
     got = D.contaminated(d, b, masks=D.COVERING, whole=True).collect()
     assert {(r["doc_id"], r["item_id"]) for r in got} == want
     assert {r["doc_id"] for r in D.decontaminate(d, b).collect()} == {k for k, _ in docs} - {k for k, _ in want} | {900, 901}
+
+
+def test_component_ids_of_the_query_equal_brute_force(spark):
+    """component_id of all rows: the least id over links of 2 bits, with large groups of copies and of near copies, null and repeated ids."""
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choices("abcdefghij", k=4))
+    texts = [" ".join(word() for _ in range(rng.choice((2, 4, 30)))) for _ in range(150)]
+    texts += [texts[0]] * 400 + [f"{texts[40]} {word()}" for _ in range(60)] + [None, ""]
+    rows = [(rng.randrange(5000) if i % 50 else None, t) for i, t in enumerate(texts)]
+    got = S.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    fps = sorted({brute_fingerprint(t) for _, t in rows})
+    root = dict(zip(fps, brute_components(fps, 2), strict=True))
+    least = {}
+    for i, t in rows:
+        r = root[brute_fingerprint(t)]
+        least[r] = min((x for x in (least.get(r), i) if x is not None), default=None)
+    key = lambda r: tuple((x is None, x) for x in r)
+    assert sorted(((r["doc_id"], r["component_id"]) for r in got), key=key) == sorted(((i, least[root[brute_fingerprint(t)]]) for i, t in rows), key=key)
+
+
+def test_different_texts_with_one_id_stay(spark):
+    rng = random.Random(10)
+    text = lambda: " ".join("".join(rng.choices("abcdefghij", k=6)) for _ in range(60))
+    a, b, c, d = (text() for _ in range(4))
+    rows = [(1, a), (1, b), (2, c), (1, a.upper()), (3, b), (3, d), (2, c), (2, c), (None, a), (None, a)]
+    for _ in range(2):
+        got = [(r["doc_id"], r["text"].lower()) for r in S.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+        assert sorted(t for i, t in got if i is not None) == sorted([a, b, c, d]) and sum(i is None for i, _ in got) == 2
+        rng.shuffle(rows)
+
+
+def test_links_between_different_texts_have_recall(spark):
+    """Of all pairs with a similarity of 0.8 or more at least nine tenths are in one component, and nothing else is linked."""
+    rng = random.Random(13)
+    word = lambda: "".join(rng.choices("abcdefghij", k=6))
+    rows, sets = [], []
+    for i in range(120):
+        base = [word() for _ in range(rng.randint(80, 300))]
+        for _ in range(rng.randint(1, 6)):
+            w = list(base)
+            for j in rng.sample(range(len(w)), rng.randint(0, len(w) // 45)):
+                w[j] = word()
+            rows.append((len(rows), " ".join(w)))
+            sets.append({tuple(w[k : k + 5]) for k in range(len(w) - 4)})
+    pairs = [(i, j) for i in range(len(rows)) for j in range(max(0, i - 6), i) if (n := len(sets[i] & sets[j])) >= 0.8 * (len(sets[i]) + len(sets[j]) - n)]
+    edges = S.similar_links(spark.createDataFrame(rows, "doc_id long, text string"))
+    root = {r["node"]: r["root"] for r in shared.components(edges).collect()}
+    assert sum(root.get(i, i) == root.get(j, j) for i, j in pairs) >= 0.97 * len(pairs)
+    for r in edges.collect():
+        x, y = sets[r["a"]], sets[r["b"]]
+        assert len(x & y) >= 0.8 * len(x | y)
+
+
+def test_hot_keys_are_attached_by_broadcast(spark):
+    rows = spark.createDataFrame([(i % 7 if i % 3 else 99, i) for i in range(3000)], "k long, v long")
+    table = rows.groupBy("k").agg(F.count("*").alias("n"), F.min("v").alias("m"))
+    got = shared.attach(rows, "k", table, "n", 3000)
+    want = rows.join(table.drop("n"), "k")
+    assert got.columns == want.columns and sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_sieve_leaves_clashing_names_alone(spark):
+    docs = spark.createDataFrame([(1, 2, 3), (2, 3, 4)], "doc_id long, _sieve_slot long, sieve_bits long")
+    bits = shared.sieve(docs.where("doc_id = 1").select("doc_id"), "doc_id")
+    assert [tuple(r) for r in shared.sifted(docs, "doc_id", bits, held=True).collect()] == [(1, 2, 3)]

@@ -227,3 +227,43 @@ def test_long_words_take_linear_memory(tok):
     texts = ["=" * 30_000, "ab" * 15_000, "ж" * 10_000]
     assert [counter.count(t) for t in texts] == [len(lib.encode(t, add_special_tokens=False).ids) for t in texts]
     assert sum(map(len, [*counter.states, *counter.words, *counter.chunks])) < 100_000
+
+
+def test_personal_data_of_hard_texts(spark):
+    """Long runs of digits, and spans by the hundred thousand: whole results in time linear in the text."""
+    import time
+
+    zeros = "0" * 5000
+    text = f"x {zeros}1.2.3.4 and {zeros}1{zeros}.2.3.4 y"
+    assert [(k, a) for k, a, _ in pii.base_spans(text)] == [("ip", 2)]
+    trees, thresholds = pii.train(spark.read.parquet(DATA))
+    assert pii.find(text, trees, thresholds)[0] == pii.base_spans(text)
+    times = []
+    for n in (5_000, 50_000):
+        many = "".join(f"u{i}@mail.example or +1 (974) 555-{i % 9000 + 1000} or 10.0.{i % 256}.1; " for i in range(n))
+        began = time.process_time()
+        base, spans = pii.find(many, None, {})
+        assert len(base) == 3 * n and spans == base
+        pii.examples(many)
+        times.append(time.process_time() - began)
+    assert times[1] < 40 * times[0]
+
+
+def test_method_finds_what_base_rules_miss(spark):
+    """Recall and precision on planted spelled-out addresses, numbers in other formats and assigned tokens, among look-alikes."""
+    rng = random.Random(6)
+    trees, thresholds = pii.train(spark.read.parquet(DATA.replace("0.01", "0.1")))
+
+    def card(good):
+        d = "".join(rng.choices("0123456789", k=15))
+        last = next(c for c in "0123456789" if pii.luhn(d + c))
+        d += last if good else str((int(last) + 1 + rng.randrange(9)) % 10)
+        return ".".join(d[i : i + 4] for i in range(0, 16, 4))
+
+    number = lambda k: "".join(rng.choices("123456789", k=k))
+    word = lambda: "".join(rng.choices("abcdefgh", k=6))
+    good = [lambda: f"write to {word()}[at]{word()}[dot]com", lambda: f"mail {word()} at {word()} dot org now", lambda: f"the card {card(True)} is", lambda: f"call ({number(3)}) {number(3)}-{number(4)} today", lambda: f"token = '{''.join(rng.choices('0123456789abcdef', k=40))}'"]
+    bad = [lambda: f"the card {card(False)} is", lambda: f"on 20{rng.randint(10, 24)}-0{rng.randint(1, 9)}-1{rng.randint(0, 9)} we", lambda: f"version {rng.randint(1, 9)}.{rng.randint(0, 9)}.{rng.randint(0, 9)} of it", lambda: f"look at the {word()} dot here", lambda: f"order {number(5)} of {number(4)}"]
+    hit = [bool(pii.find(f"lorem {f()} ipsum", trees, thresholds)[1]) for f in good * 60]
+    false = [bool(pii.find(f"lorem {f()} ipsum", trees, thresholds)[1]) for f in bad * 60]
+    assert sum(hit) / len(hit) > 0.9 and sum(hit) / (sum(hit) + sum(false)) > 0.9

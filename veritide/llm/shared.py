@@ -6,17 +6,22 @@ import tempfile
 import uuid
 from urllib.parse import urlparse
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bits of a sieve, 2 MB of them in at most 262,144 rows: the bound of what is broadcast.
 SIEVE_BITS = 24
+#: attach(): bound of the rows that are broadcast, and the rows of a key that are never too many for a task.
+MANY, LIGHT = 2048, 256
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; a temporary one only where it is unset (tests)."""
+    """The folder named in spark.checkpoint.dir. Where it is unset a temporary one serves on a local master; a cluster's hosts don't share such a folder, so that is an error."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         found = "file://" + tempfile.mkdtemp(prefix="veritide-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -37,7 +42,38 @@ def cut(df: DataFrame, name: str = "part") -> DataFrame:
     """
     path = f"{shared_dir(df.sparkSession)}/veritide/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    found = df.sparkSession.read.schema(df.schema).parquet(path)
+    found.cut_path = path
+    return found
+
+
+def forget(df: DataFrame) -> None:
+    """Delete what cut() wrote, when nothing will read it again."""
+    jvm, path = df.sparkSession._jvm, df.cut_path
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """name, or that with underscores before it, so that df has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def attach(rows: DataFrame, key: str, table: DataFrame, n: str, total: int) -> DataFrame:
+    """rows joined with table on key: table has one row for each key, with the number of its rows in column n; total is the sum of all.
+
+    Keys of many rows are joined by broadcast and so stay where they are, whatever their share: they have over
+    1 / MANY of all rows each, so there are fewer than MANY. The others are shuffled, n is dropped.
+    """
+    most = max(LIGHT, total // MANY)
+    if total <= most:
+        return rows.join(table.drop(n), key)
+    heavy = table.where(F.col(n) > most).drop(n)
+    rest = rows.join(F.broadcast(heavy.select(key)), key, "left_anti")
+    return rows.join(F.broadcast(heavy), key).unionByName(rest.join(table.where(F.col(n) <= most).drop(n), key))
 
 
 def sieve(ids: DataFrame, col: str) -> DataFrame:
@@ -52,10 +88,12 @@ def sifted(df: DataFrame, col: str, bits: DataFrame, held: bool) -> DataFrame:
     The bits are broadcast, so df isn't shuffled. With more ids than bits most rows may be held: what
     follows must be right for any rows, and then does the work that it would do without a sieve.
     """
-    place = F.pmod(F.xxhash64(F.col(col).cast("long")), F.lit(1 << SIEVE_BITS))
-    key = F.when(F.col(col).isNotNull(), F.shiftright(place, 6))
-    joined = df.withColumns({"_sieve_key": key, "_sieve_bit": F.pmod(place, F.lit(64)).cast("int")}).join(F.broadcast(bits), F.col("_sieve_key") == F.col("_sieve_slot"), "left")
-    may = F.coalesce(F.expr("(shiftrightunsigned(_sieve_bits, _sieve_bit) & 1L) = 1L"), F.lit(False))
+    place = F.pmod(F.xxhash64(F.col(f"`{col}`").cast("long")), F.lit(1 << SIEVE_BITS))
+    slot, word = unused(df, "sieve_slot"), unused(df, "sieve_bits")
+    named = bits.select(F.col("_sieve_slot").alias(slot), F.col("_sieve_bits").alias(word))
+    joined = df.join(F.broadcast(named), F.when(F.col(f"`{col}`").isNotNull(), F.shiftright(place, 6)) == F.col(slot), "left")
+    bit = F.call_function("shiftrightunsigned", F.col(word), F.pmod(place, F.lit(64)).cast("int"))
+    may = F.coalesce(bit.bitwiseAND(F.lit(1).cast("long")) == 1, F.lit(False))
     return joined.where(may if held else ~may).select(*(F.col(f"`{c}`") for c in df.columns))
 
 
@@ -63,9 +101,13 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Connected components of an undirected edge table of longs: rows (node, root), root the least node.
 
     Alternates large-star and small-star steps until the edges stay as they are. Each node's
-    minimum is pre-aggregated, so a hub costs one row for each of its edges. Nodes without an
-    edge to another node are not returned; an empty table gives an empty table.
+    minimum is pre-aggregated and joined back by attach(), so the edges of a hub are never gathered
+    in one task. Nodes without an edge to another node are not returned; an empty table gives an empty table.
     """
+
+    def least(rows: DataFrame, of: str, other: str, m: Column) -> DataFrame:
+        return cut(rows.groupBy(of).agg(F.min(other).alias("m"), F.count("*").alias("d")).select(of, m.alias("m"), "d"), "least")
+
     pairs = edges.where(F.col(a) != F.col(b))
     e = cut(pairs.select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo")).distinct(), "edges")
     seen = None
@@ -73,12 +115,15 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         mark = e.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("hi", "lo")).alias("x")).first()
         if mark == seen or not mark["n"]:
             return e.select(F.col("hi").alias("node"), F.col("lo").alias("root"))
-        seen = mark
+        seen, total = mark, mark["n"]
         both = e.select(F.col("hi").alias("n"), F.col("lo").alias("nb")).union(e.select("lo", "hi"))
-        least = both.groupBy("n").agg(F.min("nb").alias("m")).select("n", F.least("n", "m").alias("m"))
-        large = both.join(least, "n").where("nb > n").select(F.col("nb").alias("hi"), F.col("m").alias("lo")).distinct()
-        least = large.groupBy("hi").agg(F.min("lo").alias("m"))
-        small = large.join(least, "hi").select(
+        first = least(both, "n", "nb", F.least("n", "m"))
+        large = cut(attach(both, "n", first, "d", 2 * total).where("nb > n").select(F.col("nb").alias("hi"), F.col("m").alias("lo")).distinct(), "large")
+        second = least(large, "hi", "lo", F.col("m"))
+        small = attach(large, "hi", second, "d", total).select(
             F.explode(F.array(F.struct(F.col("hi"), F.col("m").alias("lo")), F.struct(F.col("lo").alias("hi"), F.col("m").alias("lo")))).alias("e")
         )
-        e = cut(small.select("e.hi", "e.lo").where("hi != lo").distinct(), "edges")
+        new = cut(small.select("e.hi", "e.lo").where("hi != lo").distinct(), "edges")
+        for done in (e, first, large, second):
+            forget(done)
+        e = new

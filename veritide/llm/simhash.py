@@ -1,13 +1,14 @@
 """SimHash near-duplicates: segment-popcount grid for candidates, exact Hamming distance after it.
 
-A 64-bit fingerprint is embedded as the bit counts of its 16 segments of 4 bits. The Manhattan
-distance of two embeddings is a lower bound of the Hamming distance of the fingerprints, so
-fingerprints within 2 bits lie within 2 in the grid, and then some grid point is at most 1 away
-from both. Every fingerprint visits the at most 33 grid points around it; who never meets another
-has no link. Two that meet alone are compared. Where more meet, however many, they are verified
-through their neighbours: fingerprints differ in at most 2 bits if and only if they share a word at
-most one bit away from both. Such a word has at most 65 fingerprints, which are linked to the least
-of them, so no group of any size is ever paired out and no link is lost.
+A 64-bit fingerprint is embedded as the bit counts of its segments. The Manhattan distance of two
+embeddings is a lower bound of the Hamming distance of the fingerprints, so fingerprints within 2
+bits lie within 2 in the grid, and then some grid point is at most 1 away from both. The range join
+is made at such points: with 16 segments of 4 bits every fingerprint visits the at most 33 points around
+it; who never meets another has no link, and two that meet alone are compared. Fuller points are
+split by further segments: their fingerprints go on with 32 segments of 2 bits, and what is full
+there with 64 of 1 bit, where the Manhattan distance is the Hamming distance. A point of these has
+at most 65 fingerprints, each at most 1 bit away, which are linked to the least of them. So no group
+of any size is ever paired out and no link is lost. All links are verified by their exact distance.
 
 Defined results: null and empty texts have fingerprint zero, which links like any other. Rows
 with a null id get the component of their fingerprint. Repeated rows stay, with equal results.
@@ -17,6 +18,7 @@ Copies share one fingerprint and are worked on once. Other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -24,10 +26,11 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veritide.llm.shared import components, cut, sieve, sifted
+from veritide.llm.shared import attach, components, cut, sieve, sifted, unused
 
 SEED, BLOCK = 42, 1 << 16
-SEGMENTS, WIDTH, SLOT = 16, 4, 3
+#: Bits of a segment: coarse first, finer ones for grid points that are full. At 1 the bound is the distance itself.
+WIDTHS = (4, 2, 1)
 CLASS_BITS, LEAST = 4, 6
 CLASSES = 1 << CLASS_BITS
 
@@ -70,18 +73,17 @@ def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text
     return rows.mapInArrow(run, "id long, fp long")
 
 
-def _bits(fp: Column, i: int) -> Column:
-    return F.bit_count(F.shiftrightunsigned(fp, i * WIDTH).bitwiseAND(F.lit(2**WIDTH - 1)))
-
-
-def grid_points(fp: Column) -> Column:
-    """The grid points at Manhattan distance 0 or 1 from the embedding of fp, packed into longs."""
-    counts = [_bits(fp, i).cast("long") for i in range(SEGMENTS)]
-    own = sum((F.shiftleft(c, i * SLOT) for i, c in enumerate(counts)), F.lit(0).cast("long"))
+def grid_points(fp: Column, width: int) -> Column:
+    """The grid points at Manhattan distance 0 or 1 from the embedding of fp in segments of `width` bits, packed into longs; for 1 the words at most a bit away."""
+    if width == 1:
+        return F.array(fp, *(fp.bitwiseXOR(F.lit(_as_long(i))) for i in range(64)))
+    slot = width.bit_length()  # bits for a count of 0 to width: 16 times 3, or 32 times 2
+    counts = [F.bit_count(F.shiftrightunsigned(fp, i * width).bitwiseAND(F.lit(2**width - 1))).cast("long") for i in range(64 // width)]
+    own = reduce(Column.bitwiseOR, (F.shiftleft(c, i * slot) for i, c in enumerate(counts)))
+    moved = lambda i, c, to: own.bitwiseXOR(F.shiftleft(c.bitwiseXOR(to), i * slot))
     around = [own]
     for i, c in enumerate(counts):
-        step = F.lit(1 << (i * SLOT)).cast("long")
-        around += [F.when(c < WIDTH, own + step), F.when(c > 0, own - step)]
+        around += [F.when(c < width, moved(i, c, c + 1)), F.when(c > 0, moved(i, c, c - 1))]
     return F.array_compact(F.array(*around))
 
 
@@ -96,24 +98,33 @@ def links(fps: DataFrame, max_distance: int = 2) -> DataFrame:
     if max_distance == 0:
         return fps.select(F.col("fp").alias("a"), F.col("fp").alias("b")).where("false")
     parts = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    points = fps.repartition(parts).select("fp", F.explode(grid_points(F.col("fp"))).alias("point"))
-    cells = points.groupBy("point").agg(F.count("*").alias("n"), F.min("fp").alias("b"), F.max("fp").alias("a")).where("n > 1")
-    pairs = cells.where("n = 2").select("a", "b")
-    near = points.join(cells.where("n > 2").select("point"), "point", "left_semi").select("fp").distinct()
-    flips = F.array(F.col("fp"), *(F.col("fp").bitwiseXOR(F.lit(_as_long(i))) for i in range(64)))
-    met = near.select("fp", F.explode(flips).alias("word")).groupBy("word").agg(F.collect_set("fp").alias("fps"))  # at most 65 each
+    near, found = fps.repartition(parts), []
+    for width in WIDTHS[:-1]:
+        points = near.select("fp", F.explode(grid_points(F.col("fp"), width)).alias("point"))
+        cells = points.groupBy("point").agg(F.count("*").alias("n"), F.min("fp").alias("b"), F.max("fp").alias("a")).where("n > 1")
+        found.append(cells.where("n = 2").select("a", "b"))
+        near = cut(points.join(cells.where("n > 2").select("point"), "point", "left_semi").select("fp").distinct(), "crowded")
+    met = near.select("fp", F.explode(grid_points(F.col("fp"), 1)).alias("word")).groupBy("word").agg(F.collect_set("fp").alias("fps"))  # at most 65 each
     hub = F.array_min("fps") if max_distance == 2 else F.when(F.array_contains("fps", F.col("word")), F.col("word"))
-    stars = met.where(F.size("fps") > 1).select(F.explode("fps").alias("a"), hub.alias("b")).where("a != b").distinct()
-    return pairs.union(stars).where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_distance).distinct()
+    found.append(met.where(F.size("fps") > 1).select(F.explode("fps").alias("a"), hub.alias("b")).where("a != b"))
+    pairs = reduce(DataFrame.union, found)
+    return pairs.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_distance).distinct()
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, max_distance: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, fp, component_id): the least id that is reached over links, for each row of docs."""
     own = cut(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
-    root = components(links(own.select("fp").distinct(), max_distance)).withColumnRenamed("node", "fp")
-    rooted = own.join(root, "fp", "left").select("id", "fp", F.coalesce("root", "fp").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("id").alias("component_id"))
-    return rooted.join(least, "root").select(F.col("id").alias("doc_id"), "fp", "component_id")
+    each = cut(own.groupBy("fp").agg(F.min("id").alias("least"), F.count("*").alias("n")), "distinct")
+    root = components(links(each.select("fp"), max_distance)).withColumnRenamed("node", "fp")
+    rooted = cut(each.join(root, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "rooted")
+    least = cut(rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("members")), "least")
+    found = cut(attach(rooted.select("fp", "root", "n"), "root", least, "members", rooted.count()).select("fp", "component_id", "n"), "found")
+    return attach(own, "fp", found, "n", own.count()).select(F.col("id").alias("doc_id"), "fp", "component_id")
+
+
+def words_digest(text: bytes | None) -> bytes:
+    """128-bit digest of the words of a text: equal for texts that differ in white space and ASCII case alone."""
+    return xxhash.xxh128_digest(b" ".join((text or b"").lower().split()))
 
 
 def sketch(text: bytes | None, shingle: int) -> tuple[bytes, int, list[int]]:
@@ -122,14 +133,52 @@ def sketch(text: bytes | None, shingle: int) -> tuple[bytes, int, list[int]]:
     own = np.unique(np.concatenate(blocks)) if blocks else np.zeros(0, "<u8")
     edges = np.searchsorted(own, np.arange(CLASSES, dtype=np.uint64) << np.uint64(64 - CLASS_BITS))
     bands = [xxhash.xxh64_intdigest(own[a : min(a + LEAST, b)].tobytes(), c) for c, (a, b) in enumerate(zip(edges, [*edges[1:], len(own)], strict=True)) if a < b]
-    words = b" ".join((text or b"").lower().split())
-    return xxhash.xxh128_digest(words), simhash(blocks), np.array(bands, np.uint64).view(np.int64).tolist()
+    return words_digest(text), simhash(blocks), np.array(bands, np.uint64).view(np.int64).tolist()
+
+
+def _node(id_col: str = "id", words: str = "words") -> Column:
+    """The node of a row whose id stands for several different texts."""
+    return F.xxhash64(F.lit("node"), F.col(id_col), F.col(words))
+
+
+def _with_node(rows: DataFrame, node: str, id_col: str, text_col: str, mixed: DataFrame | None) -> DataFrame:
+    """rows with a column node: the id, and for the ids in mixed a hash of id and words."""
+    key = F.col(f"`{id_col}`").cast("long")
+    if mixed is None:
+        return rows.withColumn(node, key)
+    ids = mixed.select(F.col("id").alias(unused(rows, "mixed_id")))
+    among = key == F.col(ids.columns[0])
+    digest = F.pandas_udf(lambda texts: texts.map(words_digest), "binary")
+    words = unused(rows, "words_of_row")
+    own = rows.join(ids, among, "left_semi").withColumn(words, digest(F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary")))
+    return rows.join(ids, among, "left_anti").withColumn(node, key).unionByName(own.withColumn(node, F.xxhash64(F.lit("node"), key, F.col(words))).drop(words))
+
+
+def sketches(docs: DataFrame, shingle: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame | None]:
+    """(node, words, fp, bands) for each row with an id, and the ids that stand for several different texts, None without such ids.
+
+    A row's node is its id. Rows that share an id and not the words are different documents: their
+    nodes are hashes of id and words.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cols = list(zip(*(sketch(x.as_py(), shingle) for x in batch.column(1)), strict=True)) or [(), (), ()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(cols[0], pa.binary()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.list_(pa.int64()))], ["id", "words", "fp", "bands"])
+
+    rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"))
+    own = cut(rows.mapInArrow(run, "id long, words binary, fp long, bands array<long>"), "sketches")
+    mixed = cut(own.select("id", F.xxhash64("words").alias("w")).groupBy("id").agg(F.min("w").alias("lo"), F.max("w").alias("hi")).where("lo < hi").select("id"), "mixed")
+    if mixed.isEmpty():
+        return own.withColumnRenamed("id", "node"), None
+    flagged = own.join(mixed.withColumn("many", F.lit(True)), "id", "left")
+    return flagged.select(F.when(F.col("many"), _node()).otherwise(F.col("id")).alias("node"), "words", "fp", "bands"), mixed
 
 
-def similar_links(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, max_distance: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Edges (a, b) of ids: equal words, or a Jaccard similarity of word shingles of `similarity` or more.
+def similar_links(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, max_distance: int = 2, id_col: str = "doc_id", text_col: str = "text", own: tuple[DataFrame, DataFrame | None] | None = None) -> DataFrame:
+    """Edges (a, b) of nodes, see sketches(): equal words, or a Jaccard similarity of word shingles of `similarity` or more.
 
-    Equal texts are linked to the least id and go on as one. Candidates are fingerprints that the grid
+    Equal texts are linked to the least node and go on as one. Candidates are fingerprints that the grid
     links, and documents of a bucket: those with one fingerprint, or that agree in a class sketch. Each of
     CLASSES classes of shingle hashes gives one, of its LEAST least hashes, so two texts with similarity J
     agree in a class with probability of about J ** LEAST (0.26 at 0.8, and in one class of 16 at least
@@ -140,16 +189,25 @@ def similar_links(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, ma
     unlike each other cost more than a few comparisons for each document, up to all their pairs. All
     candidates are verified on their whole sets of shingles. Rows without an id take no part.
     """
+    own = own or sketches(docs, shingle, id_col, text_col)
+    return copies(own[0]).union(_unlike_links(docs, shingle, similarity, max_distance, id_col, text_col, *own))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            cols = list(zip(*(sketch(x.as_py(), shingle) for x in batch.column(1)), strict=True)) or [(), (), ()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(cols[0], pa.binary()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.list_(pa.int64()))], ["id", "words", "fp", "bands"])
 
-    rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"))
-    own = cut(rows.mapInArrow(run, "id long, words binary, fp long, bands array<long>"), "sketches")
-    one = cut(own.groupBy("words").agg(F.min("id").alias("rep"), F.min("fp").alias("fp"), F.min("bands").alias("bands")), "distinct")
-    copies = own.join(one.select("words", "rep"), "words").where("id != rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
+def _distinct(own: DataFrame) -> DataFrame:
+    return own.groupBy("words").agg(F.min("node").alias("rep"), F.min("fp").alias("fp"), F.min("bands").alias("bands"), F.count("*").alias("n"))
+
+
+def copies(own: DataFrame) -> DataFrame:
+    """Edges (a, b) from each node to the least node with equal words."""
+    reps = cut(own.groupBy("words").agg(F.min("node").alias("b"), F.count("*").alias("n")), "words")
+    return attach(own.select(F.col("node").alias("a"), "words"), "words", reps, "n", own.count()).where("a != b").select("a", "b")
+
+
+def _unlike_links(docs: DataFrame, shingle: int, similarity: float, max_distance: int, id_col: str, text_col: str, own: DataFrame, mixed: DataFrame | None) -> DataFrame:
+    """The edges of similar_links() between different texts."""
+    rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
+    rows = _with_node(rows, "id", "doc", "text", mixed).select("id", F.col("text").cast("binary").alias("text"))
+    one = cut(_distinct(own), "distinct")
 
     by_fp = one.groupBy("fp").agg(F.min("rep").alias("hub"))
     grid = links(by_fp.select("fp"), max_distance)
@@ -172,7 +230,8 @@ def similar_links(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, ma
     used = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     near_rows = sifted(rows, "id", sieve(used, "id"), held=True).join(used, "id", "left_semi")
     held = cut(near_rows.mapInArrow(sets, "id long, set array<long>"), "sets")
-    limit, step, found, tried = weights.count(), 1, copies, pairs
+    limit, step, tried = weights.count(), 1, pairs
+    found = pairs.where("false")
     while True:
         new = cut(_similar(pairs, held, similarity), "links")
         found = found.union(new)
@@ -215,15 +274,27 @@ def _similar(pairs: DataFrame, held: DataFrame, similarity: float) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, max_distance: int = 2) -> DataFrame:
-    """docs with one document of each group of similar_links: the one with the least doc_id. Rows without an id stay."""
-    lost = components(similar_links(docs, shingle, similarity, max_distance)).select(F.col("node").alias("doc_id"))
-    bits = cut(sieve(lost, "doc_id"), "lost-bits")
-    again = cut(docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("doc_id is not null and n > 1").select("doc_id"), "repeated")  # rows that repeat an id: seldom any
-    kept = sifted(docs, "doc_id", bits, held=False).unionByName(sifted(docs, "doc_id", bits, held=True).join(lost, "doc_id", "left_anti"))
+    """docs with one document of each group of similar_links: the one with the least doc_id. Rows without an id stay.
+
+    Of rows with one id and equal words one stays, by the least hash of the whole row. Rows with one id and
+    different words are different documents, and each stays or goes by itself.
+    """
+    own, mixed = sketches(docs, shingle, "doc_id", "text")
+    if mixed is not None:
+        own = cut(own, "nodes")
+    same = copies(own).select(F.col("a").alias("node"))
+    lost = cut(components(_unlike_links(docs, shingle, similarity, max_distance, "doc_id", "text", own, mixed)).select("node").union(same).distinct(), "lost")
+    # of a component's copies that go, some are copies of what goes too: all copies of a text but one go by `same`
+    bits = cut(sieve(lost, "node"), "lost-bits")
+    node = unused(docs, "node_of_row")
+    rows, gone = _with_node(docs, node, "doc_id", "text", mixed), lost.select(F.col("node").alias(node))
+    kept = sifted(rows, node, bits, held=False).unionByName(sifted(rows, node, bits, held=True).join(gone, node, "left_anti"))
+    again = cut(own.groupBy("node").agg(F.count("*").alias("n")).where("n > 1").select(F.col("node").alias(node)), "repeated")  # rows that repeat an id: seldom any
     if again.isEmpty():
         return kept.select(docs.columns)
-    once = kept.join(again, "doc_id", "left_anti")
-    return once.unionByName(kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])).select(docs.columns)
+    whole = F.struct(*docs.columns)
+    first = kept.join(again, node, "left_semi").groupBy(node).agg(F.min_by(whole, F.sha2(F.to_json(whole), 256)).alias("row_in"))
+    return kept.join(again, node, "left_anti").select(docs.columns).unionByName(first.select("row_in.*"))
 
 
 def op7_simhash_near_dedup(spark, sf_dir: str) -> DataFrame:
