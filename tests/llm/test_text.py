@@ -105,44 +105,72 @@ def test_hash_of_spans(spark):
         assert r["base_sha256"] == hashlib.sha256(",".join(f"{k}:{a}:{b}" for k, a, b in brute_spans(texts[r["doc_id"]])).encode()).hexdigest()
 
 
-def brute_lm(docs, train_ids):
+def brute_lm(docs, train_ids, order):
     low = lambda t: re.sub("[A-Z]", lambda m: m[0].lower(), t or "")
     toks = {i: re.findall(r"[^\x20\x09-\x0D]+", low(t)) + ["\n"] for i, t in docs}
-    uni, bi = collections.Counter(), collections.Counter()
+    uni, grams = collections.Counter(), [collections.Counter() for _ in range(order + 1)]
+    padded = lambda tk: ["<s>"] * (order - 1) + tk
     for i in train_ids:
         uni.update(toks[i])
-        bi.update(zip(["<s>"] + toks[i][:-1], toks[i], strict=True))
+        w = padded(toks[i])
+        grams[order].update(tuple(w[j : j + order]) for j in range(len(toks[i])))
+    for k in range(order - 1, 0, -1):
+        grams[k].update(g[1:] for g in grams[k + 1])
     n, v = sum(uni.values()), len(uni)
-    disc = lambda cs: (0, *ngram_lm.discounts([sum(c == k for c in cs) for k in (1, 2, 3, 4)]))
-    cont = collections.Counter(b for _, b in bi)
-    d2, d1, ctx, kinds = disc(list(bi.values())), disc(list(cont.values())), collections.Counter(), collections.defaultdict(lambda: [0, 0, 0, 0])
-    for (a, _), c in bi.items():
-        ctx[a] += c
-        kinds[a][min(c, 3)] += 1
-    mass = sum(d1[min(c, 3)] for c in cont.values()) / len(bi)
-    p1 = lambda w: max(cont[w] - d1[min(cont[w], 3)], 0) / len(bi) + mass / (v + 1)
-
-    def p(w, u):
-        if not ctx[u]:
-            return p1(w)
-        c = bi[u, w]
-        return max(c - d2[min(c, 3)], 0) / ctx[u] + sum(d2[k] * kinds[u][k] for k in (1, 2, 3)) / ctx[u] * p1(w)
-
-    out = {i: (len(tk), sum(w in uni for w in tk), n, sum(math.log10((uni[w] + 0.1) / (n + 0.1 * (v + 1))) for w in tk), sum(math.log10(p(w, u)) for u, w in zip(["<s>"] + tk[:-1], tk, strict=True))) for i, tk in toks.items()}
+    disc = [(0, *ngram_lm.discounts([sum(c == k for c in g.values()) for k in (1, 2, 3, 4)])) for g in grams]
+    ctx, kinds = collections.Counter(), collections.defaultdict(lambda: [0, 0, 0, 0])
+    for k in range(1, order + 1):
+        for g, c in grams[k].items():
+            ctx[g[:-1]] += c
+            kinds[g[:-1]][min(c, 3)] += 1
+
+    def p(words):
+        if not words:
+            return 1 / (v + 1)
+        k, c, of = len(words), grams[len(words)][words], words[:-1]
+        if not ctx[of]:
+            return p(words[1:])
+        return max(c - disc[k][min(c, 3)], 0) / ctx[of] + sum(disc[k][j] * kinds[of][j] for j in (1, 2, 3)) / ctx[of] * p(words[1:])
+
+    out = {}
+    for i, tk in toks.items():
+        w = padded(tk)
+        out[i] = (len(tk), sum(x in uni for x in tk), n, sum(math.log10((uni[x] + 0.1) / (n + 0.1 * (v + 1))) for x in tk), sum(math.log10(p(tuple(w[j : j + order]))) for j in range(len(tk))))
     return out, p, set(uni)
 
 
-def test_language_model_equals_brute_force(spark, monkeypatch):
-    docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(DATA.replace("0.01", "0.001")).collect()] + [(10_001, None), (10_002, ""), (10_003, "Z z\x0bz")]
-    df = spark.createDataFrame(docs, "doc_id long, text string")
-    monkeypatch.setattr(ngram_lm, "BUFFER", 500)  # many flushes
-    got = ngram_lm.score(df, ngram_lm.train(spark, df.where(~ngram_lm.held_out("doc_id"))), ["doc_id"]).collect()
-    want, p, words = brute_lm(docs, [i for i, _ in docs if zlib.crc32(str(i).encode()) % 10])
+@pytest.mark.parametrize("order", [2, 3, 4])
+def test_language_model_equals_brute_force(spark, monkeypatch, order):
+    docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(DATA.replace("0.01", "0.001")).collect()] + [(10_001, None), (10_002, ""), (10_003, "Z z\x0bz"), (10_004, "z z z " * 3000), (10_005, "z z q")]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    for name, value in (("BUFFER", 700), ("SPLIT", 50), ("SHARD_BYTES", 30_000), ("REMEMBERED", 400)):  # many chunks, shards and split contexts
+        monkeypatch.setattr(ngram_lm, name, value)
+    model = ngram_lm.train(spark, df.where(~ngram_lm.held_out("doc_id")), order)
+    assert model.dealing.shards > 8 and len(model.dealing.words) > 1
+    got = ngram_lm.score(df, model, ["doc_id"]).collect()
+    want, p, words = brute_lm(docs, [i for i, _ in docs if zlib.crc32(str(i).encode()) % 10], order)
     for r in got:
         w = want[r["doc_id"]]
         assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == w[:3] and r["base_score"] == pytest.approx(w[3]) and r["score"] == pytest.approx(w[4])
-    some = next(iter(words - {"\n"}))
-    assert sum(p(x, some) for x in words) + p("never seen", some) == pytest.approx(1)
+    for some in (("z", "z"), ("<s>", "<s>"), (next(iter(words - {"\n"})),) * 2):
+        assert sum(p((*some, x)[-order:]) for x in words) + p((*some, "never seen")[-order:]) == pytest.approx(1)
+
+
+def test_runs_are_packed_without_loss():
+    rng = np.random.default_rng(2)
+    for n in (0, 1, 3000):
+        cols = [np.sort(rng.integers(0, 2**64, n, np.uint64)), rng.integers(0, 300, n).astype(np.uint64), np.zeros(n, np.uint64)]
+        assert all((a == b).all() and len(a) == n for a, b in zip(ngram_lm.unpacked(ngram_lm.packed(cols)), cols, strict=True))
+
+
+def test_stored_shards_are_found(tmp_path):
+    rng = np.random.default_rng(3)
+    for n in (1, 7, 5000):
+        keys = np.unique(rng.integers(0, 2**64, n, np.uint64))
+        values = [rng.integers(0, 70_000, len(keys)), rng.integers(0, 3, len(keys))]
+        ngram_lm.Shard.write(str(tmp_path / f"x{n}"), keys, values)
+        s = ngram_lm.Shard(str(tmp_path / f"x{n}"))
+        assert (s.find(keys) == np.stack(values, axis=1)).all() and not s.find(rng.integers(0, 2**64, 3000, np.uint64)).any()
 
 
 def test_language_model_of_odd_rows(spark, odd, empty):

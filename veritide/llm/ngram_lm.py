@@ -1,22 +1,31 @@
-"""Interpolated modified Kneser-Ney language model, counted on Spark and scored from mapped files.
-
-Tokens are white-space words in lower case (A-Z) and one end for each text. Two passes count them:
-1. Words: tasks add up 64-bit hashes of their words; each of `SHARDS` ranges of hashes is sorted and
-   written as a pair of arrays (hash, count). A word's id is its rank among all hashes.
-2. Bigrams: tasks add up packed pairs of ids; each shard is sorted, merged and written as arrays
-   (pair, count). While writing, tasks also give the number of pairs by count for each context, and
-   the number of contexts of each word; these are summed and written as arrays by id.
-Workers map the files and look words and pairs up by binary search; pages are shared by all workers
-of a host and dropped when memory is short. What one task holds is a buffer of BUFFER rows.
-
-Discounts D1, D2, D3+ come from counts of counts, for bigrams by occurrences and for words by
-contexts (Kneser-Ney), each interpolated with the order below, the last with a uniform share over
-all known words and the unknown one. The order is 2 as a documented choice: trigram counts of text
-like this are nearly as many as its tokens and do not fit the disk budget (see README).
+"""Interpolated modified Kneser-Ney language model of any order, counted on Spark and scored from mapped files.
+
+Tokens are white-space words in lower case (A-Z) and one end for each text; a text begins with
+order - 1 start tokens. Counting takes two passes over the texts:
+1. Words: tasks add up 64-bit hashes of their words; each shard of hashes is sorted and written. A
+   word's id is its rank among all hashes.
+2. N-grams: tasks add up id tuples. Then one shuffle for each order, from the highest down: a shard
+   sums its n-grams, writes them, and passes on what the order below needs: for each n-gram without its first
+   word one more left neighbour, and for each without its last word the number of times it went on,
+   and with how many words once, twice and more often.
+
+Nothing is pruned. N-grams are dealt to shards by their context, and those of a context of frequent
+words by their last word too, so no word or word pair is gathered in one task. The number of shards follows
+from the size of the texts, so a shard has about SHARD_BYTES / 6 tokens at any size. Between tasks
+n-grams travel as sorted runs, packed and compressed.
+
+A shard is stored as sorted hash arrays: 64-bit hashes in order, as an index of their leading bits and the next 32 bits, and
+for each the place of its counts in a table of the shard's distinct counts. Workers map the files and
+search them; pages are shared by all workers of a host and dropped when memory is short. An n-gram that
+was not seen is taken for a seen one with a probability of about 2 ** -29.
+
+Discounts D1, D2, D3+ of each order come from counts of counts, of the highest order by occurrences and of the others by
+left neighbours (Kneser-Ney); each order is interpolated with the one below, the last with a uniform
+share over all known words and the unknown one.
 
 Defined results: a null text is empty and has the end token only. Rows with null ids are trained
 on. Repeated rows count as often as they stand. Without training rows every word is unknown, with
-probability 1. Files lie in the shared folder; a task that runs again writes the same file again
+probability 1. More than 2 ** 32 - 2 distinct words are an error. Files lie in the shared folder; a task that runs again writes the same file again
 and renames it into place, so lost executors lose nothing.
 """
 
@@ -34,13 +43,17 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veritide.llm.shared import cut, shared_path
+from veritide.llm.shared import shared_path
 
-BITS = 6
-SHARDS, BUFFER, REMEMBERED = 1 << BITS, 1 << 20, 300_000
+#: Bytes of text for each shard; tokens that are added up together; words and ids a worker remembers.
+SHARD_BYTES, BUFFER, REMEMBERED = 8 << 20, 1 << 21, 300_000
+#: Rows of a context in one shard before it is split, and the most words that are listed as frequent.
+SPLIT, FREQUENT = 1 << 18, 1 << 20
+#: N-grams in a bucket of a stored shard, on average at most.
+BUCKET = 8
 END = b"\n"  # never part of a word
-LOW = 0xFFFFFFFF
-ROWS, COUNTS, WORD = 0, 1, 2  # kinds of what the writing tasks tell
+LOW = np.uint64(0xFFFFFFFF)
+SHUFFLED = "shard int, level int, data binary"
 
 
 def tokens(text: bytes | None) -> list[bytes]:
@@ -53,58 +66,169 @@ def digests(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
 
 
-def pair_shard(pairs: np.ndarray) -> np.ndarray:
-    return ((pairs >> 32) + 31 * (pairs & LOW)) % SHARDS
-
-
-def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct keys and the sums of their counts."""
-    order = np.argsort(keys, kind="stable")
-    keys, counts = keys[order], counts[order]
-    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, int)
-    return keys[first], np.add.reduceat(counts, first) if len(first) else counts
-
-
-class SortedArrays:
-    """Mapped (key, count) arrays of all shards of one kind."""
-
-    def __init__(self, folder: str, kind: str, rows: list[int]) -> None:
-        size = [(f"{folder}/{kind}-{s}", n) for s, n in enumerate(rows)]
-        self.keys = [np.memmap(f"{p}.keys", np.uint64, "r", shape=n) if n else np.zeros(0, np.uint64) for p, n in size]
-        self.counts = [np.memmap(f"{p}.counts", np.int64, "r", shape=n) if n else np.zeros(0, np.int64) for p, n in size]
-        self.starts = np.concatenate(([0], np.cumsum(rows))).astype(np.int64)
-
-    def find(self, keys: np.ndarray, shard: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ranks and counts of keys; rank -1 and count 0 where a key isn't there."""
-        ranks, counts = np.full(len(keys), -1, np.int64), np.zeros(len(keys), np.int64)
-        order = np.argsort(shard.astype(np.uint8), kind="stable")
-        ends = np.searchsorted(shard[order], np.arange(SHARDS + 1))
-        for s in range(SHARDS):
-            at = order[ends[s] : ends[s + 1]]
-            if len(at) and len(self.keys[s]):
-                place = np.minimum(np.searchsorted(self.keys[s], keys[at]), len(self.keys[s]) - 1)
-                hit = self.keys[s][place] == keys[at]
-                ranks[at[hit]], counts[at[hit]] = place[hit] + self.starts[s], self.counts[s][place[hit]]
-        return ranks, counts
-
-
-class Vocabulary:
-    """Ids of words, by mapped arrays and a bounded memory. Unknown words have id -1."""
-
-    def __init__(self, folder: str, rows: list[int]) -> None:
-        self.arrays, self.known = SortedArrays(folder, "words", rows), {}
-
-    def ids(self, words: list[bytes]) -> np.ndarray:
+def mixed(h: np.ndarray) -> np.ndarray:
+    """Each 64-bit number scattered over all of them, one to one."""
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return h ^ (h >> np.uint64(32))
+
+
+def hashed(cols: list[np.ndarray]) -> np.ndarray:
+    """A 64-bit hash of the id tuples in columns."""
+    h = np.full(len(cols[0]), len(cols), np.uint64)
+    for c in cols:
+        h = mixed(h + c + np.uint64(1))
+    return h
+
+
+def grouped(cols: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """An order that sorts tuples of ids, and where distinct ones begin in it."""
+    key = cols[0]
+    for i, c in enumerate(cols[1:]):
+        if i:
+            key = np.unique(key, return_inverse=True)[1].astype(np.uint64)
+        key = key << np.uint64(32) | c
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    return order, np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.zeros(0, np.int64)
+
+
+def packed(cols: list[np.ndarray]) -> bytes:
+    """Columns of 64-bit numbers as bytes; small if the first ascends. Byte planes are stored one after the other, without leading ones of zeros."""
+    parts = [np.array([len(cols[0])], "<u8").tobytes()]
+    for i, c in enumerate(cols):
+        c = np.diff(c, prepend=c.dtype.type(0)) if i == 0 else c
+        width = (int(c.max()).bit_length() + 7) // 8 if len(c) else 0
+        parts += [bytes([width]), c.astype("<u8").view(np.uint8).reshape(-1, 8).T[:width].tobytes()]
+    raw = b"".join(parts)
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
+
+
+def unpacked(data: bytes) -> list[np.ndarray]:
+    raw = np.frombuffer(pa.decompress(data[8:], int.from_bytes(data[:8], "little"), "zstd", asbytes=True), np.uint8)
+    n, at, cols = int(raw[:8].view("<u8")[0]), 8, []
+    while at < len(raw):
+        width = int(raw[at])
+        planes = np.zeros((8, n), np.uint8)
+        planes[:width] = raw[at + 1 : at + 1 + width * n].reshape(width, n)
+        cols.append(np.ascontiguousarray(planes.T).view("<u8").ravel())
+        at += 1 + width * n
+    cols[0] = np.cumsum(cols[0], dtype=np.uint64)
+    return cols
+
+
+def dealt(shard: np.ndarray, cols: list[np.ndarray], level: int, most: int) -> Iterator[pa.RecordBatch]:
+    """Rows of SHUFFLED: for each shard the packed columns of its rows, in batches of about `most` bytes."""
+    order = np.argsort(shard.astype(np.uint32), kind="stable")
+    sorted_shard = shard[order]
+    edges = np.concatenate((np.flatnonzero(np.concatenate(([True], sorted_shard[1:] != sorted_shard[:-1]))), [len(order)])) if len(order) else [0]
+    names, blobs, size = [], [], 0
+    for a, b in zip(edges[:-1], edges[1:], strict=True):
+        names.append(int(sorted_shard[a]))
+        blobs.append(packed([c[order[a:b]] for c in cols]))
+        size += len(blobs[-1])
+        if size > most:
+            yield _rows(names, level, blobs)
+            names, blobs, size = [], [], 0
+    if names:
+        yield _rows(names, level, blobs)
+
+
+def _rows(shards: list[int], level: int, blobs: list[bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(shards, pa.int32()), pa.array([level] * len(shards), pa.int32()), pa.array(blobs, pa.binary())], ["shard", "level", "data"])
+
+
+def save(path: str, array: np.ndarray) -> None:
+    """Writes an array whole or not at all."""
+    temporary = f"{path}.{uuid.uuid4().hex}"
+    with open(temporary, "wb") as f:
+        np.save(f, array)
+    os.replace(temporary, f"{path}.npy")
+
+
+class Shard:
+    """A stored shard: counts by hash."""
+
+    def __init__(self, path: str) -> None:
+        self.there = os.path.exists(f"{path}.rows.npy")
+        if self.there:
+            self.starts, self.low, self.codes, self.rows = (np.load(f"{path}.{x}.npy", mmap_mode="r") for x in ("starts", "low", "codes", "rows"))
+            self.bits = (len(self.starts) - 1).bit_length() - 1
+            self.steps = int(np.diff(self.starts).max()).bit_length()
+
+    @staticmethod
+    def write(path: str, hashes: np.ndarray, values: list[np.ndarray]) -> None:
+        order = np.argsort(hashes)
+        hashes, n = hashes[order], len(hashes)
+        bits = max(0, (n // BUCKET).bit_length() - 1)
+        low = (hashes << np.uint64(bits)) >> np.uint64(32)
+        starts = np.searchsorted(hashes >> np.uint64(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64)) if bits else np.array([0, n])
+        _, first, code = np.unique(hashed([v.astype(np.uint64) for v in values]), return_index=True, return_inverse=True)
+        for name, array in (
+            ("starts", starts.astype(np.uint32)), ("low", low.astype(np.uint32)), ("codes", code[order].astype(np.min_scalar_type(max(0, len(first) - 1)))),
+            ("rows", np.stack([v[first] for v in values], axis=1).astype(np.int64)),
+        ):
+            save(f"{path}.{name}", array)
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """Rows of counts; zeros where a hash isn't there."""
+        low = ((hashes << np.uint64(self.bits)) >> np.uint64(32)).astype(np.uint32)
+        bucket = (hashes >> np.uint64(64 - self.bits)).astype(np.int64) if self.bits else np.zeros(len(hashes), np.int64)
+        at, end = self.starts[bucket].astype(np.int64), self.starts[bucket + 1].astype(np.int64)
+        stop, last = end.copy(), len(self.low) - 1
+        for _ in range(self.steps):
+            middle = (at + stop) >> 1
+            less = (self.low[np.minimum(middle, last)] < low) & (at < stop)
+            at, stop = np.where(less, middle + 1, at), np.where(less, stop, middle)
+        place = np.minimum(at, last)
+        hit = (at < end) & (self.low[place] == low)
+        return np.where(hit[:, None], self.rows[self.codes[place]], 0)
+
+
+class Words:
+    """Ids and counts of words, by mapped arrays and a bounded memory. Unknown words have id -1 and count 0."""
+
+    def __init__(self, folder: str, sizes: list[int]) -> None:
+        self.folder, self.shift = folder, np.uint64(64 - (len(sizes) - 1).bit_length())
+        self.starts = np.concatenate(([0], np.cumsum(sizes))).astype(np.int64)
+        self.shards: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        self.clear()
+
+    def clear(self) -> None:
+        self.known: dict[bytes, int] = {}
+        self.ids, self.counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def find(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        keys = digests(words)
+        shard = (keys >> self.shift).astype(np.int64) if self.shift < 64 else np.zeros(len(keys), np.int64)
+        ids, counts = np.full(len(words), -1, np.int64), np.zeros(len(words), np.int64)
+        order = np.argsort(shard, kind="stable")
+        for at in np.split(order, np.flatnonzero(np.diff(shard[order])) + 1) if len(order) else []:
+            s = int(shard[at[0]])
+            if self.starts[s] == self.starts[s + 1]:
+                continue
+            if s not in self.shards:
+                self.shards[s] = tuple(np.load(f"{self.folder}/words-{s}.{x}.npy", mmap_mode="r") for x in ("keys", "counts"))
+            stored, n = self.shards[s]
+            place = np.minimum(np.searchsorted(stored, keys[at]), len(stored) - 1)
+            hit = stored[place] == keys[at]
+            ids[at[hit]], counts[at[hit]] = place[hit] + self.starts[s], n[place[hit]]
+        return ids, counts
+
+    def places(self, words: list[bytes]) -> np.ndarray:
+        """Where ids and counts of the words are in self.ids and self.counts."""
         new = [w for w in set(words) if w not in self.known]
         if len(self.known) + len(new) > REMEMBERED:
-            self.known, new = {}, list(set(words))
+            self.clear()
+            new = list(set(words))
         if new:
-            keys = digests(new)
-            self.known.update(zip(new, self.arrays.find(keys, (keys >> np.uint64(64 - BITS)).astype(np.int64))[0].tolist(), strict=True))
+            self.known.update(zip(new, range(len(self.ids), len(self.ids) + len(new)), strict=True))
+            ids, counts = self.find(new)
+            self.ids, self.counts = np.concatenate((self.ids, ids)), np.concatenate((self.counts, counts))
         return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
 
 
-def _texts(batch: pa.RecordBatch, column: int, most: int = 1 << 18) -> Iterator[tuple[list[int], list[bytes]]]:
+def _texts(batch: pa.RecordBatch, column: int, most: int) -> Iterator[tuple[list[int], list[bytes]]]:
     """Rows of a batch in groups of about `most` tokens: token counts by row, and all tokens."""
     sizes, words = [], []
     for x in batch.column(column):
@@ -118,84 +242,32 @@ def _texts(batch: pa.RecordBatch, column: int, most: int = 1 << 18) -> Iterator[
         yield sizes, words
 
 
-def _write_sorted(folder: str, kind: str, stats: bool):
-    """A task that writes sorted (shard, key, count) rows as arrays, equal keys merged.
-
-    Gives (kind, id, a, b, c, d) to be summed by kind and id: for each shard the rows written and the sum of their
-    counts (ROWS); with stats also counts of counts (COUNTS), for first words the pairs seen once, twice and more and
-    for second words in d the contexts (WORD).
-    """
-    names = ["kind", "id", "a", "b", "c", "d"]
-
-    def give(what: int, ids: np.ndarray, *cols: np.ndarray) -> pa.RecordBatch:
-        cols = [*cols, *(np.zeros(len(ids), np.int64) for _ in range(4 - len(cols)))]
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), what, np.int32)), pa.array(ids.astype(np.int64)), *(pa.array(c.astype(np.int64)) for c in cols)], names)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, files, temporary, total, occurrences, held, size = None, [], "", 0, 0, [], 0
-
-        def flush(last: bool) -> Iterator[pa.RecordBatch]:
-            nonlocal held, size, total, occurrences
-            keys, counts = _summed(np.concatenate([k for k, _ in held]), np.concatenate([c for _, c in held]))
-            held, size = [], 0
-            if not last:  # the greatest key may go on
-                held, size = [(keys[-1:], counts[-1:])], 1
-                keys, counts = keys[:-1], counts[:-1]
-            files[0].write(keys.tobytes())
-            files[1].write(counts.tobytes())
-            total, occurrences = total + len(keys), occurrences + int(counts.sum())
-            if stats and len(keys):
-                yield give(COUNTS, np.array([0]), *(np.array([(counts == c).sum()]) for c in (1, 2, 3, 4)))
-                left, right = (keys >> np.uint64(32)).astype(np.int64), (keys & np.uint64(LOW)).astype(np.int64)
-                first = np.flatnonzero(np.concatenate(([True], left[1:] != left[:-1])))
-                yield give(WORD, left[first], *(np.add.reduceat(x.astype(np.int64), first) for x in (counts == 1, counts == 2, counts > 2)))
-                found, contexts = np.unique(right, return_counts=True)
-                none = np.zeros(len(found), np.int64)
-                yield give(WORD, found, none, none, none, contexts)
-
-        def close() -> Iterator[pa.RecordBatch]:
-            yield from flush(True)
-            for f, end in zip(files, ("keys", "counts"), strict=True):
-                f.close()
-                os.replace(f"{temporary}.{end}", f"{folder}/{kind}-{shard}.{end}")
-            yield give(ROWS, np.array([shard]), np.array([total]), np.array([occurrences]))
-
-        for batch in batches:
-            shards = batch.column(0).to_numpy()
-            keys, counts = batch.column(1).to_numpy().view(np.uint64), batch.column(2).to_numpy()
-            edges = [0, *(np.flatnonzero(shards[1:] != shards[:-1]) + 1).tolist(), len(shards)]
-            for a, b in zip(edges, edges[1:], strict=False):
-                if a == b:
-                    continue
-                if shards[a] != shard:
-                    if shard is not None:
-                        yield from close()
-                    shard, total, occurrences = int(shards[a]), 0, 0
-                    temporary = f"{folder}/.{kind}-{shard}-{uuid.uuid4().hex}"
-                    files = [open(f"{temporary}.{end}", "wb") for end in ("keys", "counts")]
-                held.append((keys[a:b], counts[a:b]))
-                size += b - a
-                if size >= BUFFER:
-                    yield from flush(False)
-        if shard is not None:
-            yield from close()
-
-    return run
+def _before(ids: np.ndarray, starts: np.ndarray, first: int) -> np.ndarray:
+    """Each token's predecessor, `first` at the starts of texts."""
+    out = np.concatenate((np.array([first], ids.dtype), ids[:-1]))
+    out[starts] = first
+    return out
 
 
-def _store(counted: DataFrame, folder: str, kind: str, stats: bool = False) -> DataFrame:
-    """Writes (shard, key, count) rows, keys repeated or not, as sorted arrays; gives the sums of what the tasks tell.
+@dataclass
+class Dealing:
+    """Which shard an n-gram belongs to: that of its context, and if all words of that are frequent, one of several by its last word."""
 
-    Partition s holds shard s and no other, so rows are sorted by their key alone, which Spark does by radix.
-    """
-    dealt = counted.repartitionById(SHARDS, F.col("shard")).sortWithinPartitions("key")
-    told = dealt.mapInArrow(_write_sorted(folder, kind, stats), "kind int, id long, a long, b long, c long, d long")
-    return cut(told.groupBy("kind", "id").agg(*(F.sum(x).alias(x) for x in "abcd")), f"{kind}-stats")
+    shards: int  # a power of 2
+    words: np.ndarray  # ids of frequent words in order, and the start
+    counts: np.ndarray
 
+    def often(self, ids: np.ndarray) -> np.ndarray:
+        place = np.minimum(np.searchsorted(self.words, ids), len(self.words) - 1)
+        return np.where(self.words[place] == ids, self.counts[place], 0)
 
-def _rows(stored: DataFrame) -> list[int]:
-    found = {r["id"]: r["a"] for r in stored.where(F.col("kind") == ROWS).collect()}  # one row for each shard
-    return [found.get(s, 0) for s in range(SHARDS)]
+    def shard(self, cols: list[np.ndarray]) -> np.ndarray:
+        pieces = np.minimum.reduce([self.often(c) for c in cols[:-1]]) // SPLIT
+        h = hashed(cols[:-1])
+        split = np.flatnonzero(pieces > 1)
+        if len(split):
+            h[split] = mixed(h[split] + mixed(cols[-1][split] + np.uint64(7)) % pieces[split].astype(np.uint64))
+        return (h % np.uint64(self.shards)).astype(np.int64)
 
 
 @dataclass
@@ -203,12 +275,12 @@ class Model:
     """Where the arrays are, and the few numbers that all words share."""
 
     folder: str
-    words: list[int]
-    pairs: list[int]
+    order: int
+    words: list[int]  # by shard
     train_tokens: int
-    contexts: int  # distinct pairs
-    high: tuple[float, float, float]
-    low: tuple[float, float, float]
+    dealing: Dealing
+    discounts: list[tuple[float, float, float]]  # by level from 1
+    neighbours: int  # distinct left neighbours, over all words
     low_mass: float
 
     @property
@@ -226,79 +298,182 @@ def discounts(n: list[int]) -> tuple[float, float, float]:
     return tuple(out)
 
 
-def train(spark: SparkSession, docs: DataFrame, text_col: str = "text") -> Model:
-    """Counts docs, writes the arrays to a new folder below spark.checkpoint.dir."""
-    folder = f"{shared_path(spark)}/veritide/lm-{uuid.uuid4().hex}"
-    os.makedirs(folder, exist_ok=True)
-    rows = docs.select(F.col(text_col).cast("binary").alias("text"))
+def _count_words(shards: int):
+    """A task that tells the hashes and counts of its words."""
+    shift = 64 - (shards - 1).bit_length()
 
-    def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: Counter[bytes] = Counter()
 
-        def give() -> pa.RecordBatch:
-            keys, counts = _summed(digests(list(known)), np.fromiter(known.values(), np.int64, len(known)))
+        def give() -> Iterator[pa.RecordBatch]:
+            keys, counts = digests(list(known)), np.fromiter(known.values(), np.uint64, len(known))
             known.clear()
-            return pa.RecordBatch.from_arrays([pa.array((keys >> np.uint64(64 - BITS)).astype(np.int32)), pa.array(keys.view(np.int64)), pa.array(counts)], ["shard", "key", "count"])
+            order = np.argsort(keys)
+            keys = keys[order]
+            yield from dealt((keys >> np.uint64(shift)).astype(np.int64) if shift < 64 else np.zeros(len(keys), np.int64), [keys, counts[order]], 0, BUFFER)
 
         for batch in batches:
             for x in batch.column(0):
                 known.update(tokens(x.as_py()))
                 if len(known) >= REMEMBERED:
-                    yield give()
+                    yield from give()
         if known:
-            yield give()
+            yield from give()
+
+    return run
+
 
-    stored = _store(rows.mapInArrow(count_words, "shard int, key long, count long"), folder, "words")
-    words = _rows(stored)
-    size = sum(words)
+def _gathered(batches: Iterator[pa.RecordBatch]) -> tuple[int | None, list[np.ndarray], list[bytes]]:
+    """The shard of a partition, the columns of its rows, and what tasks before have told."""
+    shard, runs, told = None, [], []
+    for batch in batches:
+        for s, level, data in zip(*(batch.column(i) for i in range(3)), strict=True):
+            if level.as_py() < 0:
+                told.append((s.as_py(), level.as_py(), data.as_py()))
+            else:
+                shard = s.as_py()
+                runs.append(unpacked(data.as_py()))
+    return shard, [np.concatenate(c) for c in zip(*runs, strict=True)], told
 
-    def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, held, n = Vocabulary(folder, words), [], 0
 
-        def give() -> pa.RecordBatch:
-            keys, counts = np.unique(np.concatenate(held), return_counts=True)
-            held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(pair_shard(keys).astype(np.int32)), pa.array(keys), pa.array(counts.astype(np.int64))], ["shard", "key", "count"])
+def _write_words(folder: str, split: int):
+    """A task that writes a shard of words; tells their number, occurrences, and frequent ones by rank."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, cols, _ = _gathered(batches)
+        if shard is not None:
+            keys, inverse = np.unique(cols[0], return_inverse=True)
+            counts = np.zeros(len(keys), np.int64)
+            np.add.at(counts, inverse, cols[1].astype(np.int64))
+            save(f"{folder}/words-{shard}.keys", keys)
+            save(f"{folder}/words-{shard}.counts", counts)
+            often = np.flatnonzero(counts >= split)
+            rows = [(shard, -1, len(keys)), (shard, -2, int(counts.sum())), *((shard, int(i), int(counts[i])) for i in often)]
+            yield pa.RecordBatch.from_pylist([dict(zip(("shard", "rank", "n"), r, strict=True)) for r in rows], pa.schema([("shard", pa.int32()), ("rank", pa.int64()), ("n", pa.int64())]))
+
+    return run
+
+
+def _count_grams(folder: str, order: int, words: list[int], dealing: Dealing):
+    """A task that tells its n-grams and their counts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary, start, held, n = Words(folder, words), sum(words), [], 0
+
+        def give() -> Iterator[pa.RecordBatch]:
+            cols = [np.concatenate(c) for c in zip(*held, strict=True)]
+            by, first = grouped(cols)
+            counts = np.diff(first, append=len(by)).astype(np.uint64)
+            yield from _deal_grams([c[by[first]] for c in cols], [counts], dealing)
 
         for batch in batches:
-            for sizes, own in _texts(batch, 0):
-                ids = vocabulary.ids(own)
-                left = np.concatenate(([size], ids[:-1]))
-                left[np.cumsum([0, *sizes[:-1]])] = size  # the start of a text
-                held.append(left << 32 | ids)
-                n += len(ids)
-                if n >= 2 * BUFFER:
-                    yield give()
+            for sizes, own in _texts(batch, 0, 1 << 18):
+                at = vocabulary.places(own)
+                cols = [vocabulary.ids[at].astype(np.uint64)]
+                begins = np.cumsum([0, *sizes[:-1]])
+                for _ in range(order - 1):
+                    cols.insert(0, _before(cols[0], begins, start))
+                held.append(cols)
+                n += len(own)
+                if n >= BUFFER:
+                    yield from give()
+                    held.clear()
                     n = 0
         if held:
-            yield give()
+            yield from give()
 
-    stats = _store(rows.mapInArrow(count_pairs, "shard int, key long, count long"), folder, "pairs", stats=True)
-    pairs = _rows(stats)
-    sums = stats.where(F.col("kind") == WORD)
-    step = -(-(size + 1) // SHARDS)
+    return run
+
+
+def _deal_grams(cols: list[np.ndarray], values: list[np.ndarray], dealing: Dealing) -> Iterator[pa.RecordBatch]:
+    """Sorted n-grams with their values, as rows of SHUFFLED. Columns of a row: two first ids together, further ids, values."""
+    key = cols[0] << np.uint64(32) | cols[1] if len(cols) > 1 else cols[0]
+    shard = dealing.shard(cols) if len(cols) > 1 else (mixed(cols[0] >> np.uint64(12)) % np.uint64(dealing.shards)).astype(np.int64)
+    yield from dealt(shard, [key, *cols[2:], *values], len(cols), BUFFER)
 
-    def write_by_id(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        arrays: dict[int, np.ndarray] = {}
-        for batch in batches:
-            ids, values = batch.column(0).to_numpy(), np.stack([batch.column(i).to_numpy() for i in range(1, 5)], axis=1)
-            for s in np.unique(ids // step).tolist():
-                own = ids // step == s
-                arrays.setdefault(s, np.zeros((step, 4), np.int64))[ids[own] - s * step] = values[own]
-        for s, array in arrays.items():
-            temporary = f"{folder}/.by-id-{s}-{uuid.uuid4().hex}"
-            array.tofile(temporary)
-            os.replace(temporary, f"{folder}/by-id-{s}")
-        yield pa.RecordBatch.from_pydict({"shards": [len(arrays)]})
-
-    dealt = sums.select("id", "a", "b", "c", "d").repartitionById(SHARDS, F.expr(f"cast(id div {step} as int)"))
-    dealt.mapInArrow(write_by_id, "shards long").agg(F.sum("shards")).collect()
-    one = sums.agg(F.sum("d").alias("all"), *(F.count_if(F.col("d") == k).alias(f"k{k}") for k in (1, 2, 3, 4)), F.count_if(F.col("d") > 2).alias("more")).first()
-    counts = stats.where(F.col("kind") == COUNTS).agg(*(F.coalesce(F.sum(x), F.lit(0)) for x in "abcd")).first()
-    total = stored.where(F.col("kind") == ROWS).agg(F.coalesce(F.sum("b"), F.lit(0))).first()[0]
-    low, low_counts = discounts([one[f"k{k}"] or 0 for k in (1, 2, 3, 4)]), [one["k1"] or 0, one["k2"] or 0, one["more"] or 0]
-    mass = sum(d * n for d, n in zip(low, low_counts, strict=True)) / one["all"] if one["all"] else 1.0
-    return Model(folder, words, pairs, total, one["all"] or 0, discounts(list(counts)), low, mass)
+
+def _write_grams(folder: str, level: int, highest: bool, dealing: Dealing):
+    """A task that sums and writes a shard of the n-grams of a level, and tells the level below and the counts of counts.
+
+    Values of a row: the count of an n-gram and, but for the highest level, what stands of it as a
+    context: how often it goes on, and with how many words once, twice and more often.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, cols, told = _gathered(batches)
+        for s, k, data in told:
+            yield _rows([s], k, [data])
+        if shard is None:
+            return
+        ids = [cols[0] >> np.uint64(32), cols[0] & LOW, *cols[1 : level - 1]] if level > 1 else [cols[0]]
+        values = cols[max(1, level - 1) :]
+        by, first = grouped(ids)
+        ids, values = [c[by[first]] for c in ids], [np.add.reduceat(v[by].astype(np.int64), first) for v in values]
+        Shard.write(f"{folder}/grams{level}-{shard}", hashed(ids), values)
+        n = values[0]
+        counts = np.array([*((n == c).sum() for c in (1, 2, 3, 4)), (n > 2).sum(), n.sum(), len(n)], np.int64)
+        yield _rows([shard], -level, [counts.tobytes()])
+        if level == 1:
+            return
+        seen = n > 0
+        suffix, one = [c[seen] for c in ids[1:]], np.ones(int(seen.sum()), np.int64)
+        none = np.zeros_like(one)
+        begin = np.flatnonzero(np.concatenate(([True], np.any([c[1:] != c[:-1] for c in ids[:-1]], axis=0))))
+        context = [c[begin] for c in ids[:-1]]
+        ahead = [np.add.reduceat(x.astype(np.int64), begin) for x in (n, n == 1, n == 2, n > 2)]
+        below = [np.concatenate(c) for c in zip(suffix, context, strict=True)]
+        more = [np.concatenate((one, np.zeros(len(begin), np.int64))), *(np.concatenate((none, a)) for a in ahead)]
+        by, first = grouped(below)
+        yield from _deal_grams([c[by[first]] for c in below], [np.add.reduceat(v[by], first).astype(np.uint64) for v in more], dealing)
+
+    return run
+
+
+def _told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of counts of counts, from what all levels told."""
+    for batch in batches:
+        rows = np.array([np.frombuffer(x.as_py(), np.int64) for x in batch.column(2)], np.int64).reshape(-1, 7)
+        yield pa.RecordBatch.from_arrays([batch.column(1), *(pa.array(rows[:, i]) for i in range(7))], ["level", *"abcdefg"])
+
+
+def train(spark: SparkSession, docs: DataFrame, order: int = 3, text_col: str = "text") -> Model:
+    """Counts docs, writes the arrays to a new folder below spark.checkpoint.dir."""
+    if order < 2:
+        raise ValueError("the order must be 2 or more")
+    folder = f"{shared_path(spark)}/veritide/lm-{uuid.uuid4().hex}"
+    os.makedirs(folder, exist_ok=True)
+    rows = docs.select(F.col(text_col).cast("binary").alias("text"))
+    size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    shards = 1 << max(3, (size // SHARD_BYTES).bit_length())
+    deal = lambda df: df.repartitionById(shards, F.col("shard"))
+
+    split = max(SPLIT, size // FREQUENT)  # at most FREQUENT words stand as often
+    counted = deal(rows.mapInArrow(_count_words(shards), SHUFFLED))
+    stored = counted.mapInArrow(_write_words(folder, split), "shard int, rank long, n long").toArrow().to_pydict()
+    words, frequent, total = [0] * shards, [], 0
+    for s, rank, n in zip(stored["shard"], stored["rank"], stored["n"], strict=True):
+        if rank == -1:
+            words[s] = n
+        elif rank == -2:
+            total += n
+        else:
+            frequent.append((s, rank, n))
+    starts = np.concatenate(([0], np.cumsum(words)))
+    if starts[-1] >= 2**32 - 1:
+        raise ValueError("more than 2 ** 32 - 2 distinct words")
+    texts = int(Words(folder, words).find([END])[1][0])
+    listed = sorted([(int(starts[s]) + rank, n) for s, rank, n in frequent] + [(int(starts[-1]), texts)])
+    dealing = Dealing(shards, np.array([i for i, _ in listed], np.uint64), np.array([n for _, n in listed], np.int64))
+
+    grams = rows.mapInArrow(_count_grams(folder, order, words, dealing), SHUFFLED)
+    for level in range(order, 0, -1):
+        grams = deal(grams).mapInArrow(_write_grams(folder, level, level == order, dealing), SHUFFLED)
+    sums = grams.mapInArrow(_told, "level int, a long, b long, c long, d long, e long, f long, g long").groupBy("level").agg(*(F.sum(x).alias(x) for x in "abcdefg")).collect()
+    by_level = {-r["level"]: r for r in sums}
+    found = [discounts([by_level[k][x] if k in by_level else 0 for x in "abcd"]) for k in range(1, order + 1)]
+    low = by_level.get(1)
+    mass = sum(d * low[x] for d, x in zip(found[0], "abe", strict=True)) / low["f"] if low and low["f"] else 1.0
+    return Model(folder, order, words, total, dealing, found, low["f"] if low else 0, mass)
 
 
 def score(docs: DataFrame, model: Model, keep: list[str | Column], text_col: str = "text") -> DataFrame:
@@ -307,59 +482,54 @@ def score(docs: DataFrame, model: Model, keep: list[str | Column], text_col: str
     names = [*kept.columns, "n_tokens", "n_known", "train_tokens", "base_score", "score"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, pairs = Vocabulary(model.folder, model.words), SortedArrays(model.folder, "pairs", model.pairs)
-        size, total = model.size, model.train_tokens
-        end = digests([END])
-        texts = int(vocabulary.arrays.find(end, (end >> np.uint64(64 - BITS)).astype(np.int64))[1][0])
-        step = -(-(size + 1) // SHARDS)
-        files = [f"{model.folder}/by-id-{s}" for s in range(SHARDS)]
-        by_id = [np.memmap(f, np.int64, "r", shape=(step, 4)) if os.path.exists(f) else np.zeros((step, 4), np.int64) for f in files]
-
-        def stats(ids: np.ndarray) -> np.ndarray:
-            out = np.zeros((len(ids), 4), np.int64)
-            for s in np.unique(ids // step).tolist():
-                own = ids // step == s
-                out[own] = by_id[s][ids[own] - s * step]
-            return out
-
-        start = stats(np.array([size]))
-        start_mass = float((start[:, :3] @ np.array(model.high))[0] / texts) if texts else 1.0
-
-        def counts_of(ids: np.ndarray) -> np.ndarray:
-            out = np.zeros(len(ids), np.int64)
-            shard = np.searchsorted(vocabulary.arrays.starts, ids, side="right") - 1
-            for s in np.unique(shard).tolist():
-                own = shard == s
-                out[own] = vocabulary.arrays.counts[s][ids[own] - vocabulary.arrays.starts[s]]
+        vocabulary, stored = Words(model.folder, model.words), {}
+        size, total, order = model.size, model.train_tokens, model.order
+
+        def find(cols: list[np.ndarray], known: np.ndarray) -> np.ndarray:
+            """Counts of n-grams of known words: n, and as contexts total, n1, n2, n3."""
+            level = len(cols)
+            out = np.zeros((len(known), 1 if level == order else 5), np.int64)
+            own = np.flatnonzero(known)
+            cols = [c[own] for c in cols]
+            shard = model.dealing.shard(cols) if level > 1 else (mixed(cols[0] >> np.uint64(12)) % np.uint64(model.dealing.shards)).astype(np.int64)
+            hashes, by = hashed(cols), np.argsort(shard.astype(np.uint32), kind="stable")
+            for at in np.split(by, np.flatnonzero(np.diff(shard[by])) + 1) if len(by) else []:
+                name = level, int(shard[at[0]])
+                if name not in stored:
+                    stored[name] = Shard(f"{model.folder}/grams{level}-{name[1]}")
+                if stored[name].there:
+                    out[own[at]] = stored[name].find(hashes[at])
             return out
 
         def taken(counts: np.ndarray, d: tuple[float, float, float]) -> np.ndarray:
             return np.maximum(counts - np.choose(np.minimum(counts, 3), (0.0, *d)), 0)
 
+        begin = [find([np.array([size], np.uint64)] * k, np.array([True]))[0] for k in range(1, order)]  # contexts of start tokens alone
+
         for batch in batches:
             out: list[tuple] = []
-            for sizes, words in _texts(batch, batch.num_columns - 1):
-                ids = vocabulary.ids(words)
+            for sizes, own in _texts(batch, batch.num_columns - 1, 1 << 19):
+                at = vocabulary.places(own)
                 starts = np.cumsum([0, *sizes[:-1]])
-                found, place = np.unique(ids, return_inverse=True)  # -1, if it is there, comes first
-                known = found >= 0
-                c, by = np.zeros(len(found), np.int64), np.zeros((len(found), 4), np.int64)
-                c[known], by[known] = counts_of(found[known]), stats(found[known])
-                base = np.log10((c + 0.1) / (total + 0.1 * (size + 1)))[place]
-                p_low = (taken(by[:, 3], model.low) / max(1, model.contexts) + model.low_mass / (size + 1))[place]
-
-                left = np.concatenate(([size], ids[:-1]))
-                left[starts] = size
-                keys, back = np.unique(np.where((left >= 0) & (ids >= 0), left << 32 | ids, -1), return_inverse=True)
-                real = keys >= 0
-                pair_counts = np.zeros(len(keys), np.int64)
-                pair_counts[real] = pairs.find(keys[real].view(np.uint64), pair_shard(keys[real]))[1]
-                # a context is a word before; its tokens are its own count, those of a text's start the texts
-                mass = np.where(c > 0, (by[:, :3] @ np.array(model.high)) / np.maximum(c, 1), 1.0)
-                f, rest = np.concatenate(([0], c[place[:-1]])), np.concatenate(([0.0], mass[place[:-1]]))
-                f[starts], rest[starts] = texts, start_mass
-                p = np.where(f > 0, taken(pair_counts[back], model.high) / np.maximum(f, 1), 0.0) + rest * p_low
-                out += zip(sizes, np.add.reduceat((ids >= 0).astype(np.int64), starts).tolist(), np.add.reduceat(base, starts).tolist(), np.add.reduceat(np.log10(p), starts).tolist(), strict=True)
+                ids, counts = vocabulary.ids[at], vocabulary.counts[at]
+                base = np.log10((counts + 0.1) / (total + 0.1 * (size + 1)))
+                known = ids >= 0
+                cols, held = [ids.astype(np.uint64)], known
+                each, place = np.unique(ids, return_inverse=True)
+                found = find([each.astype(np.uint64)], each >= 0)[place]
+                p = taken(found[:, 0], model.discounts[0]) / max(1, model.neighbours) + model.low_mass / (size + 1)
+                for level in range(2, order + 1):
+                    context = np.concatenate((found[:1], found[:-1]))
+                    context[starts] = begin[level - 2]
+                    cols.insert(0, _before(cols[0], starts, size))
+                    before = np.concatenate(([True], held[:-1]))
+                    before[starts] = True
+                    held = known & before
+                    found = find(cols, held)
+                    d, often = model.discounts[level - 1], context[:, 1]
+                    rest = np.where(often > 0, (context[:, 2:] @ np.array(d)) / np.maximum(often, 1), 1.0)
+                    p = np.where(often > 0, taken(found[:, 0], d) / np.maximum(often, 1), 0.0) + rest * p
+                out += zip(sizes, np.add.reduceat(known.astype(np.int64), starts).tolist(), np.add.reduceat(base, starts).tolist(), np.add.reduceat(np.log10(p), starts).tolist(), strict=True)
             cols = list(zip(*out, strict=True)) or [()] * 4
             arrays = [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array([total] * len(out), pa.int64()), pa.array(cols[2], pa.float64()), pa.array(cols[3], pa.float64())]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *arrays], names)
