@@ -92,7 +92,7 @@ def test_near_copies_go_and_others_stay(spark):
     assert got == sorted([10 * i for i in range(12)] + [1000 + i for i in range(20)])
 
 
-def brute_contaminated(docs, items, masks=D.MASKS, overlap=13, similarity=0.8):
+def brute_contaminated(docs, items, masks, overlap=13, similarity=0.8):
     span = len(masks[0])
     tok = lambda t: re.findall(r"[^\W_]+", (t or "").lower())
     out = {}
@@ -128,9 +128,10 @@ def test_decontamination_equals_brute_force(spark):
     docs += [(100, None), (101, ""), (102, " ".join(text(600)))]
     mk = lambda rows, n: spark.createDataFrame(rows, f"{n} long, text string")
     b = [(i, " ".join(w).upper()) for i, w in items] + [(9, None)]
-    want = brute_contaminated(docs, b)
-    for rows in (200_000, 7):  # one broadcast, and many blocks
-        got = D.contaminated(mk(docs, "doc_id"), mk(b, "item_id"), block_rows=rows)
+    masks = ("11101100111", "11011011011", "10111011101")
+    want = brute_contaminated(docs, b, masks)
+    for rows in (200_000, 7):  # one broadcast, and a sieve
+        got = D.contaminated(mk(docs, "doc_id"), mk(b, "item_id"), masks=masks, block_rows=rows, whole=False)
         assert {(r["doc_id"], r["item_id"]): (r["n_seeds"], r["first_token"], r["last_token"]) for r in got.collect()} == want
     assert len(want) > 15
 
@@ -214,8 +215,7 @@ def test_masks_leave_no_two_substitutions():
     hit = lambda masks, n, bad: any(all(p + k not in bad for k, c in enumerate(m) if c == "1") for m in masks for p in range(n - len(m) + 1))
     for n in (11, 12, 13):
         pairs = [(i, j) for i in range(n) for j in range(i)]
-        assert all(hit(D.COVERING, n, p) for p in pairs)
-    assert sum(not hit(D.MASKS, 13, p) for p in pairs) == 22
+        assert all(hit(D.MASKS, n, p) for p in pairs)
 
 
 def test_contamination_without_masks(spark):
@@ -242,8 +242,9 @@ def test_contamination_without_masks(spark):
     want = {(d, i) for d, w in docs for i, v in items if held(w, v)}
     d = spark.createDataFrame([(k, " ".join(w)) for k, w in docs] + [(900, None), (901, "")], "doc_id long, text string")
     b = spark.createDataFrame([(i, " ".join(v)) for i, v in items] + [(50, None), (51, "")], "item_id long, text string")
-    got = D.contaminated(d, b, masks=D.COVERING, whole=True).collect()
-    assert {(r["doc_id"], r["item_id"]) for r in got} == want
+    for rows in (200_000, 7):
+        got = D.contaminated(d, b, block_rows=rows).collect()
+        assert {(r["doc_id"], r["item_id"]) for r in got} == want
     assert {r["doc_id"] for r in D.decontaminate(d, b).collect()} == {k for k, _ in docs} - {k for k, _ in want} | {900, 901}
 
 
