@@ -1,7 +1,8 @@
 """Consensus of quoted prices and the features built on it.
 
-Frames have one row for each (keys, bookmaker). Groups are a fixture's bookmakers, a handful of rows,
-so exact medians are sums of small groups after one shuffle by the keys.
+Frames have one row for each (keys, bookmaker). A group is one fixture's bookmakers, tens of rows by
+nature, so it is gathered once as an array, and all medians come from that array: one shuffle by the
+keys, no window and no self join.
 """
 
 from __future__ import annotations
@@ -29,16 +30,37 @@ def quotes(df: DataFrame, keys: list[str], bookmaker: str, prices: tuple[str, st
     return rows.select(*keys, bookmaker, "_d.p", "_d.margin")
 
 
+def panel(quoted: DataFrame, keys: list[str], bookmaker: str) -> DataFrame:
+    """keys and _q: each group's bookmakers as an array of structs (b, p)."""
+    return quoted.groupBy(*keys).agg(F.collect_list(F.struct(F.col(bookmaker).alias("b"), F.col("p").alias("p"))).alias("_q"))
+
+
+def median_of(values: Column) -> Column:
+    """Exact median of an array that is sorted already; null if it is empty."""
+    n = F.size(values)
+    return (F.get(values, F.floor((n - 1) / 2).cast("int")) + F.get(values, F.floor(n / 2).cast("int"))) / 2
+
+
+def _sorted(values: Column) -> Column:
+    return F.sort_array(values)
+
+
+def _component(i: int) -> Column:
+    return F.transform("_q", lambda x: x["p"][i])
+
+
 def consensus(quoted: DataFrame, keys: list[str], bookmaker: str, least: int = 3) -> DataFrame:
     """keys, bookmakers, p, gap, dispersion: component medians, normalised; the greatest MAD about the raw medians."""
-    w = Window.partitionBy(*keys)
-    med = [F.median(F.col("p")[i]).over(w) for i in range(3)]
-    marked = quoted.select(*keys, bookmaker, "p", *(m.alias(f"_m{i}") for i, m in enumerate(med)))
-    sums = marked.groupBy(*keys).agg(
-        F.count_distinct(bookmaker).alias("bookmakers"), *(F.first(f"_m{i}").alias(f"m{i}") for i in range(3)), *(F.median(F.abs(F.col("p")[i] - F.col(f"_m{i}"))).alias(f"d{i}") for i in range(3))
-    )
-    out = sums.where(F.col("bookmakers") >= least).withColumn("p", _normal([F.col(f"m{i}") for i in range(3)]))
-    return out.where("p is not null").select(*keys, "bookmakers", "p", gap("p").alias("gap"), F.greatest("d0", "d1", "d2").alias("dispersion"))
+    return _agreed(panel(quoted, keys, bookmaker), least).select(*keys, "bookmakers", "p", "gap", "dispersion")
+
+
+def _agreed(groups: DataFrame, least: int) -> DataFrame:
+    """Adds bookmakers, p, gap, dispersion to the groups of panel() that have them."""
+    out = groups.withColumn("bookmakers", F.size(F.array_distinct(F.transform("_q", lambda x: x["b"]))).cast("long")).where(F.col("bookmakers") >= least)
+    out = out.withColumns({f"_s{i}": _sorted(_component(i)) for i in range(3)}).withColumns({f"_m{i}": median_of(F.col(f"_s{i}")) for i in range(3)})
+    out = out.withColumns({f"_a{i}": _sorted(F.transform(f"_s{i}", lambda x: F.abs(x - F.col(f"_m{i}")))) for i in range(3)})  # noqa: B023
+    out = out.withColumns({"p": _normal([F.col(f"_m{i}") for i in range(3)]), "dispersion": F.greatest(*(median_of(F.col(f"_a{i}")) for i in range(3)))})
+    return out.where("p is not null").withColumn("gap", gap("p")).drop(*(f"_{c}{i}" for c in "sma" for i in range(3)))
 
 
 def average_consensus(quoted: DataFrame, keys: list[str], bookmaker: str, preferred: str = "Avg", excluded: tuple[str, ...] = ("Max", "Min")) -> DataFrame:
@@ -50,9 +72,11 @@ def average_consensus(quoted: DataFrame, keys: list[str], bookmaker: str, prefer
 
 def anomalies(quoted: DataFrame, agreed: DataFrame, keys: list[str], bookmaker: str, least: int = 5, floor: float = 0.03, limit: float = 3.5) -> DataFrame:
     """keys, bookmaker, deviation, robust_z, max_deviation, anomaly: 0.6745 * deviation / MAD about 0; with a zero MAD the absolute floor decides."""
-    rows = quoted.join(agreed.select(*keys, F.col("p").alias("_c")), keys).withColumn("dev", F.zip_with("p", "_c", lambda a, b: a - b))
-    w = Window.partitionBy(*keys)
-    rows = rows.select("*", F.count("*").over(w).alias("_n"), *(F.median(F.abs(F.col("dev")[i])).over(w).alias(f"_mad{i}") for i in range(3)))
+    groups = panel(quoted, keys, bookmaker).join(agreed.select(*keys, F.col("p").alias("_c")), keys)
+    devs = F.transform("_q", lambda x: F.struct(x["b"].alias("b"), F.zip_with(x["p"], F.col("_c"), lambda a, b: a - b).alias("dev")))
+    groups = groups.withColumn("_n", F.size("_q")).withColumn("_q", devs)
+    groups = groups.withColumns({f"_mad{i}": median_of(_sorted(F.transform("_q", lambda x: F.abs(x["dev"][i])))) for i in range(3)})  # noqa: B023
+    rows = groups.select(*keys, "_n", *(f"_mad{i}" for i in range(3)), F.explode("_q").alias("_x")).select(*keys, "_n", *(f"_mad{i}" for i in range(3)), F.col("_x.b").alias(bookmaker), F.col("_x.dev").alias("dev"))
     z = F.array(*(F.when(F.col(f"_mad{i}") > 0, 0.6745 * F.col("dev")[i] / F.nullif(F.col(f"_mad{i}"), F.lit(0.0))) for i in range(3)))
     most = F.greatest(*(F.abs(F.col("dev")[i]) for i in range(3)))
     outlier = F.exists(z, lambda x: F.coalesce(F.abs(x) >= limit, F.lit(False)))
@@ -62,20 +86,25 @@ def anomalies(quoted: DataFrame, agreed: DataFrame, keys: list[str], bookmaker:
     return rows.select(*keys, bookmaker, F.col("dev").alias("deviation"), z.alias("robust_z"), most.alias("max_deviation"), ((F.col("_n") >= least) & (most >= floor) & (outlier | zero)).alias("anomaly"))
 
 
-def peer_dispersion(quoted: DataFrame, agreed: DataFrame, keys: list[str]) -> DataFrame:
+def peer_dispersion(quoted: DataFrame, agreed: DataFrame, keys: list[str], bookmaker: str = "book") -> DataFrame:
     """keys, dispersion: the median over bookmakers of their greatest distance from the normalised consensus."""
-    rows = quoted.join(agreed.select(*keys, F.col("p").alias("_c")), keys)
-    return rows.groupBy(*keys).agg(F.median(F.array_max(F.zip_with("p", "_c", lambda a, b: F.abs(a - b)))).alias("dispersion"))
+    groups = panel(quoted, keys, bookmaker).join(agreed.select(*keys, F.col("p").alias("_c")), keys)
+    far = F.transform("_q", lambda x: F.array_max(F.zip_with(x["p"], F.col("_c"), lambda a, b: F.abs(a - b))))
+    return groups.withColumn("_far", _sorted(far)).select(*keys, median_of(F.col("_far")).alias("dispersion"))
 
 
 def leave_one_out(quoted: DataFrame, agreed: DataFrame, keys: list[str], bookmaker: str) -> DataFrame:
-    """keys, flips, max_shift: the consensus without each bookmaker.
+    """keys, direction_flip, max_shift: the consensus without each bookmaker. Groups of one bookmaker have none."""
+    groups = panel(quoted, keys, bookmaker).join(agreed.select(*keys, "p"), keys)
+    groups = groups.select(*keys, "p", F.size("_q").alias("_n"), *(_sorted(_component(i)).alias(f"_s{i}") for i in range(3)), F.posexplode("_q").alias("_i", "_x"))
 
-    A self join inside a fixture, whose bookmakers are few by nature; each pair is one left-out consensus' input.
-    """
-    a, b = quoted.select(*keys, F.col(bookmaker).alias("_out")), quoted.select(*keys, F.col(bookmaker).alias("_in"), "p")
-    rest = a.join(b, keys).where("_out != _in").groupBy(*keys, "_out").agg(*(F.median(F.col("p")[i]).alias(f"m{i}") for i in range(3)))
-    rest = rest.withColumn("_r", _normal([F.col(f"m{i}") for i in range(3)])).join(agreed.select(*keys, "p"), keys)
+    def without(i: int) -> Column:
+        """Median of the sorted values less one of the bookmaker's own value: values at and after its place move down by one."""
+        s, at = F.col(f"_s{i}"), F.array_position(f"_s{i}", F.col("_x.p")[i]) - 1
+        pick = lambda k: F.get(s, F.when(k >= at, k + 1).otherwise(k).cast("int"))
+        return (pick(F.floor((F.col("_n") - 2) / 2)) + pick(F.floor((F.col("_n") - 1) / 2))) / 2
+
+    rest = groups.where("_n > 1").select(*keys, "p", *(without(i).alias(f"_m{i}") for i in range(3))).withColumn("_r", _normal([F.col(f"_m{i}") for i in range(3)]))
     return rest.groupBy(*keys).agg(F.max(favourite("_r") != favourite("p")).alias("direction_flip"), F.max(F.array_max(F.zip_with("_r", "p", lambda x, y: F.abs(x - y)))).alias("max_shift"))
 
 
@@ -110,8 +139,21 @@ def line_movement(lines: DataFrame, keys: list[str], agreed: DataFrame, material
     )
 
 
-def cover_conflict(index: DataFrame, keys: list[str], agreed: DataFrame, margin: float = 0.10) -> DataFrame:
-    """How many handicap-index rows speak against the favourite covering. index: keys, line, home, draw, away probabilities."""
+def one_row(rows: DataFrame, keys: list[str], bookmaker: str, fields: list[str], order: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(rows with each bookmaker once, contradictions): of equal rows of a bookmaker the first by order stays; one whose rows differ in the fields has none."""
+    sign = F.struct(*(F.coalesce(F.col(f).cast("string"), F.lit("None")).alias(f) for f in fields))
+    whole = F.struct(*(c for c in rows.columns if c not in {*keys, bookmaker}))
+    each = rows.groupBy(*keys, bookmaker).agg(F.min(sign).alias("_a"), F.max(sign).alias("_z"), F.min_by(whole, F.struct(*order)).alias("_row"))
+    return each.where("_a = _z").select(*keys, bookmaker, "_row.*"), each.where("_a != _z").select(*keys, bookmaker)
+
+
+def cover_conflict(index: DataFrame, keys: list[str], agreed: DataFrame, margin: float = 0.10, bookmaker: str | None = None, order: list[str] | None = None) -> DataFrame:
+    """How many handicap-index rows speak against the favourite covering. index: keys, line, home, draw, away probabilities.
+
+    With a bookmaker, repeats are dropped first, and bookmakers that contradict themselves, as one_row() does.
+    """
+    if bookmaker:
+        index = one_row(index, keys, bookmaker, ["line", "home", "draw", "away"], order or ["line"])[0]
     rows = index.join(agreed.select(*keys, favourite("p").alias("_f")), keys).where("_f != 1")
     total = F.col("home") + F.col("draw") + F.col("away")
     bad = F.col("line").isNull() | total.isNull() | (F.least("home", "draw", "away") < 0)

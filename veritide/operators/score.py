@@ -66,24 +66,44 @@ def full_grid(found: DataFrame, grid: DataFrame, keys: list[str]) -> DataFrame:
     return grid.join(found, keys, "left").na.fill({"sample_size": 0})
 
 
+def bucketed(df: DataFrame, groups: list[str], bucket: Column, order: list[str], sums: dict[str, Column]) -> DataFrame:
+    """Adds, for each name of sums, the sum over a group's rows up to and with this one as <name>, and over the whole group as <name>_all.
+
+    bucket must not decrease with the order. Rows are sorted within buckets only, and what lies before a bucket
+    comes from a small table of bucket sums, so a group with a third of all rows is spread over as many
+    tasks as it has buckets.
+    """
+    marked = df.withColumns({"_bucket": bucket, **{f"_v_{n}": c for n, c in sums.items()}})
+    per = marked.groupBy(*groups, "_bucket").agg(*(F.sum(f"_v_{n}").alias(f"_t_{n}") for n in sums))
+    by = Window.partitionBy(*groups)
+    run = by.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    per = per.select(*(F.col(g).alias(f"_g{i}") for i, g in enumerate(groups)), F.col("_bucket").alias("_edge"), *(F.coalesce(F.sum(f"_t_{n}").over(run), F.lit(0)).alias(f"_b_{n}") for n in sums), *(F.sum(f"_t_{n}").over(by).alias(f"{n}_all") for n in sums))
+    inside = Window.partitionBy(*groups, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    on = [marked[g].eqNullSafe(F.col(f"_g{i}")) for i, g in enumerate(groups)] + [marked["_bucket"].eqNullSafe(F.col("_edge"))]
+    ran = marked.withColumns({f"_r_{n}": F.sum(f"_v_{n}").over(inside) for n in sums})
+    return ran.join(per, on).select(*df.columns, *((F.col(f"_b_{n}") + F.col(f"_r_{n}")).alias(n) for n in sums), *(f"{n}_all" for n in sums))
+
+
+def day(at: str) -> Column:
+    """A bucket for rows that are ordered by a time."""
+    return F.unix_date(F.col(at).cast("date"))
+
+
 def running_prior(df: DataFrame, groups: list[str], order: list[str], actual: str, counts: Column) -> DataFrame:
-    """prior: (1 + earlier outcomes) shares before each row; only rows where `counts` holds are counted."""
-    before = Window.partitionBy(*groups).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    seen = [F.coalesce(F.sum(F.when(counts & (F.col(actual) == k), 1).otherwise(0)).over(before), F.lit(0)) + 1 for k in range(3)]
+    """prior: (1 + earlier outcomes) shares before each row; only rows where `counts` holds are counted. order begins with a date or time."""
+    own = [F.when(F.coalesce(counts, F.lit(False)) & (F.col(actual) == k), 1).otherwise(0) for k in range(3)]
+    ran = bucketed(df, groups, day(order[0]), order, {f"_c{k}": c for k, c in enumerate(own)})
+    seen = [F.col(f"_c{k}") - own[k] + 1 for k in range(3)]
     total = seen[0] + seen[1] + seen[2]
-    return df.withColumn("prior", F.array(*(s / total for s in seen)))
+    return ran.select(*df.columns, F.array(*(x / total for x in seen)).alias("prior"))
 
 
-def calibration_error(rows: DataFrame, groups: list[str], key: str, bins: int = 10, confidence: str = "top", hit: str = "hit") -> DataFrame:
-    """(groups, ece, n): equal-count bins [i*n//b, (i+1)*n//b) of rows ordered by confidence, hit and key.
-
-    Ranks within a group need its order; groups are report cells, split by as many keys as the report has.
-    """
-    w = Window.partitionBy(*groups)
-    rank = F.row_number().over(w.orderBy(confidence, hit, key))
-    n, b = F.count("*").over(w), F.least(F.lit(bins), F.count("*").over(w))
-    binned = rows.withColumn("_bin", F.floor((b * rank - 1) / n)).withColumn("_n", n)
-    per = binned.groupBy(*groups, "_bin").agg(F.count("*").alias("_k"), F.avg(confidence).alias("_c"), F.avg(hit).alias("_h"), F.first("_n").alias("_n"))
+def calibration_error(rows: DataFrame, groups: list[str], key: str, bins: int = 10, confidence: str = "top", hit: str = "hit", buckets: int = 4096) -> DataFrame:
+    """(groups, ece, n): equal-count bins [i*n//b, (i+1)*n//b) of rows ordered by confidence, hit and key. Confidence lies in 0 to 1."""
+    ran = bucketed(rows.select(*groups, key, confidence, hit), groups, F.floor(F.col(confidence) * buckets), [confidence, hit, key], {"_rank": F.lit(1)})
+    n, b = F.col("_rank_all"), F.least(F.lit(bins), F.col("_rank_all"))
+    binned = ran.withColumn("_bin", F.floor((b * F.col("_rank") - 1) / n))
+    per = binned.groupBy(*groups, "_bin").agg(F.count("*").alias("_k"), F.avg(confidence).alias("_c"), F.avg(hit).alias("_h"), F.first("_rank_all").alias("_n"))
     return per.groupBy(*groups).agg(F.sum(F.col("_k") / F.col("_n") * F.abs(F.col("_c") - F.col("_h"))).alias("ece"), F.sum("_k").alias("n"))
 
 
@@ -108,28 +128,31 @@ def holm(df: DataFrame, p: str, key: str, groups: list[str] | None = None) -> Da
 def block_bootstrap(rows: DataFrame, groups: list[str], at: str, value: str, iterations: int = 10_000, confidence: float = 0.90, seed: int = 1) -> DataFrame:
     """(groups, n, weeks, lower, upper, p_value): ISO weeks resampled with replacement, means of pooled values.
 
-    Draws come from a hash of (seed, group, iteration, slot), so they don't depend on partitions. Only
-    weekly sums take part: iterations * weeks small rows for each group.
+    A draw is the leading 32 bits of an MD5 of seed, group, iteration and slot, modulo the weeks, so it does not depend on
+    partitions and SQL can repeat it. Only weekly sums take part: a group's weeks, as many as the calendar has,
+    are one array, and each iteration is a row that folds it.
     """
     week = F.concat_ws("-", F.expr(f"extract(yearofweek FROM {at})"), F.lpad(F.weekofyear(at).cast("string"), 2, "0"))
     weekly = rows.groupBy(*groups, week.alias("_week")).agg(F.sum(value).alias("_s"), F.count(value).alias("_n"))
-    ranked = weekly.withColumn("_i", F.row_number().over(Window.partitionBy(*groups).orderBy("_week")) - 1)
-    sizes = weekly.groupBy(*groups).agg(F.count("*").alias("weeks"), F.sum("_n").alias("n"))
-    draws = sizes.select(*groups, "weeks", F.explode(F.sequence(F.lit(0), F.lit(iterations - 1))).alias("_b")).select("*", F.explode(F.expr("sequence(0, cast(weeks as int) - 1)")).alias("_slot"))
-    drawn = draws.select(*groups, "_b", F.pmod(F.xxhash64(F.lit(seed), *groups, "_b", "_slot"), F.col("weeks")).cast("int").alias("_i"))
-    means = drawn.join(ranked, [*groups, "_i"]).groupBy(*groups, "_b").agg((F.sum("_s") / F.sum("_n")).alias("_m"))
+    sizes = weekly.groupBy(*groups).agg(F.count("*").alias("weeks"), F.sum("_n").alias("n"), F.sort_array(F.collect_list(F.struct("_week", "_s", "_n"))).alias("_w"))
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    runs = sizes.select(*groups, "weeks", "_w", F.explode(F.sequence(F.lit(0), F.lit(iterations - 1))).alias("_b")).repartition(parts, *groups, "_b")
+    label = F.concat_ws(":", F.lit(str(seed)), *(F.col(g).cast("string") for g in groups), F.col("_b").cast("string"))
+    pick = lambda slot: F.get(F.col("_w"), (F.conv(F.substring(F.md5(F.concat_ws(":", label, slot.cast("string"))), 1, 8), 16, 10).cast("long") % F.col("weeks")).cast("int"))
+    drawn = F.transform(F.sequence(F.lit(0), F.col("weeks").cast("int") - 1), pick)
+    zero = F.struct(F.lit(0.0).alias("s"), F.lit(0).cast("long").alias("n"))
+    folded = F.aggregate(drawn, zero, lambda a, w: F.struct((a["s"] + w["_s"]).alias("s"), (a["n"] + w["_n"]).alias("n")), lambda a: a["s"] / a["n"])
+    means = runs.select(*groups, "_b", folded.alias("_m"))
     alpha = (1 - confidence) / 2
-    order = F.row_number().over(Window.partitionBy(*groups).orderBy("_m", "_b")) - 1
+    order = F.row_number().over(Window.partitionBy(*groups).orderBy("_m", "_b")) - 1  # `iterations` rows of two numbers
     lo, hi = max(0, int(alpha * iterations)), min(iterations - 1, int((1 - alpha) * iterations))
     bounds = means.withColumn("_k", order).groupBy(*groups).agg(F.max(F.when(F.col("_k") == lo, F.col("_m"))).alias("lower"), F.max(F.when(F.col("_k") == hi, F.col("_m"))).alias("upper"), ((1 + F.count_if(F.col("_m") >= 0)) / (1 + iterations)).alias("p_value"))
-    return sizes.join(bounds, groups)
+    return sizes.select(*groups, "weeks", "n").join(bounds, groups)
 
 
 def halves(rows: DataFrame, groups: list[str], order: list[str], value: str) -> DataFrame:
-    """Means of the earlier n//2 rows and of the rest."""
-    w = Window.partitionBy(*groups)
-    first = F.row_number().over(w.orderBy(*order)) <= F.floor(F.count("*").over(w) / 2)
-    marked = rows.withColumn("_first", first)
+    """Means of the earlier n//2 rows and of the rest. order begins with a date or time."""
+    marked = bucketed(rows, groups, day(order[0]), order, {"_rank": F.lit(1)}).withColumn("_first", F.col("_rank") <= F.floor(F.col("_rank_all") / 2))
     return marked.groupBy(*groups).agg(F.count("*").alias("n"), F.avg(F.when(F.col("_first"), F.col(value))).alias("first_half"), F.avg(F.when(~F.col("_first"), F.col(value))).alias("second_half"))
 
 
@@ -154,24 +177,42 @@ LEVELS = {
 def cohorts(queries: DataFrame, history: DataFrame, query_id: str, least: int = 30, draw: bool = False, cutoff: str | None = None, label_at: str | None = None) -> DataFrame:
     """(query_id, level, n, fallback): the first cohort level with at least `least` history rows, else the last.
 
-    History is counted once for each level, and queries look their counts up. With cutoff and label_at
-    (as-of access) the history rows of a level are paired with its queries instead.
+    Each row falls into one cell of each level. History is counted by cell once for all levels, and queries
+    look their cells up. With cutoff and label_at (as-of access) a query sees the history labelled by
+    its cutoff: both run through the cells together in order of time.
     """
-    out = None
-    for i, (level, fields) in enumerate(LEVELS[draw]):
-        if cutoff:
-            on = [queries[f].eqNullSafe(history[f]) for f in fields] + [history[label_at] <= queries[cutoff]]
-            found = queries.select(query_id, cutoff, *fields).join(history.select(label_at, *fields), on, "left").groupBy(query_id).agg(F.count(label_at).alias("n"))
-        else:
-            counts = history.groupBy(*fields).agg(F.count("*").alias("n")) if fields else history.agg(F.count("*").alias("n"))
-            on = [queries[f].eqNullSafe(counts[f]) for f in fields]
-            found = (queries.join(counts, on, "left") if fields else queries.crossJoin(counts)).select(query_id, F.coalesce("n", F.lit(0)).alias("n"))
-        found = found.select(query_id, F.lit(i).alias("_i"), F.lit(level).alias("level"), "n")
-        out = found if out is None else out.unionByName(found)
-    last = len(LEVELS[draw]) - 1
-    ok = out.where((F.col("n") >= least) | (F.col("_i") == last))
-    best = ok.groupBy(query_id).agg(F.min(F.struct("_i", "level", "n")).alias("_b"))
-    return best.select(query_id, "_b.level", "_b.n", (F.col("_b._i") > 0).alias("fallback"))
+    levels = LEVELS[draw]
+    cells = F.explode(F.array(*(F.struct(F.lit(i).alias("_i"), F.to_json(F.struct(*(F.coalesce(F.col(f).cast("string"), F.lit("-")).alias(f) for f in fields))).alias("_cell") if fields else F.lit("").alias("_cell")) for i, (_, fields) in enumerate(levels)))).alias("_c")
+    asked = queries.select(query_id, *([cutoff] if cutoff else []), cells).select(query_id, *([F.col(cutoff).alias("_at")] if cutoff else []), "_c.*")
+    past = history.select(*([F.col(label_at).alias("_at")] if cutoff else []), cells).select(*(["_at"] if cutoff else []), "_c.*")
+    if cutoff:
+        both = past.select("_i", "_cell", "_at", F.lit(0).alias("_asks"), F.lit(None).cast(queries.schema[query_id].dataType).alias(query_id)).unionByName(asked.select("_i", "_cell", "_at", F.lit(1).alias("_asks"), query_id))
+        ran = bucketed(both, ["_i", "_cell"], day("_at"), ["_at", "_asks"], {"n": 1 - F.col("_asks")})
+        found = ran.where("_asks = 1").select(query_id, "_i", "n")
+    else:
+        counts = past.groupBy("_i", "_cell").agg(F.count("*").alias("n"))
+        found = asked.join(counts, ["_i", "_cell"], "left").select(query_id, "_i", F.coalesce("n", F.lit(0)).alias("n"))
+    ok = found.where((F.col("n") >= least) | (F.col("_i") == len(levels) - 1))
+    best = ok.groupBy(query_id).agg(F.min(F.struct("_i", "n")).alias("_b"))
+    return best.select(query_id, F.get(F.array(*(F.lit(name) for name, _ in levels)), F.col("_b._i")).alias("level"), F.col("_b.n").alias("n"), (F.col("_b._i") > 0).alias("fallback"))
+
+
+#: Stand-ins of three rules on past fixtures (rows of odds.history_row with favourite_odds_delta and total_line).
+PROXIES = {
+    "r1_shallow_favorite_cooling": ("r1_aggregate_odds_partial_proxy", "NOT draw_is_top AND abs(favourite_line) IN (0.25, 0.5) AND round(favourite_odds_delta, 9) >= 0.03"),
+    "r2_asian_retreat": ("r2_aggregate_retreat_proxy", "NOT draw_is_top AND round(top_probability, 9) >= 0.45 AND round(top_gap, 9) >= 0.07 AND favourite_line_delta <= -0.25"),
+    "r3_low_total_draw_tail": ("r3_final_closing_proxy", "NOT draw_is_top AND total_line <= 2.25 AND round(p[1], 9) >= 0.28 AND abs(favourite_line) <= 0.5"),
+}
+
+
+def history_proxies(shapes: DataFrame, least: int = 30) -> DataFrame:
+    """(rule, proxy_id, fixtures, status, log_loss, brier, rps, accuracy) of each rule's stand-in over scored shapes; no metrics below `least` fixtures. One pass for all rules."""
+    hits = F.array_compact(F.array(*(F.when(F.expr(cond), F.struct(F.lit(rule).alias("rule"), F.lit(proxy).alias("proxy_id"))) for rule, (proxy, cond) in PROXIES.items())))
+    found = shapes.select("*", F.explode(hits).alias("_h")).groupBy("_h.rule", "_h.proxy_id").agg(F.count("*").alias("fixtures"), *(F.avg(m).alias(m) for m in ("log_loss", "brier", "rps")), F.avg("hit").alias("accuracy"))
+    names = shapes.sparkSession.createDataFrame([(rule, proxy) for rule, (proxy, _) in PROXIES.items()], "rule string, proxy_id string")
+    all_rules = names.join(found, ["rule", "proxy_id"], "left").na.fill({"fixtures": 0})
+    enough = F.col("fixtures") >= least
+    return all_rules.select("rule", "proxy_id", "fixtures", F.when(enough, "available").otherwise("insufficient_sample").alias("status"), *(F.when(enough, F.col(m)).alias(m) for m in ("log_loss", "brier", "rps", "accuracy")))
 
 
 def percentile_at(values: str, fraction: float) -> Column:

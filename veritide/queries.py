@@ -126,7 +126,7 @@ def leave_one_out(spark: SparkSession, d: str) -> DataFrame:
 @_query(f"""WITH {_D} SELECT fixture, round(median(greatest(abs(ph - ch), abs(pd - cd), abs(pa - ca))), 8) AS dispersion FROM one JOIN cs USING (fixture) GROUP BY fixture""")
 def peer_dispersion(spark: SparkSession, d: str) -> DataFrame:
     q = _quoted(spark, d)
-    return market.peer_dispersion(q, market.consensus(q, ["fixture"], "book"), ["fixture"]).select("fixture", _r("dispersion"))
+    return market.peer_dispersion(q, market.consensus(q, ["fixture"], "book"), ["fixture"], "book").select("fixture", _r("dispersion"))
 
 
 _EDGE = "row_number() OVER (PARTITION BY fixture, part % 7 ORDER BY observed_at {0}, line {0}, part {0}, book {0}, home {0}, draw {0}, away {0})"
@@ -221,10 +221,17 @@ def residual_halves(spark: SparkSession, d: str) -> DataFrame:
     return score.halves(rows, ["competition"], ["kickoff", "fixture"], "v").select("competition", "n", _r("first_half"), _r("second_half"))
 
 
-@_query()
+@_query(f"""WITH {_SCORED}, v AS (SELECT competition, strftime(kickoff, '%G-%V') AS week, sum(hit - top) AS s, count(*) AS n FROM sc GROUP BY 1, 2
+), w AS (SELECT *, row_number() OVER (PARTITION BY competition ORDER BY week) - 1 AS i, count(*) OVER (PARTITION BY competition) AS weeks, (sum(n) OVER (PARTITION BY competition))::BIGINT AS total FROM v
+), g AS (SELECT DISTINCT competition, weeks, total FROM w), r AS (SELECT *, unnest(range(10000)) AS b FROM g), x AS (SELECT *, unnest(range(weeks)) AS slot FROM r
+), dr AS (SELECT competition, b, ('0x' || substr(md5('1:' || competition || ':' || b || ':' || slot), 1, 8))::BIGINT % weeks AS i FROM x
+), m AS (SELECT competition, b, sum(s) / sum(n) AS m FROM dr JOIN w USING (competition, i) GROUP BY 1, 2
+), k AS (SELECT *, row_number() OVER (PARTITION BY competition ORDER BY m, b) - 1 AS k FROM m
+), o AS (SELECT competition, max(m) FILTER (WHERE k = 499) AS lower, max(m) FILTER (WHERE k = 9500) AS upper, (1 + count(*) FILTER (WHERE m >= 0)) / 10001 AS p FROM k GROUP BY 1)
+SELECT competition, weeks, total AS n, round(lower, 8) AS lower, round(upper, 8) AS upper, round(p, 4) AS p_value FROM g JOIN o USING (competition)""")
 def week_bootstrap(spark: SparkSession, d: str) -> DataFrame:
     rows = _scored(spark, d).withColumn("v", F.col("hit") - F.col("top"))
-    return score.block_bootstrap(rows, ["competition"], "kickoff", "v", iterations=1000)
+    return score.block_bootstrap(rows, ["competition"], "kickoff", "v").select("competition", "weeks", "n", _r("lower"), _r("upper"), _r("p_value", 4))
 
 
 @_query(f"""WITH {_SCORED}, y AS (SELECT competition, CASE WHEN year(kickoff) <= 1995 THEN 'a' ELSE 'b' END AS season, hit - top AS v FROM sc)
@@ -246,7 +253,7 @@ _SHAPES = f"""{_SCORED}, sh AS (
 def _shapes(spark: SparkSession, d: str) -> DataFrame:
     s = _scored(spark, d)
     return s.select(
-        "fixture", F.element_at(F.array(*map(F.lit, odds.SIDES)), odds.favourite("p") + 1).alias("top_outcome"), odds.probability_bin(F.round("top", 9)).alias("probability_bin"), odds.gap_bin(F.round("gap", 9)).alias("gap_bin"),
+        "fixture", "kickoff", F.element_at(F.array(*map(F.lit, odds.SIDES)), odds.favourite("p") + 1).alias("top_outcome"), odds.probability_bin(F.round("top", 9)).alias("probability_bin"), odds.gap_bin(F.round("gap", 9)).alias("gap_bin"),
         odds.line_bucket((F.col("fixture") % 6) * 0.25).alias("line_bucket"), odds.total_bucket(2 + (F.col("fixture") % 4) * 0.25).alias("total_bucket"),
     )
 
@@ -254,12 +261,20 @@ def _shapes(spark: SparkSession, d: str) -> DataFrame:
 _LV = score.LEVELS[False]
 
 
-@_query(f"""WITH {_SHAPES}, {', '.join(f"c{i} AS (SELECT q.fixture, {i} AS i, '{n}' AS level, count(h.fixture) AS n FROM (SELECT * FROM bn WHERE fixture % 10 = 0) q LEFT JOIN (SELECT * FROM bn WHERE fixture % 10 <> 0) h ON {' AND '.join(f'q.{f} = h.{f}' for f in fs) or 'true'} GROUP BY q.fixture)" for i, (n, fs) in enumerate(_LV))},
+@_query(f"""WITH {_SHAPES}, ti AS (SELECT bn.*, kickoff FROM bn JOIN fx USING (fixture)), {', '.join(f"e{i} AS (SELECT {', '.join([*fs, ''])}kickoff, count(*) AS k FROM ti GROUP BY ALL), s{i} AS (SELECT {', '.join([*fs, ''])}kickoff, sum(k) OVER ({('PARTITION BY ' + ', '.join(fs)) if fs else ''} ORDER BY kickoff RANGE BETWEEN UNBOUNDED PRECEDING AND INTERVAL 7 DAY PRECEDING) AS n FROM e{i}), c{i} AS (SELECT q.fixture, {i} AS i, '{n}' AS level, coalesce(h.n, 0)::BIGINT AS n FROM ti q JOIN s{i} h ON {' AND '.join(f'q.{f} = h.{f}' for f in ('kickoff', *fs))})" for i, (n, fs) in enumerate(_LV))},
 u AS ({' UNION ALL '.join(f'SELECT * FROM c{i}' for i in range(len(_LV)))}), r AS (SELECT *, row_number() OVER (PARTITION BY fixture ORDER BY i) AS rn FROM u WHERE n >= 30 OR i = {len(_LV) - 1})
 SELECT fixture, level, n, i > 0 AS fallback FROM r WHERE rn = 1""")
 def cohort_fallback(spark: SparkSession, d: str) -> DataFrame:
+    b = _shapes(spark, d).withColumn("label_at", F.col("kickoff") + F.expr("INTERVAL 7 DAYS"))
+    return score.cohorts(b, b, "fixture", cutoff="kickoff", label_at="label_at")
+
+
+@_query(f"""WITH {_SHAPES}, {', '.join(f"h{i} AS (SELECT {', '.join([*fs, ''])}count(*) AS n FROM bn JOIN fx USING (fixture) WHERE kickoff < TIMESTAMP '1998-01-01' GROUP BY ALL), c{i} AS (SELECT q.fixture, {i} AS i, '{n}' AS level, coalesce(h.n, 0) AS n FROM bn q LEFT JOIN h{i} h ON {' AND '.join(f'q.{f} = h.{f}' for f in fs) or 'true'})" for i, (n, fs) in enumerate(_LV))},
+u AS ({' UNION ALL '.join(f'SELECT * FROM c{i}' for i in range(len(_LV)))}), r AS (SELECT *, row_number() OVER (PARTITION BY fixture ORDER BY i) AS rn FROM u WHERE n >= 30 OR i = {len(_LV) - 1})
+SELECT fixture, level, n, i > 0 AS fallback FROM r WHERE rn = 1""")
+def cohort_levels(spark: SparkSession, d: str) -> DataFrame:
     b = _shapes(spark, d)
-    return score.cohorts(b.where("fixture % 10 = 0"), b.where("fixture % 10 != 0"), "fixture")
+    return score.cohorts(b, score.split_by_date(b, "kickoff", "1998-01-01")[0], "fixture")
 
 
 @_query(f"""WITH {_SCORED}, pr AS (SELECT *, CASE abs(hash) % 3 WHEN 0 THEN 'A' WHEN 1 THEN 'C' ELSE 'B' END AS tier FROM (SELECT cs.*, d.dispersion, fixture % 9 AS hash, list_sort([ch, cd, ca], 'DESC')[1] - list_sort([ch, cd, ca], 'DESC')[2] AS gap FROM cs JOIN (SELECT o.fixture, greatest(median(abs(ph - mh)), median(abs(pd - mdr)), median(abs(pa - ma))) AS dispersion FROM one o JOIN md USING (fixture) GROUP BY o.fixture) d USING (fixture))
@@ -428,20 +443,19 @@ def asof_audit(spark: SparkSession, d: str) -> DataFrame:
     return asof.asof_audit(k, F.col("kickoff"))
 
 
-@_query(f"""WITH {_Q}, t(target, m, f) AS (VALUES {', '.join(f"('{k}', {m}, {f})" for k, (m, f) in asof.TARGETS.items())}), c AS (SELECT fixture, target, kickoff, kickoff - to_minutes(m) AS cutoff, f FROM fx, t WHERE fixture % 5 = 0)
+@_query(f"""WITH {_Q}, t(target, m, f) AS (VALUES {', '.join(f"('{k}', {m}, {f})" for k, (m, f) in asof.TARGETS.items())}), c AS (SELECT fixture, target, kickoff, kickoff - to_minutes(m) AS cutoff, f FROM fx, t)
 SELECT target, count(*) AS n, min(cutoff - to_minutes(f)) AS first_window, max(least(cutoff + INTERVAL 10 MINUTE, kickoff - INTERVAL 1 MINUTE)) AS last_deadline FROM c GROUP BY target""")
 def cutoff_plan(spark: SparkSession, d: str) -> DataFrame:
-    fx = _fixtures(spark, d).where("fixture % 5 = 0")
-    return asof.cutoffs(fx, asof.targets(spark), "kickoff").groupBy("target").agg(F.count("*").alias("n"), F.min("window_start").alias("first_window"), F.max("deadline").alias("last_deadline"))
+    return asof.cutoffs(_fixtures(spark, d), asof.targets(spark), "kickoff").groupBy("target").agg(F.count("*").alias("n"), F.min("window_start").alias("first_window"), F.max("deadline").alias("last_deadline"))
 
 
 @_query("""WITH p AS (SELECT event_id, user_id, ts FROM events WHERE event_type = 'purchase')
-SELECT p.event_id, count(e.event_id) AS n FROM p JOIN events e ON e.user_id = p.user_id AND e.ts <= p.ts AND e.event_id <> p.event_id GROUP BY p.event_id""")
+SELECT p.event_id, count(e.event_id) AS n FROM p LEFT JOIN events e ON e.user_id = p.user_id AND e.ts <= p.ts AND e.event_id <> p.event_id GROUP BY p.event_id""")
 def label_history(spark: SparkSession, d: str) -> DataFrame:
     e = _read(spark, d, "events")
     q = e.where("event_type = 'purchase'").select("event_id", "user_id", "ts")
     h = e.select(F.col("event_id").alias("past_id"), "user_id", F.col("ts").alias("label_at"))
-    return asof.labelled_history(q, h, ["user_id"], "ts", "label_at", "event_id", "past_id").groupBy("event_id").agg(F.count("*").alias("n"))
+    return asof.labelled_counts(q, h, ["user_id"], "ts", "label_at", "event_id", "past_id")
 
 
 @_query("""WITH p AS (SELECT user_id, min(ts) AS kick FROM events WHERE event_type = 'purchase' GROUP BY 1), j AS (SELECT event_id, CASE WHEN ts BETWEEN kick - INTERVAL 2 DAY AND kick THEN 'in_window' WHEN ts < kick - INTERVAL 2 DAY THEN 'early' ELSE 'late' END AS lateness FROM events JOIN p USING (user_id))
