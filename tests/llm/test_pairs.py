@@ -299,12 +299,18 @@ def test_links_between_different_texts_have_recall(spark):
         assert len(x & y) >= 0.8 * len(x | y)
 
 
-def test_hot_keys_are_attached_by_broadcast(spark):
-    rows = spark.createDataFrame([(i % 7 if i % 3 else 99, i) for i in range(3000)], "k long, v long")
-    table = rows.groupBy("k").agg(F.count("*").alias("n"), F.min("v").alias("m"))
-    got = shared.attach(rows, "k", table, "n", 3000)
-    want = rows.join(table.drop("n"), "k")
-    assert got.columns == want.columns and sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+def test_documents_of_one_passage_are_not_paired(spark):
+    """Short texts around a common passage share buckets; the exact join pairs none of them, and finds a similar pair among them."""
+    rng = random.Random(14)
+    word = lambda: "".join(rng.choices("abcdefghij", k=6))
+    passage = [word() for _ in range(60)]
+    rows = [(i, [word() for _ in range(20)] + passage + [word() for _ in range(20)]) for i in range(200)]
+    rows.append((200, rows[7][1][:3] + [word()] + rows[7][1][4:]))
+    texts = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")
+    sets = texts.rdd.map(lambda r: (r["doc_id"], [int(x) for b in S.shingle_hashes(r["text"].encode(), 5) for x in b.view(np.int64)])).toDF("id long, set array<long>")
+    members = texts.select(F.lit(1).alias("band"), F.col("doc_id").alias("rep"), F.lit(1).alias("weight"), F.col("doc_id").alias("root"))
+    assert {tuple(sorted((r["a"], r["b"]))) for r in S._rare(members, sets, 0.8).collect()} == {(7, 200)}
+    assert sorted(r["doc_id"] for r in S.keep_one(texts).collect()) == list(range(200))
 
 
 def test_sieve_leaves_clashing_names_alone(spark):

@@ -6,13 +6,11 @@ import tempfile
 import uuid
 from urllib.parse import urlparse
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bits of a sieve, 2 MB of them in at most 262,144 rows: the bound of what is broadcast.
 SIEVE_BITS = 24
-#: attach(): bound of the rows that are broadcast, and the rows of a key that are never too many for a task.
-MANY, LIGHT = 2048, 256
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -62,20 +60,6 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
-def attach(rows: DataFrame, key: str, table: DataFrame, n: str, total: int) -> DataFrame:
-    """rows joined with table on key: table has one row for each key, with the number of its rows in column n; total is the sum of all.
-
-    Keys of many rows are joined by broadcast and so stay where they are, whatever their share: they have over
-    1 / MANY of all rows each, so there are fewer than MANY. The others are shuffled, n is dropped.
-    """
-    most = max(LIGHT, total // MANY)
-    if total <= most:
-        return rows.join(table.drop(n), key)
-    heavy = table.where(F.col(n) > most).drop(n)
-    rest = rows.join(F.broadcast(heavy.select(key)), key, "left_anti")
-    return rows.join(F.broadcast(heavy), key).unionByName(rest.join(table.where(F.col(n) <= most).drop(n), key))
-
-
 def sieve(ids: DataFrame, col: str) -> DataFrame:
     """Bits of hashed ids as rows (_sieve_slot, _sieve_bits): at most 2 ** (SIEVE_BITS - 6) rows, however many ids there are."""
     placed = ids.select(F.pmod(F.xxhash64(F.col(col).cast("long")), F.lit(1 << SIEVE_BITS)).alias("p"))
@@ -101,13 +85,10 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Connected components of an undirected edge table of longs: rows (node, root), root the least node.
 
     Alternates large-star and small-star steps until the edges stay as they are. Each node's
-    minimum is pre-aggregated and joined back by attach(), so the edges of a hub are never gathered
-    in one task. Nodes without an edge to another node are not returned; an empty table gives an empty table.
+    minimum is pre-aggregated and written, so that it is joined back by a join of its own, whose large
+    partitions adaptive execution splits: the edges of a hub need not stay in one task. Nodes without an
+    edge to another node are not returned; an empty table gives an empty table.
     """
-
-    def least(rows: DataFrame, of: str, other: str, m: Column) -> DataFrame:
-        return cut(rows.groupBy(of).agg(F.min(other).alias("m"), F.count("*").alias("d")).select(of, m.alias("m"), "d"), "least")
-
     pairs = edges.where(F.col(a) != F.col(b))
     e = cut(pairs.select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo")).distinct(), "edges")
     seen = None
@@ -115,12 +96,12 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         mark = e.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("hi", "lo")).alias("x")).first()
         if mark == seen or not mark["n"]:
             return e.select(F.col("hi").alias("node"), F.col("lo").alias("root"))
-        seen, total = mark, mark["n"]
+        seen = mark
         both = e.select(F.col("hi").alias("n"), F.col("lo").alias("nb")).union(e.select("lo", "hi"))
-        first = least(both, "n", "nb", F.least("n", "m"))
-        large = cut(attach(both, "n", first, "d", 2 * total).where("nb > n").select(F.col("nb").alias("hi"), F.col("m").alias("lo")).distinct(), "large")
-        second = least(large, "hi", "lo", F.col("m"))
-        small = attach(large, "hi", second, "d", total).select(
+        first = cut(both.groupBy("n").agg(F.min("nb").alias("m")).select("n", F.least("n", "m").alias("m")), "least")
+        large = cut(both.join(first, "n").where("nb > n").select(F.col("nb").alias("hi"), F.col("m").alias("lo")).distinct(), "large")
+        second = cut(large.groupBy("hi").agg(F.min("lo").alias("m")), "least")
+        small = large.join(second, "hi").select(
             F.explode(F.array(F.struct(F.col("hi"), F.col("m").alias("lo")), F.struct(F.col("lo").alias("hi"), F.col("m").alias("lo")))).alias("e")
         )
         new = cut(small.select("e.hi", "e.lo").where("hi != lo").distinct(), "edges")

@@ -26,13 +26,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veritide.llm.shared import attach, components, cut, sieve, sifted, unused
+from veritide.llm.shared import components, cut, sieve, sifted, unused
 
 SEED, BLOCK = 42, 1 << 16
 #: Bits of a segment: coarse first, finer ones for grid points that are full. At 1 the bound is the distance itself.
 WIDTHS = (4, 2, 1)
 CLASS_BITS, LEAST = 4, 6
 CLASSES = 1 << CLASS_BITS
+#: Further hubs of a bucket whose documents the first did not bring together.
+HUBS = 4
 
 
 def shingle_hashes(text: bytes | None, shingle: int) -> Iterator[np.ndarray]:
@@ -114,12 +116,13 @@ def links(fps: DataFrame, max_distance: int = 2) -> DataFrame:
 def near_duplicates(docs: DataFrame, shingle: int = 3, max_distance: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, fp, component_id): the least id that is reached over links, for each row of docs."""
     own = cut(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
-    each = cut(own.groupBy("fp").agg(F.min("id").alias("least"), F.count("*").alias("n")), "distinct")
+    each = cut(own.groupBy("fp").agg(F.min("id").alias("least")), "distinct")
     root = components(links(each.select("fp"), max_distance)).withColumnRenamed("node", "fp")
     rooted = cut(each.join(root, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "rooted")
-    least = cut(rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("members")), "least")
-    found = cut(attach(rooted.select("fp", "root", "n"), "root", least, "members", rooted.count()).select("fp", "component_id", "n"), "found")
-    return attach(own, "fp", found, "n", own.count()).select(F.col("id").alias("doc_id"), "fp", "component_id")
+    # written, so that these joins have no aggregation beneath and adaptive execution can split the copies of one fingerprint
+    least = cut(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "least")
+    found = cut(rooted.join(least, "root").select("fp", "component_id"), "found")
+    return own.join(found, "fp").select(F.col("id").alias("doc_id"), "fp", "component_id")
 
 
 def words_digest(text: bytes | None) -> bytes:
@@ -182,25 +185,27 @@ def similar_links(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, ma
     links, and documents of a bucket: those with one fingerprint, or that agree in a class sketch. Each of
     CLASSES classes of shingle hashes gives one, of its LEAST least hashes, so two texts with similarity J
     agree in a class with probability of about J ** LEAST (0.26 at 0.8, and in one class of 16 at least
-    with 0.99). A bucket's documents are compared with a hub, first with the one that meets most others
-    over all its buckets: of an original and its copies that is the original. While a bucket has documents
-    of more than one component, it gets further hubs, until each of its documents was one: no pair of a
-    bucket is lost, and none that is linked already is tried. Only buckets of many documents that are
-    unlike each other cost more than a few comparisons for each document, up to all their pairs. All
-    candidates are verified on their whole sets of shingles. Rows without an id take no part.
+    with 0.99). A bucket's documents are compared with a hub, the one that meets most others
+    over all its buckets: of an original and its copies that is the original. Buckets that still have documents
+    of several components are compared with HUBS more. Documents of buckets that are in several components even
+    then go through an exact join: shingles are ordered from the rarest, and any two similar
+    sets share one among the first that make up 1 - similarity of either (prefix filter). Documents
+    that merely share a common passage are not paired there, as its shingles come last. So no pair of a bucket
+    is lost, and none needs all pairs of a bucket. All candidates are verified on their whole sets of
+    shingles. Rows without an id take no part.
     """
     own = own or sketches(docs, shingle, id_col, text_col)
     return copies(own[0]).union(_unlike_links(docs, shingle, similarity, max_distance, id_col, text_col, *own))
 
 
 def _distinct(own: DataFrame) -> DataFrame:
-    return own.groupBy("words").agg(F.min("node").alias("rep"), F.min("fp").alias("fp"), F.min("bands").alias("bands"), F.count("*").alias("n"))
+    return own.groupBy("words").agg(F.min("node").alias("rep"), F.min("fp").alias("fp"), F.min("bands").alias("bands"))
 
 
 def copies(own: DataFrame) -> DataFrame:
     """Edges (a, b) from each node to the least node with equal words."""
-    reps = cut(own.groupBy("words").agg(F.min("node").alias("b"), F.count("*").alias("n")), "words")
-    return attach(own.select(F.col("node").alias("a"), "words"), "words", reps, "n", own.count()).where("a != b").select("a", "b")
+    reps = cut(own.groupBy("words").agg(F.min("node").alias("b")), "words")
+    return own.select(F.col("node").alias("a"), "words").join(reps, "words").where("a != b").select("a", "b")
 
 
 def _unlike_links(docs: DataFrame, shingle: int, similarity: float, max_distance: int, id_col: str, text_col: str, own: DataFrame, mixed: DataFrame | None) -> DataFrame:
@@ -217,7 +222,7 @@ def _unlike_links(docs: DataFrame, shingle: int, similarity: float, max_distance
     sizes = buckets.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
     crowded = cut(buckets.join(sizes, "band"), "buckets")
     weights = crowded.groupBy("rep").agg(F.sum("n").alias("weight"))
-    live = cut(crowded.join(weights, "rep").select("band", "rep", "weight", F.col("rep").alias("root"), F.lit(True).alias("open")), "members")
+    live = cut(crowded.join(weights, "rep").select("band", "rep", "weight", F.col("rep").alias("root")), "members")
     hubs = cut(_hubs(live, 1), "hubs")
     ordered = lambda pairs: pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     pairs = cut(ordered(near.union(_met(live, hubs))), "candidates")
@@ -230,34 +235,44 @@ def _unlike_links(docs: DataFrame, shingle: int, similarity: float, max_distance
     used = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     near_rows = sifted(rows, "id", sieve(used, "id"), held=True).join(used, "id", "left_semi")
     held = cut(near_rows.mapInArrow(sets, "id long, set array<long>"), "sets")
-    limit, step, tried = weights.count(), 1, pairs
-    found = pairs.where("false")
-    while True:
-        new = cut(_similar(pairs, held, similarity), "links")
-        found = found.union(new)
-        live = live.join(hubs.withColumn("was", F.lit(True)), ["band", "rep"], "left").withColumn("open", F.col("open") & F.col("was").isNull()).drop("was")
-        if not new.isEmpty():
-            # links of before are in the roots already
-            linked = live.where("root != rep").select(F.col("rep").alias("a"), F.col("root").alias("b"))
-            roots = components(linked.union(new)).select(F.col("node").alias("rep"), F.col("root").alias("least"))
-            live = live.join(roots, "rep", "left").withColumn("root", F.coalesce("least", "root")).drop("least")
-        state = live.groupBy("band").agg(F.count("*").alias("n"), F.min("root").alias("least"), F.max("root").alias("most"), F.bool_or("open").alias("any"))
-        split = cut(state.where("any and least < most").select("band", "n"), "split")
-        todo = split.agg(F.sum(F.expr("n * (n - 1) / 2")).alias("pairs")).first()["pairs"]
-        if not todo:
+    found = cut(_similar(pairs, held, similarity), "links")
+    for last in (False, True):
+        live = cut(_rooted(live, found), "members")
+        split = live.groupBy("band").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least < most").select("band")
+        live = cut(live.join(split, "band", "left_semi"), "members")
+        if live.isEmpty():
             return found
-        live = cut(live.join(split.select("band"), "band", "left_semi").select("band", "rep", "weight", "root", "open"), "members")
-        step *= 4
-        # few pairs are left in most cases: no more than there are documents, and all are tried at once
-        hubs = cut(live.where("open").select("band", "rep") if todo <= limit else _hubs(live, step), "hubs")
-        pairs = cut(ordered(_met(live, hubs)).join(tried, ["a", "b"], "left_anti"), "candidates")
-        tried = tried.union(pairs)
+        pairs = _rare(live, held, similarity) if last else _met(live, _hubs(live, HUBS))
+        found = found.union(cut(_similar(cut(ordered(pairs), "candidates"), held, similarity), "links"))
+    return found
+
+
+def _rooted(members: DataFrame, found: DataFrame) -> DataFrame:
+    """members with the roots of the components of all links so far."""
+    roots = components(found).select(F.col("node").alias("rep"), F.col("root").alias("least"))
+    return members.join(roots, "rep", "left").select("band", "rep", "weight", F.coalesce("least", "rep").alias("root"))
 
 
 def _hubs(members: DataFrame, n: int) -> DataFrame:
-    """(band, rep): up to n hubs of each bucket, and one at least, of those that were none yet. Members are dealt to n parts by a hash."""
+    """(band, rep): up to n hubs of each bucket, and one at least. Members are dealt to n parts by a hash."""
     part = F.pmod(F.xxhash64("rep", F.lit(n)), F.lit(n)).alias("part")
-    return members.where("open").groupBy("band", part).agg(F.max_by("rep", F.struct("weight", -F.col("rep"))).alias("rep")).select("band", "rep")
+    return members.groupBy("band", part).agg(F.max_by("rep", F.struct("weight", -F.col("rep"))).alias("rep")).select("band", "rep")
+
+
+def _rare(members: DataFrame, held: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of different components that share a rare shingle and may be similar, one of them outside the main component of a bucket."""
+    mains = members.groupBy("band", "root").agg(F.count("*").alias("n")).groupBy("band").agg(F.max_by("root", F.struct("n", "root")).alias("main"))
+    docs = cut(members.join(mains, "band").groupBy("rep").agg(F.min("root").alias("root"), F.bool_or(F.col("root") != F.col("main")).alias("apart")), "apart")
+    sets = held.join(docs, F.col("id") == F.col("rep")).select("id", "root", "apart", F.size("set").alias("n"), "set")
+    shingles = cut(sets.select("id", "root", "apart", "n", F.explode("set").alias("s")), "shingles")
+    often = cut(shingles.groupBy("s").agg(F.count("*").alias("df")).where("df > 1"), "often")
+    # a document's shingles that no other has come first in its order, and cannot be shared
+    mine = shingles.join(often, "s").groupBy("id").agg(F.first("root").alias("root"), F.first("apart").alias("apart"), F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("df", "s"))).alias("shared"))
+    length = F.col("n") - F.ceil(similarity * F.col("n")) + 1 - (F.col("n") - F.size("shared"))
+    rare = cut(mine.where(length > 0).select("id", "root", "apart", "n", F.explode(F.slice("shared", F.lit(1), length.cast("int"))).alias("x")).select("id", "root", "apart", "n", "x.s"), "rare")
+    other = rare.select("s", F.col("id").alias("b"), F.col("root").alias("root_b"), F.col("n").alias("n_b"))
+    sized = (F.col("n") >= similarity * F.col("n_b")) & (F.col("n_b") >= similarity * F.col("n"))
+    return rare.where("apart").join(other, "s").where((F.col("root") != F.col("root_b")) & sized).select(F.col("id").alias("a"), "b")
 
 
 def _met(members: DataFrame, hubs: DataFrame) -> DataFrame:
