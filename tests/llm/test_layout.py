@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 import duckdb
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from veritide.llm import decontaminate, mixing, quality_rules, sharding
 from veritide.llm.registry import QUERIES, SQL
@@ -80,11 +81,11 @@ def test_targets_and_takes(spark):
         sizes[r["source"]] += r["size"]
         taken[r["source"]] += r["taken"]
         target[r["source"]] = r["target"]
-        assert r["taken"] in (0, r["size"], 2 * r["size"]) and r["taken"] == r["size"] * len(r["shards"])
+        assert r["taken"] in (0, r["size"], 2 * r["size"]) and r["taken"] == r["size"] * len(r["copies"])
     order = ["a", "b", "c", "d", None]
     want = fill([sizes[s] for s in order], [3, 1, 2, 3, 1], 1.5, 2)
     assert [target[s] for s in order] == pytest.approx(want) and all(abs(taken[s] - target[s]) <= 7 for s in order)
-    assert {(r["doc_id"], tuple(r["shards"])) for r in mixing.plan(docs.repartition(6), ["doc_id"], blocks=16).collect()} == {(r["doc_id"], tuple(r["shards"])) for r in got}
+    assert {(r["doc_id"], tuple(r["copies"])) for r in mixing.plan(docs.repartition(6), ["doc_id"], blocks=16).collect()} == {(r["doc_id"], tuple(r["copies"])) for r in got}
 
 
 def test_tree_keeps_quotas_exact(spark):
@@ -105,6 +106,25 @@ def test_mixing_of_odd_rows(spark, odd, empty):
     assert sum(r["taken"] for r in mixing.plan(blank, ["doc_id"]).collect()) == 0
 
 
+def test_shards_of_the_mix_are_shuffled(spark):
+    """Rows leave mix() shard by shard in the order of their keys, each shard whole, and that order is not the input's."""
+    docs = many(spark, [("a", 300), ("b", 80), (None, 60)])
+    rows = mixing.mix(docs, shards=True, levels=2, blocks=16).collect()
+    assert [(r["mix_shard"], r["mix_key"]) for r in rows] == sorted((r["mix_shard"], r["mix_key"]) for r in rows) and {r["mix_shard"] for r in rows} == {0, 1, 2, 3}
+    plan = mixing.plan(docs, ["doc_id"], levels=2, blocks=16).collect()
+    assert Counter((r["doc_id"], r["mix_shard"], r["mix_key"]) for r in rows) == Counter((p["doc_id"], *c) for p in plan for c in p["copies"])
+    first = [r["doc_id"] for r in rows if r["mix_shard"] == 0]
+    assert len(first) > 20 and first != sorted(first)
+
+
+def test_rows_without_ids_are_spread(spark):
+    """A third of all rows with a null id: their order comes from their texts, so they lie in many buckets, and totals hold."""
+    docs = spark.createDataFrame([(i if i % 3 else None, f"w{i} " * (i % 5), "s") for i in range(900)], "doc_id long, text string, source string")
+    got = mixing.plan(docs, ["doc_id"], blocks=16).where("doc_id is null")
+    assert got.select(F.explode("copies.shard").alias("s")).distinct().count() > 8
+    assert len({r["slot"] for r in sharding.interleave(docs, shards=1).collect()}) == 900
+
+
 def test_quality_of_odd_rows(spark, odd, empty):
     labels = spark.createDataFrame([(1, 1), (99, 1), (None, 0), (2, None)], "doc_id long, quality int")
     got = quality_rules.judge(odd, labels)
@@ -130,8 +150,6 @@ def test_features_equal_brute_force():
 
 def test_cutoffs_hold_the_risk(spark):
     """A rule that good documents break too often gets no cutoff; one that only bad ones break does."""
-    from pyspark.sql import functions as F
-
     rows = [(i, "s", 100, 500, 5 if i % 3 else 400, 0, 0, 10, 1) for i in range(3000)] + [(i, "s", 100, 500, 0, 0 if i < 5900 else 9, 0, 10, int(i < 5900)) for i in range(3000, 6000)]
     df = spark.createDataFrame(rows, "doc_id int, stratum string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long, quality int")
     got = {r["rule"]: r["cutoff"] for r in quality_rules.thresholds(df, F.col("quality") == 1, "stratum", 0.05, 0.05).collect()}

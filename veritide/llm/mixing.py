@@ -8,12 +8,13 @@ one if at least half of it fits. A source's quota is the number of blocks the mi
 The tree starts with all quotas at one node. A node splits its output shards in two, and its blocks
 by a draw without replacement (the blocks with the least seeded hashes go left), so the quotas of
 the left child are multivariate hypergeometric and all quotas stay exact. At the leaves each shard
-has a quota of each source and draws that many blocks, disjoint and in permuted order, and rows are
-shuffled in it by order_key. The tree works on quotas only: at most `limit` * `blocks` units for a
-source, whatever its rows.
+has a quota of each source and draws that many blocks, disjoint and in permuted order, and its rows are
+shuffled by a seeded key of each copy. The tree works on quotas only: at most `limit` * `blocks` units for a
+source, whatever its rows. plan() reads the texts once and shuffles ids, sizes and hashes; mix() deals the whole rows to their
+shards and sorts them there.
 
 Defined results: a null text has no words; a null source is a source of its own, last by code
-point; rows with a null or repeated id are mixed like others (equal rows can trade places); an empty
+point; rows with a null or repeated id are mixed like others, as their order comes from the text too (equal rows can trade places); an empty
 table, or one without words, takes nothing. `keep` names the columns to carry; others are ignored.
 """
 
@@ -62,15 +63,20 @@ def _size(text: str) -> Column:
     return F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def _label(id_col: str, text_col: str) -> Column:
+    """What the seeded orders of a row are drawn from: its id and its text, so that rows without ids of their own are spread too."""
+    return F.concat_ws(":", F.coalesce(F.col(id_col).cast("string"), F.lit("-")), F.coalesce(F.md5(F.col(text_col)), F.lit("-")))
+
+
 def plan(docs: DataFrame, keep: list[str], share: float = 1.5, limit: int = 2, weights: tuple[int, ...] = (3, 1, 2), levels: int = 4, blocks: int = 256, seed: int = 1, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """keep, and size, source_size, target, taken, shards (one for each copy taken), order_key."""
+    """keep, and size, source_size, target, taken, copies: for each copy taken its shard and its order_key there."""
     rows = docs.select(
         F.struct(*keep).alias("kept"),
         source_key(source_col).alias("src"),
         _size(text_col).alias("size"),
-        seeded(seed, id_col).alias("h"),
+        _label(id_col, text_col).alias("label"),
         F.struct(F.col(id_col).alias("id"), F.crc32(F.coalesce(F.col(text_col), F.lit("")).cast("binary")).alias("crc")).alias("tie"),
-    ).withColumn("block", leading(F.col("h"), blocks))
+    ).withColumn("h", seeded(seed, "label")).withColumn("block", leading(F.col("h"), blocks))
 
     sums = offsets(rows.groupBy("src", "block").agg(F.sum("size").alias("words")), "src", "block", "words")
     sums = sums.withColumn("at", F.row_number().over(Window.partitionBy("src").orderBy("block")) - 1)
@@ -91,29 +97,38 @@ def plan(docs: DataFrame, keep: list[str], share: float = 1.5, limit: int = 2, w
     found = rows.withColumn("within", F.sum("size").over(run) - F.col("size")).join(table, ["src", "block"])
     start = [p * F.col("total") + F.col("before") + F.col("within") for p in range(limit)]
     takes = [(s < F.col("target")) & (2 * s + F.col("size") <= 2 * F.col("target")) for s in start]
-    copies = F.array_compact(F.array(*(F.when(t, F.col(f"shard{p}")) for p, t in enumerate(takes))))
-    return found.withColumn("shards", copies).select(
+    key = lambda p: seeded(f"{seed}:copy{p}", "label")
+    copies = F.array_compact(F.array(*(F.when(t, F.struct(F.col(f"shard{p}").alias("shard"), key(p).alias("order_key"))) for p, t in enumerate(takes))))
+    return found.withColumn("copies", copies).select(
         "kept.*",
         "size",
         F.col("total").alias("source_size"),
         "target",
-        (F.col("size") * F.size("shards")).alias("taken"),
-        "shards",
-        F.xxhash64(F.lit(seed), "h").alias("order_key"),
+        (F.col("size") * F.size("copies")).alias("taken"),
+        "copies",
     )
 
 
-def mix(docs: DataFrame, **options) -> DataFrame:
-    """docs as the mix takes them: a row for each copy, dealt to the output shards and shuffled in them by the writer's sort on order_key."""
+def mix(docs: DataFrame, shards: bool = False, levels: int = 4, **options) -> DataFrame:
+    """docs as the mix takes them: a row for each copy, dealt to the output shards and shuffled there; with `shards` also columns mix_shard and mix_key.
+
+    Partitions hold the shards one after the other, each in the order of its keys: written as it is, the table is in the order of the mix.
+    """
     names = docs.columns
     keyed = docs.select(F.struct(*names).alias("row_in"), *(F.col(c).alias(f"mix_{c}") for c in ("doc_id", "text", "source")))
-    found = plan(keyed, ["row_in"], id_col="mix_doc_id", text_col="mix_text", source_col="mix_source", **options)
-    return found.select("row_in", F.explode("shards").alias("shard")).select("row_in.*")
+    found = plan(keyed, ["row_in"], levels=levels, id_col="mix_doc_id", text_col="mix_text", source_col="mix_source", **options)
+    dealt = found.select("row_in", F.explode("copies").alias("c")).select("row_in", F.col("c.shard").alias("mix_shard"), F.col("c.order_key").alias("mix_key"))
+    # a shard is spread over several partitions by the leading bits of its keys: no task holds a whole one
+    each = 1 << (int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) >> levels).bit_length()
+    part = F.col("mix_shard") * each + leading(F.col("mix_key"), each)
+    shuffled = dealt.repartitionById(each << levels, part.cast("int")).sortWithinPartitions("mix_key")
+    return shuffled.select("row_in.*", "mix_shard", "mix_key") if shards else shuffled.select("row_in.*")
 
 
 def op4_mixing(spark, sf_dir: str) -> DataFrame:
     found = plan(spark.read.parquet(f"{sf_dir}/documents.parquet"), ["doc_id"])
-    return found.select("doc_id", "size", "source_size", "target", "taken", F.get("shards", F.lit(0)).alias("shard"), F.get("shards", F.lit(1)).alias("shard_again"))
+    copy = lambda k, field: F.get("copies", F.lit(k))[field]
+    return found.select("doc_id", "size", "source_size", "target", "taken", copy(0, "shard").alias("shard"), copy(0, "order_key").alias("order_key"), copy(1, "shard").alias("shard_again"), copy(1, "order_key").alias("order_key_again"))
 
 
 def _tree_sql(levels: int, seed: int) -> str:
@@ -135,7 +150,7 @@ OP4_SQL = f"""
 WITH d AS (
   SELECT doc_id, coalesce('0' || source, '1') AS src,
     CAST(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS size,
-    ('0x' || substr(md5('1:' || coalesce(CAST(doc_id AS VARCHAR), '-')), 1, 15))::BIGINT AS h
+    coalesce(CAST(doc_id AS VARCHAR), '-') || ':' || coalesce(md5(text), '-') AS label, ('0x' || substr(md5('1:' || label), 1, 15))::BIGINT AS h
   FROM documents
 ), e AS (SELECT *, h >> 52 AS block FROM d
 ), sums AS (
@@ -161,6 +176,7 @@ WITH d AS (
   SELECT *, start < target AND 2 * start + size <= 2 * target AS one, total + start < target AND 2 * (total + start) + size <= 2 * target AS two FROM f
 )
 SELECT doc_id, size, total AS source_size, target, size * (one::INT + two::INT)::BIGINT AS taken,
-  CAST(CASE WHEN one THEN a.shard END AS INTEGER) AS shard, CAST(CASE WHEN two THEN b.shard END AS INTEGER) AS shard_again
+  CAST(CASE WHEN one THEN a.shard END AS INTEGER) AS shard, CASE WHEN one THEN ('0x' || substr(md5('1:copy0:' || label), 1, 15))::BIGINT END AS order_key,
+  CAST(CASE WHEN two THEN b.shard END AS INTEGER) AS shard_again, CASE WHEN two THEN ('0x' || substr(md5('1:copy1:' || label), 1, 15))::BIGINT END AS order_key_again
 FROM g LEFT JOIN drawn a ON a.src = g.src AND a.unit = g.place LEFT JOIN drawn b ON b.src = g.src AND b.unit = g.n + g.place
 """

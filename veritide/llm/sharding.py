@@ -11,7 +11,7 @@ of the final order are ranges of the fractional rank; the rows before a range fo
 of each source alone.
 
 Defined results: a null text has 8 bytes and CRC 0; a null source is a source of its own; rows
-with null or repeated ids are ranked like others (equal rows can trade places, with equal results);
+with null or repeated ids are ranked like others, in an order that their texts give too (equal rows can trade places, with equal results);
 an empty table gives an empty result. Columns beyond id, text and source are ignored.
 """
 
@@ -31,7 +31,7 @@ def interleave(docs: DataFrame, shards: int = 24, seed: int = 1, buckets: int =
         source_key(source_col).alias("src"),
         (F.octet_length(text) + 8).cast("long").alias("size"),
         F.crc32(text).alias("text_crc32"),
-        seeded(seed, id_col).alias("h"),
+        seeded(seed, id_col, F.md5(text)).alias("h"),
     ).withColumn("bucket", leading(F.col("h"), buckets))
     counts = offsets(rows.groupBy("src", "bucket").agg(F.count("*").alias("n")), "src", "bucket", "n")
     sources = counts.groupBy("src").agg(F.max("total").alias("n"))
@@ -79,7 +79,7 @@ WITH RECURSIVE t(i, c, k) AS (
 ), tab AS (SELECT list(c ORDER BY i) AS s FROM t WHERE k = 8
 ), d AS (
   SELECT doc_id, coalesce('0' || source, '1') AS src, coalesce(text, '') AS txt,
-    ('0x' || substr(md5('1:' || coalesce(CAST(doc_id AS VARCHAR), '-')), 1, 15))::BIGINT AS h
+    ('0x' || substr(md5('1:' || coalesce(CAST(doc_id AS VARCHAR), '-') || ':' || md5(txt)), 1, 15))::BIGINT AS h
   FROM documents
 ), b AS (
   SELECT d.*, CAST(octet_length(encode(txt)) + 8 AS BIGINT) AS size,
