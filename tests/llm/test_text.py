@@ -52,6 +52,68 @@ def test_automata():
     assert run("under the y license") == (-1, 0.5) and run("") == (-1, 0.0)
 
 
+def naive(parts, words, i):
+    """All places where a parsed template, matched from words[i], can end."""
+    if not parts:
+        return {i}
+    head, *rest = parts
+    if isinstance(head, list):
+        return naive(head + rest, words, i) | naive(rest, words, i)
+    if isinstance(head, tuple):
+        return set().union(*(naive(rest, words, i + k) for k in range(head[0], head[1] + 1) if i + k <= len(words)))
+    return naive(rest, words, i + 1) if i < len(words) and words[i] == head else set()
+
+
+def test_automata_equal_a_naive_matcher():
+    rng = random.Random(7)
+
+    def make(depth):
+        out = []
+        for _ in range(rng.randint(1, 4)):
+            kind = rng.random()
+            if kind < 0.25 and depth:
+                out.append(make(depth - 1))
+            elif kind < 0.4:
+                low = rng.randint(0, 1)
+                out.append((low, low + rng.randint(1, 2)))
+            else:
+                out.append(rng.choice("abc"))
+        return out
+
+    text = lambda parts: " ".join(f"[[{text(p)}]]" if isinstance(p, list) else f"{{{{{p[0]}..{p[1]}}}}}" if isinstance(p, tuple) else p for p in parts)
+    for _ in range(1500):
+        parts = ["a", *make(2)]
+        words = rng.choices("abc", k=rng.randint(0, 12))
+        a = license_scan.Automaton(text(parts))
+        for i in range(len(words)):
+            ends = naive(parts, words, i)
+            end, share = a.run(words, i)
+            assert end == max(ends, default=-1) and (share == 1) >= (end >= 0), (text(parts), words, i)
+
+
+def test_whole_notices_and_scores():
+    s = license_scan.Scanner()
+    labels = lambda t: sorted({m[0] for m in s.scan(t)["matches"]})
+    isc = "Copyright (c) 2004-2010 by Some Body. Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."
+    gpl = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."
+    apache = 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.'
+    bsd = 'Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. Neither the name of the University nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.'
+    assert (labels(isc), labels(gpl), labels(apache), labels(bsd)) == (["isc"], ["gpl"], ["apache"], ["bsd"])
+    ends = lambda t, label: max(b - a for x, a, b in s.scan(t)["matches"] if x == label)
+    assert ends(apache, "apache") == len(license_scan.WORDS.findall(apache.lower())) and ends(bsd, "bsd") == len(license_scan.WORDS.findall(bsd.lower()))
+    assert labels(isc.replace("hereby granted", "hereby refused")) == [] and 0.5 < s.scan(isc.replace("hereby granted", "hereby refused"))["score"] < 1
+    part = "under the terms of the gnu"
+    assert s.scan(part)["score"] == s.scan(f"{part} and released mit redistribution")["score"] > 0
+    with pytest.raises(ValueError):
+        license_scan.Scanner((("x", "{{1..2}} license"),))
+
+
+def test_licenses_of_odd_rows(spark, odd, empty):
+    got = license_scan.scan(odd).collect()
+    assert len(got) == odd.count() and license_scan.scan(empty).count() == 0
+    assert all((r["n_words"], r["places"], r["score"]) == (0, [], 0.0) for r in got if r["doc_id"] in (2, 3, 6))
+
+
 def test_licenses_equal_brute_force(spark, odd):
     docs = spark.read.parquet(DATA)
     got = {r["doc_id"]: r for r in license_scan.scan(docs).collect()}

@@ -12,7 +12,7 @@ and characters beyond ASCII.
 
 Defined results: a null text counts as empty: no words, empty labels, score 0. score is the share of
 the mandatory words of a template that its best partial run reaches, 1 for a match or a base
-phrase; texts without the longest mandatory word of any template are not run and have score 0. Repeated rows and null ids are scanned like others. Other columns are ignored.
+phrase, and depends on nothing else in the text. A template that could start with any word is an error. Repeated rows and null ids are scanned like others. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,21 +30,44 @@ UPPER = {c: c + 32 for c in range(65, 91)}
 #: Base phrases and their labels.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 
-#: (label, template). Versions and holders are replaceable, articles and set phrases optional.
+_BSD = """redistribution and use in source and binary forms with or without modification are permitted [[{{1..6}}]] provided that the following conditions are met
+[[{{1..1}}]] redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer
+[[{{1..1}}]] redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution"""
+_DISCLAIMER = """this software is provided by {{1..12}} as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed"""
+
+#: Fixed values: (label, template), notices in the words of their licenses. Versions and holders are replaceable, articles and set phrases optional.
 TEMPLATES = (
-    ("mit", "released under the mit license"),
-    ("mit", "[[this {{1..4}} is]] licensed under the mit license"),
+    ("mit", """permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction
+including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so
+subject to the following conditions the above copyright notice and this permission notice [[including the next paragraph]] shall be included in all copies or substantial portions of the software
+[[the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement
+in no event shall the {{1..6}} be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in connection with the software or the use or other dealings in the software]]"""),
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"),
+    ("mit", "[[this {{1..4}} is]] released under the [[terms of the]] mit license"),
+    ("mit", "[[this {{1..4}} is]] licensed under the [[terms of the]] mit license"),
+    ("isc", """permission to use copy modify and [[or]] distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies
+[[the software is provided as is and {{1..8}} disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness]]"""),
+    ("bsd", f"{_BSD} [[{_DISCLAIMER}]]"),
+    ("bsd", f"{_BSD} [[{{{{1..1}}}}]] [[all advertising materials {{{{8..30}}}}]] neither the name of {{{{1..12}}}} nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission [[{_DISCLAIMER}]]"),
+    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that"),
+    ("bsd", "licensed under the [[terms of the]] [[{{1..1}}]] [[new]] bsd [[{{1..1}} clause]] license"),
+    ("apache", """licensed under the apache license version {{1..2}} the license [[you]] [[{{1..3}}]] may not use this file except in compliance with the license you may obtain a copy of the license at {{1..12}}
+unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied
+see the license for the specific language governing permissions and limitations under the license"""),
     ("apache", "[[this {{1..4}} is]] licensed under the apache license version {{1..2}}"),
     ("apache", "apache license version {{1..2}} [[january 2004]]"),
-    ("gpl", "[[this {{1..4}} is]] licensed under the [[terms of the]] gnu [[lesser]] general public license [[version {{1..2}}]]"),
-    ("gpl", "under the terms of the gnu [[lesser]] general public license as published by the free software foundation"),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that"),
-    ("bsd", "licensed under the [[{{1..1}}]] [[new]] bsd [[{{1..1}} clause]] license"),
+    ("gpl", """this {{1..3}} is free software you can redistribute it and or modify it under the terms of the gnu [[lesser]] [[library]] [[affero]] general public license as published by the free software foundation either version {{1..2}} of the license or [[at your option]] any later version
+[[this {{1..3}} is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose see the gnu [[lesser]] [[library]] [[affero]] general public license for more details]]"""),
+    ("gpl", "[[this {{1..4}} is]] licensed under the [[terms of the]] gnu [[lesser]] [[affero]] general public license [[version {{1..2}}]]"),
+    ("gpl", "under the terms of the gnu [[lesser]] [[affero]] general public license as published by the free software foundation"),
+    ("mpl", "this source code form is subject to the terms of the mozilla public license [[v]] [[version]] {{1..2}} if a copy of the mpl was not distributed with this file you can obtain one at {{1..8}}"),
+    ("mpl", "subject to the terms of the mozilla public license [[v]] [[version]] {{1..2}}"),
+    ("zlib", "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions"),
+    ("unlicense", "this is free and unencumbered software released into the public domain [[anyone is free to copy modify publish use compile sell or distribute this software]]"),
+    ("cc-by", "this work is licensed under [[a]] [[the]] creative commons attribution [[noncommercial]] [[sharealike]] [[noderivatives]] [[noderivs]] [[{{1..2}} international]] [[{{1..2}} unported]] license"),
     ("cc-by", "[[this {{1..4}} is]] licensed under [[a]] [[the]] creative commons attribution [[{{1..3}}]] license"),
     ("cc-by", "licensed under cc by [[nc]] [[sa]] [[nd]] {{1..2}}"),
     ("cc0", "has waived all copyright and related [[or neighboring]] rights"),
-    ("mpl", "subject to the terms of the mozilla public license [[v]] [[version]] {{1..2}}"),
     ("reserved", "copyright [[c]] {{1..8}} all rights reserved"),
 )
 
@@ -123,12 +146,12 @@ class Scanner:
     def __init__(self, templates: tuple[tuple[str, str], ...] = TEMPLATES, phrases: dict[str, str] = PHRASES) -> None:
         self.automata = [(label, Automaton(t)) for label, t in templates]
         self.phrases = [(p.split(), label) for p, label in phrases.items()]
-        # where a template's first word may be any, every word starts it: such templates need an anchor
-        self.starts: dict[str | None, list[tuple[str, Automaton]]] = {}
+        self.starts: dict[str, list[tuple[str, Automaton]]] = {}
         for label, a in self.automata:
+            if None in a.first:
+                raise ValueError(f"a template of {label} can start with any word")
             for word in a.first:
                 self.starts.setdefault(word, []).append((label, a))
-        self.hints = tuple({max(a.words, key=len) for _, a in self.automata})
 
     def scan(self, text: str | None) -> dict:
         low = (text or "").translate(UPPER)
@@ -145,14 +168,13 @@ class Scanner:
                     if words[at : at + len(phrase)] == phrase:
                         places.append(at)
                         base.add(label)
-        if any(h in low for h in self.hints):
-            anyone = self.starts.get(None, [])
-            for i, word in enumerate(words):
-                for label, a in (*self.starts.get(word, ()), *anyone):
-                    end, share = a.run(words, i)
-                    best = max(best, share)
-                    if end >= 0:
-                        matches.append((label, i, end))
+        starts = self.starts
+        for i in [i for i, word in enumerate(words) if word in starts]:
+            for label, a in starts[words[i]]:
+                end, share = a.run(words, i)
+                best = max(best, share)
+                if end >= 0:
+                    matches.append((label, i, end))
         return {"n_words": len(words), "places": sorted(places), "base": sorted(base), "matches": matches, "score": 1.0 if places else round(best, 6)}
 
 
