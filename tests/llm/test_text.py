@@ -33,6 +33,41 @@ def test_trigram_vectors_are_bound_letters():
     assert np.allclose(p[0], want / np.linalg.norm(want)) and np.allclose(p[0], p[1]) and not p[2:5].any() and p[5].any()
 
 
+def test_predictions_equal_a_naive_loop(spark):
+    """Prototypes and predictions by a plain loop over all trigrams, without batches, keys or bounded memories."""
+    dims = 256
+    docs = [(r["doc_id"], r["text"], r["lang"]) for r in spark.read.parquet(DATA.replace("0.01", "0.001")).limit(60).collect()] + [(900, "ß Ünder 12 \U0001f600x", None), (901, "a", "de"), (902, None, "de"), (903, "77", "fr")]
+    sign = lambda p: np.random.default_rng(p).integers(0, 2, dims, dtype=np.int8).astype(float) * 2 - 1
+    memo = {}
+
+    def profile(text):
+        letters = "".join(c if c.isalpha() else " " for c in (text or "").lower())
+        t = " " + " ".join(letters.split()) + " "
+        out = np.zeros(dims)
+        for i in range(len(t) - 2 if t.strip() else 0):
+            if t[i : i + 3] not in memo:
+                a, b, c = (sign(ord(x)) for x in t[i : i + 3])
+                memo[t[i : i + 3]] = np.roll(a, 2) * np.roll(b, 1) * c
+            out += memo[t[i : i + 3]]
+        n = np.linalg.norm(out)
+        return out / n if n else out
+
+    want = {}
+    for _, text, lang in docs:
+        if lang and text is not None:
+            want[lang] = want.get(lang, 0) + profile(text)
+    want = {k: v / np.linalg.norm(v) for k, v in sorted(want.items()) if v.any()}
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string").repartition(3)
+    got = langid.learn(df, dimensions=dims)
+    assert sorted(got) == list(want) and all(np.allclose(got[k], want[k], atol=1e-4) for k in want)
+    texts = dict((i, t) for i, t, _ in docs)
+    for r in langid.predict(df, got, ["doc_id"], dimensions=dims).collect():
+        p = profile(texts[r["doc_id"]])
+        cosines = {k: float(p @ v) for k, v in want.items()}
+        best = max(cosines, key=cosines.get)
+        assert (r["lang_pred"] == "und") == (not p.any()) and (not p.any() or (r["lang_pred"] == best and r["score"] == pytest.approx(max(0, cosines[best]), abs=1e-4)))
+
+
 def test_languages_of_odd_rows(spark, odd, empty):
     got = langid.predict(odd, langid.learn(odd), ["doc_id"]).collect()
     assert len(got) == odd.count() and all((r["lang_pred"], r["score"]) == ("und", 0.0) for r in got if r["doc_id"] in (2, 3, 6))

@@ -64,6 +64,7 @@ class PrefixCounter:
         self.letters = byte_letters()
         self.spines: dict[str, tuple | None] = {}
         self.after: dict[str, dict[str, bool]] = {}
+        self.pairs = 0  # in self.after
         self.states: dict[str, tuple[str, int]] = {}
         self.ends = {t[: -len(END)]: t for t in self.vocab if t.endswith(END) and len(t) > len(END)}
         self.words: dict[str, int] = {}
@@ -102,9 +103,13 @@ class PrefixCounter:
         return not any((k := self.rank.get((x, y))) is not None and k < tx and k <= ty for x, tx in right for y, ty in left)
 
     def _follows(self, a: str, b: str) -> bool:
-        known = self.after.setdefault(a, {})
-        found = known.get(b)
+        found = self.after.get(a, {}).get(b)
         if found is None:
+            if self.pairs >= 2 * REMEMBERED:
+                self.after.clear()
+                self.pairs = 0
+            self.pairs += 1
+            known = self.after.setdefault(a, {})
             found = known[b] = self._spine(b) is not None and (not a or self._compatible(a, b))
         return found
 
