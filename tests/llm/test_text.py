@@ -257,7 +257,9 @@ def test_runs_are_packed_without_loss():
     rng = np.random.default_rng(2)
     for n in (0, 1, 3000):
         cols = [np.sort(rng.integers(0, 2**64, n, np.uint64)), rng.integers(0, 300, n).astype(np.uint64), np.zeros(n, np.uint64)]
-        assert all((a == b).all() and len(a) == n for a, b in zip(ngram_lm.unpacked(ngram_lm.packed(cols)), cols, strict=True))
+        values = [rng.integers(0, 4, n).astype(np.uint64), rng.integers(0, 2**40, n).astype(np.uint64)]
+        for more in ([], values):
+            assert all((a == b).all() and len(a) == n for a, b in zip(ngram_lm.unpacked(ngram_lm.packed(cols, more)), [*cols, *more], strict=True))
 
 
 def test_stored_shards_are_found(tmp_path):

@@ -36,6 +36,7 @@ import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -46,11 +47,11 @@ from pyspark.sql import functions as F
 from veritide.llm.shared import shared_path
 
 #: Bytes of text for each shard; tokens that are added up together; words and ids a worker remembers.
-SHARD_BYTES, BUFFER, REMEMBERED = 8 << 20, 1 << 21, 300_000
+SHARD_BYTES, BUFFER, REMEMBERED = 8 << 20, 3 << 20, 500_000
 #: Rows of a context in one shard before it is split, and the most words that are listed as frequent.
 SPLIT, FREQUENT = 1 << 18, 1 << 20
 #: N-grams in a bucket of a stored shard, on average at most.
-BUCKET = 8
+BUCKET = 16
 END = b"\n"  # never part of a word
 LOW = np.uint64(0xFFFFFFFF)
 SHUFFLED = "shard int, level int, data binary"
@@ -81,32 +82,59 @@ def hashed(cols: list[np.ndarray]) -> np.ndarray:
     return h
 
 
+def runs(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order that sorts keys, and where distinct ones begin in it."""
+    order = np.argsort(key)
+    key = key[order]
+    return order, np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.zeros(0, np.int64)
+
+
+def numbered(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The rank of each key among the distinct ones, and a place of each of these."""
+    order, first = runs(key)
+    rank = np.empty(len(key), np.int64)
+    rank[order] = np.repeat(np.arange(len(first)), np.diff(first, append=len(key)))
+    return rank, order[first]
+
+
 def grouped(cols: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """An order that sorts tuples of ids, and where distinct ones begin in it."""
-    key = cols[0]
+    key = cols[0].astype(np.uint64)
     for i, c in enumerate(cols[1:]):
         if i:
-            key = np.unique(key, return_inverse=True)[1].astype(np.uint64)
-        key = key << np.uint64(32) | c
-    order = np.argsort(key, kind="stable")
-    key = key[order]
-    return order, np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.zeros(0, np.int64)
+            key = numbered(key)[0].astype(np.uint64)
+        key = key << np.uint64(32) | c.astype(np.uint64)
+    return runs(key)
+
 
+def by_shard(shard: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order that sorts rows by shard and keeps their order in it, and the edges of shards."""
+    order = np.argsort(shard.astype(np.min_scalar_type(int(shard.max(initial=0)))), kind="stable")  # by radix for up to 65,536 shards
+    found = shard[order]
+    return order, np.concatenate((np.flatnonzero(np.concatenate(([True], found[1:] != found[:-1]))), [len(order)])) if len(order) else np.zeros(1, np.int64)
 
-def packed(cols: list[np.ndarray]) -> bytes:
-    """Columns of 64-bit numbers as bytes; small if the first ascends. Byte planes are stored one after the other, without leading ones of zeros."""
-    parts = [np.array([len(cols[0])], "<u8").tobytes()]
-    for i, c in enumerate(cols):
-        c = np.diff(c, prepend=c.dtype.type(0)) if i == 0 else c
-        width = (int(c.max()).bit_length() + 7) // 8 if len(c) else 0
+
+def packed(cols: list[np.ndarray], values: list[np.ndarray] = ()) -> bytes:
+    """Columns of 64-bit numbers as bytes; small if the first ascends. Values, of which few are distinct, are a column of codes and a table.
+
+    Byte planes are stored one after the other, without leading ones of zeros.
+    """
+    code, first = numbered(hashed(values)) if len(values) else (None, np.zeros(0, np.int64))
+    cols = [np.diff(cols[0], prepend=cols[0].dtype.type(0)), *cols[1:], *([code] if code is not None else [])]
+    parts = [np.array([len(cols[0]), len(first), len(values)], "<u8").tobytes(), *(v[first].astype("<u8").tobytes() for v in values)]
+    for c in cols:
+        width = (int(c.max(initial=0)).bit_length() + 7) // 8
         parts += [bytes([width]), c.astype("<u8").view(np.uint8).reshape(-1, 8).T[:width].tobytes()]
     raw = b"".join(parts)
     return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
 
 
 def unpacked(data: bytes) -> list[np.ndarray]:
+    """The columns and then the values of packed()."""
     raw = np.frombuffer(pa.decompress(data[8:], int.from_bytes(data[:8], "little"), "zstd", asbytes=True), np.uint8)
-    n, at, cols = int(raw[:8].view("<u8")[0]), 8, []
+    n, distinct, width_of_table = (int(x) for x in raw[:24].view("<u8"))
+    at = 24 + 8 * distinct * width_of_table
+    table, cols = raw[24:at].view("<u8").reshape(width_of_table, distinct), []
     while at < len(raw):
         width = int(raw[at])
         planes = np.zeros((8, n), np.uint8)
@@ -114,18 +142,17 @@ def unpacked(data: bytes) -> list[np.ndarray]:
         cols.append(np.ascontiguousarray(planes.T).view("<u8").ravel())
         at += 1 + width * n
     cols[0] = np.cumsum(cols[0], dtype=np.uint64)
-    return cols
+    return cols if not width_of_table else [*cols[:-1], *(t[cols[-1].astype(np.int64)] for t in table)]
 
 
-def dealt(shard: np.ndarray, cols: list[np.ndarray], level: int, most: int) -> Iterator[pa.RecordBatch]:
-    """Rows of SHUFFLED: for each shard the packed columns of its rows, in batches of about `most` bytes."""
-    order = np.argsort(shard.astype(np.uint32), kind="stable")
-    sorted_shard = shard[order]
-    edges = np.concatenate((np.flatnonzero(np.concatenate(([True], sorted_shard[1:] != sorted_shard[:-1]))), [len(order)])) if len(order) else [0]
+def dealt(shard: np.ndarray, cols: list[np.ndarray], values: list[np.ndarray], level: int, most: int) -> Iterator[pa.RecordBatch]:
+    """Rows of SHUFFLED: for each shard the packed columns and values of its rows, in batches of about `most` bytes."""
+    order, edges = by_shard(shard)
     names, blobs, size = [], [], 0
     for a, b in zip(edges[:-1], edges[1:], strict=True):
-        names.append(int(sorted_shard[a]))
-        blobs.append(packed([c[order[a:b]] for c in cols]))
+        own = order[a:b]
+        names.append(int(shard[own[0]]))
+        blobs.append(packed([c[own] for c in cols], [v[own] for v in values]))
         size += len(blobs[-1])
         if size > most:
             yield _rows(names, level, blobs)
@@ -147,12 +174,13 @@ def save(path: str, array: np.ndarray) -> None:
 
 
 class Shard:
-    """A stored shard: counts by hash."""
+    """A stored shard: counts by hash. `derive` makes the columns that are looked up from the shard's distinct counts, once."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, derive=lambda rows: rows) -> None:
         self.there = os.path.exists(f"{path}.rows.npy")
         if self.there:
-            self.starts, self.low, self.codes, self.rows = (np.load(f"{path}.{x}.npy", mmap_mode="r") for x in ("starts", "low", "codes", "rows"))
+            self.starts, self.low, self.codes, rows = (np.asarray(np.load(f"{path}.{x}.npy", mmap_mode="r")) for x in ("starts", "low", "codes", "rows"))
+            self.rows = derive(np.concatenate((rows, np.zeros_like(rows[:1]))))  # the last is for hashes that aren't there
             self.bits = (len(self.starts) - 1).bit_length() - 1
             self.steps = int(np.diff(self.starts).max()).bit_length()
 
@@ -160,10 +188,10 @@ class Shard:
     def write(path: str, hashes: np.ndarray, values: list[np.ndarray]) -> None:
         order = np.argsort(hashes)
         hashes, n = hashes[order], len(hashes)
-        bits = max(0, (n // BUCKET).bit_length() - 1)
+        bits = max(0, (n // BUCKET).bit_length())
         low = (hashes << np.uint64(bits)) >> np.uint64(32)
         starts = np.searchsorted(hashes >> np.uint64(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64)) if bits else np.array([0, n])
-        _, first, code = np.unique(hashed([v.astype(np.uint64) for v in values]), return_index=True, return_inverse=True)
+        code, first = numbered(hashed([v.astype(np.uint64) for v in values]))
         for name, array in (
             ("starts", starts.astype(np.uint32)), ("low", low.astype(np.uint32)), ("codes", code[order].astype(np.min_scalar_type(max(0, len(first) - 1)))),
             ("rows", np.stack([v[first] for v in values], axis=1).astype(np.int64)),
@@ -171,7 +199,7 @@ class Shard:
             save(f"{path}.{name}", array)
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
-        """Rows of counts; zeros where a hash isn't there."""
+        """Rows of counts, or what derive made of them; those of zeros where a hash isn't there."""
         low = ((hashes << np.uint64(self.bits)) >> np.uint64(32)).astype(np.uint32)
         bucket = (hashes >> np.uint64(64 - self.bits)).astype(np.int64) if self.bits else np.zeros(len(hashes), np.int64)
         at, end = self.starts[bucket].astype(np.int64), self.starts[bucket + 1].astype(np.int64)
@@ -182,13 +210,15 @@ class Shard:
             at, stop = np.where(less, middle + 1, at), np.where(less, stop, middle)
         place = np.minimum(at, last)
         hit = (at < end) & (self.low[place] == low)
-        return np.where(hit[:, None], self.rows[self.codes[place]], 0)
+        return self.rows[np.where(hit, self.codes[place], len(self.rows) - 1)]
 
 
 class Words:
     """Ids and counts of words, by mapped arrays and a bounded memory. Unknown words have id -1 and count 0."""
 
-    def __init__(self, folder: str, sizes: list[int]) -> None:
+    def __init__(self, folder: str, sizes: list[int], more=None) -> None:
+        """more: gives further columns of ids, which are remembered too."""
+        self.look = more
         self.folder, self.shift = folder, np.uint64(64 - (len(sizes) - 1).bit_length())
         self.starts = np.concatenate(([0], np.cumsum(sizes))).astype(np.int64)
         self.shards: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -196,14 +226,14 @@ class Words:
 
     def clear(self) -> None:
         self.known: dict[bytes, int] = {}
-        self.ids, self.counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids, self.counts, self.more = np.zeros(0, np.int64), np.zeros(0, np.int64), None
 
     def find(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         keys = digests(words)
         shard = (keys >> self.shift).astype(np.int64) if self.shift < 64 else np.zeros(len(keys), np.int64)
         ids, counts = np.full(len(words), -1, np.int64), np.zeros(len(words), np.int64)
-        order = np.argsort(shard, kind="stable")
-        for at in np.split(order, np.flatnonzero(np.diff(shard[order])) + 1) if len(order) else []:
+        order, edges = by_shard(shard)
+        for at in np.split(order, edges[1:-1]) if len(order) else []:
             s = int(shard[at[0]])
             if self.starts[s] == self.starts[s + 1]:
                 continue
@@ -216,16 +246,22 @@ class Words:
         return ids, counts
 
     def places(self, words: list[bytes]) -> np.ndarray:
-        """Where ids and counts of the words are in self.ids and self.counts."""
-        new = [w for w in set(words) if w not in self.known]
-        if len(self.known) + len(new) > REMEMBERED:
-            self.clear()
-            new = list(set(words))
-        if new:
+        """Where ids, counts and more of the words are in self.ids, self.counts and self.more."""
+        found = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
+        missing = np.flatnonzero(found < 0)
+        if len(missing):
+            new = list({words[i] for i in missing.tolist()})
+            if len(self.known) + len(new) > REMEMBERED and self.known:
+                self.clear()
+                return self.places(words)
             self.known.update(zip(new, range(len(self.ids), len(self.ids) + len(new)), strict=True))
             ids, counts = self.find(new)
             self.ids, self.counts = np.concatenate((self.ids, ids)), np.concatenate((self.counts, counts))
-        return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+            if self.look:
+                more = self.look(ids)
+                self.more = more if self.more is None else np.concatenate((self.more, more))
+            found[missing] = [self.known[words[i]] for i in missing.tolist()]
+        return found
 
 
 def _texts(batch: pa.RecordBatch, column: int, most: int) -> Iterator[tuple[list[int], list[bytes]]]:
@@ -310,7 +346,7 @@ def _count_words(shards: int):
             known.clear()
             order = np.argsort(keys)
             keys = keys[order]
-            yield from dealt((keys >> np.uint64(shift)).astype(np.int64) if shift < 64 else np.zeros(len(keys), np.int64), [keys, counts[order]], 0, BUFFER)
+            yield from dealt((keys >> np.uint64(shift)).astype(np.int64) if shift < 64 else np.zeros(len(keys), np.int64), [keys], [counts[order]], 0, BUFFER)
 
         for batch in batches:
             for x in batch.column(0):
@@ -342,11 +378,10 @@ def _write_words(folder: str, split: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, cols, _ = _gathered(batches)
         if shard is not None:
-            keys, inverse = np.unique(cols[0], return_inverse=True)
-            counts = np.zeros(len(keys), np.int64)
-            np.add.at(counts, inverse, cols[1].astype(np.int64))
+            order, first = runs(cols[0])
+            keys, counts = cols[0][order[first]], np.add.reduceat(cols[1][order].astype(np.int64), first)
             save(f"{folder}/words-{shard}.keys", keys)
-            save(f"{folder}/words-{shard}.counts", counts)
+            save(f"{folder}/words-{shard}.counts", counts.astype(np.min_scalar_type(int(counts.max()))))
             often = np.flatnonzero(counts >= split)
             rows = [(shard, -1, len(keys)), (shard, -2, int(counts.sum())), *((shard, int(i), int(counts[i])) for i in often)]
             yield pa.RecordBatch.from_pylist([dict(zip(("shard", "rank", "n"), r, strict=True)) for r in rows], pa.schema([("shard", pa.int32()), ("rank", pa.int64()), ("n", pa.int64())]))
@@ -364,12 +399,12 @@ def _count_grams(folder: str, order: int, words: list[int], dealing: Dealing):
             cols = [np.concatenate(c) for c in zip(*held, strict=True)]
             by, first = grouped(cols)
             counts = np.diff(first, append=len(by)).astype(np.uint64)
-            yield from _deal_grams([c[by[first]] for c in cols], [counts], dealing)
+            yield from _deal_grams([c[by[first]].astype(np.uint64) for c in cols], [counts], dealing)
 
         for batch in batches:
             for sizes, own in _texts(batch, 0, 1 << 18):
                 at = vocabulary.places(own)
-                cols = [vocabulary.ids[at].astype(np.uint64)]
+                cols = [vocabulary.ids[at].astype(np.uint32)]
                 begins = np.cumsum([0, *sizes[:-1]])
                 for _ in range(order - 1):
                     cols.insert(0, _before(cols[0], begins, start))
@@ -389,7 +424,7 @@ def _deal_grams(cols: list[np.ndarray], values: list[np.ndarray], dealing: Deali
     """Sorted n-grams with their values, as rows of SHUFFLED. Columns of a row: two first ids together, further ids, values."""
     key = cols[0] << np.uint64(32) | cols[1] if len(cols) > 1 else cols[0]
     shard = dealing.shard(cols) if len(cols) > 1 else (mixed(cols[0] >> np.uint64(12)) % np.uint64(dealing.shards)).astype(np.int64)
-    yield from dealt(shard, [key, *cols[2:], *values], len(cols), BUFFER)
+    yield from dealt(shard, [key, *cols[2:]], values, len(cols), BUFFER)
 
 
 def _write_grams(folder: str, level: int, highest: bool, dealing: Dealing):
@@ -482,42 +517,53 @@ def score(docs: DataFrame, model: Model, keep: list[str | Column], text_col: str
     names = [*kept.columns, "n_tokens", "n_known", "train_tokens", "base_score", "score"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, stored = Words(model.folder, model.words), {}
+        stored: dict[tuple[int, int], Shard] = {}
         size, total, order = model.size, model.train_tokens, model.order
 
+        def derived(level: int):
+            """Of the counts of an n-gram: what its discount leaves, how often it goes on as a context, and the share that is left to the order below there."""
+            left, right = np.array((0.0, *model.discounts[level - 1])), np.array(model.discounts[level]) if level < order else None
+
+            def run(rows: np.ndarray) -> np.ndarray:
+                own = np.maximum(rows[:, 0] - left[np.minimum(rows[:, 0], 3)], 0)
+                if right is None:
+                    return own[:, None]
+                return np.stack((own, rows[:, 1].astype(float), np.where(rows[:, 1] > 0, (rows[:, 2:] @ right) / np.maximum(rows[:, 1], 1), 1.0)), axis=1)
+
+            return run
+
+        derive = [derived(level) for level in range(1, order + 1)]
+        nothing = [d(np.zeros((1, 5 if k + 1 < order else 1), np.int64)) for k, d in enumerate(derive)]
+
         def find(cols: list[np.ndarray], known: np.ndarray) -> np.ndarray:
-            """Counts of n-grams of known words: n, and as contexts total, n1, n2, n3."""
+            """derived() of n-grams of known words, of nothing for others."""
             level = len(cols)
-            out = np.zeros((len(known), 1 if level == order else 5), np.int64)
+            out = np.repeat(nothing[level - 1], len(known), axis=0)
             own = np.flatnonzero(known)
             cols = [c[own] for c in cols]
             shard = model.dealing.shard(cols) if level > 1 else (mixed(cols[0] >> np.uint64(12)) % np.uint64(model.dealing.shards)).astype(np.int64)
-            hashes, by = hashed(cols), np.argsort(shard.astype(np.uint32), kind="stable")
-            for at in np.split(by, np.flatnonzero(np.diff(shard[by])) + 1) if len(by) else []:
+            hashes, (by, edges) = hashed(cols), by_shard(shard)
+            for at in np.split(by, edges[1:-1]) if len(by) else []:
                 name = level, int(shard[at[0]])
                 if name not in stored:
-                    stored[name] = Shard(f"{model.folder}/grams{level}-{name[1]}")
+                    stored[name] = Shard(f"{model.folder}/grams{level}-{name[1]}", derive[level - 1])
                 if stored[name].there:
                     out[own[at]] = stored[name].find(hashes[at])
             return out
 
-        def taken(counts: np.ndarray, d: tuple[float, float, float]) -> np.ndarray:
-            return np.maximum(counts - np.choose(np.minimum(counts, 3), (0.0, *d)), 0)
-
+        vocabulary = Words(model.folder, model.words, lambda ids: find([ids.astype(np.uint64)], ids >= 0))
         begin = [find([np.array([size], np.uint64)] * k, np.array([True]))[0] for k in range(1, order)]  # contexts of start tokens alone
 
         for batch in batches:
             out: list[tuple] = []
-            for sizes, own in _texts(batch, batch.num_columns - 1, 1 << 19):
+            for sizes, own in _texts(batch, batch.num_columns - 1, 1 << 18):
                 at = vocabulary.places(own)
                 starts = np.cumsum([0, *sizes[:-1]])
                 ids, counts = vocabulary.ids[at], vocabulary.counts[at]
                 base = np.log10((counts + 0.1) / (total + 0.1 * (size + 1)))
                 known = ids >= 0
-                cols, held = [ids.astype(np.uint64)], known
-                each, place = np.unique(ids, return_inverse=True)
-                found = find([each.astype(np.uint64)], each >= 0)[place]
-                p = taken(found[:, 0], model.discounts[0]) / max(1, model.neighbours) + model.low_mass / (size + 1)
+                cols, held, found = [ids.astype(np.uint64)], known, vocabulary.more[at]
+                p = found[:, 0] / max(1, model.neighbours) + model.low_mass / (size + 1)
                 for level in range(2, order + 1):
                     context = np.concatenate((found[:1], found[:-1]))
                     context[starts] = begin[level - 2]
@@ -526,9 +572,7 @@ def score(docs: DataFrame, model: Model, keep: list[str | Column], text_col: str
                     before[starts] = True
                     held = known & before
                     found = find(cols, held)
-                    d, often = model.discounts[level - 1], context[:, 1]
-                    rest = np.where(often > 0, (context[:, 2:] @ np.array(d)) / np.maximum(often, 1), 1.0)
-                    p = np.where(often > 0, taken(found[:, 0], d) / np.maximum(often, 1), 0.0) + rest * p
+                    p = np.where(context[:, 1] > 0, found[:, 0] / np.maximum(context[:, 1], 1), 0.0) + context[:, 2] * p
                 out += zip(sizes, np.add.reduceat(known.astype(np.int64), starts).tolist(), np.add.reduceat(base, starts).tolist(), np.add.reduceat(np.log10(p), starts).tolist(), strict=True)
             cols = list(zip(*out, strict=True)) or [()] * 4
             arrays = [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array([total] * len(out), pa.int64()), pa.array(cols[2], pa.float64()), pa.array(cols[3], pa.float64())]
