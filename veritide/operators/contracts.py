@@ -67,25 +67,69 @@ def rank(name: str | Column) -> Column:
     return F.try_element_at(F.create_map(*(F.lit(x) for p in RANK.items() for x in p)), c)
 
 
+#: Fields that a prediction under a policy must have.
+POLICY_FIELDS = (
+    "competition_type", "market_evidence_tier", "evaluation_group", "classification_status", "registry_version", "registry_file_sha256", "registry_canonical_sha256", "raw_confidence_label", "competition_confidence_cap",
+    "confidence_label", "confidence_reasons", "risk_flags",
+)
+
+
 def shadow_policy() -> dict[str, Column]:
-    """Expectations of a published prediction with its competition profile."""
-    published = F.col("status") == "published"
+    """Expectations of every prediction with a policy_version; older ones have no policy to keep."""
+    raw, cap, final = (rank(c) for c in ("raw_confidence_label", "competition_confidence_cap", "confidence_label"))
+    tier, status = F.col("market_evidence_tier"), F.col("status")
+    named = raw.isNotNull() & cap.isNotNull() & final.isNotNull()
+    rules = {
+        "incomplete_policy_fields": reduce(lambda a, b: a & b, (F.col(c).isNotNull() for c in POLICY_FIELDS)),
+        "invalid_registry_sha256": is_sha256("registry_file_sha256") & is_sha256("registry_canonical_sha256"),
+        "invalid_confidence_label": named,
+        "confidence_exceeds_cap": ~named | (final <= F.least(raw, cap)),
+        "tier_c_cap_above_low": ~tier.eqNullSafe("C") | ~F.coalesce(cap > RANK["low"], F.lit(False)),
+        "tier_d_not_abstained": ~tier.eqNullSafe("D") | (F.col("competition_confidence_cap").eqNullSafe("observation_only") & F.col("confidence_label").eqNullSafe("observation_only") & status.eqNullSafe("abstained")),
+        "provisional_above_medium": ~F.col("classification_status").eqNullSafe("provisional") | ~F.coalesce(final > RANK["medium"], F.lit(False)),
+        "published_without_identity": ~status.eqNullSafe("published") | (F.coalesce(F.trim("identity_record_id"), F.lit("")) != ""),
+    }
+    old = F.coalesce(F.trim("policy_version"), F.lit("")) == ""
+    return {code: old | F.coalesce(ok, F.lit(False)) for code, ok in rules.items()}
+
+
+#: What a competition profile may say.
+TIERS, CLASSIFICATIONS = ("A", "B", "C"), ("confirmed", "provisional")
+
+
+def registry_contract(types: tuple[str, ...], statuses: tuple[str, ...] = CLASSIFICATIONS) -> dict[str, Column]:
+    """Expectations of a competition profile: competition_id, competition_type, market_evidence_tier, classification_status, confidence_cap, canonical_name, evaluation_group, classification_reason, name_aliases."""
+    filled = lambda c: F.coalesce(F.trim(c), F.lit("")) != ""
     return {
-        "confidence_above_raw": ~published | (rank("confidence_label") <= rank("raw_confidence_label")),
-        "confidence_above_cap": ~published | (rank("confidence_label") <= rank("competition_confidence_cap")),
-        "tier_c_above_low": (F.col("market_evidence_tier") != "C") | ~published | (rank("confidence_label") <= RANK["low"]),
-        "tier_d_published": (F.col("market_evidence_tier") != "D") | ~published,
-        "provisional_above_medium": (F.col("classification_status") != "provisional") | ~published | (rank("confidence_label") <= RANK["medium"]),
-        "published_without_identity": ~published | F.col("competition_id").isNotNull(),
-        "abstained_without_reason": published | F.col("abstention_reason").isNotNull(),
+        "competition_id": F.col("competition_id").rlike("^[0-9]+$"), "competition_type": one_of("competition_type", *types), "market_evidence_tier": one_of("market_evidence_tier", *TIERS),
+        "classification_or_confidence": one_of("classification_status", *statuses) & rank("confidence_cap").isNotNull(), "profile_metadata": filled("canonical_name") & filled("evaluation_group") & filled("classification_reason"),
+        "tier_c_cap_above_low": ~F.col("market_evidence_tier").eqNullSafe("C") | (rank("confidence_cap") <= RANK["low"]), "name_aliases": F.size("name_aliases") > 0,
+    }
+
+
+def policy_contract() -> dict[str, Column]:
+    """Expectations of a confidence policy (structs high and medium with bookmakers, gap, dispersion; a struct gate): high asks no less than medium, and shares lie in 0 to 1."""
+    share = lambda c: F.col(c).between(0, 1)
+    return {
+        "thresholds_not_monotone": (F.col("high.bookmakers") >= F.col("medium.bookmakers")) & (F.col("high.gap") >= F.col("medium.gap")) & (F.col("high.dispersion") <= F.col("medium.dispersion")),
+        "bookmakers_out_of_range": F.col("medium.bookmakers") >= 1,
+        "share_out_of_range": reduce(lambda a, b: a & b, (share(f"{k}.{f}") for k in ("high", "medium") for f in ("gap", "dispersion"))),
+        "gate_out_of_range": (F.col("gate.fixtures") > 0) & (F.col("gate.days") > 0),
     }
 
 
-def replay(stored: DataFrame, recomputed: DataFrame, key: str, fields: list[str]) -> DataFrame:
-    """(key, mismatches): stored fields that a recomputation from stored features doesn't give."""
+def replay(stored: DataFrame, recomputed: DataFrame, key: str, fields: list[str], checks: dict[str, Column] | None = None) -> DataFrame:
+    """(key, mismatches): stored fields that a recomputation from stored features doesn't give, and codes of checks that a stored row fails, such as its own id or the order of its times."""
     b = recomputed.select(key, F.struct(*fields).alias("_new"))
-    differ = F.array_compact(F.array(*(F.when(~F.col(f).eqNullSafe(F.col(f"_new.{f}")), f) for f in fields)))
-    return stored.join(b, key, "left").select(key, differ.alias("mismatches")).where(F.size("mismatches") > 0)
+    codes = [F.when(~F.col(f).eqNullSafe(F.col(f"_new.{f}")), f) for f in fields] + [F.when(~F.coalesce(c, F.lit(False)), code) for code, c in (checks or {}).items()]
+    return stored.join(b, key, "left").select(key, F.array_compact(F.array(*codes)).alias("mismatches")).where(F.size("mismatches") > 0)
+
+
+def assessment_checks(kind: str, parts: list[str], effective: str, assessed: str, cutoff: str) -> dict[str, Column]:
+    """Checks for replay(): the record id follows from its parts, and it was assessed from the policy's start on and not before its cutoff."""
+    from veritide.functions.ids import stable_id
+
+    return {"record_id": F.col("record_id") == stable_id(kind, *parts), "assessed_before_effective": F.col(assessed) >= F.col(effective), "assessed_before_cutoff": F.col(assessed) >= F.col(cutoff)}
 
 
 def live_only(events: DataFrame, details: str = "details") -> DataFrame:

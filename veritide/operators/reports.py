@@ -103,3 +103,36 @@ def inventory_complete(pages: DataFrame, batch: str = "batch_id") -> DataFrame:
 
 def histogram(df: DataFrame, reasons: str) -> DataFrame:
     return df.select(F.explode(reasons).alias("reason")).groupBy("reason").agg(F.count("*").alias("n"))
+
+
+def daily_report(events: DataFrame, at: str = "occurred_at", zone: str = "Asia/Shanghai", kind: str = "event_type", status: str = "status", competition: str = "competition", cutoff: str = "cutoff", origin: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(rates, counts) of every local day of live events, all days at once.
+
+    rates: day, discovery_full, http_acquisition, parser and result_candidate success rates, null without attempts.
+    counts: day, section (event, market, cutoff), name, status, n: all events by type, market captures by competition, snapshot batches by cutoff.
+    origin: column that reads 'reprocess' for events of a later reprocessing, which don't count.
+    """
+    live = events if origin is None else events.where(~F.coalesce(F.col(origin) == "reprocess", F.lit(False)))
+    rows = live.withColumn("day", F.to_date(F.from_utc_timestamp(F.col(at), zone)))
+    of = lambda k, *s: F.count_if((F.col(kind) == k) & F.col(status).isin(*s))
+    pairs = {"discovery_full": ("discovery_poll", "full", "partial"), "http_acquisition": ("http_request", "success", "failure"), "parser": ("parser", "success", "failure"), "result_candidate": ("result_candidate", "success", "missing")}
+    rates = rows.groupBy("day").agg(F.count("*").alias("events"), *(ratio(of(k, good), of(k, good, bad)).alias(f"{name}_rate") for name, (k, good, bad) in pairs.items()))
+    cell = lambda section, name: F.struct(F.lit(section).alias("section"), F.coalesce(name, F.lit("unknown")).alias("name"))
+    cells = F.array_compact(F.array(cell("event", F.col(kind)), F.when(F.col(kind) == "market_capture", cell("market", F.col(competition))), F.when(F.col(kind) == "snapshot_batch", cell("cutoff", F.col(cutoff)))))
+    counts = rows.select("day", F.col(status).alias("status"), F.explode(cells).alias("_c")).groupBy("day", "_c.section", "_c.name", "status").agg(F.count("*").alias("n"))
+    return rates, counts
+
+
+def window_report(counts: DataFrame, start: Column, end: Column) -> DataFrame:
+    """Sums of daily counts over the days from start to before end, by section, name and status, with the days seen."""
+    return counts.where((F.col("day") >= start) & (F.col("day") < end)).groupBy("section", "name", "status").agg(F.sum("n").alias("n"), F.count_distinct("day").alias("days"))
+
+
+def forward_metrics(assessed: DataFrame, measures: list[Column], target: str = "target", update: str = "market_update_status", action: str = "proposed_action", mature: str = "sample_maturity", rule_map: str = "rule_evaluations", legacy: str = "legacy_analysis_flow") -> DataFrame:
+    """(dimension, value, measures) of assessed rows by target, market update, action, sample maturity, by each rule with its state, and overall; one aggregation."""
+    cell = lambda name, value: F.struct(F.lit(name).alias("dimension"), value.alias("value"))
+    flat = F.array(
+        cell("by_target", F.col(target)), cell("by_market_update_status", F.coalesce(F.col(update), F.lit(legacy))), cell("by_action", F.col(action)), cell("by_sample_maturity", F.coalesce(F.col(mature), F.lit(legacy))), cell("overall", F.lit("all")),
+    )
+    ruled = F.transform(F.map_entries(rule_map), lambda e: F.struct(F.lit("by_rule").alias("dimension"), F.concat_ws("|", e["key"], e["value"]).alias("value")))
+    return assessed.select("*", F.explode(F.concat(flat, ruled)).alias("_d")).groupBy("_d.dimension", "_d.value").agg(*measures)

@@ -2,21 +2,30 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veritide.functions import ids, odds
-from veritide.operators import asof, contracts, evidence, market, reports, rules, score, versions
+from veritide.functions.parse import source_role
+from veritide.operators import asof, contracts, evidence, market, models, reports, rules, score, versions
 from veritide.sources import facts
 from veritide.sources import odds as odds_files
 from veritide.streaming import states
 
 
-def import_facts(spark: SparkSession, path: str, stored: DataFrame | None = None) -> dict[str, DataFrame]:
-    """new records with event time, rejected lines, conflicting ids, records of unknown type."""
-    records, rejected = facts.validated(facts.scan(spark, path))
+def import_facts(spark: SparkSession, path: str, stored: DataFrame | None = None, checkpoints: DataFrame | None = None) -> dict[str, DataFrame]:
+    """new records with event time, rejected lines, conflicting ids, records of unknown type, checkpoints, and files that broke the append-only rule since the checkpoints given."""
+    lines = facts.scan(spark, path)
+    broken = None
+    if checkpoints is not None:
+        broken = facts.append_violations(checkpoints, lines)
+        lines = facts.scan(spark, path, checkpoints)
+    records, rejected = facts.validated(lines)
     new = facts.with_event_time(facts.new_records(records, stored))
-    return {"new": new, "rejected": rejected, "conflicts": facts.conflicts(records), "unsupported": contracts.unsupported(new, "record_type", (*facts.TYPES, *facts.RESEARCH_TYPES))}
+    out = {"new": new, "rejected": rejected, "conflicts": facts.conflicts(records), "unsupported": contracts.unsupported(new, "record_type", (*facts.TYPES, *facts.RESEARCH_TYPES)), "checkpoints": facts.checkpoint(records)}
+    return out if broken is None else out | {"violations": broken}
 
 
 def current_views(records: DataFrame) -> dict[str, DataFrame]:
@@ -83,14 +92,27 @@ def model_dataset(points: DataFrame, cut: str) -> dict[str, DataFrame]:
     return {"train": train, "evaluation": later, "hash": ids.dataset_hash(points.select(member.alias("m")), "m")}
 
 
-def shadow_predictions(fixtures: DataFrame, batches: DataFrame, quotes: DataFrame, registry: DataFrame, aliases: DataFrame, stats: DataFrame, published: DataFrame, named: DataFrame, now: Column, channel: str = "shadow") -> DataFrame:
-    """Predictions that may be published at `now`, with confidence or the reason to abstain; each (fixture, target, cutoff) once.
+def identity_targets(identities: DataFrame, named: DataFrame, now: Column, lookback_hours: int = 2, lookahead_hours: int = 48) -> DataFrame:
+    """Each fixture's open targets with the identity that was known at the target's own cutoff.
+
+    A version counts for a target only if it was observed by the cutoff that its own kickoff gives; the latest such one
+    stands, so a kickoff that moved later does not publish for an old cutoff. Fixtures far from now are left out first.
+    """
+    near = asof.due(identities, now, "kickoff_at", lookback_hours, lookahead_hours)
+    known = asof.cutoffs(near, named).where(F.col("observed_at") <= F.col("cutoff"))
+    return asof.publishable(versions.latest(known, ["fixture_id", "target"], ["observed_at", "record_id"]), now)
+
+
+def shadow_predictions(identities: DataFrame, batches: DataFrame, quotes: DataFrame, registry: DataFrame, aliases: DataFrame, stats: DataFrame, published: DataFrame, named: DataFrame, now: Column, activations: DataFrame, channel: str = "shadow") -> DataFrame:
+    """Predictions that may be published at `now` under the channel's active model, with confidence or the reason to abstain; each (fixture, target, cutoff) once.
 
-    fixtures: identities (fixture_id, record_id, kickoff_at, competition_id, competition_name, competition_format);
+    identities: versions (fixture_id, record_id, observed_at, kickoff_at, competition_id, competition_name, competition_format);
     batches: fixture_id, target, record_id, core_observed_at, completed_at; quotes: record_id of the batch, book, p;
-    registry: profile_id, confidence_cap, classification_status, market_evidence_tier; stats: profile_id, fixtures, span_days.
+    registry: profile_id, confidence_cap, classification_status, market_evidence_tier; stats: profile_id, fixtures, span_days;
+    activations: see models.activation(); a channel without an active model is an error.
     """
-    planned = asof.publishable(asof.cutoffs(fixtures, named), now).withColumn("available_at", now).withColumnRenamed("record_id", "identity_record_id")
+    model = models.required_model(activations, channel, now)
+    planned = identity_targets(identities, named, now).withColumn("available_at", now).withColumnRenamed("record_id", "identity_record_id")
     keyed = planned.withColumn("qid", ids.stable_id(channel, "fixture_id", "target", "cutoff"))
     b = batches.withColumnRenamed("record_id", "snapshot_record_id")
     found = asof.asof_join(keyed, b, ["fixture_id", "target"], "qid", "cutoff", "core_observed_at", "snapshot_record_id", ("available_at", "completed_at"), ["snapshot_record_id"])
@@ -101,13 +123,97 @@ def shadow_predictions(fixtures: DataFrame, batches: DataFrame, quotes: DataFram
     rows = rows.na.fill({"verified_fixtures": 0, "span_days": 0, "confidence_cap": "low", "classification_status": "provisional", "market_evidence_tier": "D"})
     rated = rules.confidence(rows).withColumn("abstention_reason", rules.abstention(rows))
     out = rated.withColumn("status", F.when(F.col("abstention_reason").isNull(), "published").otherwise("abstained"))
-    return states.publish_once(out, published, ["fixture_id", "target", "cutoff"])
+    return states.publish_once(out.crossJoin(model), published, ["fixture_id", "target", "cutoff"])  # one row
 
 
 def evaluate_shadow(predictions: DataFrame, results: DataFrame, dimensions: dict[str, Column]) -> DataFrame:
-    """Scores of published predictions with a result, by each dimension and overall; nulls read legacy_unclassified."""
-    rows = predictions.where("status = 'published'").join(results, "fixture_id").withColumn("actual", odds.outcome("home_goals", "away_goals"))
-    return reports.by_dimensions(score.scored(rows), dimensions, score.metrics(), "legacy_unclassified")
+    """By each dimension and overall: all predictions, those published, and scores of the published ones that have a result; nulls read legacy_unclassified.
+
+    Predictions without a result, and abstentions, stay in the counts.
+    """
+    rows = predictions.join(results, "fixture_id", "left").withColumn("actual", F.when(F.col("status") == "published", odds.outcome("home_goals", "away_goals")))
+    own = F.col("actual").isNotNull()
+    counts = [F.count("*").alias("predictions"), F.count_if(F.col("status") == "published").alias("published"), F.count_if((F.col("status") == "published") & ~own).alias("awaiting_result"), F.count_if(own).alias("sample_size")]
+    means = [F.avg(F.when(own, F.col(m))).alias(name) for m, name in (("log_loss", "log_loss"), ("brier", "brier"), ("rps", "rps"), ("hit", "accuracy"))]
+    return reports.by_dimensions(score.scored(rows), dimensions, [*counts, *means], "legacy_unclassified")
+
+
+def train_model(points: DataFrame, cut: str, model_key: str, trained_at: Column, channel: str | None = None) -> dict[str, DataFrame]:
+    """The dataset of model_dataset(), its model version, and with a channel the activation from then on."""
+    data = model_dataset(points, cut)
+    version = models.model_version(data["hash"], model_key, trained_at)
+    return data | {"version": version} | ({"activation": models.activation(version, channel, trained_at)} if channel else {})
+
+
+PRICED = {"ouzhi": ("home", "draw", "away"), "yazhi": ("home", "line", "away"), "daxiao": ("over", "line", "under")}
+
+
+def _selected(rows: DataFrame, market_name: str, keys: list[str], bookmaker: str, order: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(complete rows of a market, one for each real bookmaker, bookmakers that contradict themselves)."""
+    fields = [f"{side}_{f}" for side in ("opening", "current") for f in PRICED[market_name]]
+    complete = rows.where((F.col("market") == market_name) & reduce(lambda a, b: a & b, (F.col(f).isNotNull() for f in fields)) & (source_role(bookmaker) == "bookmaker"))
+    return market.one_row(complete.select(*keys, F.trim(bookmaker).alias("book"), *fields, *order), keys, "book", fields, order)
+
+
+def first_guardrail_features(rows: DataFrame, index: DataFrame, series: DataFrame, keys: list[str], order: list[str], least: int = 3, bookmaker: str = "source_bookmaker_name") -> DataFrame:
+    """Features of the first guardrail for every key (such as fixture and target) at once, from market rows.
+
+    rows: keys, market, bookmaker, opening_ and current_ prices, order; index: keys, book, line, home, draw, away probabilities, order;
+    series: keys, observed_at, line, probability: the live observations of a key. Hard reasons say which market has too few bookmakers,
+    too few pairs, or a bookmaker that contradicts itself.
+    """
+    picked = {m: _selected(rows, m, keys, bookmaker, order) for m in PRICED}
+    euro = picked["ouzhi"][0]
+    current = market.quotes(euro.select(*keys, "book", *(F.col(f"current_{s}").alias(s) for s in odds.SIDES)), keys, "book", odds.SIDES, "finite")
+    agreed = market.consensus(current, keys, "book", 1)
+    pairs = euro.select(*keys, *(F.struct(*(F.col(f"{side}_{s}").cast("double").alias(s) for s in odds.SIDES)).alias(side) for side in ("opening", "current")))
+    lines = picked["yazhi"][0].select(*keys, F.col("opening_line").cast("double"), F.col("current_line").cast("double"))
+    total = picked["daxiao"][0].groupBy(*keys).agg(F.median(F.col("current_line").cast("double")).alias("total_line"))
+    counts = reduce(lambda a, b: a.join(b, keys, "full"), (picked[m][0].groupBy(*keys).agg(F.count("*").alias(f"n_{m}")) for m in PRICED))
+    bad = reduce(DataFrame.unionByName, (picked[m][1].select(*keys, F.concat_ws(":", F.lit("duplicate_company_conflict"), F.lit(m), "book").alias("code")) for m in PRICED)).groupBy(*keys).agg(F.collect_set("code").alias("conflicts"))
+    seen = versions.trajectory(series, keys, "observed_at", ["line", "probability"])
+    out = rows.select(*keys).distinct().join(counts, keys, "left").join(bad, keys, "left").join(agreed, keys, "left").join(market.movement(pairs, keys, agreed), keys, "left").join(market.line_movement(lines, keys, agreed), keys, "left")
+    out = out.join(total, keys, "left").join(market.cover_conflict(index, keys, agreed, bookmaker="book", order=order), keys, "left").join(seen, keys, "left")
+    few = [F.when(F.coalesce(f"n_{m}", F.lit(0)) < least, f"insufficient_bookmakers:{m}") for m in PRICED]
+    few += [F.when(F.coalesce("bookmakers", F.lit(0)) < least, "insufficient_paired_bookmakers:ouzhi"), F.when(odds.favourite("p").isin(0, 2) & (F.coalesce("paired_lines", F.lit(0)) < least), "insufficient_paired_bookmakers:yazhi")]
+    reasons = F.array_sort(F.array_union(F.coalesce("conflicts", F.array().cast("array<string>")), F.array_compact(F.array(*few))))
+    side = F.element_at(F.array(*map(F.lit, odds.SIDES)), odds.favourite("p") + 1)
+    return out.withColumns({"favourite_side": side, "hard_reasons": reasons}).drop("conflicts")
+
+
+def second_guardrail_features(rows: DataFrame, series: DataFrame, keys: list[str], order: list[str], least: int = 3, bookmaker: str = "source_bookmaker_name") -> DataFrame:
+    """Features of the second guardrail for every key at once: institutions across three markets, their signals, anomalies and series.
+
+    rows as for the first guardrail; series: keys, book, observed_at, record_id, probability, deviation of each institution's live observations.
+    """
+    picked = {m: _selected(rows, m, keys, bookmaker, order)[0] for m in PRICED}
+    euro = picked["ouzhi"]
+    price = lambda side: odds.devig(*(F.col(f"{side}_{s}") for s in odds.SIDES), rule="above_one")
+    valid = euro.withColumns({"_o": price("opening"), "_c": price("current")}).where("_o is not null and _c is not null").select(*keys, "book", F.col("_c.p").alias("p"), F.zip_with("_c.p", "_o.p", lambda a, b: a - b).alias("delta"))
+    quoted = valid.select(*keys, "book", "p")
+    agreed = market.consensus(quoted, keys, "book", 1).withColumn("base_direction", F.element_at(F.array(*map(F.lit, odds.SIDES)), odds.favourite("p") + 1))
+    odd = market.anomalies(quoted, agreed, keys, "book").select(*keys, "book", "anomaly", "max_deviation")
+    named = lambda m, cols: picked[m].select(*keys, "book", *(F.col(c).cast("double").alias(n) for c, n in cols.items()))
+    asian = named("yazhi", {f"{s}_{f}": f"{s}_asian_{f}" for s in ("opening", "current") for f in ("line", "home", "away")})
+    total = named("daxiao", {f"{s}_line": f"{s}_total_line" for s in ("opening", "current")})
+    live = versions.series_states(series, [*keys, "book"], "observed_at", "record_id", "probability", "deviation").select(*keys, "book", F.col("states").alias("_live"), F.col("n").alias("_seen"), F.col("span").alias("_span"))
+    each = market.signals(market.pair_markets(valid.join(agreed.select(*keys, "base_direction"), keys), asian, total, [*keys, "book"]), "base_direction").join(odd, [*keys, "book"], "left").join(live, [*keys, "book"], "left")
+    own = F.array_compact(F.array(
+        F.when(F.col("anomaly"), F.when(F.col("euro_signal") != "unchanged", "isolated_move").otherwise("cross_sectional_dissent")), F.when(F.col("internal_conflict"), "internal_cross_market_conflict"),
+    ))
+    each = each.withColumn("states", F.array_distinct(F.concat(F.coalesce("_live", F.array().cast("array<string>")), own)))
+    share = lambda c: F.avg(c.cast("int"))
+    judged = F.col("asian_signal").isin("confirm", "conflict", "flat")
+    sums = each.groupBy(*keys).agg(
+        F.count("*").alias("paired"), share(F.col("euro_signal") == "support").alias("support_ratio"), F.avg(F.when(judged, (F.col("asian_signal") == "confirm").cast("int"))).alias("confirm_ratio"), F.avg(F.when(judged, (F.col("asian_signal") == "conflict").cast("int"))).alias("conflict_ratio"),
+        F.median(F.col("current_total_line") - F.col("opening_total_line")).alias("total_delta"), F.max("_seen").alias("observation_count"), F.max("_span").alias("span_seconds"),
+        F.create_map(*(x for s in ("isolated_move", "cross_sectional_dissent", "one_off_spike", "persistent_dissent", "internal_cross_market_conflict", "unchanged_confirmed") for x in (F.lit(s), F.count_if(F.array_contains("states", s))))).alias("state_counts"),
+    )
+    counts = reduce(lambda a, b: a.join(b, keys, "full"), (picked[m].groupBy(*keys).agg(F.count("*").alias(f"n_{m}")) for m in PRICED))
+    out = rows.select(*keys).distinct().join(counts, keys, "left").join(agreed, keys, "left").join(sums, keys, "left").join(market.leave_one_out(quoted, agreed, keys, "book"), keys, "left")
+    few = [F.when(F.coalesce(f"n_{m}", F.lit(0)) < least, f"insufficient_bookmakers:{m}") for m in PRICED] + [F.when(F.coalesce("paired", F.lit(0)) < least, "insufficient_valid_1x2_bookmakers")]
+    none = F.array().cast("array<string>")
+    return out.withColumns({"hard_reasons": F.array_sort(F.array_compact(F.array(*few))), "pairing_warnings": none, "paired": F.coalesce("paired", F.lit(0))})
 
 
 def forward_review(assessed: DataFrame, rule_map: str = "rule_evaluations", at: str = "kickoff_at", iterations: int = 10_000) -> DataFrame:
@@ -123,12 +229,17 @@ def forward_review(assessed: DataFrame, rule_map: str = "rule_evaluations", at:
     return score.review_gate(m)
 
 
+#: The prices by which a row is known again after another normalisation: its name may be spelt anew.
+SIGNATURE = ("current_first", "current_second", "opening_first", "opening_second")
+
+
 def renormalise(exports: DataFrame, old_rows: DataFrame, body: str = "body") -> tuple[DataFrame, DataFrame]:
-    """(accepted rows, rejected snapshots): stored captures cut into cells and typed again; a snapshot must keep every old row."""
+    """(accepted rows, rejected snapshots): stored captures cut into cells and typed again; a snapshot must keep every old row, as often as it stood, by its prices (SIGNATURE)."""
     from veritide.functions.parse import export_rows
 
     cells = exports.select("snapshot", "market", F.explode(export_rows(body)).alias("r")).select("snapshot", "market", "r.row_index", "r.cells")
     rows = market.cells_to_rows(cells)
-    ok = market.parity(old_rows, rows, "snapshot", ["bookmaker"])
+    signed = rows.select("*", *(F.col(f"two_way.{c}").alias(c) for c in SIGNATURE))
+    ok = market.parity(old_rows, signed, "snapshot", list(SIGNATURE))
     bad = ok.where("not ok").select("snapshot")
     return rows.join(bad, "snapshot", "left_anti"), bad

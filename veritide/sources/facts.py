@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from veritide.functions.parse import event_time
+from veritide.operators.score import bucketed
 
 ENVELOPE = T.StructType([T.StructField("record_id", T.StringType()), T.StructField("record_type", T.StringType()), T.StructField("schema_version", T.IntegerType()), T.StructField("fixture_id", T.StringType())])
 #: Columns of the first non-empty of which a record's event time is read.
@@ -54,11 +55,27 @@ RESEARCH_TYPES = {
 PRICES = ("home", "draw", "away", "line", "over", "under")
 
 
-def scan(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of a JSONL tree with their envelope: raw, file, line, and the fields of ENVELOPE. A last line that isn't complete JSON is left for later."""
-    lines = spark.read.text(path, recursiveFileLookup=True).select(F.col("value").alias("raw"), F.col("_metadata.file_path").alias("file"))
-    numbered = lines.withColumn("line", F.monotonically_increasing_id()).where(F.trim("raw") != "")
-    return numbered.withColumn("e", F.from_json("raw", ENVELOPE)).select("raw", "file", "line", "e.*")
+def scan(spark: SparkSession, path: str, checkpoints: DataFrame | None = None) -> DataFrame:
+    """Lines of a JSONL tree with their envelope: raw, file, line (from 1), start and stop (bytes in the file), and the fields of ENVELOPE.
+
+    A last line without a line end is left for a later scan, whether it is JSON or not. checkpoints: (file, offset, ...) of
+    checkpoint(); lines before the offset of their file are left out. Offsets are running sums inside the pieces in
+    which Spark reads a file, so a large file is never sorted as a whole.
+    """
+    source = spark.read.option("lineSep", "\n").text(path, recursiveFileLookup=True)
+    m = source.select(F.col("value").alias("raw"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("_size"), F.col("_metadata.file_block_start").alias("_block")).withColumn("_order", F.monotonically_increasing_id())
+    placed = bucketed(m, ["file"], F.col("_block"), ["_order"], {"stop": F.octet_length("raw").cast("long") + 1, "line": F.lit(1).cast("long")})
+    whole = placed.where((F.col("stop") < F.col("stop_all")) | (F.col("stop") <= F.col("_size")))
+    lines = whole.withColumn("start", F.col("stop") - F.octet_length("raw") - 1).where(F.trim("raw") != "")
+    if checkpoints is not None:
+        done = checkpoints.select(F.col("file").alias("_file"), F.col("offset").alias("_offset"))
+        lines = lines.join(done, F.col("file") == F.col("_file"), "left").where(F.col("start") >= F.coalesce("_offset", F.lit(0)))
+    return lines.withColumn("e", F.from_json("raw", ENVELOPE)).select("raw", "file", "line", "start", "stop", "e.*")
+
+
+def checkpoint(lines: DataFrame) -> DataFrame:
+    """(file, offset, line, last_record_id): how far a scan has come in each file."""
+    return lines.groupBy("file").agg(F.max("stop").alias("offset"), F.max("line").alias("line"), F.max_by("record_id", "line").alias("last_record_id"))
 
 
 def record_contract(version: int = 1) -> dict[str, Column]:
@@ -104,11 +121,24 @@ def conflicts(records: DataFrame, key: str = "record_id", content: str = "raw")
     return records.groupBy(key).agg(F.count_distinct(F.sha2(content, 256)).alias("contents")).where("contents > 1")
 
 
-def append_violations(before: DataFrame, now: DataFrame) -> DataFrame:
-    """(path, violation): files of an inventory (path, size, last_record_id) that shrank, vanished or lost their tail. now has an array record_ids."""
-    j = before.join(now.select("path", F.col("size").alias("new_size"), "record_ids"), "path", "left")
-    v = F.when(F.col("new_size").isNull(), "missing").when(F.col("new_size") < F.col("size"), "shrunk").when(~F.array_contains("record_ids", F.col("last_record_id")), "tail_changed")
-    return j.select("path", v.alias("violation")).where("violation is not null")
+def append_violations(before: DataFrame, lines: DataFrame) -> DataFrame:
+    """(file, violation): files of stored checkpoints that vanished, shrank below their offset, or have another record at it. lines: a scan of the files as they are."""
+    now = lines.groupBy("file").agg(F.max("stop").alias("_stop"))
+    at = lines.select("file", F.col("stop").alias("offset"), F.col("record_id").alias("_there"))
+    j = before.join(now, "file", "left").join(at, ["file", "offset"], "left")
+    v = F.when(F.col("_stop").isNull(), "missing").when(F.col("_stop") < F.col("offset"), "shrunk").when(~F.col("_there").eqNullSafe(F.col("last_record_id")), "tail_changed")
+    return j.select("file", v.alias("violation")).where("violation is not null")
+
+
+def patched(column: str, additions: dict[str, Column], only_missing: bool = False) -> Column:
+    """A JSON object as text with top-level fields set, the others as they are; only_missing keeps fields that are there."""
+    old = F.from_json(column, "map<string,variant>")
+    names = F.array(*map(F.lit, additions))
+    new = F.create_map(*(x for k, c in additions.items() for x in (F.lit(k), F.parse_json(F.regexp_extract(F.to_json(F.struct(c.alias("v"))), r'^\{"v":(.*)\}$', 1)))))
+    if only_missing:
+        added = F.map_filter(new, lambda k, v: ~F.array_contains(F.map_keys(old), k))
+        return F.to_json(F.map_concat(old, added))
+    return F.to_json(F.map_concat(F.map_filter(old, lambda k, v: ~F.array_contains(names, k)), new))
 
 
 def blobs(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
@@ -188,8 +218,3 @@ def read_runs(spark: SparkSession, path: str) -> DataFrame:
 
 def report(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
-
-
-def ranked_lines(df: DataFrame, file: str = "file", line: str = "line") -> DataFrame:
-    """Line numbers from 1 within each file."""
-    return df.withColumn("source_line", F.row_number().over(Window.partitionBy(file).orderBy(line)))
