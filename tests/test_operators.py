@@ -142,10 +142,58 @@ def test_flag_contract_and_policy(spark):
     rows = [("historical", True, True, False, False), ("shadow_event", True, True, False, False)]
     df = spark.createDataFrame(rows, "research_kind string, research_only boolean, backfill boolean, strict_backtest_eligible boolean, cutoff_eligible boolean")
     assert [r["ok"] for r in df.select(contracts.flag_contract().alias("ok")).collect()] == [True, False]
-    p = [("1", "published", "high", "high", "low", "C", "settled", "x", None), ("2", "published", "low", "high", "low", "B", "settled", "x", None), ("3", "abstained", None, None, None, "D", "settled", None, "r")]
-    s = spark.createDataFrame(p, "id string, status string, confidence_label string, raw_confidence_label string, competition_confidence_cap string, market_evidence_tier string, classification_status string, competition_id string, abstention_reason string")
-    got = sorted((r["id"], r["code"]) for r in contracts.violations(s, contracts.shadow_policy(), "id").collect())
-    assert got == [("1", "confidence_above_cap"), ("1", "tier_c_above_low")]
+    ok = {"id": "1", "policy_version": "v", "status": "published", "confidence_label": "low", "raw_confidence_label": "high", "competition_confidence_cap": "low", "market_evidence_tier": "C", "classification_status": "provisional", "identity_record_id": "i", "competition_type": "t", "evaluation_group": "g", "registry_version": "1",
+          "registry_file_sha256": "a" * 64, "registry_canonical_sha256": "b" * 64, "confidence_reasons": "x", "risk_flags": "x"}
+    cases = {
+        "1": {}, "2": {"confidence_label": "medium"}, "3": {"status": "abstained", "confidence_label": "high", "competition_confidence_cap": "medium", "market_evidence_tier": "B", "classification_status": "confirmed"}, "4": {"competition_confidence_cap": "medium"},
+        "5": {"market_evidence_tier": "D"}, "6": {"market_evidence_tier": "D", "status": "abstained", "confidence_label": "observation_only", "competition_confidence_cap": "observation_only"}, "7": {"identity_record_id": None}, "8": {"evaluation_group": None}, "9": {"registry_file_sha256": "x"},
+        "10": {"raw_confidence_label": "none"}, "11": {"policy_version": None, "confidence_label": "high", "evaluation_group": None},
+    }
+    s = spark.createDataFrame([tuple((ok | change | {"id": i}).values()) for i, change in cases.items()], ", ".join(f"{k} string" for k in ok))
+    got = sorted((int(r["id"]), r["code"]) for r in contracts.violations(s, contracts.shadow_policy(), "id").collect())
+    assert got == [(2, "confidence_exceeds_cap"), (3, "confidence_exceeds_cap"), (4, "tier_c_cap_above_low"), (5, "tier_d_not_abstained"), (7, "published_without_identity"), (8, "incomplete_policy_fields"), (9, "invalid_registry_sha256"), (10, "invalid_confidence_label")]
+
+
+def test_identity_at_its_own_cutoff_and_active_model(spark):
+    """A kickoff that moved later publishes nothing for the old cutoff; a channel without an active model is an error."""
+    from veritide.operators import models
+    from veritide.plans import pipelines
+
+    rows = [(1, "a", t(0), t(12, 0, 3)), (1, "b", t(11, 50, 2), t(20, 0, 3)), (2, "c", t(0), t(12, 0, 3)), (3, "d", t(13, 0, 2), t(12, 0, 3))]
+    i = spark.createDataFrame(rows, "fixture_id int, record_id string, observed_at timestamp, kickoff_at timestamp")
+    got = pipelines.identity_targets(i, asof.targets(spark, ("T-24h",)), F.lit(t(12, 5, 2))).collect()
+    assert [(r["fixture_id"], r["record_id"]) for r in got] == [(2, "c")]  # 1 moved to another time, 3 was seen after its cutoff
+    v = models.model_version(spark.createDataFrame([("0123456789abcdef",)], "dataset_hash string"), "m", F.lit(t(1)))
+    a = models.activation(v, "shadow", F.lit(t(2)))
+    assert models.required_model(a, "shadow", F.lit(t(3))).first()["model_version"] == "m-0123456789ab-20260101T010000Z"
+    for channel, at in (("shadow", t(1)), ("other", t(3))):
+        with pytest.raises(ValueError):
+            models.required_model(a, channel, F.lit(at))
+
+
+def test_bucketed_sums_equal_a_window(spark):
+    import random
+
+    rng = random.Random(2)
+    rows = [(rng.choice(["hot", "hot", "b", None]), dt.datetime(2026, 1, 1) + dt.timedelta(hours=rng.randrange(500)), i, rng.randrange(9)) for i in range(600)]
+    df = spark.createDataFrame(rows, "g string, at timestamp, id int, v int")
+    from pyspark.sql import Window
+
+    w = Window.partitionBy("g").orderBy("at", "id").rowsBetween(Window.unboundedPreceding, 0)
+    want = df.withColumn("s", F.sum("v").over(w)).withColumn("s_all", F.sum("v").over(Window.partitionBy("g")))
+    got = score.bucketed(df, ["g"], score.day("at"), ["at", "id"], {"s": F.col("v")})
+    assert sorted(map(str, got.select(want.columns).collect())) == sorted(map(str, want.collect()))
+
+
+def test_cohorts_by_a_cutoff(spark):
+    cols = "id int, top_outcome string, probability_bin string, gap_bin string, line_bucket string, total_bucket string, at timestamp"
+    rows = [(i, "home", "p", "g", "shallow" if i % 2 else "level", "2.50", t(i % 24, 0, 1 + i // 24)) for i in range(90)]
+    df = spark.createDataFrame(rows, cols)
+    got = {r["id"]: (r["level"], r["n"]) for r in score.cohorts(df, df.withColumn("label", F.col("at") + F.expr("INTERVAL 2 HOURS")), "id", 10, cutoff="at", label_at="label").collect()}
+    for i in range(90):
+        past = [r for r in rows if r[6] + dt.timedelta(hours=2) <= rows[i][6]]
+        same = [r for r in past if r[4] == rows[i][4]]
+        assert got[i] == (("L1", len(same)) if len(same) >= 10 else ("L3", len(past)) if len(past) >= 10 else ("L5", len(past)))
 
 
 BASE = {

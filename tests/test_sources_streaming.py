@@ -47,9 +47,47 @@ def test_every_type_has_a_schema(spark, tmp_path):
 
 
 def test_append_only(spark):
-    before = spark.createDataFrame([("a", 10, "x"), ("b", 10, "y"), ("c", 10, "z"), ("d", 10, "w")], "path string, size long, last_record_id string")
-    now = spark.createDataFrame([("a", 12, ["x", "n"]), ("b", 9, ["y"]), ("c", 12, ["q"])], "path string, size long, record_ids array<string>")
-    assert {r["path"]: r["violation"] for r in facts.append_violations(before, now).collect()} == {"b": "shrunk", "c": "tail_changed", "d": "missing"}
+    before = spark.createDataFrame([("a", 10, "x"), ("b", 10, "y"), ("c", 10, "z"), ("d", 10, "w")], "file string, offset long, last_record_id string")
+    lines = spark.createDataFrame([("a", 10, "x"), ("a", 12, "n"), ("b", 9, "y"), ("c", 10, "q"), ("c", 12, "z")], "file string, stop long, record_id string")
+    assert {r["file"]: r["violation"] for r in facts.append_violations(before, lines).collect()} == {"b": "shrunk", "c": "tail_changed", "d": "missing"}
+
+
+def test_torn_tails_wait_and_bad_lines_reject_files(spark, tmp_path):
+    """A last line without its end is left for later, readable or not; what it was is read once it is complete."""
+    whole = json.dumps(rec("1")) + "\n" + "\n" + json.dumps(rec("2", note="ü")) + "\n"
+    (tmp_path / "a.jsonl").write_text(whole + json.dumps(rec("3"))[:20])
+    (tmp_path / "b.jsonl").write_text(json.dumps(rec("4")))
+    (tmp_path / "c.jsonl").write_text("")
+    out = pipelines.import_facts(spark, str(tmp_path))
+    assert sorted(r["record_id"] for r in out["new"].collect()) == ["1", "2"] and out["rejected"].count() == 0
+    mark = out["checkpoints"].collect()
+    assert [(r["offset"], r["line"], r["last_record_id"]) for r in mark] == [(len(whole.encode()), 3, "2")]
+    stored = spark.createDataFrame(mark, out["checkpoints"].schema)
+    (tmp_path / "a.jsonl").write_text(whole + json.dumps(rec("3")) + "\n")
+    (tmp_path / "b.jsonl").write_text(json.dumps(rec("4")) + "\n{broken\n")
+    later = pipelines.import_facts(spark, str(tmp_path), None, stored)
+    assert sorted(r["record_id"] for r in later["new"].collect()) == ["3"] and later["rejected"].count() == 2 and later["violations"].count() == 0
+    (tmp_path / "a.jsonl").write_text(json.dumps(rec("9")) + "\n")
+    assert [r["violation"] for r in pipelines.import_facts(spark, str(tmp_path), None, stored)["violations"].collect()] == ["shrunk"]
+
+
+def test_lines_keep_their_numbers_in_any_pieces(spark, tmp_path):
+    (tmp_path / "a.jsonl").write_text("".join(json.dumps(rec(str(i), pad="x" * (i % 50))) + "\n" for i in range(3000)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    got = {}
+    for size in ("1m", "20k"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        got[size] = {(r["record_id"], r["line"], r["start"]) for r in facts.scan(spark, str(tmp_path)).collect()}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got["1m"] == got["20k"] and {(i, n) for i, n, _ in got["1m"]} == {(str(i), i + 1) for i in range(3000)}
+
+
+def test_patched_json(spark):
+    df = spark.createDataFrame([('{"a": 1, "b": [1, {"c": "x"}]}',), ('{"a": null}',)], "j string")
+    got = [json.loads(r["p"]) for r in df.select(facts.patched("j", {"a": F.lit("new"), "k": F.lit(2)}).alias("p")).collect()]
+    assert got == [{"a": "new", "b": [1, {"c": "x"}], "k": 2}, {"a": "new", "k": 2}]
+    kept = [json.loads(r["p"]) for r in df.select(facts.patched("j", {"a": F.lit("new"), "k": F.lit(2)}, only_missing=True).alias("p")).collect()]
+    assert kept == [{"a": 1, "b": [1, {"c": "x"}], "k": 2}, {"a": None, "k": 2}]
 
 
 def test_blobs_manifests_and_runs(spark, tmp_path):

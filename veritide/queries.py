@@ -585,7 +585,7 @@ def evidence_hashes(spark: SparkSession, d: str) -> DataFrame:
     return _read(spark, d, "events").groupBy("user_id").agg(ids.set_hash(F.col("event_id").cast("string")).alias("evidence"))
 
 
-@_query()
+@_query("""WITH m AS (SELECT sha256(l_orderkey || '|' || l_linenumber || '|' || l_partkey) AS m FROM lineitem), b AS (SELECT substr(m, 1, 3) AS bucket, sha256(string_agg(m, chr(10) ORDER BY m)) AS h, count(*) AS n FROM m GROUP BY 1) SELECT sha256(string_agg(h, chr(10) ORDER BY bucket)) AS dataset_hash, sum(n)::BIGINT AS members FROM b""")
 def dataset_hash(spark: SparkSession, d: str) -> DataFrame:
     return ids.dataset_hash(_read(spark, d, "lineitem").select(F.concat_ws("|", "l_orderkey", "l_linenumber", "l_partkey").alias("m")), "m")
 
