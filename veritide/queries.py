@@ -580,9 +580,10 @@ def stable_ids(spark: SparkSession, d: str) -> DataFrame:
     return _read(spark, d, "events").select("event_id", ids.stable_id("event", "event_id", "event_type", F.lit(None)).alias("id"))
 
 
-@_query("""SELECT user_id, sha256(string_agg(event_id::VARCHAR, chr(10) ORDER BY event_id::VARCHAR)) AS evidence FROM events GROUP BY user_id""")
+@_query("""SELECT l_orderkey, sha256(string_agg(m, chr(10) ORDER BY m)) AS evidence FROM (SELECT l_orderkey, l_linenumber || '-' || l_partkey || '-' || l_suppkey AS m FROM lineitem) GROUP BY l_orderkey""")
 def evidence_hashes(spark: SparkSession, d: str) -> DataFrame:
-    return _read(spark, d, "events").groupBy("user_id").agg(ids.set_hash(F.col("event_id").cast("string")).alias("evidence"))
+    """The rows behind an assessment are few by nature, as an order's line items are; a set without such a bound is for dataset_hash."""
+    return _read(spark, d, "lineitem").groupBy("l_orderkey").agg(ids.set_hash(F.concat_ws("-", "l_linenumber", "l_partkey", "l_suppkey")).alias("evidence"))
 
 
 @_query("""WITH m AS (SELECT sha256(l_orderkey || '|' || l_linenumber || '|' || l_partkey) AS m FROM lineitem), b AS (SELECT substr(m, 1, 3) AS bucket, sha256(string_agg(m, chr(10) ORDER BY m)) AS h, count(*) AS n FROM m GROUP BY 1) SELECT sha256(string_agg(h, chr(10) ORDER BY bucket)) AS dataset_hash, sum(n)::BIGINT AS members FROM b""")
@@ -590,10 +591,10 @@ def dataset_hash(spark: SparkSession, d: str) -> DataFrame:
     return ids.dataset_hash(_read(spark, d, "lineitem").select(F.concat_ws("|", "l_orderkey", "l_linenumber", "l_partkey").alias("m")), "m")
 
 
-@_query("""WITH f AS (SELECT user_id, event_type, sha256(string_agg(r, chr(10) ORDER BY r)) AS fingerprint, count(*) AS row_count FROM (SELECT user_id, event_type, '{"event_id":"' || event_id || '","value":"x' || (event_id % 3) || '"}' AS r FROM events) GROUP BY 1, 2) SELECT * FROM f""")
+@_query("""SELECT l_orderkey, l_returnflag, sha256(string_agg(r, chr(10) ORDER BY r)) AS fingerprint, count(*) AS row_count FROM (SELECT l_orderkey, l_returnflag, '{"part":"' || l_partkey || '","value":"x' || (l_suppkey % 3) || '"}' AS r FROM lineitem) GROUP BY 1, 2""")
 def fingerprints(spark: SparkSession, d: str) -> DataFrame:
-    e = _read(spark, d, "events").select("user_id", "event_type", "event_id", F.concat(F.lit("x"), F.col("event_id") % 3).alias("value"))
-    return ids.fingerprint(e, ["user_id", "event_type"], ["value", "event_id"])
+    l = _read(spark, d, "lineitem").select("l_orderkey", "l_returnflag", F.col("l_partkey").alias("part"), F.concat(F.lit("x"), F.col("l_suppkey") % 3).alias("value"))
+    return ids.fingerprint(l, ["l_orderkey", "l_returnflag"], ["value", "part"])
 
 
 @_query("""SELECT event_id, CASE WHEN a > 0 THEN round(1 + a / 100, 6) WHEN a < 0 THEN round(1 + 100 / abs(a), 6) END AS decimal_odds, CASE WHEN home > away THEN 0 WHEN home = away THEN 1 ELSE 2 END AS outcome, CASE WHEN value < 7 THEN 'weak' WHEN value < 15 THEN 'moderate' ELSE 'strong' END AS strength
