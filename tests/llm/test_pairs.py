@@ -308,7 +308,7 @@ def test_documents_of_one_passage_are_not_paired(spark):
     rows.append((200, rows[7][1][:3] + [word()] + rows[7][1][4:]))
     texts = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")
     sets = texts.rdd.map(lambda r: (r["doc_id"], [int(x) for b in S.shingle_hashes(r["text"].encode(), 5) for x in b.view(np.int64)])).toDF("id long, set array<long>")
-    members = texts.select(F.lit(1).alias("band"), F.col("doc_id").alias("rep"), F.lit(1).alias("weight"), F.col("doc_id").alias("root"))
+    members = texts.select(F.col("doc_id").alias("rep"), F.col("doc_id").alias("root"))
     assert {tuple(sorted((r["a"], r["b"]))) for r in S._rare(members, sets, 0.8).collect()} == {(7, 200)}
     assert sorted(r["doc_id"] for r in S.keep_one(texts).collect()) == list(range(200))
 
@@ -317,3 +317,23 @@ def test_sieve_leaves_clashing_names_alone(spark):
     docs = spark.createDataFrame([(1, 2, 3), (2, 3, 4)], "doc_id long, _sieve_slot long, sieve_bits long")
     bits = shared.sieve(docs.where("doc_id = 1").select("doc_id"), "doc_id")
     assert [tuple(r) for r in shared.sifted(docs, "doc_id", bits, held=True).collect()] == [(1, 2, 3)]
+
+
+def test_pairs_left_by_the_hub_are_found(spark):
+    """In a bucket, all pairs of similar documents of different components come out, whatever their distance from the hub."""
+    rng = random.Random(15)
+    base = list(range(100))
+    sets = {0: set(base)}
+    for i in range(1, 120):
+        drop = rng.sample(base, rng.choice((3, 8, 10, 14, 20, 45)))
+        sets[i] = set(base) - set(drop) | {1000 * (i // 2) + k for k in range(len(drop) if i % 3 else 2)}
+    jac = lambda x, y: len(x & y) / len(x | y)
+    held = spark.createDataFrame([(i, sorted(v)) for i, v in sets.items()], "id long, set array<long>")
+    pairs = spark.createDataFrame([(i, 0) for i in range(1, 120)], "a long, b long")
+    scored = S._similar(pairs, held, 0.8)
+    assert {(r["a"], round(r["j"], 9), r["ok"]) for r in scored.collect()} == {(i, round(jac(sets[i], sets[0]), 9), jac(sets[i], sets[0]) >= 0.8) for i in range(1, 120)}
+    root = {i: 0 if jac(sets[i], sets[0]) >= 0.8 else i for i in sets}
+    members = spark.createDataFrame([(7, i, 1, r) for i, r in root.items()], "band long, rep long, weight long, root long")
+    got = {tuple(sorted((r["a"], r["b"]))) for r in S._rest(members, spark.createDataFrame([(7, 0)], "band long, rep long"), scored, held, 0.8).collect()}
+    want = {(i, j) for i in sets for j in sets if i < j and root[i] != root[j] and jac(sets[i], sets[j]) >= 0.8}
+    assert want and want <= got

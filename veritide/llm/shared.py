@@ -84,19 +84,18 @@ def sifted(df: DataFrame, col: str, bits: DataFrame, held: bool) -> DataFrame:
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Connected components of an undirected edge table of longs: rows (node, root), root the least node.
 
-    Alternates large-star and small-star steps until the edges stay as they are. Each node's
+    Alternates large-star and small-star steps until the edges are stars. Each node's
     minimum is pre-aggregated and written, so that it is joined back by a join of its own, whose large
     partitions adaptive execution splits: the edges of a hub need not stay in one task. Nodes without an
     edge to another node are not returned; an empty table gives an empty table.
     """
     pairs = edges.where(F.col(a) != F.col(b))
     e = cut(pairs.select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo")).distinct(), "edges")
-    seen = None
     while True:
-        mark = e.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("hi", "lo")).alias("x")).first()
-        if mark == seen or not mark["n"]:
+        # done when no node has two smaller neighbours, or a smaller and a greater one: then all are stars about their least node
+        ends = e.select(F.col("hi").alias("n"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(e.select("lo", F.lit(0), F.lit(1)))
+        if ends.groupBy("n").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 or (up > 0 and down > 0)").isEmpty():
             return e.select(F.col("hi").alias("node"), F.col("lo").alias("root"))
-        seen = mark
         both = e.select(F.col("hi").alias("n"), F.col("lo").alias("nb")).union(e.select("lo", "hi"))
         first = cut(both.groupBy("n").agg(F.min("nb").alias("m")).select("n", F.least("n", "m").alias("m")), "least")
         large = cut(both.join(first, "n").where("nb > n").select(F.col("nb").alias("hi"), F.col("m").alias("lo")).distinct(), "large")

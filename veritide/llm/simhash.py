@@ -77,20 +77,16 @@ def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text
 
 def grid_points(fp: Column, width: int) -> Column:
     """The grid points at Manhattan distance 0 or 1 from the embedding of fp in segments of `width` bits, packed into longs; for 1 the words at most a bit away."""
+    call, long = F.call_function, lambda n: F.lit(n).cast("long")
     if width == 1:
-        return F.array(fp, *(fp.bitwiseXOR(F.lit(_as_long(i))) for i in range(64)))
-    slot = width.bit_length()  # bits for a count of 0 to width: 16 times 3, or 32 times 2
-    counts = [F.bit_count(F.shiftrightunsigned(fp, i * width).bitwiseAND(F.lit(2**width - 1))).cast("long") for i in range(64 // width)]
-    own = reduce(Column.bitwiseOR, (F.shiftleft(c, i * slot) for i, c in enumerate(counts)))
-    moved = lambda i, c, to: own.bitwiseXOR(F.shiftleft(c.bitwiseXOR(to), i * slot))
-    around = [own]
-    for i, c in enumerate(counts):
-        around += [F.when(c < width, moved(i, c, c + 1)), F.when(c > 0, moved(i, c, c - 1))]
-    return F.array_compact(F.array(*around))
-
-
-def _as_long(bit: int) -> int:
-    return 1 << bit if bit < 63 else -(1 << 63)
+        return F.concat(F.array(fp), F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: fp.bitwiseXOR(call("shiftleft", long(1), i))))
+    slot, segments = width.bit_length(), F.sequence(F.lit(0), F.lit(64 // width - 1))  # bits for a count of 0 to width: 16 times 3, or 32 times 2
+    count = lambda i: F.bit_count(call("shiftrightunsigned", fp, i * width).bitwiseAND(long(2**width - 1))).cast("long")
+    own = F.aggregate(segments, long(0), lambda a, i: a.bitwiseOR(call("shiftleft", count(i), i * slot)))
+    step = lambda i, up: call("shiftleft", count(i).bitwiseXOR(count(i) + (1 if up else -1)), i * slot)  # noqa: E731  what a count one higher or lower changes
+    steps = F.flatten(F.transform(segments, lambda i: F.array(F.when(count(i) < width, step(i, True)), F.when(count(i) > 0, step(i, False)))))
+    moves = F.concat(F.array(long(0)), F.array_compact(steps))
+    return F.flatten(F.transform(F.array(own), lambda o: F.transform(moves, lambda x: o.bitwiseXOR(x))))  # own is worked out once
 
 
 def links(fps: DataFrame, max_distance: int = 2) -> DataFrame:
@@ -188,8 +184,9 @@ def similar_links(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, ma
     with 0.99). A bucket's documents are compared with a hub, the one that meets most others
     over all its buckets: of an original and its copies that is the original. Buckets that still have documents
     of several components are compared with HUBS more. Documents of buckets that are in several components even
-    then go through an exact join: shingles are ordered from the rarest, and any two similar
-    sets share one among the first that make up 1 - similarity of either (prefix filter). Documents
+    then are paired exactly: those far from the hub with near ones as the triangle inequality allows, and far ones with each other
+    by a prefix filter: shingles are ordered from the rarest, and any two similar
+    sets share one among the first that make up 1 - similarity of either. Documents
     that merely share a common passage are not paired there, as its shingles come last. So no pair of a bucket
     is lost, and none needs all pairs of a bucket. All candidates are verified on their whole sets of
     shingles. Rows without an id take no part.
@@ -235,15 +232,16 @@ def _unlike_links(docs: DataFrame, shingle: int, similarity: float, max_distance
     used = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     near_rows = sifted(rows, "id", sieve(used, "id"), held=True).join(used, "id", "left_semi")
     held = cut(near_rows.mapInArrow(sets, "id long, set array<long>"), "sets")
-    found = cut(_similar(pairs, held, similarity), "links")
+    scored = cut(_similar(pairs, held, similarity), "scored")
+    found = scored.where("ok").select("a", "b")
     for last in (False, True):
         live = cut(_rooted(live, found), "members")
         split = live.groupBy("band").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least < most").select("band")
         live = cut(live.join(split, "band", "left_semi"), "members")
         if live.isEmpty():
             return found
-        pairs = _rare(live, held, similarity) if last else _met(live, _hubs(live, HUBS))
-        found = found.union(cut(_similar(cut(ordered(pairs), "candidates"), held, similarity), "links"))
+        pairs = _rest(live, hubs, scored, held, similarity) if last else _met(live, _hubs(live, HUBS))
+        found = found.union(cut(_similar(cut(ordered(pairs), "candidates"), held, similarity).where("ok").select("a", "b"), "links"))
     return found
 
 
@@ -259,20 +257,35 @@ def _hubs(members: DataFrame, n: int) -> DataFrame:
     return members.groupBy("band", part).agg(F.max_by("rep", F.struct("weight", -F.col("rep"))).alias("rep")).select("band", "rep")
 
 
-def _rare(members: DataFrame, held: DataFrame, similarity: float) -> DataFrame:
-    """Pairs (a, b) of different components that share a rare shingle and may be similar, one of them outside the main component of a bucket."""
-    mains = members.groupBy("band", "root").agg(F.count("*").alias("n")).groupBy("band").agg(F.max_by("root", F.struct("n", "root")).alias("main"))
-    docs = cut(members.join(mains, "band").groupBy("rep").agg(F.min("root").alias("root"), F.bool_or(F.col("root") != F.col("main")).alias("apart")), "apart")
-    sets = held.join(docs, F.col("id") == F.col("rep")).select("id", "root", "apart", F.size("set").alias("n"), "set")
-    shingles = cut(sets.select("id", "root", "apart", "n", F.explode("set").alias("s")), "shingles")
+def _rest(members: DataFrame, hubs: DataFrame, scored: DataFrame, held: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of different components of a bucket that may be similar, though not both are similar to its hub.
+
+    Jaccard distance is a metric, and all members were compared with the hub. A member far from it can be similar to a near
+    one only if their distances to the hub differ by at most 1 - similarity; two far ones share a rare shingle.
+    """
+    both = scored.select(F.col("a").alias("rep"), F.col("b").alias("hub"), "j", "ok").union(scored.select("b", "a", "j", "ok"))
+    placed = members.join(hubs.withColumnRenamed("rep", "hub"), "band").join(both, ["rep", "hub"], "left")
+    near = F.col("ok") | (F.col("rep") == F.col("hub"))
+    placed = cut(placed.select("rep", "root", "hub", F.coalesce("j", F.lit(1.0)).alias("j"), F.coalesce(near, F.lit(False)).alias("near")).distinct(), "placed")
+    limit = 1 - similarity + 1e-9
+    far = placed.where(~F.col("near") & (1 - F.col("j") <= 2 * limit)).select("hub", F.col("rep").alias("a"), "root", "j")
+    other = placed.where("near").select("hub", F.col("rep").alias("b"), F.col("root").alias("root_b"), F.col("j").alias("j_b"))
+    beside = far.join(other, "hub").where((F.col("root") != F.col("root_b")) & (F.col("j_b") - F.col("j") <= limit)).select("a", "b")
+    return beside.union(_rare(placed.where("not near").groupBy("rep").agg(F.min("root").alias("root")), held, similarity))
+
+
+def _rare(docs: DataFrame, held: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of docs (rep, root) of different components that share a rare shingle and may be similar: a prefix filter, from the rarest shingle on."""
+    sets = held.join(docs, F.col("id") == F.col("rep")).select("id", "root", F.size("set").alias("n"), "set")
+    shingles = cut(sets.select("id", "root", "n", F.explode("set").alias("s")), "shingles")
     often = cut(shingles.groupBy("s").agg(F.count("*").alias("df")).where("df > 1"), "often")
     # a document's shingles that no other has come first in its order, and cannot be shared
-    mine = shingles.join(often, "s").groupBy("id").agg(F.first("root").alias("root"), F.first("apart").alias("apart"), F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("df", "s"))).alias("shared"))
+    mine = shingles.join(often, "s").groupBy("id").agg(F.first("root").alias("root"), F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("df", "s"))).alias("shared"))
     length = F.col("n") - F.ceil(similarity * F.col("n")) + 1 - (F.col("n") - F.size("shared"))
-    rare = cut(mine.where(length > 0).select("id", "root", "apart", "n", F.explode(F.slice("shared", F.lit(1), length.cast("int"))).alias("x")).select("id", "root", "apart", "n", "x.s"), "rare")
+    rare = cut(mine.where(length > 0).select("id", "root", "n", F.explode(F.slice("shared", F.lit(1), length.cast("int"))).alias("x")).select("id", "root", "n", "x.s"), "rare")
     other = rare.select("s", F.col("id").alias("b"), F.col("root").alias("root_b"), F.col("n").alias("n_b"))
     sized = (F.col("n") >= similarity * F.col("n_b")) & (F.col("n_b") >= similarity * F.col("n"))
-    return rare.where("apart").join(other, "s").where((F.col("root") != F.col("root_b")) & sized).select(F.col("id").alias("a"), "b")
+    return rare.join(other, "s").where((F.col("id") > F.col("b")) & (F.col("root") != F.col("root_b")) & sized).select(F.col("id").alias("a"), "b")
 
 
 def _met(members: DataFrame, hubs: DataFrame) -> DataFrame:
@@ -282,10 +295,11 @@ def _met(members: DataFrame, hubs: DataFrame) -> DataFrame:
 
 
 def _similar(pairs: DataFrame, held: DataFrame, similarity: float) -> DataFrame:
-    """The pairs whose sets of shingles are similar."""
+    """(a, b, j, ok): the Jaccard similarity of the pairs' sets of shingles, and whether it is enough."""
     both = pairs.join(held.select(F.col("id").alias("a"), F.col("set").alias("x")), "a").join(held.select(F.col("id").alias("b"), F.col("set").alias("y")), "b")
-    shared = F.size(F.array_intersect("x", "y"))
-    return both.where(shared >= similarity * (F.size("x") + F.size("y") - shared)).select("a", "b")
+    counts = both.select("a", "b", F.size(F.array_intersect("x", "y")).alias("shared"), (F.size("x") + F.size("y")).alias("sum"))
+    union = F.col("sum") - F.col("shared")
+    return counts.select("a", "b", F.when(union > 0, F.col("shared") / union).otherwise(1.0).alias("j"), (F.col("shared") >= similarity * union).alias("ok"))
 
 
 def keep_one(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, max_distance: int = 2) -> DataFrame:
