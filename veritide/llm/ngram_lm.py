@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 from veritide.llm.shared import shared_path
 
 #: Bytes of text for each shard; tokens that are added up together; words and ids a worker remembers.
-SHARD_BYTES, BUFFER, REMEMBERED = 8 << 20, 3 << 20, 500_000
+SHARD_BYTES, BUFFER, REMEMBERED = 8 << 20, 5 << 19, 300_000
 #: Rows of a context in one shard before it is split, and the most words that are listed as frequent.
 SPLIT, FREQUENT = 1 << 18, 1 << 20
 #: N-grams in a bucket of a stored shard, on average at most.
@@ -397,9 +397,11 @@ def _count_grams(folder: str, order: int, words: list[int], dealing: Dealing):
 
         def give() -> Iterator[pa.RecordBatch]:
             cols = [np.concatenate(c) for c in zip(*held, strict=True)]
+            held.clear()
             by, first = grouped(cols)
-            counts = np.diff(first, append=len(by)).astype(np.uint64)
-            yield from _deal_grams([c[by[first]].astype(np.uint64) for c in cols], [counts], dealing)
+            counts, by = np.diff(first, append=len(by)).astype(np.uint64), by[first]
+            cols = [c[by] for c in cols]  # what came before is freed
+            yield from _deal_grams(cols, [counts], dealing)
 
         for batch in batches:
             for sizes, own in _texts(batch, 0, 1 << 18):
@@ -412,7 +414,6 @@ def _count_grams(folder: str, order: int, words: list[int], dealing: Dealing):
                 n += len(own)
                 if n >= BUFFER:
                     yield from give()
-                    held.clear()
                     n = 0
         if held:
             yield from give()
@@ -422,7 +423,7 @@ def _count_grams(folder: str, order: int, words: list[int], dealing: Dealing):
 
 def _deal_grams(cols: list[np.ndarray], values: list[np.ndarray], dealing: Dealing) -> Iterator[pa.RecordBatch]:
     """Sorted n-grams with their values, as rows of SHUFFLED. Columns of a row: two first ids together, further ids, values."""
-    key = cols[0] << np.uint64(32) | cols[1] if len(cols) > 1 else cols[0]
+    key = cols[0].astype(np.uint64) << np.uint64(32) | cols[1] if len(cols) > 1 else cols[0]
     shard = dealing.shard(cols) if len(cols) > 1 else (mixed(cols[0] >> np.uint64(12)) % np.uint64(dealing.shards)).astype(np.int64)
     yield from dealt(shard, [key, *cols[2:]], values, len(cols), BUFFER)
 
