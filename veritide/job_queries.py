@@ -103,6 +103,84 @@ def normalised_odds(spark: SparkSession, d: str) -> DataFrame:
     return long.groupBy("cohort", "bookmaker").agg(F.count("*").alias("n"), F.round(F.sum(F.col("prices")[0]), 2).alias("home"))
 
 
+@_query("""WITH c AS (SELECT user_id % 40 AS path, event_type, count(*) AS n FROM events GROUP BY 1, 2), g AS (SELECT path, sum(n) AS lines FROM c GROUP BY 1), m AS (SELECT DISTINCT user_id % 45 AS path FROM events)
+SELECT m.path, array_to_string(list_filter([CASE WHEN m.path % 11 = 0 THEN 'status' END, CASE WHEN lines IS NULL THEN 'missing_file' END, CASE WHEN m.path % 5 <> 0 AND (lines IS NULL OR m.path % 7 = 0) THEN 'sha256' END, CASE WHEN m.path % 5 <> 0 AND (lines IS NULL OR m.path % 4 = 0) THEN 'lines' END, CASE WHEN m.path % 5 <> 0 AND (lines IS NULL OR m.path % 3 = 0) THEN 'types' END], lambda x: x IS NOT NULL), ',') AS failed FROM m LEFT JOIN g ON g.path = m.path""")
+def published_batches(spark: SparkSession, d: str) -> DataFrame:
+    """Manifests of batches against their content: some with a wrong status, hash, line count or type count, some of files that are gone; every fifth is of the old kind without a hash."""
+    e = _read(spark, d, "events")
+    content = e.select((F.col("user_id") % 40).alias("path"), F.concat(F.lit("h"), F.col("user_id") % 40).alias("sha256"), F.col("event_type").alias("record_type"))
+    k = F.col("path")
+    types = content.groupBy("path", "record_type").agg(F.count("*").alias("n")).groupBy("path").agg(F.sum("n").alias("lines"), F.map_from_entries(F.sort_array(F.collect_list(F.struct("record_type", "n")))).alias("types"))
+    m = e.select((F.col("user_id") % 45).alias("path")).distinct().join(types, "path", "left")
+    off = F.transform_values("types", lambda _, n: n + F.when(k % 3 == 0, 1).otherwise(0))
+    m = m.select("path", F.when(k % 11 == 0, "failed").otherwise("completed").alias("status"), F.when(k % 5 != 0, F.concat(F.when(k % 7 == 0, "x").otherwise("h"), k)).alias("sha256"), (F.coalesce("lines", F.lit(1)) + F.when(k % 4 == 0, 1).otherwise(0)).alias("lines"), F.coalesce(off, F.create_map(F.lit("z"), F.lit(1).cast("long"))).alias("types"))
+    return facts.batch_gate(m, content).select("path", F.array_join("failed", ",").alias("failed"))
+
+
+@_query("""SELECT sha256(text) AS sha256, count(*) AS observations, min(doc_id) AS first_doc FROM documents WHERE text IS NOT NULL GROUP BY 1""")
+def content_catalogue(spark: SparkSession, d: str) -> DataFrame:
+    """Each text once by its hash, and who observed it."""
+    cat, seen = facts.content_catalogue(_read(spark, d, "documents").where("text is not null"), "text")
+    return cat.select("sha256", "observations").join(seen.groupBy("sha256").agg(F.min("doc_id").alias("first_doc")), "sha256")
+
+
+@_query("""SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS n, sum(event_id)::BIGINT AS keys FROM events GROUP BY 1""")
+def days_written(spark: SparkSession, d: str) -> DataFrame:
+    """Events published once as a run, appended by day, and read again by their folders."""
+    out, runs = _folder(spark), _folder(spark)
+    e = _read(spark, d, "events").select("event_id", "ts")
+    said = [facts.write_once(e, runs, "r1", "event_id") for _ in range(2)]
+    if said != ["written", "unchanged"]:
+        raise ValueError(said)
+    facts.append_by_day(facts.read_runs(spark, runs).drop("run_id"), out, "ts")
+    got = spark.read.option("basePath", out).schema("event_id long, ts timestamp, yyyy string, mm string, dd string").parquet(out)
+    return got.groupBy(F.concat_ws("-", "yyyy", "mm", "dd").alias("day")).agg(F.count("*").alias("n"), F.sum("event_id").alias("keys"))
+
+
+@_query("""WITH r AS (SELECT o_orderkey AS k, o_orderkey % 9 <> 0 AS id, o_custkey % 6 - 1 AS h, o_custkey % 4 AS a FROM orders), j AS (SELECT r.*, CASE WHEN k % 3 = 0 THEN CASE WHEN k % 2 = 0 THEN h ELSE h + 1 END END AS old FROM r)
+SELECT k AS fixture_id, CASE WHEN NOT id OR h < 0 THEN 'rejected' WHEN old IS NULL THEN 'imported' WHEN old <> h THEN 'conflict' END AS part FROM j WHERE NOT (id AND h >= 0 AND old IS NOT NULL AND old = h) AND NOT (NOT id)
+UNION ALL SELECT NULL, 'rejected' FROM r WHERE NOT id""")
+def manual_results(spark: SparkSession, d: str) -> DataFrame:
+    k, h = F.col("o_orderkey"), F.col("o_custkey") % 6 - 1
+    o = _read(spark, d, "orders")
+    rows = o.select(F.when(k % 9 == 0, F.concat(F.lit("x"), k)).otherwise(k.cast("string")).alias("fixture_id"), h.cast("string").alias("home_goals"), (F.col("o_custkey") % 4).cast("string").alias("away_goals"))
+    old = o.where("o_orderkey % 3 = 0").select(k.alias("fixture_id"), F.when(k % 2 == 0, h).otherwise(h + 1).cast("int").alias("home_goals"), (F.col("o_custkey") % 4).cast("int").alias("away_goals"))
+    parts = zip(("imported", "conflict", "rejected"), odds_files.manual_results(rows, old), strict=True)
+    return reduce(DataFrame.unionByName, (df.select("fixture_id", F.lit(name).alias("part")) for name, df in parts))
+
+
+@_query("""SELECT o_orderkey AS fixture_key, o_orderstatus = 'F' AS result_eligible, CASE WHEN o_orderstatus = 'F' THEN 'regular_time_90' ELSE 'ambiguous' END AS result_scope, o_orderstatus <> 'F' AS event FROM orders""")
+def tournament_rows(spark: SparkSession, d: str) -> DataFrame:
+    o = _read(spark, d, "orders").select(F.col("o_orderkey").alias("fixture_key"), F.when(F.col("o_orderstatus") == "F", "90 minutes").when(F.col("o_orderstatus") == "O", "after extra time").alias("Finished"))
+    rows, events = odds_files.tournament_rows(o)
+    keys = events.select(F.get_json_object("details", "$.fixture_record_id").cast("long").alias("fixture_key"), F.lit(True).alias("event"))
+    return rows.join(keys, "fixture_key", "left").select("fixture_key", "result_eligible", "result_scope", F.coalesce("event", F.lit(False)).alias("event"))
+
+
+@_query("""WITH t AS (SELECT conv_id, count(*) AS n, max(turn) AS pages FROM conversations GROUP BY 1) SELECT c.conv_id, c.turn, c.role, greatest(CASE WHEN c.conv_id % 3 = 2 THEN 1 ELSE t.pages END, 1)::INT AS total_pages FROM conversations c JOIN t USING (conv_id)""")
+def feed_pages(spark: SparkSession, d: str) -> DataFrame:
+    """Turns of a conversation as the rows of a feed body, under different keys."""
+    c = _read(spark, d, "conversations").groupBy("conv_id").agg(F.collect_list(F.struct(F.col("turn").cast("string").alias("turn"), "role")).alias("rows"), F.max("turn").alias("pages"))
+    k = F.col("conv_id") % 3
+    body = F.when(k == 0, F.to_json(F.struct(F.struct(F.col("rows").alias("matchResult"), F.col("pages").alias("totalPages")).alias("value")))).when(k == 1, F.to_json(F.struct("rows", "pages"))).otherwise(F.to_json(F.struct(F.col("rows").alias("list"))))
+    f = odds_files.feed_rows(c.select("conv_id", body.alias("body")))
+    return f.select("conv_id", F.col("row")["turn"].cast("long").alias("turn"), F.col("row")["role"].alias("role"), "total_pages")
+
+
+@_query("""WITH h AS (SELECT event_id, user_id, date_trunc('minute', ts) AS kick, (event_id % 701 - 350)::INT AS o FROM events), p AS (SELECT event_id, user_id, kick, o, kick - to_days((event_id % 40)::INT) AS seen FROM h), g AS (SELECT *, CASE WHEN event_id % 40 <= 30 THEN CASE WHEN event_id % 2 = 0 THEN 'validated' ELSE 'year_corrected' END ELSE 'quarantined' END AS st FROM p)
+SELECT event_id, CASE WHEN st <> 'quarantined' THEN seen END AS seen_at, st AS time_status, CASE WHEN o > 0 THEN round(1 + o / 100, 6) WHEN o < 0 THEN round(1 + 100 / abs(o), 6) END AS odds, st = 'quarantined' OR o = 0 AS quarantined FROM g WHERE NOT (month(seen) = 2 AND day(seen) = 29)""")
+def odds_points(spark: SparkSession, d: str) -> DataFrame:
+    """Points of nested odds histories; every second has a year too late, some are older than a month."""
+    k = F.col("event_id")
+    e = _read(spark, d, "events").withColumn("kickoff", F.date_trunc("minute", "ts")).withColumn("own", F.col("kickoff") - F.make_dt_interval((k % 40).cast("int"))).where("NOT (month(own) = 2 AND day(own) = 29)")
+    point = F.struct(F.when(k % 2 == 0, F.col("own")).otherwise(F.col("own") + F.expr("INTERVAL 2 YEAR")).alias("timestamp"), (k % 701 - 350).cast("int").alias("odds"))
+    group = F.struct(F.array(point).alias("history"), F.lit(None).cast("struct<timestamp:timestamp,odds:int>").alias("opening"))
+    nested = e.select(k.cast("string").alias("match_id"), "kickoff", F.array(F.struct(F.lit("1x2").alias("market"), F.array(F.struct(F.lit("b").alias("bookmaker"), F.lit("full").alias("period"), F.array(group).alias("groups"))).alias("rows"))).alias("markets"))
+    good, bad = odds_files.odds_history(nested)
+    shown = lambda df, flag: df.select(F.col("match_id").cast("long").alias("event_id"), F.col("at").alias("seen_at"), "time_status", "odds", F.lit(flag).alias("quarantined"))
+    return shown(good, False).unionByName(shown(bad, True))
+
+
 # --- parsing -------------------------------------------------------------------------------------------------------
 
 

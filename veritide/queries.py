@@ -351,9 +351,9 @@ def latest_per_user(spark: SparkSession, d: str) -> DataFrame:
     return versions.latest(_read(spark, d, "events"), ["user_id"], ["ts", "event_id"]).select("user_id", "event_id", "event_type", "value")
 
 
-@_query("""SELECT user_id, event_type, event_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS rn FROM events WHERE value > 1) WHERE rn <= 3""")
+@_query("""SELECT user_id, event_type, event_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn <= 3""")
 def top_three(spark: SparkSession, d: str) -> DataFrame:
-    return versions.top_k(_read(spark, d, "events").where("value > 1"), ["user_id", "event_type"], ["ts", "event_id"], 3).select("user_id", "event_type", "event_id")
+    return versions.top_k(_read(spark, d, "events"), ["user_id", "event_type"], ["ts", "event_id"], 3).select("user_id", "event_type", "event_id")
 
 
 @_query("""WITH n AS (SELECT user_id, event_id, event_type, ts, lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS until FROM events), m AS (SELECT max(ts) - INTERVAL 7 DAY AS now FROM events)
@@ -370,11 +370,11 @@ def unanimous_lines(spark: SparkSession, d: str) -> DataFrame:
     return versions.unanimous(_read(spark, d, "lineitem"), ["l_orderkey", "l_suppkey"], ["l_returnflag", "l_linestatus"])
 
 
-@_query("""WITH c AS (SELECT l_orderkey, l_suppkey, count(DISTINCT (l_discount, l_tax)) AS n FROM lineitem GROUP BY 1, 2)
-SELECT 'kept' AS part, count(*) AS n FROM c WHERE n = 1 UNION ALL SELECT 'conflict', count(*) FROM c WHERE n > 1""")
+@_query("""WITH c AS (SELECT l_orderkey, l_suppkey, count(DISTINCT (l_discount, l_tax)) AS n, arg_min(l_partkey, (l_linenumber, l_partkey, l_quantity)) AS part FROM lineitem GROUP BY 1, 2)
+SELECT l_orderkey, l_suppkey, CASE WHEN n = 1 THEN part END AS kept_part, n > 1 AS conflict FROM c""")
 def deduplicated(spark: SparkSession, d: str) -> DataFrame:
     kept, bad = versions.deduplicate(_read(spark, d, "lineitem"), ["l_orderkey", "l_suppkey"], ["l_discount", "l_tax"], ["l_linenumber", "l_partkey", "l_quantity"])
-    return kept.agg(F.lit("kept").alias("part"), F.count("*").alias("n")).unionByName(bad.agg(F.lit("conflict").alias("part"), F.count("*").alias("n")))
+    return kept.select("l_orderkey", "l_suppkey", F.col("l_partkey").alias("kept_part"), F.lit(False).alias("conflict")).unionByName(bad.select("l_orderkey", "l_suppkey", F.lit(None).cast("long").alias("kept_part"), F.lit(True).alias("conflict")))
 
 
 @_query("""WITH x AS (SELECT user_id, event_type FROM (SELECT DISTINCT user_id, event_type, value > 50 AS v FROM events) GROUP BY 1, 2 HAVING count(*) > 1)
@@ -403,16 +403,16 @@ def series_states(spark: SparkSession, d: str) -> DataFrame:
     return s.select("user_id", "event_type", "n", F.array_join("states", ",").alias("states"))
 
 
-@_query("""SELECT count(*) AS n, sum(event_id)::BIGINT AS ids FROM events e WHERE NOT EXISTS (SELECT 1 FROM events x WHERE x.event_type = 'error' AND x.value > 200 AND x.user_id = e.user_id)""")
+@_query("""SELECT event_id FROM events e WHERE NOT EXISTS (SELECT 1 FROM events x WHERE x.event_type = 'error' AND x.value > 200 AND x.user_id = e.user_id)""")
 def invalidated(spark: SparkSession, d: str) -> DataFrame:
     e = _read(spark, d, "events")
-    return versions.without(e, states.invalidated(e.where("value > 200"), "user_id", "error"), ["user_id"]).agg(F.count("*").alias("n"), F.sum("event_id").alias("ids"))
+    return versions.without(e, states.invalidated(e.where("value > 200"), "user_id", "error"), ["user_id"]).select("event_id")
 
 
-@_query("""SELECT count(*) AS n, sum(o_orderkey)::BIGINT AS keys FROM orders o WHERE NOT EXISTS (SELECT 1 FROM orders x WHERE x.o_orderstatus = 'F' AND x.o_orderkey + 1 = o.o_orderkey)""")
+@_query("""SELECT o_orderkey FROM orders o WHERE NOT EXISTS (SELECT 1 FROM orders x WHERE x.o_orderstatus = 'F' AND x.o_orderkey + 1 = o.o_orderkey)""")
 def not_superseded(spark: SparkSession, d: str) -> DataFrame:
     o = _read(spark, d, "orders").withColumn("supersedes", F.col("o_orderkey") + 1)
-    return versions.not_superseded(o, "o_orderkey", "supersedes", F.col("o_orderstatus") == "F").agg(F.count("*").alias("n"), F.sum("o_orderkey").alias("keys"))
+    return versions.not_superseded(o, "o_orderkey", "supersedes", F.col("o_orderstatus") == "F").select("o_orderkey")
 
 
 @_query(f"""WITH {_Q}, k AS (SELECT q.*, kickoff - INTERVAL 1 DAY AS cutoff, observed_at + INTERVAL 3 DAY AS corrected_at, kickoff FROM q JOIN fx USING (fixture))
@@ -632,8 +632,8 @@ def duplicate_keys(spark: SparkSession, d: str) -> DataFrame:
     return contracts.duplicates(_read(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
-@_query("""SELECT count(*) AS n FROM orders o WHERE o_orderstatus <> 'P' AND NOT EXISTS (SELECT 1 FROM events e WHERE e.event_type = 'error' AND json_extract_string(e.props, '$.k')::BIGINT = o.o_orderkey)""")
+@_query("""SELECT o_orderkey::VARCHAR AS id FROM orders o WHERE o_orderstatus <> 'P' AND NOT EXISTS (SELECT 1 FROM events e WHERE e.event_type = 'error' AND json_extract_string(e.props, '$.k')::BIGINT = o.o_orderkey)""")
 def eligible_fixtures(spark: SparkSession, d: str) -> DataFrame:
     o = _read(spark, d, "orders").select(F.col("o_orderkey").cast("string").alias("id"), (F.col("o_orderstatus") != "P").alias("result_eligible"), F.lit("regular_time_90").alias("result_scope"))
     e = _read(spark, d, "events").select(F.when(F.col("event_type") == "error", "failed").otherwise("ok").alias("status"), F.to_json(F.struct(F.get_json_object("props", "$.k").alias("fixture_record_id"))).alias("details"))
-    return contracts.eligible_fixtures(o, e, "id").agg(F.count("*").alias("n"))
+    return contracts.eligible_fixtures(o, e, "id").select("id")
