@@ -2,8 +2,8 @@
 
 Tokens are white-space words in lower case (A-Z) and one end for each text; a text begins with
 order - 1 start tokens. Counting takes two passes over the texts:
-1. Words: tasks add up 64-bit hashes of their words; each shard of hashes is sorted and written. A
-   word's id is its rank among all hashes.
+1. Words: tasks add up 64-bit hashes of their words; each shard of hashes is sorted and written. Ids count
+   from the frequent words on (by powers of 2, then by hash), so most ids are small and pack well.
 2. N-grams: tasks add up id tuples. Then one shuffle for each order, from the highest down: a shard
    sums its n-grams, writes them, and passes on what the order below needs: for each n-gram without its first
    word one more left neighbour, and for each without its last word the number of times it went on,
@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 from veritide.llm.shared import shared_path
 
 #: Bytes of text for each shard; tokens that are added up together; words and ids a worker remembers.
-SHARD_BYTES, BUFFER, REMEMBERED = 8 << 20, 5 << 19, 300_000
+SHARD_BYTES, BUFFER, REMEMBERED = 8 << 20, 3 << 19, 300_000
 #: Rows of a context in one shard before it is split, and the most words that are listed as frequent.
 SPLIT, FREQUENT = 1 << 18, 1 << 20
 #: N-grams in a bucket of a stored shard, on average at most.
@@ -213,14 +213,18 @@ class Shard:
         return self.rows[np.where(hit, self.codes[place], len(self.rows) - 1)]
 
 
+def power(counts: np.ndarray) -> np.ndarray:
+    """The number of bits of each count."""
+    return np.frexp(counts.astype(float))[1].astype(np.int64)
+
+
 class Words:
     """Ids and counts of words, by mapped arrays and a bounded memory. Unknown words have id -1 and count 0."""
 
-    def __init__(self, folder: str, sizes: list[int], more=None) -> None:
-        """more: gives further columns of ids, which are remembered too."""
-        self.look = more
-        self.folder, self.shift = folder, np.uint64(64 - (len(sizes) - 1).bit_length())
-        self.starts = np.concatenate(([0], np.cumsum(sizes))).astype(np.int64)
+    def __init__(self, folder: str, bases: np.ndarray, more=None) -> None:
+        """bases: by shard and power of the count, the first id, -1 for shards without words. more: gives further columns of ids, which are remembered too."""
+        self.look, self.folder, self.bases = more, folder, bases
+        self.shift = np.uint64(64 - (len(bases) - 1).bit_length())
         self.shards: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         self.clear()
 
@@ -228,6 +232,14 @@ class Words:
         self.known: dict[bytes, int] = {}
         self.ids, self.counts, self.more = np.zeros(0, np.int64), np.zeros(0, np.int64), None
 
+    def shrink(self) -> None:
+        """Forget all but the most frequent half of what may be remembered."""
+        kept = np.argsort(-self.counts, kind="stable")[: REMEMBERED // 2]
+        names = list(self.known)  # in the order of their places
+        self.known = {names[i]: k for k, i in enumerate(kept.tolist())}
+        self.ids, self.counts = self.ids[kept], self.counts[kept]
+        self.more = None if self.more is None else self.more[kept]
+
     def find(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         keys = digests(words)
         shard = (keys >> self.shift).astype(np.int64) if self.shift < 64 else np.zeros(len(keys), np.int64)
@@ -235,14 +247,16 @@ class Words:
         order, edges = by_shard(shard)
         for at in np.split(order, edges[1:-1]) if len(order) else []:
             s = int(shard[at[0]])
-            if self.starts[s] == self.starts[s + 1]:
+            if self.bases[s, 0] < 0:
                 continue
             if s not in self.shards:
-                self.shards[s] = tuple(np.load(f"{self.folder}/words-{s}.{x}.npy", mmap_mode="r") for x in ("keys", "counts"))
-            stored, n = self.shards[s]
+                self.shards[s] = tuple(np.asarray(np.load(f"{self.folder}/words-{s}.{x}.npy", mmap_mode="r")) for x in ("keys", "counts", "ranks"))
+            stored, n, ranks = self.shards[s]
             place = np.minimum(np.searchsorted(stored, keys[at]), len(stored) - 1)
             hit = stored[place] == keys[at]
-            ids[at[hit]], counts[at[hit]] = place[hit] + self.starts[s], n[place[hit]]
+            place, own = place[hit], at[hit]
+            counts[own] = n[place]
+            ids[own] = self.bases[s, power(counts[own])] + ranks[place]
         return ids, counts
 
     def places(self, words: list[bytes]) -> np.ndarray:
@@ -251,8 +265,8 @@ class Words:
         missing = np.flatnonzero(found < 0)
         if len(missing):
             new = list({words[i] for i in missing.tolist()})
-            if len(self.known) + len(new) > REMEMBERED and self.known:
-                self.clear()
+            if len(self.known) + len(new) > REMEMBERED and len(self.known) > REMEMBERED // 2:
+                self.shrink()
                 return self.places(words)
             self.known.update(zip(new, range(len(self.ids), len(self.ids) + len(new)), strict=True))
             ids, counts = self.find(new)
@@ -312,17 +326,14 @@ class Model:
 
     folder: str
     order: int
-    words: list[int]  # by shard
+    size: int  # distinct words
+    bases: np.ndarray  # see Words
     train_tokens: int
     dealing: Dealing
     discounts: list[tuple[float, float, float]]  # by level from 1
     neighbours: int  # distinct left neighbours, over all words
     low_mass: float
 
-    @property
-    def size(self) -> int:
-        return sum(self.words)
-
 
 def discounts(n: list[int]) -> tuple[float, float, float]:
     """Modified Kneser-Ney discounts from the numbers of things counted 1, 2, 3 and 4 times; 0.5, 1, 1.5 where these say nothing."""
@@ -373,7 +384,7 @@ def _gathered(batches: Iterator[pa.RecordBatch]) -> tuple[int | None, list[np.nd
 
 
 def _write_words(folder: str, split: int):
-    """A task that writes a shard of words; tells their number, occurrences, and frequent ones by rank."""
+    """A task that writes a shard of words; tells (kind, n, rank): the words of each power of 2 (-1 - power), occurrences (-100), and frequent words (power, count, rank in it)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, cols, _ = _gathered(batches)
@@ -382,18 +393,24 @@ def _write_words(folder: str, split: int):
             keys, counts = cols[0][order[first]], np.add.reduceat(cols[1][order].astype(np.int64), first)
             save(f"{folder}/words-{shard}.keys", keys)
             save(f"{folder}/words-{shard}.counts", counts.astype(np.min_scalar_type(int(counts.max()))))
+            bits = power(counts)
+            order, edges = by_shard(bits)
+            ranks = np.empty(len(keys), np.uint32)
+            for at in np.split(order, edges[1:-1]):
+                ranks[at] = np.arange(len(at))
+            save(f"{folder}/words-{shard}.ranks", ranks)
             often = np.flatnonzero(counts >= split)
-            rows = [(shard, -1, len(keys)), (shard, -2, int(counts.sum())), *((shard, int(i), int(counts[i])) for i in often)]
-            yield pa.RecordBatch.from_pylist([dict(zip(("shard", "rank", "n"), r, strict=True)) for r in rows], pa.schema([("shard", pa.int32()), ("rank", pa.int64()), ("n", pa.int64())]))
+            rows = [(shard, -1 - k, int(n), 0) for k, n in enumerate(np.bincount(bits)) if n] + [(shard, -100, int(counts.sum()), 0)] + [(shard, int(bits[i]), int(counts[i]), int(ranks[i])) for i in often]
+            yield pa.RecordBatch.from_pylist([dict(zip(("shard", "kind", "n", "rank"), r, strict=True)) for r in rows], pa.schema([("shard", pa.int32()), ("kind", pa.int32()), ("n", pa.int64()), ("rank", pa.int64())]))
 
     return run
 
 
-def _count_grams(folder: str, order: int, words: list[int], dealing: Dealing):
+def _count_grams(folder: str, order: int, size: int, bases: np.ndarray, dealing: Dealing):
     """A task that tells its n-grams and their counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, start, held, n = Words(folder, words), sum(words), [], 0
+        vocabulary, start, held, n = Words(folder, bases), size, [], 0
 
         def give() -> Iterator[pa.RecordBatch]:
             cols = [np.concatenate(c) for c in zip(*held, strict=True)]
@@ -485,23 +502,26 @@ def train(spark: SparkSession, docs: DataFrame, order: int = 3, text_col: str =
 
     split = max(SPLIT, size // FREQUENT)  # at most FREQUENT words stand as often
     counted = deal(rows.mapInArrow(_count_words(shards), SHUFFLED))
-    stored = counted.mapInArrow(_write_words(folder, split), "shard int, rank long, n long").toArrow().to_pydict()
-    words, frequent, total = [0] * shards, [], 0
-    for s, rank, n in zip(stored["shard"], stored["rank"], stored["n"], strict=True):
-        if rank == -1:
-            words[s] = n
-        elif rank == -2:
+    stored = counted.mapInArrow(_write_words(folder, split), "shard int, kind int, n long, rank long").toArrow().to_pydict()
+    sizes, frequent, total = np.zeros((shards, 64), np.int64), [], 0
+    for s, kind, n, rank in zip(*(stored[c] for c in ("shard", "kind", "n", "rank")), strict=True):
+        if kind == -100:
             total += n
+        elif kind < 0:
+            sizes[s, -1 - kind] = n
         else:
-            frequent.append((s, rank, n))
-    starts = np.concatenate(([0], np.cumsum(words)))
-    if starts[-1] >= 2**32 - 1:
+            frequent.append((s, kind, n, rank))
+    size_of_all = int(sizes.sum())
+    if size_of_all >= 2**32 - 1:
         raise ValueError("more than 2 ** 32 - 2 distinct words")
-    texts = int(Words(folder, words).find([END])[1][0])
-    listed = sorted([(int(starts[s]) + rank, n) for s, rank, n in frequent] + [(int(starts[-1]), texts)])
+    down = sizes[:, ::-1].T.ravel()  # from the greatest power on, all shards of a power together
+    bases = np.ascontiguousarray((np.cumsum(down) - down).reshape(64, shards).T[:, ::-1])
+    bases[sizes.sum(axis=1) == 0] = -1
+    texts = int(Words(folder, bases).find([END])[1][0])
+    listed = sorted([(int(bases[s, k]) + rank, n) for s, k, n, rank in frequent] + [(size_of_all, texts)])
     dealing = Dealing(shards, np.array([i for i, _ in listed], np.uint64), np.array([n for _, n in listed], np.int64))
 
-    grams = rows.mapInArrow(_count_grams(folder, order, words, dealing), SHUFFLED)
+    grams = rows.mapInArrow(_count_grams(folder, order, size_of_all, bases, dealing), SHUFFLED)
     for level in range(order, 0, -1):
         grams = deal(grams).mapInArrow(_write_grams(folder, level, level == order, dealing), SHUFFLED)
     sums = grams.mapInArrow(_told, "level int, a long, b long, c long, d long, e long, f long, g long").groupBy("level").agg(*(F.sum(x).alias(x) for x in "abcdefg")).collect()
@@ -509,7 +529,7 @@ def train(spark: SparkSession, docs: DataFrame, order: int = 3, text_col: str =
     found = [discounts([by_level[k][x] if k in by_level else 0 for x in "abcd"]) for k in range(1, order + 1)]
     low = by_level.get(1)
     mass = sum(d * low[x] for d, x in zip(found[0], "abe", strict=True)) / low["f"] if low and low["f"] else 1.0
-    return Model(folder, order, words, total, dealing, found, low["f"] if low else 0, mass)
+    return Model(folder, order, size_of_all, bases, total, dealing, found, low["f"] if low else 0, mass)
 
 
 def score(docs: DataFrame, model: Model, keep: list[str | Column], text_col: str = "text") -> DataFrame:
@@ -552,7 +572,7 @@ def score(docs: DataFrame, model: Model, keep: list[str | Column], text_col: str
                     out[own[at]] = stored[name].find(hashes[at])
             return out
 
-        vocabulary = Words(model.folder, model.words, lambda ids: find([ids.astype(np.uint64)], ids >= 0))
+        vocabulary = Words(model.folder, model.bases, lambda ids: find([ids.astype(np.uint64)], ids >= 0))
         begin = [find([np.array([size], np.uint64)] * k, np.array([True]))[0] for k in range(1, order)]  # contexts of start tokens alone
 
         for batch in batches:
