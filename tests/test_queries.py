@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as e
+from veritide.job_queries import _query as _  # noqa: F401  registers its queries
 from veritide.queries import QUERIES, SQL
 
 DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -22,7 +23,7 @@ def duck():
 def rows(df: pd.DataFrame) -> list:
     out = []
     for r in df[sorted(df.columns)].itertuples(index=False):
-        out.append(tuple("-" if pd.api.types.is_scalar(v) and pd.isna(v) else f"{float(v):.7g}" if isinstance(v, (int, float)) or hasattr(v, "dtype") and v.dtype.kind in "iufb" else str(v) for v in r))
+        out.append(tuple("-" if pd.api.types.is_scalar(v) and pd.isna(v) else f"{float(v):.7g}" if isinstance(v, (int, float)) or hasattr(v, "dtype") and v.dtype.kind in "iufb" else str(v).removesuffix(" 00:00:00") for v in r))
     return sorted(out)
 
 
