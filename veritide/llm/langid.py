@@ -30,8 +30,8 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 DIMENSIONS, UNKNOWN = 1024, "und"
 #: Texts are handled in groups of so many code points; longer ones alone, in pieces of that many.
 PIECE = 1 << 19
-#: Trigram vectors kept in a worker.
-KEPT = 1 << 15
+#: Trigram vectors kept in a worker, a byte for each dimension, and those that are multiplied at once.
+KEPT, STEP = 1 << 15, 1 << 12
 
 
 class Encoder:
@@ -41,7 +41,7 @@ class Encoder:
         self.dimensions = dimensions
         self.letters: dict[int, np.ndarray] = {}
         self.bound: dict[int, int] = {}
-        self.vectors = np.zeros((256, dimensions), np.float32)
+        self.vectors = np.zeros((256, dimensions), np.int8)
         self.known = np.zeros(0x110000, np.int8)  # of code points: 1 letter, 2 other, 0 not seen yet
 
     def _letter(self, point: int) -> np.ndarray:
@@ -82,12 +82,11 @@ class Encoder:
         keys = np.concatenate([k for _, k in group])
         found, place = np.unique(keys, return_inverse=True)
         rows = np.repeat(np.arange(len(group)), [len(k) for _, k in group])
-        step = max(1, KEPT // 2)
-        for i in range(0, len(found), step):
-            inside = (place >= i) & (place < i + step)
-            width = min(step, len(found) - i)
+        for i in range(0, len(found), STEP):
+            inside = (place >= i) & (place < i + STEP)
+            width = min(STEP, len(found) - i)
             counts = np.bincount(rows[inside] * width + place[inside] - i, minlength=len(group) * width).reshape(len(group), width)
-            np.add.at(sums, [r for r, _ in group], counts.astype(np.float32) @ self._rows(found[i : i + width]))
+            np.add.at(sums, [r for r, _ in group], counts.astype(np.float32) @ self._rows(found[i : i + width]).astype(np.float32))
 
     def profiles(self, texts: list[str | None]) -> np.ndarray:
         """A row for each text: its profile with length 1, or zeros."""
