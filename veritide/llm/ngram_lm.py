@@ -36,6 +36,7 @@ import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 from itertools import repeat
 
 import numpy as np
@@ -97,6 +98,19 @@ def numbered(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return rank, order[first]
 
 
+def coded(values: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """numbered() of tuples of numbers, most of which are below 8: these need no sorting."""
+    small = reduce(np.logical_and, (v < 8 for v in values))
+    key = reduce(np.bitwise_or, (v.astype(np.int64) << 3 * i for i, v in enumerate(values)))
+    rest = np.flatnonzero(~small)
+    if len(rest):
+        key[rest] = 8 ** len(values) + numbered(hashed([v[rest].astype(np.uint64) for v in values]))[0]
+    code = (np.cumsum(np.bincount(key) > 0) - 1)[key] if len(key) else key
+    first = np.zeros(int(code.max(initial=-1)) + 1, np.int64)
+    first[code] = np.arange(len(code))
+    return code, first
+
+
 def grouped(cols: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """An order that sorts tuples of ids, and where distinct ones begin in it."""
     key = cols[0].astype(np.uint64)
@@ -119,7 +133,7 @@ def packed(cols: list[np.ndarray], values: list[np.ndarray] = ()) -> bytes:
 
     Byte planes are stored one after the other, without leading ones of zeros.
     """
-    code, first = numbered(hashed(values)) if len(values) else (None, np.zeros(0, np.int64))
+    code, first = coded(values) if len(values) else (None, np.zeros(0, np.int64))
     cols = [np.diff(cols[0], prepend=cols[0].dtype.type(0)), *cols[1:], *([code] if code is not None else [])]
     parts = [np.array([len(cols[0]), len(first), len(values)], "<u8").tobytes(), *(v[first].astype("<u8").tobytes() for v in values)]
     for c in cols:
@@ -191,7 +205,7 @@ class Shard:
         bits = max(0, (n // BUCKET).bit_length())
         low = (hashes << np.uint64(bits)) >> np.uint64(32)
         starts = np.searchsorted(hashes >> np.uint64(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64)) if bits else np.array([0, n])
-        code, first = numbered(hashed([v.astype(np.uint64) for v in values]))
+        code, first = coded(values)
         for name, array in (
             ("starts", starts.astype(np.uint32)), ("low", low.astype(np.uint32)), ("codes", code[order].astype(np.min_scalar_type(max(0, len(first) - 1)))),
             ("rows", np.stack([v[first] for v in values], axis=1).astype(np.int64)),
@@ -264,7 +278,8 @@ class Words:
         found = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
         missing = np.flatnonzero(found < 0)
         if len(missing):
-            new = list({words[i] for i in missing.tolist()})
+            unseen = [words[i] for i in missing.tolist()]
+            new = list(dict.fromkeys(unseen))
             if len(self.known) + len(new) > REMEMBERED and len(self.known) > REMEMBERED // 2:
                 self.shrink()
                 return self.places(words)
@@ -274,7 +289,7 @@ class Words:
             if self.look:
                 more = self.look(ids)
                 self.more = more if self.more is None else np.concatenate((self.more, more))
-            found[missing] = [self.known[words[i]] for i in missing.tolist()]
+            found[missing] = np.fromiter(map(self.known.__getitem__, unseen), np.int64, len(unseen))
         return found
 
 
