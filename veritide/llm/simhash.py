@@ -261,16 +261,23 @@ def _rest(members: DataFrame, hubs: DataFrame, scored: DataFrame, held: DataFram
     """Pairs (a, b) of different components of a bucket that may be similar, though not both are similar to its hub.
 
     Jaccard distance is a metric, and all members were compared with the hub. A member far from it can be similar to a near
-    one only if their distances to the hub differ by at most 1 - similarity; two far ones share a rare shingle.
+    one only if their distances to the hub differ by at most 1 - similarity, and if neither has too many shingles of its
+    own alone; two far ones share a rare shingle.
     """
     both = scored.select(F.col("a").alias("rep"), F.col("b").alias("hub"), "j", "ok").union(scored.select("b", "a", "j", "ok"))
     placed = members.join(hubs.withColumnRenamed("rep", "hub"), "band").join(both, ["rep", "hub"], "left")
     near = F.col("ok") | (F.col("rep") == F.col("hub"))
     placed = cut(placed.select("rep", "root", "hub", F.coalesce("j", F.lit(1.0)).alias("j"), F.coalesce(near, F.lit(False)).alias("near")).distinct(), "placed")
     limit = 1 - similarity + 1e-9
-    far = placed.where(~F.col("near") & (1 - F.col("j") <= 2 * limit)).select("hub", F.col("rep").alias("a"), "root", "j")
-    other = placed.where("near").select("hub", F.col("rep").alias("b"), F.col("root").alias("root_b"), F.col("j").alias("j_b"))
-    beside = far.join(other, "hub").where((F.col("root") != F.col("root_b")) & (F.col("j_b") - F.col("j") <= limit)).select("a", "b")
+    # shingles of one document alone are in no intersection: n and how many of them are such bound any similarity of it
+    among = held.join(placed.select(F.col("rep").alias("id")).distinct(), "id").select("id", F.size("set").alias("n"), "set")
+    lone = among.select("id", F.explode("set").alias("s")).groupBy("s").agg(F.count("*").alias("df"), F.min("id").alias("id")).where("df = 1").groupBy("id").agg(F.count("*").alias("u"))
+    sizes = cut(among.select("id", "n").join(lone, "id", "left").select(F.col("id").alias("rep"), "n", F.coalesce("u", F.lit(0)).alias("u")), "sizes")
+    known = placed.join(sizes, "rep")
+    far = known.where(~F.col("near") & (1 - F.col("j") <= 2 * limit)).select("hub", F.col("rep").alias("a"), "root", "j", "n", "u")
+    other = known.where("near").select("hub", F.col("rep").alias("b"), F.col("root").alias("root_b"), F.col("j").alias("j_b"), F.col("n").alias("n_b"), F.col("u").alias("u_b"))
+    may = F.least(F.col("n") - F.col("u"), F.col("n_b") - F.col("u_b")) >= (similarity - 1e-9) * F.greatest(F.col("n") + F.col("u_b"), F.col("n_b") + F.col("u"))
+    beside = far.join(other, "hub").where((F.col("root") != F.col("root_b")) & (F.col("j_b") - F.col("j") <= limit) & may).select("a", "b")
     return beside.union(_rare(placed.where("not near").groupBy("rep").agg(F.min("root").alias("root")), held, similarity))
 
 
