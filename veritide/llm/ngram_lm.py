@@ -48,7 +48,7 @@ from pyspark.sql import functions as F
 from veritide.llm.shared import shared_path
 
 #: Bytes of text for each shard; tokens that are added up together; words and ids a worker remembers.
-SHARD_BYTES, BUFFER, REMEMBERED = 8 << 20, 3 << 19, 300_000
+SHARD_BYTES, BUFFER, REMEMBERED = 8 << 20, 1 << 20, 200_000
 #: Rows of a context in one shard before it is split, and the most words that are listed as frequent.
 SPLIT, FREQUENT = 1 << 18, 1 << 20
 #: N-grams in a bucket of a stored shard, on average at most.
