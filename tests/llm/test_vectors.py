@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import sys
 import zlib
 from functools import cache
 
@@ -154,6 +155,7 @@ def test_top_k_of_large_numbers_and_odd_rows(spark):
 
 def brute_repair(rows):
     """rows: (turn, role, text) after damage. The result row by a recursion from the end."""
+    sys.setrecursionlimit(50_000)
     digest = lambda r, t: hashlib.sha256(f"{len(r)}:{r}{t}".encode()).digest()
     rows = sorted(rows, key=lambda x: (x[0] is not None, x[0] or 0, x[1].encode(), digest(x[1], x[2])))
     seen, marks, counts = set(), [], [0, 0, 0]
