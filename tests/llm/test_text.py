@@ -272,6 +272,33 @@ def test_stored_shards_are_found(tmp_path):
         assert (s.find(keys) == np.stack(values, axis=1)).all() and not s.find(rng.integers(0, 2**64, 3000, np.uint64)).any()
 
 
+def test_shards_need_no_open_files(tmp_path, monkeypatch):
+    """2,100 stored shards are searched while a process may open a few files only, and while fewer maps than shards are held."""
+    import os
+    import resource
+
+    for n in range(2100):
+        ngram_lm.Shard.write(str(tmp_path / f"x{n}"), np.array([n << 40, n + 3000 << 40, 2**63 + n], np.uint64), [np.array([n, 7, 8], np.uint64)])
+    soft, hard = resource.getrlimit(resource.RLIMIT_NOFILE)
+    resource.setrlimit(resource.RLIMIT_NOFILE, (len(os.listdir("/proc/self/fd")) + 30, hard))
+    try:
+        for most in (4096, 100):
+            monkeypatch.setattr(ngram_lm, "MAPS", most)
+            held = ngram_lm.Remembered(lambda n: ngram_lm.Shard(str(tmp_path / f"x{n}")))
+            for _ in range(2):
+                for n in range(0, 2100):
+                    assert held[n].find(np.array([n << 40, n + 9000 << 40], np.uint64))[:, 0].tolist() == [n, 0]
+            assert len(held.held) == min(most, 2100)
+    finally:
+        resource.setrlimit(resource.RLIMIT_NOFILE, (soft, hard))
+
+
+def test_shards_grow_beyond_a_number():
+    gb = 1 << 30
+    assert ngram_lm.shards_for(gb) == 128 and ngram_lm.shards_for(32 * gb) == 4096
+    assert 4096 < ngram_lm.shards_for(1024 * gb) < 32768 and ngram_lm.shards_for(100 * 1024 * gb) < 300_000
+
+
 def test_language_model_of_odd_rows(spark, odd, empty):
     got = ngram_lm.score(odd, ngram_lm.train(spark, odd), ["doc_id"]).collect()
     assert len(got) == odd.count() and all(r["n_tokens"] == 1 for r in got if r["doc_id"] in (2, 3, 6)) and all(math.isfinite(r["score"]) for r in got)

@@ -11,12 +11,12 @@ order - 1 start tokens. Counting takes two passes over the texts:
 
 Nothing is pruned. N-grams are dealt to shards by their context, and those of a context of frequent
 words by their last word too, so no word or word pair is gathered in one task. The number of shards follows
-from the size of the texts, so a shard has about SHARD_BYTES / 6 tokens at any size. Between tasks
+from the size of the texts: a shard has about SHARD_BYTES / 6 tokens up to EVEN shards (34 GB), and then grows along with their number. Between tasks
 n-grams travel as sorted runs, packed and compressed.
 
 A shard is stored as sorted hash arrays: 64-bit hashes in order, as an index of their leading bits and the next 32 bits, and
-for each the place of its counts in a table of the shard's distinct counts. Workers map the files and
-search them; pages are shared by all workers of a host and dropped when memory is short. An n-gram that
+for each the place of its counts in a table of the shard's distinct counts, all in one file. Workers map the last MAPS files that
+they needed, without keeping them open, and search them; pages are shared by all workers of a host and dropped when memory is short. An n-gram that
 was not seen is taken for a seen one with a probability of about 2 ** -29.
 
 Discounts D1, D2, D3+ of each order come from counts of counts, of the highest order by occurrences and of the others by
@@ -31,9 +31,12 @@ and renames it into place, so lost executors lose nothing.
 
 from __future__ import annotations
 
+import json
+import math
+import mmap
 import os
 import uuid
-from collections import Counter
+from collections import Counter, OrderedDict
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
@@ -53,6 +56,8 @@ SHARD_BYTES, BUFFER, REMEMBERED = 8 << 20, 1 << 20, 200_000
 SPLIT, FREQUENT = 1 << 18, 1 << 20
 #: N-grams in a bucket of a stored shard, on average at most.
 BUCKET = 16
+#: Stored shards of which a worker holds a map, and shards of SHARD_BYTES before they grow along with the texts.
+MAPS, EVEN = 4096, 4096
 END = b"\n"  # never part of a word
 LOW = np.uint64(0xFFFFFFFF)
 SHUFFLED = "shard int, level int, data binary"
@@ -179,21 +184,55 @@ def _rows(shards: list[int], level: int, blobs: list[bytes]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(shards, pa.int32()), pa.array([level] * len(shards), pa.int32()), pa.array(blobs, pa.binary())], ["shard", "level", "data"])
 
 
-def save(path: str, array: np.ndarray) -> None:
-    """Writes an array whole or not at all."""
-    temporary = f"{path}.{uuid.uuid4().hex}"
+def save(path: str, arrays: dict[str, np.ndarray]) -> None:
+    """Writes arrays to one file, whole or not at all: the length of a description, that, and the arrays at multiples of 64 bytes."""
+    temporary, at, told = f"{path}.{uuid.uuid4().hex}", 0, {}
+    for name, array in arrays.items():
+        told[name] = (array.dtype.str, array.shape, at)
+        at += -(-array.nbytes // 64) * 64
+    head = json.dumps(told).encode()
     with open(temporary, "wb") as f:
-        np.save(f, array)
-    os.replace(temporary, f"{path}.npy")
+        f.write(len(head).to_bytes(8, "little") + head)
+        base = -(-(8 + len(head)) // 64) * 64
+        for name, array in arrays.items():
+            f.seek(base + told[name][2])
+            f.write(np.ascontiguousarray(array).data)
+        f.truncate(base + at)
+    os.replace(temporary, path)
+
+
+def mapped(path: str) -> dict[str, np.ndarray]:
+    """The arrays of a file, mapped. The map keeps no open file, so their number is bounded by what is remembered alone."""
+    with open(path, "rb") as f:
+        data = mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ, trackfd=False)
+    length = int.from_bytes(data[:8], "little")
+    base = -(-(8 + length) // 64) * 64
+    return {name: np.frombuffer(data, dtype, int(np.prod(shape)), base + at).reshape(shape) for name, (dtype, shape, at) in json.loads(data[8 : 8 + length]).items()}
+
+
+class Remembered:
+    """The last MAPS things that were made, by name."""
+
+    def __init__(self, make) -> None:
+        self.make, self.held = make, OrderedDict()
+
+    def __getitem__(self, name):
+        if name in self.held:
+            self.held.move_to_end(name)
+        else:
+            self.held[name] = self.make(name)
+            if len(self.held) > MAPS:
+                self.held.popitem(last=False)
+        return self.held[name]
 
 
 class Shard:
     """A stored shard: counts by hash. `derive` makes the columns that are looked up from the shard's distinct counts, once."""
 
     def __init__(self, path: str, derive=lambda rows: rows) -> None:
-        self.there = os.path.exists(f"{path}.rows.npy")
+        self.there = os.path.exists(path)
         if self.there:
-            self.starts, self.low, self.codes, rows = (np.asarray(np.load(f"{path}.{x}.npy", mmap_mode="r")) for x in ("starts", "low", "codes", "rows"))
+            self.starts, self.low, self.codes, rows = mapped(path).values()
             self.rows = derive(np.concatenate((rows, np.zeros_like(rows[:1]))))  # the last is for hashes that aren't there
             self.bits = (len(self.starts) - 1).bit_length() - 1
             self.steps = int(np.diff(self.starts).max()).bit_length()
@@ -206,11 +245,10 @@ class Shard:
         low = (hashes << np.uint64(bits)) >> np.uint64(32)
         starts = np.searchsorted(hashes >> np.uint64(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64)) if bits else np.array([0, n])
         code, first = coded(values)
-        for name, array in (
-            ("starts", starts.astype(np.uint32)), ("low", low.astype(np.uint32)), ("codes", code[order].astype(np.min_scalar_type(max(0, len(first) - 1)))),
-            ("rows", np.stack([v[first] for v in values], axis=1).astype(np.int64)),
-        ):
-            save(f"{path}.{name}", array)
+        save(path, {
+            "starts": starts.astype(np.uint32), "low": low.astype(np.uint32), "codes": code[order].astype(np.min_scalar_type(max(0, len(first) - 1))),
+            "rows": np.stack([v[first] for v in values], axis=1).astype(np.int64),
+        })
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """Rows of counts, or what derive made of them; those of zeros where a hash isn't there."""
@@ -235,11 +273,11 @@ def power(counts: np.ndarray) -> np.ndarray:
 class Words:
     """Ids and counts of words, by mapped arrays and a bounded memory. Unknown words have id -1 and count 0."""
 
-    def __init__(self, folder: str, bases: np.ndarray, more=None) -> None:
-        """bases: by shard and power of the count, the first id, -1 for shards without words. more: gives further columns of ids, which are remembered too."""
-        self.look, self.folder, self.bases = more, folder, bases
-        self.shift = np.uint64(64 - (len(bases) - 1).bit_length())
-        self.shards: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    def __init__(self, folder: str, more=None) -> None:
+        """Mapped too: bases, by shard and power of the count the first id, -1 for shards without words. more: gives further columns of ids, which are remembered too."""
+        self.look, self.folder, self.bases = more, folder, mapped(f"{folder}/bases")["bases"]
+        self.shift = np.uint64(64 - (len(self.bases) - 1).bit_length())
+        self.shards = Remembered(lambda s: tuple(mapped(f"{folder}/words-{s}").values()))
         self.clear()
 
     def clear(self) -> None:
@@ -263,8 +301,6 @@ class Words:
             s = int(shard[at[0]])
             if self.bases[s, 0] < 0:
                 continue
-            if s not in self.shards:
-                self.shards[s] = tuple(np.asarray(np.load(f"{self.folder}/words-{s}.{x}.npy", mmap_mode="r")) for x in ("keys", "counts", "ranks"))
             stored, n, ranks = self.shards[s]
             place = np.minimum(np.searchsorted(stored, keys[at]), len(stored) - 1)
             hit = stored[place] == keys[at]
@@ -342,7 +378,6 @@ class Model:
     folder: str
     order: int
     size: int  # distinct words
-    bases: np.ndarray  # see Words
     train_tokens: int
     dealing: Dealing
     discounts: list[tuple[float, float, float]]  # by level from 1
@@ -406,14 +441,12 @@ def _write_words(folder: str, split: int):
         if shard is not None:
             order, first = runs(cols[0])
             keys, counts = cols[0][order[first]], np.add.reduceat(cols[1][order].astype(np.int64), first)
-            save(f"{folder}/words-{shard}.keys", keys)
-            save(f"{folder}/words-{shard}.counts", counts.astype(np.min_scalar_type(int(counts.max()))))
             bits = power(counts)
             order, edges = by_shard(bits)
             ranks = np.empty(len(keys), np.uint32)
             for at in np.split(order, edges[1:-1]):
                 ranks[at] = np.arange(len(at))
-            save(f"{folder}/words-{shard}.ranks", ranks)
+            save(f"{folder}/words-{shard}", {"keys": keys, "counts": counts.astype(np.min_scalar_type(int(counts.max()))), "ranks": ranks})
             often = np.flatnonzero(counts >= split)
             rows = [(shard, -1 - k, int(n), 0) for k, n in enumerate(np.bincount(bits)) if n] + [(shard, -100, int(counts.sum()), 0)] + [(shard, int(bits[i]), int(counts[i]), int(ranks[i])) for i in often]
             yield pa.RecordBatch.from_pylist([dict(zip(("shard", "kind", "n", "rank"), r, strict=True)) for r in rows], pa.schema([("shard", pa.int32()), ("kind", pa.int32()), ("n", pa.int64()), ("rank", pa.int64())]))
@@ -421,11 +454,11 @@ def _write_words(folder: str, split: int):
     return run
 
 
-def _count_grams(folder: str, order: int, size: int, bases: np.ndarray, dealing: Dealing):
+def _count_grams(folder: str, order: int, size: int, dealing: Dealing):
     """A task that tells its n-grams and their counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, start, held, n = Words(folder, bases), size, [], 0
+        vocabulary, start, held, n = Words(folder), size, [], 0
 
         def give() -> Iterator[pa.RecordBatch]:
             cols = [np.concatenate(c) for c in zip(*held, strict=True)]
@@ -504,6 +537,12 @@ def _told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(1), *(pa.array(rows[:, i]) for i in range(7))], ["level", *"abcdefg"])
 
 
+def shards_for(size: int) -> float:
+    """How many shards texts of so many bytes need: one for SHARD_BYTES up to EVEN shards, from there on shards grow along with their number."""
+    n = size / SHARD_BYTES
+    return n if n <= EVEN else EVEN * math.sqrt(n / EVEN)
+
+
 def train(spark: SparkSession, docs: DataFrame, order: int = 3, text_col: str = "text") -> Model:
     """Counts docs, writes the arrays to a new folder below spark.checkpoint.dir."""
     if order < 2:
@@ -512,31 +551,28 @@ def train(spark: SparkSession, docs: DataFrame, order: int = 3, text_col: str =
     os.makedirs(folder, exist_ok=True)
     rows = docs.select(F.col(text_col).cast("binary").alias("text"))
     size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    shards = 1 << max(3, (size // SHARD_BYTES).bit_length())
+    shards = 1 << max(3, int(shards_for(size)).bit_length())
     deal = lambda df: df.repartitionById(shards, F.col("shard"))
 
     split = max(SPLIT, size // FREQUENT)  # at most FREQUENT words stand as often
     counted = deal(rows.mapInArrow(_count_words(shards), SHUFFLED))
-    stored = counted.mapInArrow(_write_words(folder, split), "shard int, kind int, n long, rank long").toArrow().to_pydict()
-    sizes, frequent, total = np.zeros((shards, 64), np.int64), [], 0
-    for s, kind, n, rank in zip(*(stored[c] for c in ("shard", "kind", "n", "rank")), strict=True):
-        if kind == -100:
-            total += n
-        elif kind < 0:
-            sizes[s, -1 - kind] = n
-        else:
-            frequent.append((s, kind, n, rank))
+    stored = counted.mapInArrow(_write_words(folder, split), "shard int, kind int, n long, rank long").toArrow()
+    shard, kind, n, rank = (stored[c].to_numpy() for c in ("shard", "kind", "n", "rank"))
+    sizes, by_power, often, total = np.zeros((shards, 64), np.int64), (kind < 0) & (kind > -100), kind >= 0, int(n[kind == -100].sum())
+    sizes[shard[by_power], -1 - kind[by_power]] = n[by_power]
     size_of_all = int(sizes.sum())
     if size_of_all >= 2**32 - 1:
         raise ValueError("more than 2 ** 32 - 2 distinct words")
     down = sizes[:, ::-1].T.ravel()  # from the greatest power on, all shards of a power together
     bases = np.ascontiguousarray((np.cumsum(down) - down).reshape(64, shards).T[:, ::-1])
     bases[sizes.sum(axis=1) == 0] = -1
-    texts = int(Words(folder, bases).find([END])[1][0])
-    listed = sorted([(int(bases[s, k]) + rank, n) for s, k, n, rank in frequent] + [(size_of_all, texts)])
-    dealing = Dealing(shards, np.array([i for i, _ in listed], np.uint64), np.array([n for _, n in listed], np.int64))
+    save(f"{folder}/bases", {"bases": bases})
+    texts = int(Words(folder).find([END])[1][0])
+    ids, counts = np.append(bases[shard[often], kind[often]] + rank[often], size_of_all), np.append(n[often], texts)
+    by_id = np.argsort(ids)
+    dealing = Dealing(shards, ids[by_id].astype(np.uint64), counts[by_id])
 
-    grams = rows.mapInArrow(_count_grams(folder, order, size_of_all, bases, dealing), SHUFFLED)
+    grams = rows.mapInArrow(_count_grams(folder, order, size_of_all, dealing), SHUFFLED)
     for level in range(order, 0, -1):
         grams = deal(grams).mapInArrow(_write_grams(folder, level, level == order, dealing), SHUFFLED)
     sums = grams.mapInArrow(_told, "level int, a long, b long, c long, d long, e long, f long, g long").groupBy("level").agg(*(F.sum(x).alias(x) for x in "abcdefg")).collect()
@@ -544,7 +580,7 @@ def train(spark: SparkSession, docs: DataFrame, order: int = 3, text_col: str =
     found = [discounts([by_level[k][x] if k in by_level else 0 for x in "abcd"]) for k in range(1, order + 1)]
     low = by_level.get(1)
     mass = sum(d * low[x] for d, x in zip(found[0], "abe", strict=True)) / low["f"] if low and low["f"] else 1.0
-    return Model(folder, order, size_of_all, bases, total, dealing, found, low["f"] if low else 0, mass)
+    return Model(folder, order, size_of_all, total, dealing, found, low["f"] if low else 0, mass)
 
 
 def score(docs: DataFrame, model: Model, keep: list[str | Column], text_col: str = "text") -> DataFrame:
@@ -553,7 +589,7 @@ def score(docs: DataFrame, model: Model, keep: list[str | Column], text_col: str
     names = [*kept.columns, "n_tokens", "n_known", "train_tokens", "base_score", "score"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        stored: dict[tuple[int, int], Shard] = {}
+        stored = Remembered(lambda name: Shard(f"{model.folder}/grams{name[0]}-{name[1]}", derive[name[0] - 1]))
         size, total, order = model.size, model.train_tokens, model.order
 
         def derived(level: int):
@@ -580,14 +616,12 @@ def score(docs: DataFrame, model: Model, keep: list[str | Column], text_col: str
             shard = model.dealing.shard(cols) if level > 1 else (mixed(cols[0] >> np.uint64(12)) % np.uint64(model.dealing.shards)).astype(np.int64)
             hashes, (by, edges) = hashed(cols), by_shard(shard)
             for at in np.split(by, edges[1:-1]) if len(by) else []:
-                name = level, int(shard[at[0]])
-                if name not in stored:
-                    stored[name] = Shard(f"{model.folder}/grams{level}-{name[1]}", derive[level - 1])
-                if stored[name].there:
-                    out[own[at]] = stored[name].find(hashes[at])
+                found = stored[level, int(shard[at[0]])]
+                if found.there:
+                    out[own[at]] = found.find(hashes[at])
             return out
 
-        vocabulary = Words(model.folder, model.bases, lambda ids: find([ids.astype(np.uint64)], ids >= 0))
+        vocabulary = Words(model.folder, lambda ids: find([ids.astype(np.uint64)], ids >= 0))
         begin = [find([np.array([size], np.uint64)] * k, np.array([True]))[0] for k in range(1, order)]  # contexts of start tokens alone
 
         for batch in batches:
