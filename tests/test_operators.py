@@ -1,9 +1,12 @@
 import datetime as dt
+import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from veritide.operators import asof, contracts, evidence, market, reports, rules, score, versions
+from veritide.plans import pipelines
 
 
 def t(h, m=0, d=1):
@@ -55,9 +58,25 @@ def test_cells_to_rows(spark):
 
 
 def test_bookmaker_identity(spark):
-    rows = [(1, "a", "1"), (1, "a", None), (1, "b", "2"), (1, "b", "3"), (1, "c", "4"), (1, "d", "4"), (1, "e", None)]
+    rows = [(1, "a", "1"), (1, "a", None), (1, "b", "2"), (1, "b", "3"), (1, "b", None), (1, "c", "4"), (1, "d", "4"), (1, "d", None), (1, "e", None), (1, "  A\u00a0  Book ", None), (1, None, "5"), (1, " ", None)]
+    rows += [(2, "Alpha", "10"), (2, "Alpha Alt", "10"), (2, "Alpha", None)]  # an id with two names excludes the row with one of these names alone
     kept, warned = market.bookmaker_keys(spark.createDataFrame(rows, "f int, name string, id string"), ["f"], "name", "id")
-    assert sorted(r["bookmaker_key"] for r in kept.collect()) == ["id:1", "id:1", "name:e"] and warned.count() == 2
+    assert sorted(r["bookmaker_key"] for r in kept.collect()) == ["id:1", "id:1", "id:5", "name:A Book", "name:e"]
+    assert sorted((r["f"], r["warning"]) for r in warned.collect()) == [(1, "bookmaker_id_maps_multiple_names:4"), (1, "bookmaker_name_maps_multiple_ids:b"), (2, "bookmaker_id_maps_multiple_names:10")]
+
+
+def test_institutions_pair_by_id_and_warn(spark):
+    side = {f"{s}_{f}": 2.0 for s in ("opening", "current") for f in ("home", "draw", "away", "line", "over", "under")}
+    row = lambda m, name, ident, i: {"k": 1, "market": m, "source_bookmaker_name": name, "source_bookmaker_id": ident, "i": i, **side}
+    rows = [row(m, f"b{n}", str(n), n) for n in range(6) for m in ("ouzhi", "yazhi", "daxiao") if (n, m) != (3, "yazhi")]
+    rows += [row("yazhi", "b3", None, 9)]  # a name alone takes the id that the name has elsewhere
+    series = spark.createDataFrame([], "k int, book string, observed_at timestamp, record_id int, probability double, deviation double")
+    got = pipelines.second_guardrail_features(spark.createDataFrame(rows), series, ["k"], ["i"]).first()
+    assert got["paired"] == 6 and got["n_yazhi"] == 6 and got["pairing_warnings"] == []
+    twice = spark.createDataFrame([*rows, row("ouzhi", "b0", "7", 10), {**row("daxiao", "b1", "1", 11), "current_over": 2.5}])
+    got = pipelines.second_guardrail_features(twice, series, ["k"], ["i"])
+    assert got.first()["pairing_warnings"] == ["bookmaker_name_maps_multiple_ids:b0", "duplicate_company_conflict:id:1:daxiao"] and got.first()["paired"] == 5
+    assert rules.second_guardrail(got).first()["rule_evaluations"]["r8_institution_anomaly"] == "matched"
 
 
 def test_versions(spark):
@@ -86,6 +105,81 @@ def test_asof_two_clocks_and_permutation(spark):
     assert asof.asof_join(q, facts, ["f"], "qid", "cutoff", "observed_at", "id", keep=["id"], invalid=gone).first()["id"] is None
 
 
+def _brute_asof(queries, facts, two):
+    out = {}
+    for qid, key, cut, avail in queries:
+        fit = [(o, d, r) for k, o, d, r in facts if key is not None and k == key and cut is not None and o <= cut and (not two or (avail is not None and d <= avail))]
+        out[qid] = max(fit, key=lambda f: f if two else (f[0], f[2]))[2] if fit else None
+    return out
+
+
+def test_asof_of_a_hot_key_equals_brute_force(spark):
+    rng = random.Random(3)
+    start = dt.datetime(2026, 1, 1)
+    at = lambda: start + dt.timedelta(minutes=rng.randrange(5000))
+    facts = [(1 if rng.random() < 0.8 else rng.randrange(2, 6), t := at(), t + dt.timedelta(minutes=rng.choice([0, 5, 4000])), i) for i in range(3000)]
+    queries = [(i, rng.choice([1, 1, 1, 2, 9, None]), at() if i % 50 else None, at() if i % 70 else None) for i in range(700)]
+    q = spark.createDataFrame(queries, "qid int, f int, cutoff timestamp, avail timestamp")
+    f = spark.createDataFrame(facts, "f int, observed_at timestamp, done timestamp, id int")
+    for two in (False, True):
+        got = {r["qid"]: r["id"] for r in asof.asof_join(q, f, ["f"], "qid", "cutoff", "observed_at", "id", ("avail", "done") if two else None, ["id"]).collect()}
+        assert got == _brute_asof(queries, facts, two)
+    empty = asof.asof_join(q, f.where("false"), ["f"], "qid", "cutoff", "observed_at", "id", ("avail", "done"), ["id"])
+    assert empty.count() == 700 and empty.where("id is not null").count() == 0
+
+
+def test_asof_joins_spread_one_key_and_make_no_pairs(spark):
+    """10^5 facts and queries of one key: several tasks have rows of it, and no step makes more rows than there are."""
+    n = 100_000
+    f = spark.range(n).select(F.lit(1).alias("f"), F.timestamp_seconds(F.col("id") * 60).alias("observed_at"), F.timestamp_seconds((F.col("id") * 7919 % n) * 60).alias("done"), "id")
+    q = spark.range(n).select(F.col("id").alias("qid"), F.lit(1).alias("f"), F.timestamp_seconds((F.col("id") * 31 % n) * 60).alias("cutoff"), F.timestamp_seconds(F.col("id") * 60).alias("avail"))
+    one = asof.asof_join(q, f, ["f"], "qid", "cutoff", "observed_at", "id", keep=["id"])
+    assert one.where("id = qid * 31 % 100000").count() == n
+    placed = asof._one_clock  # the hours of the key are dealt to all partitions
+    assert placed and one.select(F.spark_partition_id().alias("p")).distinct().count() > 1
+    two = asof.asof_join(q, f, ["f"], "qid", "cutoff", "observed_at", "id", ("avail", "done"), ["id"])
+    seen = two.where("qid % 997 = 5").select("qid", "id").collect()
+    done = np.arange(n) * 7919 % n
+    for r in seen:
+        fit = np.flatnonzero(done[: r["qid"] * 31 % n + 1] <= r["qid"])
+        assert r["id"] == (int(fit[-1]) if len(fit) else None)
+    assert two.count() == n
+
+
+def test_order_statistics_of_hot_and_odd_groups(spark):
+    rng = np.random.default_rng(5)
+    values = {"hot": np.round(rng.lognormal(0, 3, 20_000), 6), "same": np.full(5000, 0.25), "one": np.array([7.0]), "far": np.array([1.0, 2.0, 1e300, -1e300, 3.0])}
+    rows = [(k, float(v)) for k, vs in values.items() for v in vs] + [("none", None), (None, 4.0)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    got = {r["k"]: r for r in score.order_statistics(df, ["k"], "v", score.MIDDLE | {"p75": score.fraction_rank(0.75)}, buckets=16).collect()}
+    assert set(got) == {*values, None}
+    for k, vs in values.items():
+        s = np.sort(vs)
+        assert (got[k]["n"], got[k]["least"], got[k]["most"]) == (len(s), s[0], s[-1])
+        assert got[k]["p75"] == s[int(0.75 * (len(s) - 1))] and (got[k]["_below"] + got[k]["_above"]) / 2 == np.median(s)
+    spread = {r["k"]: (r["n"], r["median"]) for r in reports.distribution(df, ["k"], "v").collect()}
+    assert spread["none"] == (0, None) and spread["hot"] == (20_000, np.median(values["hot"]))
+
+
+def test_a_million_values_of_one_group_are_never_gathered(spark):
+    df = spark.range(1_000_000).select(F.lit("g").alias("k"), (F.col("id") * 7919 % 1_000_003 / 10).alias("v"))
+    got = score.order_statistics(df, ["k"], "v", {"p90": score.fraction_rank(0.9)})
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan and "percentile" not in plan
+    want = np.sort(np.arange(1_000_000, dtype=np.int64) * 7919 % 1_000_003)[int(0.9 * 999_999)] / 10
+    assert got.first()["p90"] == want
+
+
+def test_calibration_of_a_constant_forecast(spark):
+    df = spark.range(200_000).select(F.lit("u").alias("k"), F.lit(1 / 3).alias("top"), (F.col("id") % 3 == 0).cast("int").alias("hit"))
+    got = score.calibration_error(df, ["k"])
+    hits = np.sort((np.arange(200_000) % 3 == 0).astype(int))
+    want = sum(len(b) / 200_000 * abs(1 / 3 - b.mean()) for b in np.split(hits, 10))
+    row = got.first()
+    assert row["n"] == 200_000 and abs(row["ece"] - want) < 1e-9
+    assert df.groupBy("k", "top", "hit").count().count() == 2  # what is ordered are counts
+
+
 def test_asof_rows_and_audit(spark):
     df = spark.createDataFrame([(t(10), None, "before"), (t(12), None, "after"), (t(10), t(12), "corrected late")], "observed_at timestamp, corrected_at timestamp, id string")
     cut = F.lit(t(11))
@@ -112,7 +206,7 @@ def test_ece_equals_loop(spark):
         for k in range(b):
             part = order[k * n // b : (k + 1) * n // b]
             want += len(part) / n * abs(sum(p[0] for p in part) / len(part) - sum(p[1] for p in part) / len(part)) if part else 0
-        got = score.calibration_error(spark.createDataFrame(pts, "id int, top double, hit int"), [], "id").first()
+        got = score.calibration_error(spark.createDataFrame(pts, "id int, top double, hit int"), []).first()
         assert got["ece"] == pytest.approx(want)
 
 

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from veritide.plans import pipelines
-from veritide.sources import facts
+from veritide.sources import facts, lines
 from veritide.sources import odds as odds_files
 from veritide.streaming import states
 
@@ -46,10 +46,52 @@ def test_every_type_has_a_schema(spark, tmp_path):
     assert [r["record_id"] for r in facts.typed(log, kinds[-1]).collect()] == [kinds[-1]]
 
 
-def test_append_only(spark):
-    before = spark.createDataFrame([("a", 10, "x"), ("b", 10, "y"), ("c", 10, "z"), ("d", 10, "w")], "file string, offset long, last_record_id string")
-    lines = spark.createDataFrame([("a", 10, "x"), ("a", 12, "n"), ("b", 9, "y"), ("c", 10, "q"), ("c", 12, "z")], "file string, stop long, record_id string")
-    assert {r["file"]: r["violation"] for r in facts.append_violations(before, lines).collect()} == {"b": "shrunk", "c": "tail_changed", "d": "missing"}
+def test_append_only(spark, tmp_path):
+    names = {"a": [rec("x"), rec("n")], "b": [rec("y")], "c": [rec("q"), rec("z")], "e": [rec("v")]}
+    for name, rows in names.items():
+        write(tmp_path / f"{name}.jsonl", rows)
+    end = len(json.dumps(rec("x")) + "\n")
+    at = lambda name: f"file://{tmp_path}/{name}.jsonl"
+    stored = [(at("a"), end, 1, 0, "x"), (at("b"), 10 * end, 10, 9 * end, "y"), (at("c"), end, 1, 0, "z"), (at("d"), end, 1, 0, "w"), (at("e"), end, 1, 0, "v")]
+    before = spark.createDataFrame(stored, "file string, offset long, line long, last_start long, last_record_id string")
+    got = {r["file"]: r["violation"] for r in facts.append_violations(spark, str(tmp_path), before).collect()}
+    assert got == {at("b"): "shrunk", at("c"): "tail_changed", at("d"): "missing"}
+    out = pipelines.import_facts(spark, str(tmp_path), None, before)
+    assert [r["record_id"] for r in out["new"].collect()] == ["n"]  # of the file that only grew
+
+
+def test_only_new_bytes_are_read(spark, tmp_path):
+    first = "".join(json.dumps(rec(str(i))) + "\n" for i in range(500))
+    (tmp_path / "a.jsonl").write_text(first)
+    (tmp_path / "sub").mkdir()
+    (tmp_path / "sub/b.jsonl").write_text(first)
+    mark = facts.checkpoint(facts.scan(spark, str(tmp_path)))
+    mark = spark.createDataFrame(mark.collect(), mark.schema)  # as stored
+    added = "".join(json.dumps(rec(f"n{i}")) + "\n" for i in range(7))
+    with open(tmp_path / "a.jsonl", "a") as f:
+        f.write(added)
+    done = lines.done_of(mark)
+    planned = lines.Reader({"path": str(tmp_path), "checkpoints": json.dumps(done)}).partitions()
+    assert sum(p.stop - p.start for p in planned) == len(added) and [p.file for p in planned] == [f"file://{tmp_path}/a.jsonl"]
+    got = facts.scan(spark, str(tmp_path), mark)
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+    assert [(r["record_id"], r["line"], r["start"] >= len(first)) for r in got.orderBy("line").collect()] == [(f"n{i}", 501 + i, True) for i in range(7)]
+
+
+def test_bad_utf8_rejects_a_file(spark, tmp_path):
+    write(tmp_path / "a.jsonl", [rec("1")])
+    (tmp_path / "b.jsonl").write_bytes(json.dumps(rec("2")).encode() + b"\n" + json.dumps(rec("3", note="x")).encode().replace(b"x", b"\xff") + b"\n")
+    out = pipelines.import_facts(spark, str(tmp_path))
+    assert [r["record_id"] for r in out["new"].collect()] == ["1"] and out["rejected"].count() == 2
+
+
+def test_stored_ids_with_other_content_are_conflicts(spark, tmp_path):
+    write(tmp_path / "a.jsonl", [rec("1"), rec("2")])
+    stored = pipelines.import_facts(spark, str(tmp_path))["new"].select("record_id", "sha256")
+    stored = spark.createDataFrame(stored.collect(), stored.schema)
+    write(tmp_path / "b.jsonl", [rec("1"), rec("2", note="other"), rec("3")])
+    out = pipelines.import_facts(spark, str(tmp_path), stored)
+    assert [r["record_id"] for r in out["conflicts"].collect()] == ["2"] and [r["record_id"] for r in out["new"].collect()] == ["3"]
 
 
 def test_torn_tails_wait_and_bad_lines_reject_files(spark, tmp_path):
@@ -72,14 +114,12 @@ def test_torn_tails_wait_and_bad_lines_reject_files(spark, tmp_path):
 
 
 def test_lines_keep_their_numbers_in_any_pieces(spark, tmp_path):
-    (tmp_path / "a.jsonl").write_text("".join(json.dumps(rec(str(i), pad="x" * (i % 50))) + "\n" for i in range(3000)))
-    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    (tmp_path / "a.jsonl").write_text("".join(json.dumps(rec(str(i), pad="x" * (i % 50) + "y" * (9000 * (i % 700 == 0)))) + "\n" for i in range(3000)))
+    (tmp_path / "b.jsonl").write_text(json.dumps(rec("last", pad="z" * 50_000)) + "\n\n" + json.dumps(rec("torn")))
     got = {}
-    for size in ("1m", "20k"):
-        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
-        got[size] = {(r["record_id"], r["line"], r["start"]) for r in facts.scan(spark, str(tmp_path)).collect()}
-    spark.conf.set("spark.sql.files.maxPartitionBytes", old)
-    assert got["1m"] == got["20k"] and {(i, n) for i, n, _ in got["1m"]} == {(str(i), i + 1) for i in range(3000)}
+    for size in (1 << 25, 20_000, 999):
+        got[size] = {(r["record_id"], r["line"], r["start"]) for r in facts.scan(spark, str(tmp_path), piece=size).collect()}
+    assert got[1 << 25] == got[20_000] == got[999] and {(i, n) for i, n, _ in got[999]} == {(str(i), i + 1) for i in range(3000)} | {("last", 1)}
 
 
 def test_patched_json(spark):

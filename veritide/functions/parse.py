@@ -103,6 +103,18 @@ def _nfkc(x: pd.Series) -> pd.Series:
     return x.map(lambda s: s if s is None else unicodedata.normalize("NFKC", s))
 
 
+@F.pandas_udf(StringType())
+def _nfc(x: pd.Series) -> pd.Series:
+    return x.map(lambda s: s if s is None else unicodedata.normalize("NFC", s))
+
+
+def bookmaker_name(x: str | Column) -> Column:
+    """NFC, trimmed, inner white space (of any kind) collapsed. ASCII stays in the JVM."""
+    x = _c(x).cast("string")
+    plain = F.when(x.rlike(r"^[\x00-\x7f]*$"), x).otherwise(_nfc(F.when(~x.rlike(r"^[\x00-\x7f]*$"), x)))
+    return F.trim(F.regexp_replace(plain, r"(?U)\s+", " "))
+
+
 def canonical_name(x: str | Column, match: bool = False) -> Column:
     """NFKC, trimmed, inner white space collapsed; for matching also lower case and without white space. ASCII stays in the JVM."""
     x = _c(x)

@@ -5,76 +5,84 @@ Bindings are those of queries.py: an order is a fixture, a line item a quote, an
 
 from __future__ import annotations
 
-import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from veritide.functions import ids, odds, parse
 from veritide.operators import asof, contracts, evidence, market, models, reports, rules, score, versions
+from veritide.operators.staged import folder
 from veritide.plans import pipelines
 from veritide.queries import _D, _Q, _SCORED, _agreed, _fixtures, _query, _quoted, _quotes, _r, _read, _scored
 from veritide.sources import facts
+from veritide.sources import lines as lines_source
 from veritide.sources import odds as odds_files
 from veritide.streaming import states
 
 
-def _folder(spark: SparkSession) -> str:
-    """A new folder that all hosts see, for what a query writes before it reads it again."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.conf.get("spark.master", "").startswith("local["):
-            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        import tempfile
-
-        base = "file://" + tempfile.mkdtemp(prefix="veritide-")
-    return f"{base.rstrip('/')}/queries/{uuid.uuid4().hex}"
-
-
 # --- records -------------------------------------------------------------------------------------------------------
 
 
-_LOG = """l AS (SELECT event_id, CASE WHEN event_id % 97 = 0 THEN event_id - 1 ELSE event_id END AS rid, user_id % 13 AS f, ts, event_type, CASE WHEN user_id % 13 = 5 AND event_id % 100 = 50 THEN 2 ELSE 1 END AS v FROM events
-), bad AS (SELECT DISTINCT f FROM l WHERE v <> 1), ok AS (SELECT * FROM l WHERE f NOT IN (SELECT f FROM bad))"""
+#: Events of a file: so many ids go to a folder of each part, so the number of files grows with the events.
+_FILE = 2000
 
+_LOG = f"""l AS (SELECT event_id, CASE WHEN event_id % 97 = 0 THEN event_id - 1 ELSE event_id END AS rid, user_id % 13 AS f, event_id // {_FILE} AS c, ts, event_type, CASE WHEN user_id % 13 = 5 AND event_id % 100 = 50 THEN 2 ELSE 1 END AS v FROM events
+), bad AS (SELECT DISTINCT f, c FROM l WHERE v <> 1), ok AS (SELECT * FROM l WHERE (f, c) NOT IN (SELECT (f, c) FROM bad)), ko AS (SELECT * FROM l WHERE (f, c) IN (SELECT (f, c) FROM bad))"""
 
-def _log(spark: SparkSession, d: str) -> str:
-    """Events as a tree of JSONL files, one folder for each of 13 parts; repeated ids, and a record of another schema version in part 5."""
+
+def _log_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Events as lines of a log of 13 parts; repeated ids, and records of another schema version in part 5."""
     e = _read(spark, d, "events")
     rid = F.when(F.col("event_id") % 97 == 0, F.col("event_id") - 1).otherwise(F.col("event_id"))
     version = F.when((F.col("user_id") % 13 == 5) & (F.col("event_id") % 100 == 50), 2).otherwise(1)
     body = F.to_json(F.struct(F.concat(F.lit("r"), rid).alias("record_id"), F.initcap("event_type").alias("record_type"), version.alias("schema_version"), F.col("user_id").cast("string").alias("fixture_id"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("occurred_at"), F.col("event_id").alias("n")))
-    out = _folder(spark)
-    e.select(body.alias("value"), (F.col("user_id") % 13).alias("part")).repartition(13, "part").sortWithinPartitions("part", F.get_json_object("value", "$.n").cast("long")).write.partitionBy("part").text(out)
+    return e.select("event_id", body.alias("value"), (F.col("user_id") % 13).alias("part"), F.floor(F.col("event_id") / _FILE).alias("chunk"))
+
+
+def _written(rows: DataFrame) -> str:
+    """A tree of JSONL files, one for each part and chunk."""
+    out = folder(rows.sparkSession)
+    rows.repartition("part", "chunk").sortWithinPartitions("part", "chunk", "event_id").select("value", "part", "chunk").write.partitionBy("part", "chunk").text(out)
     return out
 
 
-@_query(f"""WITH {_LOG}, k AS (SELECT rid, arg_min(event_id, (f::VARCHAR, event_id)) AS n, count(*) AS lines FROM ok GROUP BY rid)
-SELECT 'new' AS part, event_type AS kind, count(*) AS n, min(date_trunc('second', ts)) AS first_at FROM k JOIN l ON k.n = l.event_id GROUP BY 2
-UNION ALL SELECT 'rejected', event_type, count(*), NULL FROM l WHERE f IN (SELECT f FROM bad) GROUP BY 2
-UNION ALL SELECT 'conflict', NULL, count(*), NULL FROM k WHERE lines > 1""")
-def imported_records(spark: SparkSession, d: str) -> DataFrame:
-    got = pipelines.import_facts(spark, _log(spark, d))
-    kind = F.lower("record_type").alias("kind")
-    count = lambda df, part, *more: df.groupBy(kind).agg(F.count("*").alias("n"), *more).withColumn("part", F.lit(part))
-    none = F.lit(None).cast("timestamp").alias("first_at")
-    clash = got["conflicts"].agg(F.count("*").alias("n")).select(F.lit("conflict").alias("part"), F.lit(None).cast("string").alias("kind"), "n", none)
-    return count(got["new"], "new", F.min("event_at").alias("first_at")).unionByName(count(got["rejected"], "rejected").withColumn("first_at", F.lit(None).cast("timestamp"))).unionByName(clash)
+_PART = [f"CAST(regexp_extract(file, '{name}=([0-9]+)', 1) AS BIGINT) AS {name}" for name in ("part", "chunk")]
 
 
-@_query("""WITH l AS (SELECT user_id % 13 AS part, event_id, row_number() OVER (PARTITION BY user_id % 13 ORDER BY event_id) AS line FROM events)
-SELECT part, max(line) AS line, 'r' || arg_max(CASE WHEN event_id % 97 = 0 THEN event_id - 1 ELSE event_id END, line) AS last_record_id, count(*) FILTER (WHERE line > 50) AS later, 0::BIGINT AS violations FROM l GROUP BY part""")
+@_query(f"""WITH {_LOG}, k AS (SELECT rid, arg_min(event_id, (f::VARCHAR, c::VARCHAR, event_id)) AS n, count(*) AS lines FROM ok GROUP BY rid)
+SELECT 'new' AS what, 'r' || rid AS record_id, event_type AS kind, date_trunc('second', ts) AS event_at FROM k JOIN l USING (rid) WHERE k.n = l.event_id
+UNION ALL SELECT 'rejected', 'r' || rid, event_type, NULL FROM ko
+UNION ALL SELECT 'conflict', 'r' || rid, NULL, NULL FROM k WHERE lines > 1""")
+def imported_records(spark: SparkSession, d: str) -> DataFrame:
+    """Every record that an import adds, every line of the files that it rejects, and the ids that stand for several contents."""
+    got = pipelines.import_facts(spark, _written(_log_rows(spark, d)))
+    row = lambda part, kind, at: got[part].select(F.lit(part).alias("what"), "record_id", kind.alias("kind"), at.cast("timestamp").alias("event_at"))
+    kind, none = F.lower("record_type"), F.lit(None)
+    every = row("new", kind, F.col("event_at")).unionByName(row("rejected", kind, none)).unionByName(row("conflicts", none.cast("string"), none))
+    return every.withColumn("what", F.when(F.col("what") == "conflicts", "conflict").otherwise(F.col("what")))
+
+
+@_query(f"""WITH {_LOG}, n AS (SELECT *, row_number() OVER (PARTITION BY f, c ORDER BY event_id) AS line, count(*) OVER (PARTITION BY f, c) AS lines FROM l
+), s AS (SELECT f, c, any_value(lines) AS lines, CASE WHEN f = 3 AND any_value(lines) > 20 THEN 'shrunk' WHEN f = 7 AND any_value(lines) > 20 THEN 'tail_changed' WHEN f = 11 THEN 'missing' END AS violation FROM n GROUP BY f, c)
+SELECT f AS part, c AS chunk, violation, CASE WHEN violation IS NULL THEN greatest(lines - 50, 0) END AS added, CASE WHEN violation IS NULL AND lines > 50 THEN 51 END AS first_line, CASE WHEN violation IS NULL AND lines > 50 THEN lines END AS last_line,
+  CASE WHEN violation IS NULL AND lines > 50 THEN 'r' || (SELECT arg_max(rid, line) FROM n WHERE n.f = s.f AND n.c = s.c) END AS last_record_id FROM s""")
 def incremental_scan(spark: SparkSession, d: str) -> DataFrame:
-    """Files are scanned up to line 50, then from that checkpoint on."""
-    path = _log(spark, d)
-    lines = facts.scan(spark, path)
-    part = F.regexp_extract("file", r"part=(\d+)", 1).cast("long").alias("part")
-    half = facts.checkpoint(lines.where("line <= 50"))
-    later = facts.scan(spark, path, half).groupBy("file").agg(F.count("*").alias("later"))
-    broken = facts.append_violations(half, lines).groupBy("file").agg(F.count("*").alias("violations"))
-    ends = facts.checkpoint(lines).join(later, "file", "left").join(broken, "file", "left")
-    return ends.select(part, "line", "last_record_id", F.coalesce("later", F.lit(0)).alias("later"), F.coalesce("violations", F.lit(0)).alias("violations"))
+    """A log is scanned when its files have up to 50 lines, and again when most have grown: of part 3 files were cut to 20 lines, in part 7 the last known line is another, part 11 is gone."""
+    rows = _log_rows(spark, d).withColumn("line", F.row_number().over(Window.partitionBy("part", "chunk").orderBy("event_id")))
+    lines = F.count("*").over(Window.partitionBy("part", "chunk"))
+    old = _written(rows.where("line <= 50"))
+    changed = rows.withColumn("value", F.when((F.col("part") == 7) & (F.col("line") == F.least(F.lit(50), lines)) & (lines > 20), F.regexp_replace("value", '"record_id":"r', '"record_id":"q')).otherwise(F.col("value")))
+    now = _written(changed.where("part != 11 AND (part != 3 OR line <= 20)"))
+    seen = facts.checkpoint(facts.scan(spark, old)).selectExpr("offset", "line", "last_start", "last_record_id", *_PART)
+    # the files that stand now under the same part and chunk; of part 11 none does
+    here = spark.createDataFrame([(f,) for f in lines_source.listed(now)], "file string").selectExpr("file", *_PART)
+    before = seen.join(here, ["part", "chunk"], "left").withColumn("file", F.coalesce("file", F.concat(F.lit(f"{now}/part="), "part", F.lit("/chunk="), "chunk", F.lit("/gone"))))
+    broken = facts.append_violations(spark, now, before).selectExpr(*_PART, "violation")
+    added = facts.scan(spark, now, before).groupBy(*map(F.expr, _PART)).agg(F.count("*").alias("added"), F.min("line").alias("first_line"), F.max("line").alias("last_line"), F.max_by("record_id", "line").alias("last_record_id"))
+    j = seen.select("part", "chunk").join(broken, ["part", "chunk"], "left").join(added, ["part", "chunk"], "left").withColumn("added", F.coalesce("added", F.lit(0)))
+    fine = lambda c: F.when(F.col("violation").isNull(), F.col(c)).alias(c)
+    return j.select("part", "chunk", "violation", fine("added"), fine("first_line"), fine("last_line"), fine("last_record_id"))
 
 
 @_query("""SELECT o_orderstatus AS status, o_orderkey AS key, CASE WHEN o_orderstatus = 'F' THEN 'historical' ELSE lower(o_orderpriority) END AS kind, 7 AS extra FROM orders""")
@@ -97,7 +105,7 @@ def normalised_odds(spark: SparkSession, d: str) -> DataFrame:
     q = _quotes(spark, d).groupBy("fixture").agg(*(F.min(F.round(s, 2)).alias(s) for s in odds.SIDES)).join(_fixtures(spark, d), "fixture")
     home = F.when(F.col("fixture") % 50 != 0, F.concat(F.lit("H"), "fixture"))
     cells = [F.lit("E0"), F.date_format("kickoff", "dd/MM/yyyy"), home, F.concat(F.lit("A"), "fixture"), F.col("actual"), F.lit(1), *(F.round(F.col(s), 2) for s in odds.SIDES), *(F.round(F.col(s) + 1, 2) for s in odds.SIDES)]
-    out = _folder(spark)
+    out = folder(spark)
     q.select(*(c.cast("string").alias(n) for c, n in zip(cells, _CSV, strict=True))).write.option("header", True).csv(out)
     _, long, _ = pipelines.normalise_odds(odds_files.odds_csv(spark, [out]), "s")
     return long.groupBy("cohort", "bookmaker").agg(F.count("*").alias("n"), F.round(F.sum(F.col("prices")[0]), 2).alias("home"))
@@ -127,7 +135,7 @@ def content_catalogue(spark: SparkSession, d: str) -> DataFrame:
 @_query("""SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS n, sum(event_id)::BIGINT AS keys FROM events GROUP BY 1""")
 def days_written(spark: SparkSession, d: str) -> DataFrame:
     """Events published once as a run, appended by day, and read again by their folders."""
-    out, runs = _folder(spark), _folder(spark)
+    out, runs = folder(spark), folder(spark)
     e = _read(spark, d, "events").select("event_id", "ts")
     said = [facts.write_once(e, runs, "r1", "event_id") for _ in range(2)]
     if said != ["written", "unchanged"]:
@@ -287,10 +295,15 @@ def history_rows(spark: SparkSession, d: str) -> DataFrame:
 _PROXY_SQL = {"r1_shallow_favorite_cooling": "side <> 'draw' AND abs(fl) IN (0.25, 0.5) AND round(od, 9) >= 0.03", "r2_asian_retreat": "side <> 'draw' AND round(top, 9) >= 0.45 AND round(gap, 9) >= 0.07 AND fd <= -0.25", "r3_low_total_draw_tail": "side <> 'draw' AND tot <= 2.25 AND round(cd, 9) >= 0.28 AND abs(fl) <= 0.5"}
 
 
-@_query(f"""WITH {_SHAPE}, px AS ({' UNION ALL '.join(f"SELECT '{rule}' AS rule, count(*) FILTER (WHERE {c}) AS n, avg(log_loss) FILTER (WHERE {c}) AS ll, avg(hit) FILTER (WHERE {c}) AS ac FROM hw" for rule, c in _PROXY_SQL.items())})
-SELECT rule, n AS fixtures, CASE WHEN n >= 30 THEN 'available' ELSE 'insufficient_sample' END AS status, CASE WHEN n >= 30 THEN round(ll, 8) END AS log_loss, CASE WHEN n >= 30 THEN round(ac, 8) END AS accuracy FROM px""")
+@_query(f"""WITH {_SHAPE}, px AS ({' UNION ALL '.join(f"SELECT '{rule}' AS rule, count(*) FILTER (WHERE {c}) AS n, avg(log_loss) FILTER (WHERE {c}) AS ll, avg(hit) FILTER (WHERE {c}) AS ac FROM hw" for rule, c in _PROXY_SQL.items())}
+), w AS (SELECT fixture, max(home) - min(home) AS iqr FROM q GROUP BY fixture), s AS (SELECT list_sort(list(iqr)) AS v FROM w JOIN sc USING (fixture))
+SELECT rule, 'retrospective_final_closing_proxy' AS evaluability, n AS fixtures, CASE WHEN n >= 30 THEN 'available' ELSE 'insufficient_sample' END AS status, CASE WHEN n >= 30 THEN round(ll, 8) END AS log_loss, CASE WHEN n >= 30 THEN round(ac, 8) END AS accuracy, NULL::DOUBLE AS median, NULL::DOUBLE AS p75, NULL::DOUBLE AS p90 FROM px
+UNION ALL SELECT rule, why, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM (VALUES {', '.join(f"('{r}', '{w}')" for r, w in score.NO_PROXY.items())}) t(rule, why)
+UNION ALL SELECT 'r6_bookmaker_dispersion', 'different_metric_distribution_only', NULL, NULL, NULL, NULL, round((v[(len(v) + 1) // 2] + v[len(v) // 2 + 1]) / 2, 8), round(v[CAST(floor(0.75 * (len(v) - 1)) AS BIGINT) + 1], 8), round(v[CAST(floor(0.9 * (len(v) - 1)) AS BIGINT) + 1], 8) FROM s""")
 def history_proxies(spark: SparkSession, d: str) -> DataFrame:
-    return score.history_proxies(_history(spark, d)).select("rule", "fixtures", "status", _r("log_loss"), _r("accuracy"))
+    wide = _quotes(spark, d).groupBy("fixture").agg((F.max("home") - F.min("home")).alias("euro_iqr"))
+    found = score.history_proxies(_history(spark, d).join(wide, "fixture"), spread="euro_iqr")
+    return found.select("rule", "evaluability", "fixtures", "status", *(_r(c) for c in ("log_loss", "accuracy", "median", "p75", "p90")))
 
 
 @_query(f"""WITH {_SCORED}, g AS (SELECT competition, avg(log_loss) - ln(3) AS a, avg((ch - (actual = 0)::INT) ** 2 + (cd - (actual = 1)::INT) ** 2 + (ca - (actual = 2)::INT) ** 2) - 2/3 AS b FROM sc GROUP BY competition) SELECT competition, round(a, 8) AS delta_log_loss, round(b, 8) AS delta_brier FROM g""")
@@ -308,6 +321,27 @@ def baseline_cells(spark: SparkSession, d: str) -> DataFrame:
     return got.select("baseline", "year", "competition", "sample_size", _r("log_loss"), _r("accuracy"))
 
 
+@_query(f"""WITH {_SCORED}, pr AS (SELECT *, year(kickoff)::VARCHAR AS yr, {', '.join(f"1 + coalesce(sum((actual = {k} AND year(kickoff) <= 1995)::INT) OVER (PARTITION BY competition ORDER BY kickoff, fixture ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS c{k}" for k in range(3))} FROM sc
+), b AS (SELECT 'uniform' AS baseline, competition, yr, actual, 1/3 AS p0, 1/3 AS p1, 1/3 AS p2 FROM pr UNION ALL SELECT 'prior', competition, yr, actual, c0 / (c0 + c1 + c2), c1 / (c0 + c1 + c2), c2 / (c0 + c1 + c2) FROM pr UNION ALL SELECT 'market', competition, yr, actual, ch, cd, ca FROM pr
+), m AS (SELECT baseline, competition, yr, greatest(p0, p1, p2) AS top, ((CASE WHEN p0 >= p1 AND p0 >= p2 THEN 0 WHEN p1 >= p2 THEN 1 ELSE 2 END) = actual)::INT AS hit, -ln(greatest(CASE actual WHEN 0 THEN p0 WHEN 1 THEN p1 ELSE p2 END, 1e-15)) AS ll,
+  ((p0 - (actual = 0)::INT) ** 2 + (p0 + p1 - (actual <= 1)::INT) ** 2) / 2 AS rps FROM b
+), x AS (SELECT baseline, comp, year, top, hit, ll, rps FROM m, (SELECT unnest([0, 1]) AS i), (SELECT unnest([0, 1]) AS j), LATERAL (SELECT CASE i WHEN 0 THEN competition ELSE 'all' END AS comp, CASE j WHEN 0 THEN yr ELSE 'all' END AS year)
+), g AS (SELECT baseline, comp, year, count(*) AS n, avg(ll) AS ll, avg(hit) AS ac, avg(rps) AS rps FROM x GROUP BY 1, 2, 3
+), k AS (SELECT *, row_number() OVER (PARTITION BY baseline, comp, year ORDER BY top, hit) AS rn, count(*) OVER (PARTITION BY baseline, comp, year) AS n FROM x
+), bn AS (SELECT baseline, comp, year, (least(10, n) * rn - 1) // n AS bin, count(*) AS k, avg(top) AS c, avg(hit) AS h, min(n) AS n FROM k GROUP BY 1, 2, 3, 4
+), e AS (SELECT baseline, comp, year, sum(k / n * abs(c - h)) AS ece FROM bn GROUP BY 1, 2, 3
+), cells AS (SELECT * FROM (SELECT DISTINCT competition AS comp FROM sc UNION ALL SELECT 'all'), (VALUES ('1995'), ('1996'), ('2030'), ('all')) y(year), (VALUES ('uniform'), ('prior'), ('market')) z(baseline))
+SELECT baseline, year, comp AS competition, coalesce(n, 0) AS sample_size, round(ll, 8) AS log_loss, round(rps, 8) AS rps, round(ac, 8) AS accuracy, round(ece, 6) AS ece, CASE WHEN n >= 100 THEN 'available' WHEN n > 0 THEN 'insufficient_sample' END AS conclusion
+FROM cells LEFT JOIN g USING (baseline, comp, year) LEFT JOIN e USING (baseline, comp, year)""")
+def baseline_evaluation(spark: SparkSession, d: str) -> DataFrame:
+    """The baseline job: uniform, prior and market forecasts for two years and one without fixtures, of each competition and of all."""
+    rows = _agreed(spark, d).select("fixture", "p").join(_fixtures(spark, d), "fixture")
+    prior = score.running_prior(rows, ["competition"], ["kickoff", "fixture"], "actual", F.year("kickoff") <= 1995)
+    points = prior.select("competition", F.year("kickoff").cast("string").alias("year"), "p", "prior", "actual")
+    got = pipelines.evaluate_baseline(points, ("1995", "1996", "2030"))
+    return got.select("baseline", "year", "competition", "sample_size", _r("log_loss"), _r("rps"), _r("accuracy"), F.round("ece", 6).alias("ece"), "conclusion")
+
+
 @_query(f"""WITH {_SCORED}, m AS (SELECT competition, count(*) AS fixtures, date_diff('day', min(kickoff), max(kickoff)) AS span_days, sum(hit)::BIGINT AS rule_hits, round(avg(hit - top), 9) AS residual FROM sc GROUP BY 1)
 SELECT competition, array_to_string(list_filter([CASE WHEN NOT fixtures >= 2200 THEN 'fixtures' END, CASE WHEN NOT span_days >= 90 THEN 'span_days' END, CASE WHEN NOT rule_hits >= 500 THEN 'rule_hits' END, CASE WHEN NOT residual <= -0.14 THEN 'residual' END], lambda x: x IS NOT NULL), ',') AS failed FROM m""")
 def review_gates(spark: SparkSession, d: str) -> DataFrame:
@@ -706,6 +740,14 @@ _ROWS = """mr AS (
 )"""
 
 
+_IDENT = "CASE WHEN l_quantity > 48 THEN 'z' WHEN l_linenumber % 2 = 0 THEN 'i' || l_orderkey % 499 END"
+#: The rows with the keys of their bookmakers instead of names.
+_KEYED = _ROWS.replace("l_shipdate, l_tax, l_discount FROM lineitem", f"l_shipdate, l_tax, l_discount, {_IDENT} AS id FROM lineitem").replace("nw AS (SELECT *, oh + st AS kh, oa - st AS ka FROM mr", """pi AS (SELECT DISTINCT f, b, id FROM mr WHERE id IS NOT NULL
+), pc AS (SELECT *, count(*) OVER (PARTITION BY f, b) AS ids, count(*) OVER (PARTITION BY f, id) AS nms FROM pi
+), pn AS (SELECT f, b, bool_or(ids > 1 OR nms > 1) AS gone, min(id) AS known FROM pc GROUP BY f, b
+), nw AS (SELECT mr.* REPLACE (CASE WHEN coalesce(id, known) IS NOT NULL THEN 'id:' || coalesce(id, known) ELSE 'name:' || mr.b END AS b), oh + st AS kh, oa - st AS ka FROM mr LEFT JOIN pn ON pn.f = mr.f AND pn.b = mr.b WHERE NOT coalesce(gone, false)""").replace("'duplicate_company_conflict:' || m || ':' || b", "'duplicate_company_conflict:' || b || ':' || m")
+
+
 def _market_rows(spark: SparkSession, d: str) -> DataFrame:
     """Market rows of three markets from line items: opening prices, and current ones that moved."""
     part, supp = F.col("l_partkey"), F.col("l_suppkey")
@@ -716,7 +758,7 @@ def _market_rows(spark: SparkSession, d: str) -> DataFrame:
     line = F.when(name == "daxiao", total)
     side |= {"current_home": side["opening_home"] + step, "current_draw": side["opening_draw"], "current_away": side["opening_away"] - step, "opening_line": F.coalesce(line, (part % 4) * -0.25), "current_line": F.coalesce(line, (part % 4) * -0.25 + (part % 5 - 2) * 0.25 + (supp % 3 - 1) * 0.25)}
     side |= {"opening_over": side["opening_home"], "opening_under": side["opening_away"], "current_over": side["current_home"], "current_under": side["current_away"]}
-    return _read(spark, d, "lineitem").select(part.alias("fixture"), F.concat(F.lit(" b"), (F.col("l_orderkey") % 499).cast("string")).alias("source_bookmaker_name"), name.alias("market"), *_ROW_ORDER, *(c.alias(n) for n, c in side.items()))
+    return _read(spark, d, "lineitem").select(part.alias("fixture"), F.concat(F.lit(" b"), (F.col("l_orderkey") % 499).cast("string")).alias("source_bookmaker_name"), F.expr(_IDENT).alias("source_bookmaker_id"), name.alias("market"), *_ROW_ORDER, "l_shipdate", "l_tax", "l_discount", *(c.alias(n) for n, c in side.items()))
 
 
 _ROW_ORDER = ["l_linenumber", "l_orderkey", "l_quantity"]
@@ -747,7 +789,7 @@ def first_guardrail_job(spark: SparkSession, d: str) -> DataFrame:
     return g.select("fixture", F.col("proposed_action").alias("action"), F.col("proposed_confidence_cap").alias("cap"), F.array_join("rule_flags", ",").alias("flags"), F.array_join("hard_reasons", ",").alias("hard"))
 
 
-@_query(f"""WITH {_ROWS}, ev AS (SELECT * FROM e WHERE kh > 1 AND ka > 1), mf AS (SELECT f, count(*) AS n, median(ph) AS mh, median(pd) AS mdr, median(pa) AS ma FROM ev GROUP BY f
+@_query(f"""WITH {_KEYED}, ev AS (SELECT * FROM e WHERE kh > 1 AND ka > 1), mf AS (SELECT f, count(*) AS n, median(ph) AS mh, median(pd) AS mdr, median(pa) AS ma FROM ev GROUP BY f
 ), dz AS (SELECT ev.f, greatest(median(abs(ph - mh)), median(abs(pd - mdr)), median(abs(pa - ma))) AS disp FROM ev JOIN mf USING (f) GROUP BY ev.f
 ), gd AS (SELECT f, n, mh / (mh + mdr + ma) AS ch, mdr / (mh + mdr + ma) AS cd, ma / (mh + mdr + ma) AS ca, disp FROM mf JOIN dz USING (f)
 ), bd AS (SELECT *, CASE WHEN ch >= cd AND ch >= ca THEN 0 WHEN cd >= ca THEN 1 ELSE 2 END AS fav, list_sort([ch, cd, ca], 'DESC')[1] - list_sort([ch, cd, ca], 'DESC')[2] AS gap FROM gd
@@ -757,20 +799,22 @@ def first_guardrail_job(spark: SparkSession, d: str) -> DataFrame:
 ), ay AS (SELECT f, b, ol, kl, oh, oa, kh, ka FROM ok WHERE m = 'yazhi'), ty AS (SELECT f, b FROM ok WHERE m = 'daxiao'
 ), sg AS (SELECT an.f, an.b, odd, dl, fav, ay.b IS NOT NULL AS has, CASE fav WHEN 0 THEN ol - kl ELSE kl - ol END AS mvl, CASE fav WHEN 0 THEN round((1/(1+ay.kh))/(1/(1+ay.kh)+1/(1+ay.ka)) - (1/(1+ay.oh))/(1/(1+ay.oh)+1/(1+ay.oa)), 12) ELSE round((1/(1+ay.ka))/(1/(1+ay.kh)+1/(1+ay.ka)) - (1/(1+ay.oa))/(1/(1+ay.oh)+1/(1+ay.oa)), 12) END AS pm, ty.b IS NOT NULL AS hast FROM an LEFT JOIN ay ON ay.f = an.f AND ay.b = an.b LEFT JOIN ty ON ty.f = an.f AND ty.b = an.b
 ), sn AS (SELECT *, CASE WHEN dl >= 0.015 THEN 'support' WHEN dl <= -0.015 THEN 'oppose' ELSE 'unchanged' END AS euro, CASE WHEN NOT has OR fav = 1 THEN 'not_evaluable' WHEN mvl >= 0.25 OR (abs(mvl) < 1e-12 AND pm >= 0.015) THEN 'confirm' WHEN mvl <= -0.25 OR (abs(mvl) < 1e-12 AND pm <= -0.015) THEN 'conflict' ELSE 'flat' END AS asian FROM sg
-), sr AS (SELECT l_partkey AS f, 'b' || l_orderkey % 499 AS b, count(*) AS sn, epoch(max(l_shipdate)) - epoch(min(l_shipdate)) AS span, max(l_tax / 8) - min(l_tax / 8) AS rng, min(abs(l_discount - 0.05)) AS least, count(*) FILTER (WHERE l_discount - 0.05 > 0) AS up FROM lineitem GROUP BY 1, 2
+), sr AS (SELECT f, b, count(*) AS sn, epoch(max(l_shipdate)) - epoch(min(l_shipdate)) AS span, max(l_tax / 8) - min(l_tax / 8) AS rng, min(abs(l_discount - 0.05)) AS least, count(*) FILTER (WHERE l_discount - 0.05 > 0) AS up FROM nw GROUP BY 1, 2
 ), st AS (SELECT sn.f AS fx, sn.b, euro, asian, odd, (euro = 'support' AND asian = 'conflict') OR (euro = 'oppose' AND asian = 'confirm') AS inn, sr.sn AS seen, span, coalesce(sr.sn >= 3 AND span >= 1800 AND rng <= 0.0025, false) AS unch, coalesce(sr.sn >= 3 AND span >= 1800 AND least >= 0.03 AND up IN (0, sr.sn), false) AS dis, hast FROM sn LEFT JOIN sr ON sr.f = sn.f AND sr.b = sn.b
 ), ag AS (SELECT fx AS f, count(*) AS paired, avg((euro = 'support')::INT) AS sup, avg((asian = 'confirm')::INT) FILTER (WHERE asian <> 'not_evaluable') AS con, avg((asian = 'conflict')::INT) FILTER (WHERE asian <> 'not_evaluable') AS cfl, max(seen) AS no, max(span) AS span, count(*) FILTER (WHERE odd) AS iso, count(*) FILTER (WHERE inn) AS inn, count(*) FILTER (WHERE unch) AS unch, count(*) FILTER (WHERE dis) AS dis, count(*) FILTER (WHERE hast) AS nt FROM st GROUP BY fx
 ), lr AS (SELECT a.f, a.b, median(c.ph) AS h, median(c.pd) AS d, median(c.pa) AS w FROM ev a JOIN ev c ON a.f = c.f AND a.b <> c.b GROUP BY a.f, a.b
 ), lo AS (SELECT lr.f, max(greatest(abs(h / (h + d + w) - ch), abs(d / (h + d + w) - cd), abs(w / (h + d + w) - ca))) AS shift, bool_or((CASE WHEN h >= d AND h >= w THEN 0 WHEN d >= w THEN 1 ELSE 2 END) <> fav) AS flip FROM lr JOIN bd USING (f) GROUP BY lr.f
-), j AS (SELECT al.f, coalesce(n1, 0) < 3 OR coalesce(n2, 0) < 3 OR coalesce(n3, 0) < 3 OR coalesce(paired, 0) < 3 OR bd.ch IS NULL AS bad, fav = 1 AS dr, coalesce(paired, 0) < 5 AS few, round(gap, 12) < 0.07 AS weak, round(coalesce(sup, 0), 12) >= 0.6 AS sup, round(coalesce(con, 0), 12) >= 0.6 AS con, round(coalesce(cfl, 0), 12) >= 0.6 AS cfl, round(disp, 12) > 0.035 AS wide, coalesce(no, 0) >= 3 AND coalesce(span, 0) >= 1800 AS ready, iso, dis, inn, unch, coalesce(flip, false) AS flip, round(coalesce(shift, 0), 12) >= 0.03 AS shift
-  FROM al LEFT JOIN ct USING (f) LEFT JOIN bd USING (f) LEFT JOIN ag USING (f) LEFT JOIN lo USING (f)
-), y AS (SELECT *, (cfl OR inn > 0)::INT + wide::INT + (iso > 0)::INT + (flip OR shift)::INT AS main, weak OR few OR NOT ready OR dis > 0 OR unch > 0 OR dr AS aux FROM j)
-SELECT f AS fixture, CASE WHEN bad OR (flip AND few) OR main >= 2 THEN 'abstain' WHEN main = 1 THEN 'downgrade' WHEN aux OR NOT sup OR (NOT dr AND NOT con) THEN 'caution' ELSE 'keep' END AS action, CASE WHEN bad OR (flip AND few) OR main >= 2 THEN 'observation_only' WHEN main = 1 THEN 'low' WHEN NOT few AND NOT weak AND NOT wide THEN 'medium' ELSE 'low' END AS cap FROM y""")
+), wn AS (SELECT f, list_sort(list(DISTINCT w)) AS warns FROM (SELECT f, 'bookmaker_name_maps_multiple_ids:' || b AS w FROM pc WHERE ids > 1 UNION ALL SELECT f, 'bookmaker_id_maps_multiple_names:' || id FROM pc WHERE nms > 1 UNION ALL SELECT f, unnest(c) FROM cf) GROUP BY f
+), j AS (SELECT warns, al.f, coalesce(n1, 0) < 3 OR coalesce(n2, 0) < 3 OR coalesce(n3, 0) < 3 OR coalesce(paired, 0) < 3 OR bd.ch IS NULL AS bad, fav = 1 AS dr, coalesce(paired, 0) < 5 AS few, round(gap, 12) < 0.07 AS weak, round(coalesce(sup, 0), 12) >= 0.6 AS sup, round(coalesce(con, 0), 12) >= 0.6 AS con, round(coalesce(cfl, 0), 12) >= 0.6 AS cfl, round(disp, 12) > 0.035 AS wide, coalesce(no, 0) >= 3 AND coalesce(span, 0) >= 1800 AS ready, iso, dis, inn, unch, coalesce(flip, false) AS flip, round(coalesce(shift, 0), 12) >= 0.03 AS shift
+  FROM al LEFT JOIN ct USING (f) LEFT JOIN bd USING (f) LEFT JOIN ag USING (f) LEFT JOIN lo USING (f) LEFT JOIN wn USING (f)
+), y AS (SELECT *, (cfl OR inn > 0)::INT + wide::INT + (iso > 0)::INT + (flip OR shift)::INT AS main, weak OR few OR NOT ready OR dis > 0 OR unch > 0 OR dr OR warns IS NOT NULL AS aux FROM j)
+SELECT f AS fixture, CASE WHEN bad OR (flip AND few) OR main >= 2 THEN 'abstain' WHEN main = 1 THEN 'downgrade' WHEN aux OR NOT sup OR (NOT dr AND NOT con) THEN 'caution' ELSE 'keep' END AS action, CASE WHEN bad OR (flip AND few) OR main >= 2 THEN 'observation_only' WHEN main = 1 THEN 'low' WHEN NOT few AND NOT weak AND NOT wide THEN 'medium' ELSE 'low' END AS cap, coalesce(array_to_string(warns, ','), '') AS warnings FROM y""")
 def second_guardrail_job(spark: SparkSession, d: str) -> DataFrame:
-    """Institutions across three markets, their signals, anomalies and series, to rules."""
-    series = _read(spark, d, "lineitem").select(F.col("l_partkey").alias("fixture"), F.concat(F.lit("b"), (F.col("l_orderkey") % 499).cast("string")).alias("book"), F.col("l_shipdate").alias("observed_at"), F.struct("l_linenumber", "l_orderkey").alias("record_id"), (F.col("l_tax") / 8).alias("probability"), (F.col("l_discount") - 0.05).alias("deviation"))
-    g = rules.second_guardrail(pipelines.second_guardrail_features(_market_rows(spark, d), series, ["fixture"], _ROW_ORDER))
-    return g.select("fixture", F.col("proposed_action").alias("action"), F.col("proposed_confidence_cap").alias("cap"))
+    """Institutions across three markets, paired by their keys, with their signals, anomalies and series, to rules. Some ids have several names and some names several ids."""
+    rows = _market_rows(spark, d)
+    series = market.bookmaker_keys(rows, ["fixture"], "source_bookmaker_name", "source_bookmaker_id")[0].select("fixture", F.col("bookmaker_key").alias("book"), F.col("l_shipdate").alias("observed_at"), F.struct("l_linenumber", "l_orderkey").alias("record_id"), (F.col("l_tax") / 8).alias("probability"), (F.col("l_discount") - 0.05).alias("deviation"))
+    g = rules.second_guardrail(pipelines.second_guardrail_features(rows, series, ["fixture"], _ROW_ORDER))
+    return g.select("fixture", F.col("proposed_action").alias("action"), F.col("proposed_confidence_cap").alias("cap"), F.array_join("pairing_warnings", ",").alias("warnings"))
 
 
 @_query(f"""WITH {_SCORED}, a AS (SELECT *, ['T-24h', 'T-6h', 'T-10m'][(fixture % 3 + 1)::INT] AS target, CASE WHEN fixture % 4 > 0 THEN 'full_update' END AS upd, CASE fixture % 2 WHEN 0 THEN 'keep' ELSE 'caution' END AS act, CASE WHEN fixture % 5 > 0 THEN 'provisional' END AS mat, CASE WHEN fixture % 6 = 0 THEN 'matched' ELSE 'not_matched' END AS r1 FROM sc

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from veritide.functions.odds import SIDES, devig, devig_pair, favourite, favourite_line, gap
+from veritide.functions.parse import bookmaker_name
 
 #: Summary rows among bookmakers.
 SUMMARY = ("Avg", "Max", "Min", "Average", "Highest", "Lowest")
@@ -196,15 +197,25 @@ def signals(paired: DataFrame, direction: str, move: float = 0.015, line_move: f
 
 
 def bookmaker_keys(rows: DataFrame, fixture: list[str], name: str, ident: str) -> tuple[DataFrame, DataFrame]:
-    """(rows with bookmaker_key, warnings). A name with several ids or an id with several names excludes its rows; a name-only row takes the name's one id."""
-    known = rows.where(F.col(ident).isNotNull())
-    by_name = known.groupBy(*fixture, name).agg(F.count_distinct(ident).alias("_ids"), F.min(ident).alias("_id"))
-    by_id = known.groupBy(*fixture, ident).agg(F.count_distinct(name).alias("_names"))
-    marked = rows.join(by_name, [*fixture, name], "left").join(by_id, [*fixture, ident], "left")
-    bad = (F.coalesce("_ids", F.lit(0)) > 1) | (F.coalesce("_names", F.lit(0)) > 1)
-    key = F.coalesce(F.concat(F.lit("id:"), F.coalesce(F.col(ident).cast("string"), F.col("_id").cast("string"))), F.concat(F.lit("name:"), F.col(name)))
-    warnings = marked.where(bad).select(*fixture, F.when(F.col("_ids") > 1, F.concat(F.lit("name_with_several_ids:"), F.col(name))).otherwise(F.concat(F.lit("id_with_several_names:"), F.col(ident).cast("string"))).alias("warning")).distinct()
-    return marked.where(~bad).withColumn("bookmaker_key", key).drop("_ids", "_id", "_names"), warnings
+    """(rows with bookmaker_key, warnings): who a row is from, over all markets of a fixture.
+
+    A name with several ids, and an id with several names, are contradictions: they exclude all rows of such names, those with a name
+    alone too. Other rows have their own id, or the one id that their name has elsewhere, or else their name. Rows with neither are left out.
+    """
+    named = rows.withColumns({"_name": F.nullif(F.coalesce(bookmaker_name(name), F.lit("")), F.lit("")), "_ident": F.nullif(F.coalesce(F.trim(F.col(ident).cast("string")), F.lit("")), F.lit(""))})
+    pairs = named.where("_name is not null and _ident is not null").select(*fixture, "_name", "_ident").distinct()
+    over = lambda by: Window.partitionBy(*fixture, by)  # noqa: E731  a fixture's bookmakers are few by nature
+    counted = pairs.withColumns({"_ids": F.count("*").over(over("_name")), "_names": F.count("*").over(over("_ident"))})
+    by_name = counted.groupBy(*fixture, "_name").agg(F.max((F.col("_ids") > 1) | (F.col("_names") > 1)).alias("_out"), F.min("_ident").alias("_known"))
+    by_id = counted.groupBy(*fixture, "_ident").agg((F.max("_names") > 1).alias("_id_out"))
+    warned = counted.select(*fixture, F.explode(F.array_compact(F.array(
+        F.when(F.col("_ids") > 1, F.concat(F.lit("bookmaker_name_maps_multiple_ids:"), "_name")), F.when(F.col("_names") > 1, F.concat(F.lit("bookmaker_id_maps_multiple_names:"), "_ident")),
+    ))).alias("warning")).distinct()
+    marked = named.join(by_name, [*fixture, "_name"], "left").join(by_id, [*fixture, "_ident"], "left")
+    fine_id = F.col("_ident").isNotNull() & ~F.coalesce("_id_out", F.lit(False))
+    key = F.when(fine_id, F.concat(F.lit("id:"), "_ident")).when(F.col("_known").isNotNull(), F.concat(F.lit("id:"), "_known")).when(F.col("_name").isNotNull(), F.concat(F.lit("name:"), "_name"))
+    kept = marked.withColumn("bookmaker_key", key).where(~F.coalesce("_out", F.lit(False)) & F.col("bookmaker_key").isNotNull())
+    return kept.select(*rows.columns, "bookmaker_key"), warned
 
 
 def stride_rows(cells: DataFrame, sheet: list[str], index: str, eligible: Column) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from veritide.operators import score
+
 
 def ratio(part: Column, whole: Column, places: int = 6) -> Column:
     """Rounded share; null without a denominator."""
@@ -54,7 +56,11 @@ def risk_metrics(df: DataFrame, keys: list[str], action: str = "proposed_action"
 
 
 def distribution(df: DataFrame, keys: list[str], value: str) -> DataFrame:
-    return df.groupBy(*keys).agg(F.count(value).alias("n"), F.min(value).alias("least"), F.median(value).alias("median"), F.max(value).alias("most"))
+    """(keys, n, least, median, most), exact: no group is gathered or sorted as a whole. Groups without a value have n 0."""
+    found = score.order_statistics(df, keys, value, score.MIDDLE).withColumn("median", ((F.col("_below") + F.col("_above")) / 2).cast("double"))
+    named = found.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), "n", "least", "median", "most")
+    j = df.select(*keys).distinct().join(named, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)], "left")
+    return j.select(*keys, F.coalesce("n", F.lit(0).cast("long")).alias("n"), "least", "median", "most")
 
 
 def normalization_quality(rows: DataFrame, snapshot: str, bookmaker: str, complete: Column, source_time: str, line_error: str) -> DataFrame:

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from statistics import NormalDist
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from veritide.functions.odds import favourite
+from veritide.operators.staged import staged
 
 
 def row_scores(p: str = "p", actual: str = "actual") -> dict[str, Column]:
@@ -98,13 +100,60 @@ def running_prior(df: DataFrame, groups: list[str], order: list[str], actual: st
     return ran.select(*df.columns, F.array(*(x / total for x in seen)).alias("prior"))
 
 
-def calibration_error(rows: DataFrame, groups: list[str], key: str, bins: int = 10, confidence: str = "top", hit: str = "hit", buckets: int = 4096) -> DataFrame:
-    """(groups, ece, n): equal-count bins [i*n//b, (i+1)*n//b) of rows ordered by confidence, hit and key. Confidence lies in 0 to 1."""
-    ran = bucketed(rows.select(*groups, key, confidence, hit), groups, F.floor(F.col(confidence) * buckets), [confidence, hit, key], {"_rank": F.lit(1)})
-    n, b = F.col("_rank_all"), F.least(F.lit(bins), F.col("_rank_all"))
-    binned = ran.withColumn("_bin", F.floor((b * F.col("_rank") - 1) / n))
-    per = binned.groupBy(*groups, "_bin").agg(F.count("*").alias("_k"), F.avg(confidence).alias("_c"), F.avg(hit).alias("_h"), F.first("_rank_all").alias("_n"))
-    return per.groupBy(*groups).agg(F.sum(F.col("_k") / F.col("_n") * F.abs(F.col("_c") - F.col("_h"))).alias("ece"), F.sum("_k").alias("n"))
+def calibration_error(rows: DataFrame, groups: list[str], confidence: str = "top", hit: str = "hit", bins: int = 10, buckets: int = 4096) -> DataFrame:
+    """(groups, ece, n): equal-count bins [i*n//b, (i+1)*n//b) of rows ordered by confidence and hit. Confidence lies in 0 to 1.
+
+    Rows equal in both are counted before they are ordered, and a count is divided among the bins it reaches into. So a constant forecast is two counts.
+    """
+    counted = rows.groupBy(*groups, confidence, hit).agg(F.count("*").alias("_k"))
+    ran = bucketed(counted, groups, F.floor(F.col(confidence) * buckets), [confidence, hit], {"_end": F.col("_k")})
+    n, start = F.col("_end_all"), F.col("_end") - F.col("_k")
+    b = F.least(F.lit(bins), n)
+    at = lambda rank: F.floor((b * (rank + 1) - 1) / n)  # noqa: E731  the bin of a rank from 0
+    edge = lambda i: F.floor(i * n / b)
+    binned = ran.withColumn("_bin", F.explode(F.sequence(at(start), at(F.col("_end") - 1))))
+    share = F.least(F.col("_end"), edge(F.col("_bin") + 1)) - F.greatest(start, edge(F.col("_bin")))
+    per = binned.withColumn("_m", share).groupBy(*groups, "_bin").agg(F.sum("_m").alias("_m"), (F.sum(F.col("_m") * F.col(confidence)) / F.sum("_m")).alias("_c"), (F.sum(F.col("_m") * F.col(hit)) / F.sum("_m")).alias("_h"), F.first("_end_all").alias("_n"))
+    return per.groupBy(*groups).agg(F.sum(F.col("_m") / F.col("_n") * F.abs(F.col("_c") - F.col("_h"))).alias("ece"), F.sum("_m").alias("n"))
+
+
+def order_statistics(df: DataFrame, keys: list[str], value: str, ranks: dict[str, Callable[[Column], Column]], buckets: int = 1024, rounds: int = 2) -> DataFrame:
+    """(keys, n, least, most, one column for each name of ranks): the value at that rank (from 0, as a function of n) among a group's sorted values. Nulls don't count.
+
+    Distributed selection for all groups and ranks at once: distinct values are counted, then `rounds` times put into buckets between the least and the greatest
+    value that a rank can have, of which only the one that holds the rank goes on. What is left, about buckets ** -rounds of a group, is sorted.
+    """
+    groups = [F.col(k) for k in keys] or [F.lit(0)]
+    named = [f"_g{i}" for i in range(len(groups))]
+    rows = df.where(F.col(value).isNotNull()).select(*(k.alias(g) for k, g in zip(groups, named, strict=True)), F.col(value).alias("_v"))
+    counted = staged(rows.groupBy(*named, "_v").agg(F.count("*").alias("_c")))
+    whole = counted.groupBy(*named).agg(F.sum("_c").alias("n"), F.min("_v").alias("least"), F.max("_v").alias("most"))
+    asked = F.explode(F.array(*(F.struct(F.lit(name).alias("name"), rank(F.col("n")).cast("long").alias("rank")) for name, rank in ranks.items()))).alias("_a")
+    state = whole.select(*named, "least", "most", asked).select(*(F.col(g).alias(f"s{g}") for g in named), "_a.*", F.col("least").alias("lo"), F.col("most").alias("hi"))
+    by = [*(f"s{g}" for g in named), "name"]
+    on = lambda left: [left[g].eqNullSafe(F.col(f"s{g}")) for g in named] + [F.col("_v").between(F.col("lo"), F.col("hi"))]
+    for last in [False] * rounds + [True]:
+        near = counted.join(state, on(counted))
+        if last:
+            cells = near.groupBy(*by, "rank", F.col("_v").alias("_at")).agg(F.sum("_c").alias("_k"), F.min("_v").alias("lo"), F.max("_v").alias("hi"))
+        else:
+            width = (F.col("hi") - F.col("lo")).cast("double")
+            place = F.when(width > 0, F.least(F.floor((F.col("_v") - F.col("lo")).cast("double") / width * buckets), F.lit(buckets - 1))).otherwise(0)
+            cells = near.groupBy(*by, "rank", place.alias("_at")).agg(F.sum("_c").alias("_k"), F.min("_v").alias("lo"), F.max("_v").alias("hi"))
+        end = F.sum("_k").over(Window.partitionBy(*by).orderBy("_at").rowsBetween(Window.unboundedPreceding, 0))
+        state = cells.withColumn("_end", end).where((F.col("rank") < F.col("_end")) & (F.col("rank") >= F.col("_end") - F.col("_k"))).select(*by, (F.col("rank") - F.col("_end") + F.col("_k")).alias("rank"), "lo", "hi")
+    found = state.groupBy(*by[:-1]).agg(*(F.max(F.when(F.col("name") == name, F.col("lo"))).alias(name) for name in ranks))
+    j = whole.join(found, [whole[g].eqNullSafe(found[f"s{g}"]) for g in named])
+    return j.select(*(F.col(g).alias(k) for g, k in zip(named, keys, strict=False)), "n", "least", "most", *ranks)
+
+
+#: Ranks of the two values whose mean is the median.
+MIDDLE = {"_below": lambda n: F.floor((n - 1) / 2), "_above": lambda n: F.floor(n / 2)}
+
+
+def fraction_rank(fraction: float) -> Callable[[Column], Column]:
+    """The rank int(fraction * (n - 1))."""
+    return lambda n: F.floor(fraction * (n - 1))
 
 
 def wilson(successes: str | Column, count: str | Column, confidence: float = 0.90) -> Column:
@@ -205,20 +254,28 @@ PROXIES = {
 }
 
 
-def history_proxies(shapes: DataFrame, least: int = 30) -> DataFrame:
-    """(rule, proxy_id, fixtures, status, log_loss, brier, rps, accuracy) of each rule's stand-in over scored shapes; no metrics below `least` fixtures. One pass for all rules."""
+#: Rules that past fixtures can't stand in for, and why.
+NO_PROXY = {"r0_data_integrity": "not_applicable", "r2_euro_strong_asian_flat": "not_available_in_dataset", "r4_handicap_cover_conflict": "not_available_in_dataset", "r5_live_market_stability": "not_available_in_dataset"}
+
+
+def history_proxies(shapes: DataFrame, least: int = 30, spread: str | None = None) -> DataFrame:
+    """(rule, proxy_id, evaluability, fixtures, status, log_loss, brier, rps, accuracy, median, p75, p90) of each rule's stand-in over scored shapes.
+
+    No metrics below `least` fixtures. One pass for all rules. spread: a column of how far bookmakers are apart, of which the rule on dispersion has a distribution only.
+    """
     hits = F.array_compact(F.array(*(F.when(F.expr(cond), F.struct(F.lit(rule).alias("rule"), F.lit(proxy).alias("proxy_id"))) for rule, (proxy, cond) in PROXIES.items())))
     found = shapes.select("*", F.explode(hits).alias("_h")).groupBy("_h.rule", "_h.proxy_id").agg(F.count("*").alias("fixtures"), *(F.avg(m).alias(m) for m in ("log_loss", "brier", "rps")), F.avg("hit").alias("accuracy"))
-    names = shapes.sparkSession.createDataFrame([(rule, proxy) for rule, (proxy, _) in PROXIES.items()], "rule string, proxy_id string")
-    all_rules = names.join(found, ["rule", "proxy_id"], "left").na.fill({"fixtures": 0})
+    kinds = [(rule, proxy, "retrospective_final_closing_proxy") for rule, (proxy, _) in PROXIES.items()] + [(rule, None, why) for rule, why in NO_PROXY.items()]
+    names = shapes.sparkSession.createDataFrame(kinds, "rule string, proxy_id string, evaluability string")
+    all_rules = names.join(found, ["rule", "proxy_id"], "left").withColumn("fixtures", F.when(F.col("proxy_id").isNotNull(), F.coalesce("fixtures", F.lit(0))))
     enough = F.col("fixtures") >= least
-    return all_rules.select("rule", "proxy_id", "fixtures", F.when(enough, "available").otherwise("insufficient_sample").alias("status"), *(F.when(enough, F.col(m)).alias(m) for m in ("log_loss", "brier", "rps", "accuracy")))
-
-
-def percentile_at(values: str, fraction: float) -> Column:
-    """Aggregate: the value at int(fraction * (n - 1)) of the sorted values."""
-    s = F.sort_array(F.collect_list(values))
-    return F.get(s, F.floor(fraction * (F.size(s) - 1)).cast("int"))
+    status = F.when(enough, "available").when(F.col("proxy_id").isNotNull(), "insufficient_sample")
+    out = all_rules.select("rule", "proxy_id", "evaluability", "fixtures", status.alias("status"), *(F.when(enough, F.col(m)).alias(m) for m in ("log_loss", "brier", "rps", "accuracy")), *(F.lit(None).cast("double").alias(c) for c in ("median", "p75", "p90")))
+    if spread is None:
+        return out
+    wide = order_statistics(shapes, [], spread, MIDDLE | {"p75": fraction_rank(0.75), "p90": fraction_rank(0.90)})
+    kind = [F.lit("r6_bookmaker_dispersion").alias("rule"), F.lit("different_metric_distribution_only").alias("evaluability")]
+    return out.unionByName(wide.select(*kind, ((F.col("_below") + F.col("_above")) / 2).cast("double").alias("median"), F.col("p75").cast("double"), F.col("p90").cast("double")), allowMissingColumns=True)
 
 
 def stability(rows: DataFrame, groups: list[str], season: str, residual: str, seasons: tuple[str, str], least: int) -> DataFrame:

@@ -16,15 +16,20 @@ from veritide.streaming import states
 
 
 def import_facts(spark: SparkSession, path: str, stored: DataFrame | None = None, checkpoints: DataFrame | None = None) -> dict[str, DataFrame]:
-    """new records with event time, rejected lines, conflicting ids, records of unknown type, checkpoints, and files that broke the append-only rule since the checkpoints given."""
-    lines = facts.scan(spark, path)
+    """new records with event time and sha256, rejected lines, conflicting ids, records of unknown type, checkpoints, and files that broke the append-only rule since the checkpoints given.
+
+    stored: record_id of what was imported before, and with sha256 its contents, so that a stored id with other content is a conflict. Files that broke the rule give no lines.
+    """
     broken = None
     if checkpoints is not None:
-        broken = facts.append_violations(checkpoints, lines)
-        lines = facts.scan(spark, path, checkpoints)
+        broken = facts.append_violations(spark, path, checkpoints)
+    lines = facts.scan(spark, path, checkpoints)
+    if broken is not None:
+        lines = lines.join(broken.select("file"), "file", "left_anti")
     records, rejected = facts.validated(lines)
-    new = facts.with_event_time(facts.new_records(records, stored))
-    out = {"new": new, "rejected": rejected, "conflicts": facts.conflicts(records), "unsupported": contracts.unsupported(new, "record_type", (*facts.TYPES, *facts.RESEARCH_TYPES)), "checkpoints": facts.checkpoint(records)}
+    new = facts.with_event_time(facts.new_records(records, stored)).withColumn("sha256", F.sha2("raw", 256))
+    known = stored if stored is not None and "sha256" in stored.columns else None
+    out = {"new": new, "rejected": rejected, "conflicts": facts.conflicts(records, known), "unsupported": contracts.unsupported(new, "record_type", (*facts.TYPES, *facts.RESEARCH_TYPES)), "checkpoints": facts.checkpoint(records)}
     return out if broken is None else out | {"violations": broken}
 
 
@@ -74,13 +79,25 @@ def baseline_points(fixtures: DataFrame, observations: DataFrame, cohort: str =
     return score.running_prior(rows, ["competition"], ["match_date", "fixture_record_id"], "actual", first)
 
 
-def evaluate_baseline(points: DataFrame) -> DataFrame:
-    """Metrics of uniform, prior and market forecasts by year and competition, with the calibration error of each cell."""
+BASELINES = ("uniform", "prior", "market")
+
+
+def evaluate_baseline(points: DataFrame, years: tuple[str, ...] = ()) -> DataFrame:
+    """Metrics of uniform, prior and market forecasts by year and competition, with the calibration error of each cell.
+
+    years: the cells are these years and all, for each competition and all, also those without points (sample_size 0, no metrics).
+    """
     rows = score.scored(score.with_baselines(points, "p", "prior"))
     cube = score.grouped_metrics(rows, [("baseline",), ("baseline", "year"), ("baseline", "competition"), ("baseline", "year", "competition")])
     cells = [F.struct(F.lit("all").alias("year"), F.lit("all").alias("competition")), F.struct(F.col("year"), F.lit("all").alias("competition")), F.struct(F.lit("all").alias("year"), F.col("competition")), F.struct(F.col("year"), F.col("competition"))]
-    spread = rows.select("baseline", "top", "hit", "fixture_record_id", F.explode(F.array(*cells)).alias("c")).select("baseline", "c.*", "top", "hit", "fixture_record_id")
-    return cube.join(score.calibration_error(spread, ["baseline", "year", "competition"], "fixture_record_id").drop("n"), ["baseline", "year", "competition"], "left")
+    spread = rows.select("baseline", "top", "hit", F.explode(F.array(*cells)).alias("c")).select("baseline", "c.*", "top", "hit")
+    keys = ["baseline", "year", "competition"]
+    found = cube.join(score.calibration_error(spread, keys).drop("n"), keys, "left")
+    if not years:
+        return found
+    names = points.select("competition").distinct().unionByName(points.sparkSession.createDataFrame([("all",)], "competition string"))
+    grid = names.withColumn("year", F.explode(F.array(*map(F.lit, (*years, "all"))))).withColumn("baseline", F.explode(F.array(*map(F.lit, BASELINES))))
+    return score.full_grid(found, grid.select(*keys), keys)
 
 
 def model_dataset(points: DataFrame, cut: str) -> dict[str, DataFrame]:
@@ -155,6 +172,13 @@ def _selected(rows: DataFrame, market_name: str, keys: list[str], bookmaker: str
     return market.one_row(complete.select(*keys, F.trim(bookmaker).alias("book"), *fields, *order), keys, "book", fields, order)
 
 
+def _priced(keyed: DataFrame, market_name: str, keys: list[str], order: list[str]) -> tuple[DataFrame, DataFrame]:
+    """_selected() for rows with a bookmaker_key."""
+    fields = [f"{side}_{f}" for side in ("opening", "current") for f in PRICED[market_name]]
+    complete = keyed.where((F.col("market") == market_name) & reduce(lambda a, b: a & b, (F.col(f).isNotNull() for f in fields)))
+    return market.one_row(complete.select(*keys, F.col("bookmaker_key").alias("book"), *fields, *order), keys, "book", fields, order)
+
+
 def first_guardrail_features(rows: DataFrame, index: DataFrame, series: DataFrame, keys: list[str], order: list[str], least: int = 3, bookmaker: str = "source_bookmaker_name") -> DataFrame:
     """Features of the first guardrail for every key (such as fixture and target) at once, from market rows.
 
@@ -181,12 +205,17 @@ def first_guardrail_features(rows: DataFrame, index: DataFrame, series: DataFram
     return out.withColumns({"favourite_side": side, "hard_reasons": reasons}).drop("conflicts")
 
 
-def second_guardrail_features(rows: DataFrame, series: DataFrame, keys: list[str], order: list[str], least: int = 3, bookmaker: str = "source_bookmaker_name") -> DataFrame:
+def second_guardrail_features(rows: DataFrame, series: DataFrame, keys: list[str], order: list[str], least: int = 3, bookmaker: str = "source_bookmaker_name", ident: str = "source_bookmaker_id") -> DataFrame:
     """Features of the second guardrail for every key at once: institutions across three markets, their signals, anomalies and series.
 
-    rows as for the first guardrail; series: keys, book, observed_at, record_id, probability, deviation of each institution's live observations.
+    rows as for the first guardrail, with the bookmaker's id; series: keys, book (as market.bookmaker_keys gives it), observed_at, record_id, probability, deviation of each institution's live observations.
+    Institutions are paired by their key over all markets. What contradicts itself, in names, ids or prices, is left out, and pairing_warnings says so.
     """
-    picked = {m: _selected(rows, m, keys, bookmaker, order)[0] for m in PRICED}
+    keyed, warned = market.bookmaker_keys(rows.where(source_role(bookmaker) == "bookmaker"), keys, bookmaker, ident)
+    both = {m: _priced(keyed, m, keys, order) for m in PRICED}
+    picked = {m: kept for m, (kept, _) in both.items()}
+    clashes = reduce(DataFrame.unionByName, (bad.select(*keys, F.concat_ws(":", F.lit("duplicate_company_conflict"), "book", F.lit(m)).alias("warning")) for m, (_, bad) in both.items()))
+    warnings = warned.unionByName(clashes).groupBy(*keys).agg(F.array_sort(F.collect_set("warning")).alias("pairing_warnings"))
     euro = picked["ouzhi"]
     price = lambda side: odds.devig(*(F.col(f"{side}_{s}") for s in odds.SIDES), rule="above_one")
     valid = euro.withColumns({"_o": price("opening"), "_c": price("current")}).where("_o is not null and _c is not null").select(*keys, "book", F.col("_c.p").alias("p"), F.zip_with("_c.p", "_o.p", lambda a, b: a - b).alias("delta"))
@@ -212,8 +241,9 @@ def second_guardrail_features(rows: DataFrame, series: DataFrame, keys: list[str
     counts = reduce(lambda a, b: a.join(b, keys, "full"), (picked[m].groupBy(*keys).agg(F.count("*").alias(f"n_{m}")) for m in PRICED))
     out = rows.select(*keys).distinct().join(counts, keys, "left").join(agreed, keys, "left").join(sums, keys, "left").join(market.leave_one_out(quoted, agreed, keys, "book"), keys, "left")
     few = [F.when(F.coalesce(f"n_{m}", F.lit(0)) < least, f"insufficient_bookmakers:{m}") for m in PRICED] + [F.when(F.coalesce("paired", F.lit(0)) < least, "insufficient_valid_1x2_bookmakers")]
+    out = out.join(warnings, keys, "left")
     none = F.array().cast("array<string>")
-    return out.withColumns({"hard_reasons": F.array_sort(F.array_compact(F.array(*few))), "pairing_warnings": none, "paired": F.coalesce("paired", F.lit(0))})
+    return out.withColumns({"hard_reasons": F.array_sort(F.array_compact(F.array(*few))), "pairing_warnings": F.coalesce("pairing_warnings", none), "paired": F.coalesce("paired", F.lit(0))})
 
 
 def forward_review(assessed: DataFrame, rule_map: str = "rule_evaluations", at: str = "kickoff_at", iterations: int = 10_000) -> DataFrame:

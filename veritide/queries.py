@@ -187,7 +187,7 @@ def score_cube(spark: SparkSession, d: str) -> DataFrame:
 ), b AS (SELECT competition, (least(10, n) * rn - 1) // n AS bin, count(*) AS k, avg(top) AS c, avg(hit) AS h, min(n) AS n FROM k GROUP BY 1, 2)
 SELECT competition, round(sum(k / n * abs(c - h)), 8) AS ece, sum(k)::BIGINT AS n FROM b GROUP BY competition""")
 def calibration_error(spark: SparkSession, d: str) -> DataFrame:
-    return score.calibration_error(_scored(spark, d), ["competition"], "fixture").select("competition", _r("ece"), "n")
+    return score.calibration_error(_scored(spark, d), ["competition"]).select("competition", _r("ece"), "n")
 
 
 @_query(f"""WITH {_Q}, w AS (SELECT fixture, competition, kickoff, actual, {', '.join(f"1 + coalesce(sum((actual = {k} AND year(kickoff) <= 1995)::INT) OVER (PARTITION BY competition ORDER BY kickoff, fixture ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS c{k}" for k in range(3))} FROM fx)
@@ -568,11 +568,19 @@ def profile_resolution(spark: SparkSession, d: str) -> DataFrame:
     return evidence.resolve(c, n, n, "ident", "n_name").select("c_custkey", "resolution")
 
 
-@_query("""WITH k AS (SELECT l_orderkey AS f, l_suppkey % 20 AS nm, CASE WHEN l_linenumber % 3 = 0 THEN NULL ELSE l_suppkey % 40 END AS id FROM lineitem), n AS (SELECT f, nm, count(DISTINCT id) AS ids FROM k WHERE id IS NOT NULL GROUP BY 1, 2), i AS (SELECT f, id, count(DISTINCT nm) AS nms FROM k WHERE id IS NOT NULL GROUP BY 1, 2)
-SELECT k.f AS fixture, count(*) AS n FROM k LEFT JOIN n ON n.f = k.f AND n.nm = k.nm LEFT JOIN i ON i.f = k.f AND i.id = k.id WHERE coalesce(ids, 0) <= 1 AND coalesce(nms, 0) <= 1 GROUP BY k.f""")
+@_query("""WITH k AS (SELECT l_orderkey AS f, l_linenumber AS line, 'Book  ' || l_suppkey % 20 AS raw, 'Book ' || l_suppkey % 20 AS nm, CASE WHEN l_linenumber % 3 <> 0 THEN CASE WHEN l_suppkey % 7 = 0 THEN 'x' ELSE (l_suppkey % 40)::VARCHAR END END AS id FROM lineitem
+), p AS (SELECT DISTINCT f, nm, id FROM k WHERE id IS NOT NULL), c AS (SELECT *, count(*) OVER (PARTITION BY f, nm) AS ids, count(*) OVER (PARTITION BY f, id) AS names FROM p
+), n AS (SELECT f, nm, bool_or(ids > 1 OR names > 1) AS gone, min(id) AS known FROM c GROUP BY f, nm
+), w AS (SELECT DISTINCT f, unnest(list_filter([CASE WHEN ids > 1 THEN 'bookmaker_name_maps_multiple_ids:' || nm END, CASE WHEN names > 1 THEN 'bookmaker_id_maps_multiple_names:' || id END], lambda x: x IS NOT NULL)) AS warning FROM c)
+SELECT k.f AS fixture, line, CASE WHEN coalesce(k.id, known) IS NOT NULL THEN 'id:' || coalesce(k.id, known) ELSE 'name:' || k.nm END AS bookmaker_key, NULL AS warning FROM k LEFT JOIN n ON n.f = k.f AND n.nm = k.nm WHERE NOT coalesce(gone, false)
+UNION ALL SELECT f, NULL, NULL, warning FROM w""")
 def bookmaker_identity(spark: SparkSession, d: str) -> DataFrame:
-    l = _read(spark, d, "lineitem").select(F.col("l_orderkey").alias("fixture"), (F.col("l_suppkey") % 20).cast("string").alias("name"), F.when(F.col("l_linenumber") % 3 != 0, F.col("l_suppkey") % 40).alias("id"))
-    return market.bookmaker_keys(l, ["fixture"], "name", "id")[0].groupBy("fixture").agg(F.count("*").alias("n"))
+    """Rows with the key of their bookmaker, and the contradictions of names and ids, whose rows are left out."""
+    supp = F.col("l_suppkey")
+    ident = F.when(F.col("l_linenumber") % 3 != 0, F.when(supp % 7 == 0, "x").otherwise((supp % 40).cast("string")))
+    l = _read(spark, d, "lineitem").select(F.col("l_orderkey").alias("fixture"), F.col("l_linenumber").alias("line"), F.concat(F.lit(" Book  "), (supp % 20).cast("string")).alias("name"), ident.alias("id"))
+    kept, warned = market.bookmaker_keys(l, ["fixture"], "name", "id")
+    return kept.select("fixture", "line", "bookmaker_key", F.lit(None).cast("string").alias("warning")).unionByName(warned.select("fixture", "warning"), allowMissingColumns=True)
 
 
 @_query("""SELECT event_id, sha256('event|' || event_id || '|' || event_type || '|' || 'None') AS id FROM events""")

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from veritide.functions.parse import event_time
-from veritide.operators.score import bucketed
+from veritide.sources import lines as lines_source
 
 ENVELOPE = T.StructType([T.StructField("record_id", T.StringType()), T.StructField("record_type", T.StringType()), T.StructField("schema_version", T.IntegerType()), T.StructField("fixture_id", T.StringType())])
 #: Columns of the first non-empty of which a record's event time is read.
@@ -55,31 +55,36 @@ RESEARCH_TYPES = {
 PRICES = ("home", "draw", "away", "line", "over", "under")
 
 
-def scan(spark: SparkSession, path: str, checkpoints: DataFrame | None = None) -> DataFrame:
-    """Lines of a JSONL tree with their envelope: raw, file, line (from 1), start and stop (bytes in the file), and the fields of ENVELOPE.
+#: So many rows (file, piece, lines) are broadcast at most, some 20 MB.
+SMALL = 200_000
 
-    A last line without a line end is left for a later scan, whether it is JSON or not. checkpoints: (file, offset, ...) of
-    checkpoint(); lines before the offset of their file are left out. Offsets are running sums inside the pieces in
-    which Spark reads a file, so a large file is never sorted as a whole.
+
+def scan(spark: SparkSession, path: str, checkpoints: DataFrame | None = None, piece: int = lines_source.PIECE) -> DataFrame:
+    """Lines of a JSONL tree with their envelope: raw, utf8, file, line (from 1), start and stop (bytes in the file), and the fields of ENVELOPE.
+
+    A last line without a line end is left for a later scan, whether it is JSON or not. checkpoints: (file, offset, line, last_start, ...) of
+    checkpoint(); of a file that has one only the bytes after it are read, and its lines are numbered on from there. Added bytes are read in pieces; only
+    files with more than one are read twice, first to count the lines before each later piece. Nothing is shuffled unless there are more than SMALL of these.
     """
-    source = spark.read.option("lineSep", "\n").text(path, recursiveFileLookup=True)
-    m = source.select(F.col("value").alias("raw"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("_size"), F.col("_metadata.file_block_start").alias("_block")).withColumn("_order", F.monotonically_increasing_id())
-    placed = bucketed(m, ["file"], F.col("_block"), ["_order"], {"stop": F.octet_length("raw").cast("long") + 1, "line": F.lit(1).cast("long")})
-    whole = placed.where((F.col("stop") < F.col("stop_all")) | (F.col("stop") <= F.col("_size")))
-    lines = whole.withColumn("start", F.col("stop") - F.octet_length("raw") - 1).where(F.trim("raw") != "")
-    if checkpoints is not None:
-        done = checkpoints.select(F.col("file").alias("_file"), F.col("offset").alias("_offset"))
-        lines = lines.join(done, F.col("file") == F.col("_file"), "left").where(F.col("start") >= F.coalesce("_offset", F.lit(0)))
-    return lines.withColumn("e", F.from_json("raw", ENVELOPE)).select("raw", "file", "line", "start", "stop", "e.*")
+    done = lines_source.done_of(checkpoints)
+    read = lines_source.appended(spark, path, "lines", done, piece)
+    later = lines_source.later_pieces(path, done, piece)
+    if later:
+        earlier = Window.partitionBy("file").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
+        before = lines_source.appended(spark, path, "counts", done, piece).select("file", "piece", F.sum("lines").over(earlier).alias("_before"))
+        read = read.join(F.broadcast(before) if later <= SMALL else before, ["file", "piece"], "left").withColumn("base", F.col("base") + F.coalesce("_before", F.lit(0)))
+    numbered = read.withColumn("line", F.col("base") + F.col("place")).where(F.trim("raw") != "")
+    return numbered.withColumn("e", F.from_json("raw", ENVELOPE)).select("raw", "utf8", "file", "line", "start", "stop", "e.*")
 
 
 def checkpoint(lines: DataFrame) -> DataFrame:
-    """(file, offset, line, last_record_id): how far a scan has come in each file."""
-    return lines.groupBy("file").agg(F.max("stop").alias("offset"), F.max("line").alias("line"), F.max_by("record_id", "line").alias("last_record_id"))
+    """(file, offset, line, last_start, last_record_id): how far a scan has come in each file."""
+    return lines.groupBy("file").agg(F.max("stop").alias("offset"), F.max("line").alias("line"), F.max("start").alias("last_start"), F.max_by("record_id", "line").alias("last_record_id"))
 
 
 def record_contract(version: int = 1) -> dict[str, Column]:
     return {
+        "utf8": F.col("utf8"),
         "not_an_object": F.get_json_object("raw", "$").startswith("{"),
         "record_id": F.trim("record_id") != "",
         "record_type": F.trim("record_type") != "",
@@ -116,17 +121,20 @@ def typed(records: DataFrame, kind: str) -> DataFrame:
     return rows
 
 
-def conflicts(records: DataFrame, key: str = "record_id", content: str = "raw") -> DataFrame:
-    """Ids that stand for more than one content."""
-    return records.groupBy(key).agg(F.count_distinct(F.sha2(content, 256)).alias("contents")).where("contents > 1")
+def conflicts(records: DataFrame, stored: DataFrame | None = None, key: str = "record_id", content: str = "raw") -> DataFrame:
+    """Ids that stand for more than one content, among the records and, with stored (key, sha256), those stored before."""
+    hashes = records.select(key, F.sha2(content, 256).alias("sha256"))
+    if stored is not None:
+        hashes = hashes.unionByName(stored.select(key, "sha256").join(records.select(key), key, "left_semi"))
+    return hashes.groupBy(key).agg(F.count_distinct("sha256").alias("contents")).where("contents > 1")
 
 
-def append_violations(before: DataFrame, lines: DataFrame) -> DataFrame:
-    """(file, violation): files of stored checkpoints that vanished, shrank below their offset, or have another record at it. lines: a scan of the files as they are."""
-    now = lines.groupBy("file").agg(F.max("stop").alias("_stop"))
-    at = lines.select("file", F.col("stop").alias("offset"), F.col("record_id").alias("_there"))
-    j = before.join(now, "file", "left").join(at, ["file", "offset"], "left")
-    v = F.when(F.col("_stop").isNull(), "missing").when(F.col("_stop") < F.col("offset"), "shrunk").when(~F.col("_there").eqNullSafe(F.col("last_record_id")), "tail_changed")
+def append_violations(spark: SparkSession, path: str, before: DataFrame) -> DataFrame:
+    """(file, violation): files of stored checkpoints that vanished, shrank below their offset, or have another record at it. Of each file its last known line is read alone."""
+    now = lines_source.appended(spark, path, "tails", lines_source.done_of(before))
+    there = F.from_json("raw", ENVELOPE)["record_id"]
+    j = before.join(now.select("file", F.col("size").alias("_size"), there.alias("_there")), "file")
+    v = F.when(F.col("_size").isNull(), "missing").when(F.col("_size") < F.col("offset"), "shrunk").when(~F.col("_there").eqNullSafe(F.col("last_record_id")), "tail_changed")
     return j.select("file", v.alias("violation")).where("violation is not null")
 
 
