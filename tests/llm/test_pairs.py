@@ -309,7 +309,7 @@ def test_documents_of_one_passage_are_not_paired(spark):
     texts = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")
     sets = texts.rdd.map(lambda r: (r["doc_id"], [int(x) for b in S.shingle_hashes(r["text"].encode(), 5) for x in b.view(np.int64)])).toDF("id long, set array<long>")
     members = texts.select(F.col("doc_id").alias("rep"), F.col("doc_id").alias("root"))
-    assert {tuple(sorted((r["a"], r["b"]))) for r in S._rare(members, sets, 0.8).collect()} == {(7, 200)}
+    assert {tuple(sorted((r["a"], r["b"]))) for r in S._rare(members.withColumn("very", F.lit(True)), sets, 0.8).collect()} == {(7, 200)}
     assert sorted(r["doc_id"] for r in S.keep_one(texts).collect()) == list(range(200))
 
 
@@ -337,3 +337,49 @@ def test_pairs_left_by_the_hub_are_found(spark):
     got = {tuple(sorted((r["a"], r["b"]))) for r in S._rest(members, spark.createDataFrame([(7, 0)], "band long, rep long"), scored, held, 0.8).collect()}
     want = {(i, j) for i in sets for j in sets if i < j and root[i] != root[j] and jac(sets[i], sets[j]) >= 0.8}
     assert want and want <= got
+
+
+def test_few_pairs_are_left_in_a_group_around_the_threshold(spark, monkeypatch):
+    """Copies of one text with a few words substituted from a list, many just below the similarity to it: last, only documents are paired that have a rare difference from it in common."""
+    counted = []
+    rest = S._rest
+    monkeypatch.setattr(S, "_rest", lambda *a: counted.append(shared.cut(rest(*a), "counted")) or counted[-1])
+    for n in (150, 450):
+        rng = random.Random(7)
+        base = [f"w{rng.randrange(5000)}" for _ in range(300)]
+        others = [f"x{i}" for i in range(40)]
+        texts = []
+        for _ in range(n):
+            words = list(base)
+            for i in rng.sample(range(300), rng.randint(3, 8)):
+                words[i] = rng.choice(others)
+            texts.append(" ".join(words))
+        docs = spark.createDataFrame(list(enumerate([" ".join(base), *texts])), "doc_id long, text string")
+        kept = {r["doc_id"] for r in S.keep_one(docs).collect()}
+        sets = [set(np.concatenate(list(S.shingle_hashes(t.encode(), 5))).tolist()) for t in [" ".join(base), *texts]]
+        root = list(range(len(sets)))
+
+        def find(x, root=root):
+            while root[x] != x:
+                x = root[x]
+            return x
+
+        for i in range(len(sets)):
+            for j in range(i):
+                if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                    root[max(find(i), find(j))] = min(find(i), find(j))
+        assert kept == {i for i in range(len(sets)) if find(i) == i}
+    pairs = [c.select(F.least("a", "b"), F.greatest("a", "b")).distinct().count() / (n * (n - 1) / 2) for c, n in zip(counted, (150, 450), strict=True)]
+    assert len(pairs) == 2 and max(pairs) < 0.05 and counted[1].count() < 0.2 * 450 * 449 / 2
+
+
+def test_names_with_dots_and_clashes_go_through_the_stages(spark, odd):
+    from veritide.llm.langid import keep_known
+    from veritide.llm.mixing import mix
+
+    docs = odd.select("*", F.lit(1).alias("a.b"), F.lit(2).alias("mix_shard"), F.lit(3).alias("row_in"), F.lit(4).alias("c`d"))
+    for stage in (keep_known, S.keep_one, mix):
+        assert stage(docs).columns == docs.columns and stage(docs).count() > 0
+    assert mix(docs, shards=True).columns == [*docs.columns, "_mix_shard", "mix_key"]
+    bench = spark.createDataFrame([(1, "the cat sat on the mat and looked at the dog by the door")], "item_id long, text string")
+    assert D.decontaminate(docs, bench).columns == docs.columns

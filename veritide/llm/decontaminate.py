@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veritide.llm.shared import cut, sieve, sifted
+from veritide.llm.shared import columns, cut, sieve, sifted
 
 TOKEN = r"[\p{L}\p{N}]+"
 #: Windows of a text that are handled together.
@@ -124,7 +124,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame
     """
     bad = cut(contaminated(docs, benchmark, **options).select("doc_id").where("doc_id is not null").distinct(), "contaminated")
     bits = cut(sieve(bad, "doc_id"), "contaminated-bits")
-    return sifted(docs, "doc_id", bits, held=False).unionByName(sifted(docs, "doc_id", bits, held=True).join(bad, "doc_id", "left_anti").select(docs.columns))
+    return sifted(docs, "doc_id", bits, held=False).unionByName(sifted(docs, "doc_id", bits, held=True).join(bad, "doc_id", "left_anti").select(*columns(docs)))
 
 
 def op8_decontamination(spark, sf_dir: str) -> DataFrame:

@@ -27,6 +27,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+from veritide.llm.shared import columns
+
 DIMENSIONS, UNKNOWN = 1024, "und"
 #: Texts are handled in groups of so many code points; longer ones alone, in pieces of that many.
 PIECE = 1 << 19
@@ -180,7 +182,7 @@ def keep_known(docs: DataFrame, min_score: float | None = None, short: int = 64)
     """
     prototypes = learn(docs.where(~held_out("doc_id")))
     least = least_score(docs, prototypes) if min_score is None else min_score
-    found = predict(docs, prototypes, [F.struct(*docs.columns).alias("row_in")])
+    found = predict(docs, prototypes, [F.struct(*columns(docs)).alias("row_in")])
     if min_score is not None:
         known = F.col("score") > least
     else:

@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from veritide.llm.ranks import leading, offsets, seeded, source_key
+from veritide.llm.shared import columns, unused
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -110,19 +111,19 @@ def plan(docs: DataFrame, keep: list[str], share: float = 1.5, limit: int = 2, w
 
 
 def mix(docs: DataFrame, shards: bool = False, levels: int = 4, **options) -> DataFrame:
-    """docs as the mix takes them: a row for each copy, dealt to the output shards and shuffled there; with `shards` also columns mix_shard and mix_key.
+    """docs as the mix takes them: a row for each copy, dealt to the output shards and shuffled there; with `shards` also columns mix_shard and mix_key (after underscores where docs has such a column).
 
     Partitions hold the shards one after the other, each in the order of its keys: written as it is, the table is in the order of the mix.
     """
-    names = docs.columns
-    keyed = docs.select(F.struct(*names).alias("row_in"), *(F.col(c).alias(f"mix_{c}") for c in ("doc_id", "text", "source")))
+    keyed = docs.select(F.struct(*columns(docs)).alias("row_in"), *(F.col(c).alias(f"mix_{c}") for c in ("doc_id", "text", "source")))
     found = plan(keyed, ["row_in"], levels=levels, id_col="mix_doc_id", text_col="mix_text", source_col="mix_source", **options)
     dealt = found.select("row_in", F.explode("copies").alias("c")).select("row_in", F.col("c.shard").alias("mix_shard"), F.col("c.order_key").alias("mix_key"))
     # a shard is spread over several partitions by the leading bits of its keys: no task holds a whole one
     each = 1 << (int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) >> levels).bit_length()
     part = F.col("mix_shard") * each + leading(F.col("mix_key"), each)
     shuffled = dealt.repartitionById(each << levels, part.cast("int")).sortWithinPartitions("mix_key")
-    return shuffled.select("row_in.*", "mix_shard", "mix_key") if shards else shuffled.select("row_in.*")
+    own = [F.col(c).alias(unused(docs, c)) for c in ("mix_shard", "mix_key")] if shards else []
+    return shuffled.select("row_in.*", *own)
 
 
 def op4_mixing(spark, sf_dir: str) -> DataFrame:

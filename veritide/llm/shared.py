@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from urllib.parse import urlparse
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bits of a sieve, 2 MB of them in at most 262,144 rows: the bound of what is broadcast.
@@ -52,6 +52,11 @@ def forget(df: DataFrame) -> None:
     at.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
 
 
+def columns(df: DataFrame) -> list[Column]:
+    """All columns, whatever their names hold."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
 def unused(df: DataFrame, name: str) -> str:
     """name, or that with underscores before it, so that df has no such column."""
     taken = {c.lower() for c in df.columns}
@@ -78,7 +83,7 @@ def sifted(df: DataFrame, col: str, bits: DataFrame, held: bool) -> DataFrame:
     joined = df.join(F.broadcast(named), F.when(F.col(f"`{col}`").isNotNull(), F.shiftright(place, 6)) == F.col(slot), "left")
     bit = F.call_function("shiftrightunsigned", F.col(word), F.pmod(place, F.lit(64)).cast("int"))
     may = F.coalesce(bit.bitwiseAND(F.lit(1).cast("long")) == 1, F.lit(False))
-    return joined.where(may if held else ~may).select(*(F.col(f"`{c}`") for c in df.columns))
+    return joined.where(may if held else ~may).select(*columns(df))
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:

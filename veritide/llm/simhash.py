@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veritide.llm.shared import components, cut, sieve, sifted, unused
+from veritide.llm.shared import columns, components, cut, sieve, sifted, unused
 
 SEED, BLOCK = 42, 1 << 16
 #: Bits of a segment: coarse first, finer ones for grid points that are full. At 1 the bound is the distance itself.
@@ -184,8 +184,8 @@ def similar_links(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, ma
     with 0.99). A bucket's documents are compared with a hub, the one that meets most others
     over all its buckets: of an original and its copies that is the original. Buckets that still have documents
     of several components are compared with HUBS more. Documents of buckets that are in several components even
-    then are paired exactly: those far from the hub with near ones as the triangle inequality allows, and far ones with each other
-    by a prefix filter: shingles are ordered from the rarest, and any two similar
+    then are paired exactly: by the rarest of the differences that they have from their hub, and those very far from it
+    by their rarest shingles: any two similar
     sets share one among the first that make up 1 - similarity of either. Documents
     that merely share a common passage are not paired there, as its shingles come last. So no pair of a bucket
     is lost, and none needs all pairs of a bucket. All candidates are verified on their whole sets of
@@ -260,39 +260,60 @@ def _hubs(members: DataFrame, n: int) -> DataFrame:
 def _rest(members: DataFrame, hubs: DataFrame, scored: DataFrame, held: DataFrame, similarity: float) -> DataFrame:
     """Pairs (a, b) of different components of a bucket that may be similar, though not both are similar to its hub.
 
-    Jaccard distance is a metric, and all members were compared with the hub. A member far from it can be similar to a near
-    one only if their distances to the hub differ by at most 1 - similarity, and if neither has too many shingles of its
-    own alone; two far ones share a rare shingle.
+    Jaccard distance is a metric, and all members were compared with the hub. A member very far from it, by more than twice what
+    similar ones may be apart, can't be similar to one near it; pairs with such a member come from _rare(), others from _apart().
     """
     both = scored.select(F.col("a").alias("rep"), F.col("b").alias("hub"), "j", "ok").union(scored.select("b", "a", "j", "ok"))
     placed = members.join(hubs.withColumnRenamed("rep", "hub"), "band").join(both, ["rep", "hub"], "left")
-    near = F.col("ok") | (F.col("rep") == F.col("hub"))
-    placed = cut(placed.select("rep", "root", "hub", F.coalesce("j", F.lit(1.0)).alias("j"), F.coalesce(near, F.lit(False)).alias("near")).distinct(), "placed")
-    limit = 1 - similarity + 1e-9
-    # shingles of one document alone are in no intersection: n and how many of them are such bound any similarity of it
-    among = held.join(placed.select(F.col("rep").alias("id")).distinct(), "id").select("id", F.size("set").alias("n"), "set")
-    lone = among.select("id", F.explode("set").alias("s")).groupBy("s").agg(F.count("*").alias("df"), F.min("id").alias("id")).where("df = 1").groupBy("id").agg(F.count("*").alias("u"))
-    sizes = cut(among.select("id", "n").join(lone, "id", "left").select(F.col("id").alias("rep"), "n", F.coalesce("u", F.lit(0)).alias("u")), "sizes")
-    known = placed.join(sizes, "rep")
-    far = known.where(~F.col("near") & (1 - F.col("j") <= 2 * limit)).select("hub", F.col("rep").alias("a"), "root", "j", "n", "u")
-    other = known.where("near").select("hub", F.col("rep").alias("b"), F.col("root").alias("root_b"), F.col("j").alias("j_b"), F.col("n").alias("n_b"), F.col("u").alias("u_b"))
-    may = F.least(F.col("n") - F.col("u"), F.col("n_b") - F.col("u_b")) >= (similarity - 1e-9) * F.greatest(F.col("n") + F.col("u_b"), F.col("n_b") + F.col("u"))
-    beside = far.join(other, "hub").where((F.col("root") != F.col("root_b")) & (F.col("j_b") - F.col("j") <= limit) & may).select("a", "b")
-    return beside.union(_rare(placed.where("not near").groupBy("rep").agg(F.min("root").alias("root")), held, similarity))
+    near = F.coalesce("ok", F.lit(False)) | (F.col("rep") == F.col("hub"))
+    very = ~near & (1 - F.coalesce("j", F.lit(0.0)) > 2 * (1 - similarity) + 1e-9)
+    placed = cut(placed.select("rep", "root", "hub", near.alias("near"), very.alias("very")).distinct(), "placed")
+    far = placed.where("not near").groupBy("rep").agg(F.min("root").alias("root"), F.max("very").alias("very"))
+    return _apart(placed.where("not very and rep != hub"), held, similarity).union(_rare(far, held, similarity))
+
+
+def _apart(placed: DataFrame, held: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of members (rep, root, hub, near) of which a is not near and the two may be similar, by how they differ from their hub.
+
+    With H shingles in the hub, and a document that has A others and lacks D of them, similarity s to the hub means s * A + D <= (1 - s) * H; call the left side its cost.
+    Two documents of similarity s have (cost + cost - (1 - s) * H) / (1 + s) of these differences in common at least. If a is not near,
+    its cost is above (1 - s) * H, so the other one has more than its own cost / (1 + s) of its differences in common with a, about half of them. So one of
+    the rest and one more, the rarest, is a difference of a: what the hub's whole group has in common brings no pairs.
+    """
+    hubs = placed.where("not near").select("hub").distinct()
+    set_of = lambda name, col: held.select(F.col("id").alias(name), F.col("set").alias(col))
+    both = placed.join(hubs, "hub", "left_semi").join(set_of("rep", "x"), "rep").join(set_of("hub", "h"), "hub")
+    added, lacking = F.array_except("x", "h"), F.array_except("h", "x")
+    apart = both.select("hub", "rep", "root", "near", F.size("h").alias("size"), (similarity * F.size(added) + F.size(lacking)).alias("cost"), F.concat(added, lacking).alias("diff"))
+    apart = cut(apart.withColumn("n", F.size("diff")), "apart")
+    each = apart.select("hub", "rep", "near", F.explode("diff").alias("s"))
+    # what no other member has, or none that is not near, is first in the order, as it brings no pairs
+    often = cut(each.groupBy("hub", "s").agg(F.count("*").alias("df"), F.count_if(~F.col("near")).alias("far")).where("df > 1 and far > 0").select("hub", "s", "df"), "often")
+    shared = each.join(often, ["hub", "s"]).groupBy("hub", "rep").agg(F.sort_array(F.collect_list(F.struct("df", "s"))).alias("shared"))
+    mine = cut(apart.drop("diff").join(shared, ["hub", "rep"]), "shared")
+    length = F.col("n") - F.floor(F.col("cost") / (1 + similarity) - 1e-9) - (F.col("n") - F.size("shared"))
+    first = mine.where(length > 0).select("hub", F.col("rep").alias("b"), F.col("root").alias("root_b"), F.col("cost").alias("cost_b"), F.col("n").alias("n_b"), F.explode(F.slice("shared", F.lit(1), length.cast("int"))).alias("d"))
+    far = mine.where("not near").select("hub", F.col("rep").alias("a"), "root", "cost", "n", "size", F.explode("shared").alias("d"))
+    common = (1 + similarity) * F.least("n", "n_b") + 1e-6 >= F.col("cost") + F.col("cost_b") - (1 - similarity) * F.col("size")
+    met = far.select("*", "d.s").drop("d").join(first.select("*", "d.s").drop("d"), ["hub", "s"])
+    return met.where((F.col("root") != F.col("root_b")) & common).select("a", "b")
 
 
 def _rare(docs: DataFrame, held: DataFrame, similarity: float) -> DataFrame:
-    """Pairs (a, b) of docs (rep, root) of different components that share a rare shingle and may be similar: a prefix filter, from the rarest shingle on."""
-    sets = held.join(docs, F.col("id") == F.col("rep")).select("id", "root", F.size("set").alias("n"), "set")
-    shingles = cut(sets.select("id", "root", "n", F.explode("set").alias("s")), "shingles")
-    often = cut(shingles.groupBy("s").agg(F.count("*").alias("df")).where("df > 1"), "often")
-    # a document's shingles that no other has come first in its order, and cannot be shared
-    mine = shingles.join(often, "s").groupBy("id").agg(F.first("root").alias("root"), F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("df", "s"))).alias("shared"))
+    """Pairs (a, b) of docs (rep, root, very) of different components, one of them very far at least, that share a rare shingle and may be similar: a prefix filter, from the rarest shingle on."""
+    if docs.where("very").isEmpty():
+        return docs.select(F.col("rep").alias("a"), F.col("rep").alias("b")).where("false")
+    sets = held.join(docs, F.col("id") == F.col("rep")).select("id", "root", "very", F.size("set").alias("n"), "set")
+    shingles = cut(sets.select("id", "root", "very", "n", F.explode("set").alias("s")), "shingles")
+    often = cut(shingles.groupBy("s").agg(F.count("*").alias("df"), F.max("very").alias("one")).where("df > 1 and one").select("s", "df"), "often")
+    # a document's shingles that no other has, or none that is very far, come first in its order, and cannot be shared
+    mine = shingles.join(often, "s").groupBy("id").agg(F.first("root").alias("root"), F.first("very").alias("very"), F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("df", "s"))).alias("shared"))
     length = F.col("n") - F.ceil(similarity * F.col("n")) + 1 - (F.col("n") - F.size("shared"))
-    rare = cut(mine.where(length > 0).select("id", "root", "n", F.explode(F.slice("shared", F.lit(1), length.cast("int"))).alias("x")).select("id", "root", "n", "x.s"), "rare")
-    other = rare.select("s", F.col("id").alias("b"), F.col("root").alias("root_b"), F.col("n").alias("n_b"))
+    rare = cut(mine.where(length > 0).select("id", "root", "very", "n", F.explode(F.slice("shared", F.lit(1), length.cast("int"))).alias("x")).select("id", "root", "very", "n", "x.s"), "rare")
+    other = rare.select("s", F.col("id").alias("b"), F.col("root").alias("root_b"), F.col("very").alias("very_b"), F.col("n").alias("n_b"))
     sized = (F.col("n") >= similarity * F.col("n_b")) & (F.col("n_b") >= similarity * F.col("n"))
-    return rare.join(other, "s").where((F.col("id") > F.col("b")) & (F.col("root") != F.col("root_b")) & sized).select(F.col("id").alias("a"), "b")
+    once = (F.col("id") > F.col("b")) | ~F.col("very_b")
+    return rare.where("very").join(other, "s").where((F.col("id") != F.col("b")) & once & (F.col("root") != F.col("root_b")) & sized).select(F.col("id").alias("a"), "b")
 
 
 def _met(members: DataFrame, hubs: DataFrame) -> DataFrame:
@@ -327,10 +348,10 @@ def keep_one(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, max_dis
     kept = sifted(rows, node, bits, held=False).unionByName(sifted(rows, node, bits, held=True).join(gone, node, "left_anti"))
     again = cut(own.groupBy("node").agg(F.count("*").alias("n")).where("n > 1").select(F.col("node").alias(node)), "repeated")  # rows that repeat an id: seldom any
     if again.isEmpty():
-        return kept.select(docs.columns)
-    whole = F.struct(*docs.columns)
+        return kept.select(*columns(docs))
+    whole = F.struct(*columns(docs))
     first = kept.join(again, node, "left_semi").groupBy(node).agg(F.min_by(whole, F.sha2(F.to_json(whole), 256)).alias("row_in"))
-    return kept.join(again, node, "left_anti").select(docs.columns).unionByName(first.select("row_in.*"))
+    return kept.join(again, node, "left_anti").select(*columns(docs)).unionByName(first.select("row_in.*"))
 
 
 def op7_simhash_near_dedup(spark, sf_dir: str) -> DataFrame:
