@@ -30,8 +30,8 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 from veritide.llm.shared import columns
 
 DIMENSIONS, UNKNOWN = 1024, "und"
-#: Texts are handled in groups of so many code points; longer ones alone, in pieces of that many.
-PIECE = 1 << 19
+#: Texts are handled in groups of so many code points, longer ones in pieces of that many; and so many rows at once.
+PIECE, ROWS = 1 << 18, 512
 #: Trigram vectors kept in a worker, a byte for each dimension, and those that are multiplied at once.
 KEPT, STEP = 1 << 15, 1 << 12
 
@@ -66,18 +66,21 @@ class Encoder:
             found[i] = at
         return self.vectors[found]
 
-    def _points(self, text: str) -> np.ndarray:
-        """Code points of the letters, with single spaces between and around; empty if there is none."""
-        points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), "<u4")
-        kind = self.known[points]
-        if (kind == 0).any():
-            for p in np.unique(points[kind == 0]).tolist():
-                self.known[p] = 1 if chr(p).isalpha() else 2
+    def _pieces(self, text: str) -> Iterator[np.ndarray]:
+        """Code points of the letters, with single spaces between and around, in pieces; each begins with the last two points of the one before, so all trigrams are in one."""
+        lowered, carried = text.lower(), np.array([32], np.uint32)
+        for i in range(0, len(lowered), PIECE):
+            points = np.frombuffer(lowered[i : i + PIECE].encode("utf-32-le", "surrogatepass"), "<u4")
             kind = self.known[points]
-        points = np.where(kind == 1, points, 32).astype(np.int64)
-        points = np.concatenate(([32], points, [32]))
-        points = points[np.concatenate(([True], (points[1:] != 32) | (points[:-1] != 32)))]
-        return points if len(points) > 2 else points[:0]
+            if (kind == 0).any():
+                for p in np.unique(points[kind == 0]).tolist():
+                    self.known[p] = 1 if chr(p).isalpha() else 2
+                kind = self.known[points]
+            last = np.array([32] * (i + PIECE >= len(lowered)), np.uint32)
+            points = np.concatenate((carried, np.where(kind == 1, points, np.uint32(32)), last))
+            points = points[np.concatenate(([True], (points[1:] != 32) | (points[:-1] != 32)))]
+            yield points
+            carried = points[-2:]
 
     def _bundle(self, group: list[tuple[int, np.ndarray]], sums: np.ndarray) -> None:
         """Adds the trigram vectors of (row, trigrams) to the rows of sums."""
@@ -94,9 +97,10 @@ class Encoder:
         """A row for each text: its profile with length 1, or zeros."""
         sums, group, held = np.zeros((len(texts), self.dimensions), np.float32), [], 0
         for row, text in enumerate(texts):
-            p = self._points(text) if text else ()
-            for i in range(0, max(0, len(p) - 2), PIECE):
-                q = p[i : i + PIECE + 2]
+            for p in self._pieces(text or ""):
+                if len(p) < 3:
+                    continue
+                q = p.astype(np.int64)
                 group.append((row, q[:-2] << 42 | q[1:-1] << 21 | q[2:]))
                 held += len(q)
                 if held >= PIECE or len(group) >= 64:
@@ -105,7 +109,13 @@ class Encoder:
         if group:
             self._bundle(group, sums)
         length = np.linalg.norm(sums, axis=1, keepdims=True)
-        return sums / np.where(length > 0, length, 1)
+        sums /= np.where(length > 0, length, 1)
+        return sums
+
+
+def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    for i in range(0, batch.num_rows, ROWS):
+        yield batch.slice(i, ROWS)
 
 
 def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", dimensions: int = DIMENSIONS, max_languages: int = 1000) -> dict[str, np.ndarray]:
@@ -113,7 +123,7 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", dimen
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, sums = Encoder(dimensions), {}
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             langs = np.array(batch.column(0).to_pylist(), object)
             vectors = encoder.profiles(batch.column(1).to_pylist())
             for lang in sorted(set(langs)):
@@ -131,16 +141,17 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", dimen
     return {k: (v / np.linalg.norm(v)).astype(np.float32) for k, v in sorted(out.items()) if v.any()}
 
 
-def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], keep: list[str | Column], text_col: str = "text", dimensions: int = DIMENSIONS) -> DataFrame:
-    """keep, lang_pred and score for each row of docs."""
+def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], keep: list[str | Column], text_col: str = "text", dimensions: int = DIMENSIONS, inside: bool = False) -> DataFrame:
+    """keep, lang_pred and score for each row of docs. inside: keep is one struct that has the text, which then doesn't travel twice."""
     kept = docs.select(*keep)
     names, langs = kept.columns, sorted(prototypes)
     matrix = np.array([prototypes[k] for k in langs], np.float32).reshape(len(langs), dimensions)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(dimensions)
-        for batch in batches:
-            vectors = encoder.profiles(batch.column(batch.num_columns - 1).to_pylist())
+        for batch in (part for whole in batches for part in slices(whole)):
+            texts = batch.column(0).field(text_col) if inside else batch.column(batch.num_columns - 1)
+            vectors = encoder.profiles(texts.to_pylist())
             own = vectors.any(axis=1)
             if langs:
                 cosines = vectors @ matrix.T
@@ -149,10 +160,10 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], keep: list[str |
             else:
                 own[:], best, score = False, np.zeros(len(own), int), np.zeros(len(own))
             found = [langs[b] if x else UNKNOWN for b, x in zip(best.tolist(), own.tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found, pa.string()), pa.array(np.where(own, np.round(score, 6), 0.0))], [*names, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], pa.array(found, pa.string()), pa.array(np.where(own, np.round(score, 6), 0.0))], [*names, "lang_pred", "score"])
 
     schema = StructType([*kept.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
-    rows = docs.select(*keep, F.col(text_col).cast("string").alias("_text_of_row"))
+    rows = kept if inside else docs.select(*keep, F.col(text_col).cast("string").alias("_text_of_row"))
     return rows.mapInArrow(run, schema)
 
 
@@ -182,7 +193,7 @@ def keep_known(docs: DataFrame, min_score: float | None = None, short: int = 64)
     """
     prototypes = learn(docs.where(~held_out("doc_id")))
     least = least_score(docs, prototypes) if min_score is None else min_score
-    found = predict(docs, prototypes, [F.struct(*columns(docs)).alias("row_in")])
+    found = predict(docs, prototypes, [F.struct(*columns(docs)).alias("row_in")], inside=True)
     if min_score is not None:
         known = F.col("score") > least
     else:
