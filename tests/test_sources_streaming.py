@@ -4,6 +4,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from veritide.operators import asof
 from veritide.plans import pipelines
 from veritide.sources import facts, lines
 from veritide.sources import odds as odds_files
@@ -200,9 +201,10 @@ def test_streams_equal_batches(spark, tmp_path):
     df = spark.createDataFrame(rows, EVENTS)
     df.repartition(3).write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema(df.schema).parquet(str(tmp_path / "in"))
-    states.drain(stream, str(tmp_path / "ck"), str(tmp_path / "out"), "event_id")
-    states.drain(stream, str(tmp_path / "ck2"), str(tmp_path / "out"), "event_id")  # a replay adds nothing
-    assert spark.read.parquet(str(tmp_path / "out")).count() == 40
+    states.drain(stream, str(tmp_path / "ck"), str(tmp_path / "out"), "event_id", "ts")
+    states.drain(stream, str(tmp_path / "ck2"), str(tmp_path / "out"), "event_id", "ts", "second")  # another run over the same rows adds nothing
+    got = states.appended_rows(spark, str(tmp_path / "out"))
+    assert got.count() == 40 and got.columns == df.columns
     states.drain(states.daily_counts(stream, "ts", ["kind"]), str(tmp_path / "ck3"), str(tmp_path / "days"))
     got = {(r["day_start"], r["kind"]): r["n"] for r in spark.read.parquet(str(tmp_path / "days")).collect()}
     want = {(r["day_start"], r["kind"]): r["n"] for r in states.daily_counts(df, "ts", ["kind"]).collect()}
@@ -211,6 +213,56 @@ def test_streams_equal_batches(spark, tmp_path):
     assert once.count() == 40
 
 
+def test_the_sink_skips_replays_and_reads_days_beside_alone(spark, tmp_path, monkeypatch):
+    target = str(tmp_path / "out")
+    batch = lambda ids, day: spark.createDataFrame([(i, dt.datetime(2026, 1, day, 5), "a") for i in ids], EVENTS)
+    sink = states.append_new(target, "event_id", "ts")
+    read = []
+    path_read = spark.read.__class__.parquet
+    monkeypatch.setattr(spark.read.__class__, "parquet", lambda self, *paths, **o: read.append(paths) or path_read(self, *paths, **o))
+    for epoch in range(12):
+        sink(batch(range(10 * epoch, 10 * epoch + 10), epoch + 1), epoch)
+    assert max(map(len, read)) == 1  # the day before, however many there are
+    count = lambda: states.appended_rows(spark, target).count()
+    assert count() == 120
+    sink(batch(range(110, 120), 12), 11)  # a replay of an epoch that is done
+    assert count() == 120
+    sink(batch(range(115, 125), 12), 12)  # half known
+    assert count() == 125
+    # an attempt that wrote and died before its mark: its rows don't count until it runs again, and then once
+    (tmp_path / "out/_epochs/stream-12").unlink()
+    assert count() == 120
+    sink(batch(range(115, 125), 12), 12)
+    assert count() == 125
+
+
+def test_plan_stream_equals_batch(spark, tmp_path):
+    """A moved kickoff supersedes what is open, cutoffs expire when their time comes, rows arrive out of order and in several batches."""
+    t = lambda d, h=0: dt.datetime(2026, 1, d, h)
+    rows = [
+        ("1", t(1), "a", t(10)), ("1", t(3), "c", t(12)), ("1", t(2), "b", t(10)),
+        ("2", t(4), "e", t(4, 8)), ("2", t(4, 2), "f", t(4, 8)), ("3", t(5), "g", t(20)),
+        ("1", t(11, 20), "d", t(11, 22)), ("4", t(13), "h", t(13, 1)), ("5", t(14, 1), "i", t(30)),
+    ]
+    df = spark.createDataFrame(rows, "fixture_id string, observed_at timestamp, record_id string, kickoff_at timestamp")
+    later = [("9", t(14, 2), "z", t(30))]  # what a watermark reaches comes with the next rows
+    for i, part in enumerate((rows[:3], rows[3:6], rows[6:], later)):
+        spark.createDataFrame(part, df.schema).coalesce(1).write.parquet(str(tmp_path / f"in/{i}"))
+    named = asof.targets(spark, ("T-24h", "T-6h", "T-10m"))
+    batch = states.plan_events(df, named, F.lit(t(11, 1)))  # the last row's time less the delay
+    want = sorted(map(tuple, batch.collect()))
+    assert {r[4] for r in want} == {"pending", "missed_before_discovery", "superseded", "expired"}
+    old = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in/*"))
+        minutes = {r["target"]: r["minutes"] for r in named.collect()}
+        states.drain(states.plan_stream(stream, minutes, "3 days"), str(tmp_path / "ck"), str(tmp_path / "out"))
+    finally:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", old)
+    assert sorted(map(tuple, spark.read.parquet(str(tmp_path / "out")).select(*batch.columns).collect())) == want
+
+
 def test_identity_stream_equals_batch(spark, tmp_path):
     k = dt.datetime(2026, 1, 5)
     obs = [("1", "T", k, "x"), ("1", "T", k, "x"), ("1", "T", k, "y"), ("1", "T", k + dt.timedelta(hours=1), "y"), ("1", "U", k, "y"), ("1", "T", k, "y"), ("2", "V", k, "x")]

@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from veritide.functions import ids, odds, parse
 from veritide.operators import asof, contracts, evidence, market, models, reports, rules, score, versions
 from veritide.operators.staged import folder
-from veritide.plans import pipelines
-from veritide.queries import _D, _Q, _SCORED, _agreed, _fixtures, _query, _quoted, _quotes, _r, _read, _scored
+from veritide.plans import guardrails, pipelines
+from veritide.queries import SQL, _D, _Q, _SCORED, _agreed, _fixtures, _query, _quoted, _quotes, _r, _read, _scored
 from veritide.sources import facts
 from veritide.sources import lines as lines_source
 from veritide.sources import odds as odds_files
@@ -758,7 +758,7 @@ def _market_rows(spark: SparkSession, d: str) -> DataFrame:
     line = F.when(name == "daxiao", total)
     side |= {"current_home": side["opening_home"] + step, "current_draw": side["opening_draw"], "current_away": side["opening_away"] - step, "opening_line": F.coalesce(line, (part % 4) * -0.25), "current_line": F.coalesce(line, (part % 4) * -0.25 + (part % 5 - 2) * 0.25 + (supp % 3 - 1) * 0.25)}
     side |= {"opening_over": side["opening_home"], "opening_under": side["opening_away"], "current_over": side["current_home"], "current_under": side["current_away"]}
-    return _read(spark, d, "lineitem").select(part.alias("fixture"), F.concat(F.lit(" b"), (F.col("l_orderkey") % 499).cast("string")).alias("source_bookmaker_name"), F.expr(_IDENT).alias("source_bookmaker_id"), name.alias("market"), *_ROW_ORDER, "l_shipdate", "l_tax", "l_discount", *(c.alias(n) for n, c in side.items()))
+    return _read(spark, d, "lineitem").select(part.alias("fixture"), F.concat(F.lit(" b"), (F.col("l_orderkey") % 499).cast("string")).alias("source_bookmaker_name"), F.expr(_IDENT).alias("source_bookmaker_id"), name.alias("market"), *_ROW_ORDER, "l_suppkey", "l_shipdate", "l_tax", "l_discount", *(c.alias(n) for n, c in side.items()))
 
 
 _ROW_ORDER = ["l_linenumber", "l_orderkey", "l_quantity"]
@@ -789,6 +789,86 @@ def first_guardrail_job(spark: SparkSession, d: str) -> DataFrame:
     return g.select("fixture", F.col("proposed_action").alias("action"), F.col("proposed_confidence_cap").alias("cap"), F.array_join("rule_flags", ",").alias("flags"), F.array_join("hard_reasons", ",").alias("hard"))
 
 
+def _run_sql() -> str:
+    """The SQL of first_guardrail_job over the rows that a prediction could know, with what that adds."""
+    body = SQL["first_guardrail_job"].removeprefix(f"WITH {_ROWS}")
+    moves, rest = body.split("), ir AS (", 1)
+    index, rest = rest.split("\n), ig AS (", 1)[1].split("), se AS (", 1)
+    joined, final = rest.split("\n), j AS (", 1)[1].split("\nSELECT f AS fixture", 1)
+    joined = joined.replace("SELECT al.f, fav", "SELECT al.f, warnings, row_ids, fav").replace("lambda x: x IS NOT NULL))) AS hard", "lambda x: x IS NOT NULL) || coalesce(reasons, []))) AS hard").replace("LEFT JOIN se USING (f)", "LEFT JOIN se USING (f) LEFT JOIN rs USING (f) LEFT JOIN un USING (f) LEFT JOIN ri USING (f)").replace("no, span,", "coalesce(no, 0) AS no, coalesce(span, 0) AS span,")
+    rows = _ROWS[_ROWS.index("nw AS (") :].replace("al AS (SELECT DISTINCT f FROM mr", "al AS (SELECT f FROM fine")
+    flags = final[final.index("CASE WHEN bad THEN 'r0_data_integrity'") : final.index(" AS flags")]
+    action, cap = final[final.index("CASE WHEN bad OR") : final.index(" AS action")], final[final.index("AS action, ") + 11 : final.index(" AS cap")]
+    return f"""WITH pr AS (
+  SELECT 'p' || k || '-' || t AS f, k, t, TIMESTAMP '1997-06-01' + to_days((k % 300)::INT) - to_days((1 - t)::INT) AS cutoff FROM (SELECT DISTINCT o_custkey AS k FROM orders), (SELECT unnest([0, 1]) AS t)
+), pp AS (SELECT *, cutoff + to_hours(CASE WHEN k % 23 = 0 THEN -1 ELSE (k % 2 * 30)::INT END) AS published FROM pr
+), bt AS (SELECT o_orderkey AS o, o_custkey AS k, o_orderkey % 2 AS t, o_orderdate AS core, o_orderdate + to_days((o_orderkey % 3)::INT) AS done FROM orders WHERE o_orderkey % 10 <> 0
+), known AS (SELECT f, pp.k, pp.t, cutoff, published, o, core, done FROM pp JOIN bt ON bt.k = pp.k AND bt.t = pp.t AND core <= cutoff AND done <= published
+), sel AS (SELECT f, arg_max(o, (core, done, 'b' || o)) AS o FROM known GROUP BY f
+), st AS (SELECT pp.*, o, CASE WHEN published < cutoff THEN 'invalid_assessment_time_order' WHEN k % 29 = 0 THEN 'selected_batch_reference_conflict' END AS why FROM pp LEFT JOIN sel USING (f)
+), fine AS (SELECT * FROM st WHERE why IS NULL), hist AS (SELECT known.* FROM known JOIN fine USING (f)
+), ln AS (
+  SELECT l_orderkey AS o, m, 'b' || l_suppkey AS b, l_linenumber AS ln, l_quantity AS qt, l_shipdate, l_tax, l_discount, 1.5 + l_discount * 10 AS oh, 3 + l_tax * 5 AS od, 2.2 + l_quantity / 20 AS oa,
+    (l_partkey % 3 - 1) * 0.12 + (l_suppkey % 5 - 2) * 0.05 AS st, (l_partkey % 4) * -0.25 AS ol, (l_partkey % 4) * -0.25 + (l_partkey % 5 - 2) * 0.25 + (l_suppkey % 3 - 1) * 0.25 AS kl, 2 + (l_suppkey % 3) * 0.25 + (l_partkey % 2) * 0.25 AS tl
+  FROM lineitem, (SELECT unnest(['ouzhi', 'yazhi', 'daxiao']) AS m) WHERE m <> 'ouzhi' OR l_orderkey % 11 <> 0
+), un0 AS (SELECT f, m, b FROM hist JOIN ln USING (o) WHERE l_shipdate <= cutoff GROUP BY f, m, b HAVING count(DISTINCT CASE m WHEN 'ouzhi' THEN (oh, od, oa) WHEN 'yazhi' THEN (oh, ol::DOUBLE, oa) ELSE (oh, tl::DOUBLE, oa) END) > 1
+), un AS (SELECT f, array_to_string(list_sort(list('provider_opening_changed:' || m || ':' || b)), ',') AS warnings FROM un0 GROUP BY f
+), mr AS (SELECT fine.f, ln.b, ln.ln, ln.o AS ok, qt, ln.m, oh, od, oa, ln.st, ol, kl, tl FROM fine JOIN ln ON ln.o = fine.o AND l_shipdate <= cutoff LEFT JOIN un0 ON un0.f = fine.f AND un0.m = ln.m AND un0.b = ln.b WHERE un0.f IS NULL
+), ix0 AS (SELECT fine.f, l_suppkey, l_linenumber, l_discount, l_tax, l_quantity FROM fine JOIN lineitem ON l_orderkey = o AND o % 4 = 0 AND l_shipdate <= cutoff
+), ri AS (SELECT f, array_to_string(list_sort(list(DISTINCT r)), ',') AS row_ids FROM (SELECT f, 'r' || ok || '-' || ln || '-' || m AS r FROM mr UNION ALL SELECT ix0.f, 'r' || o || '-' || l_linenumber || '-rangqiu' FROM ix0 JOIN fine USING (f)) GROUP BY f
+), sn AS (SELECT f, o, k, t, cutoff, m, m <> 'rangqiu' AS core, CASE WHEN (m = 'ouzhi' AND o % 11 = 0) OR (m = 'rangqiu' AND o % 4 <> 0) THEN false ELSE o IS NOT NULL END AS named, m = 'yazhi' AND o % 13 = 0 AS lost, m = 'daxiao' AND o % 17 = 0 AS moved, o % 7 = 0 AND core_at + INTERVAL 400 DAY > cutoff AS late,
+    (SELECT count(*) FROM mr WHERE mr.f = x.f AND mr.m = x.m) AS n
+  FROM (SELECT fine.*, core AS core_at, mm.m FROM fine LEFT JOIN bt USING (o), (SELECT unnest(['ouzhi', 'yazhi', 'daxiao', 'rangqiu']) AS m) mm) x
+), rs AS (SELECT f, flatten(list(list_filter([CASE WHEN core AND NOT named THEN 'missing_snapshot:' || m END, CASE WHEN core AND named AND lost THEN 'missing_snapshot_record:' || m END, CASE WHEN named AND NOT lost AND (moved OR late) THEN 'snapshot_reference_conflict:' || m END,
+    CASE WHEN core AND named AND NOT lost AND (n = 0 OR (m = 'yazhi' AND o % 19 = 0)) THEN 'source_hash_mismatch:' || m END], lambda x: x IS NOT NULL))) AS reasons FROM sn GROUP BY f
+), {rows}{moves}), ir AS (
+  SELECT f, 'b' || l_suppkey AS b, (l_linenumber % 5 - 3) * 0.25 AS ln, l_discount + 0.2 AS h, l_tax + 0.2 AS dr, l_quantity / 100 AS a, l_linenumber AS o1, 0 AS o2, 0 AS o3 FROM ix0
+), ig AS ({index}), hb AS (SELECT hist.f, o, core, done, k || '-' || year(core) AS h, fav FROM hist JOIN fv USING (f) WHERE fav <> 1 AND o % 11 <> 0 AND o % 13 <> 0
+), hr AS (SELECT f, o, m, b, count(DISTINCT CASE m WHEN 'ouzhi' THEN (oh + ln.st, od, oa - ln.st) ELSE (kl::DOUBLE, 0::DOUBLE, 0::DOUBLE) END) AS v, any_value(oh + ln.st) AS kh, any_value(od) AS od, any_value(oa - ln.st) AS ka, any_value(kl) AS kl FROM hist JOIN ln USING (o) WHERE m <> 'daxiao' AND l_shipdate <= cutoff GROUP BY f, o, m, b
+), hd AS (SELECT f, o, (1/kh)/(1/kh+1/od+1/ka) AS ph, (1/od)/(1/kh+1/od+1/ka) AS pd, (1/ka)/(1/kh+1/od+1/ka) AS pa FROM hr WHERE m = 'ouzhi' AND v = 1
+), hm AS (SELECT f, o, median(ph) AS mh, median(pd) AS mdr, median(pa) AS ma FROM hd GROUP BY f, o HAVING count(*) >= 3
+), hl AS (SELECT hr.f, hr.o, median(CASE fav WHEN 0 THEN -kl ELSE kl END) AS line FROM hr JOIN hb USING (f, o) WHERE m = 'yazhi' AND v = 1 GROUP BY hr.f, hr.o HAVING count(*) >= 3
+), ho AS (SELECT hb.*, line, CASE fav WHEN 0 THEN mh ELSE ma END / (mh + mdr + ma) AS prob, row_number() OVER (PARTITION BY f, h ORDER BY core, done, 'b' || o) AS rn FROM hb JOIN hm USING (f, o) JOIN hl USING (f, o) WHERE NOT EXISTS (SELECT 1 FROM hr WHERE hr.f = hb.f AND hr.o = hb.o AND v > 1)
+), se AS (SELECT f, count(*) AS no, epoch(max(core)) - epoch(min(core)) AS span, max(line) - min(line) AS lr, max(prob) - min(prob) AS pr FROM ho WHERE rn = 1 GROUP BY f
+), j AS ({joined}, res AS (SELECT f, 'eligible' AS status, {action} AS action, {cap} AS cap, {flags} AS flags, array_to_string(hard, ',') AS hard, coalesce(warnings, '') AS warnings, coalesce(row_ids, '') AS row_ids, no AS observation_count, CAST(span AS BIGINT) AS span_seconds FROM z
+  UNION ALL SELECT f, 'unavailable', 'abstain', 'observation_only', why, why, '', '', 0, 0 FROM st WHERE why IS NOT NULL)
+SELECT res.f AS prediction, 'b' || o AS batch, res.* EXCLUDE f, sha256('guardrail_assessment|' || res.f || '|v1') AS record_id, CASE WHEN t = 1 THEN sha256('guardrail_assessment|p' || k || '-0|v1') END AS previous_record FROM res JOIN st USING (f)"""
+
+
+@_query(_run_sql())
+def guardrail_run(spark: SparkSession, d: str) -> DataFrame:
+    """The first guardrail as of two predictions for each customer: an order is a batch of its customer, a line item a row of each of three markets, and of a fourth in every fourth order."""
+    o, l, hours = _read(spark, d, "orders"), _read(spark, d, "lineitem"), F.make_dt_interval
+    k, key = F.col("k"), F.col("o_orderkey")
+    names, target = ("ouzhi", "yazhi", "daxiao", "rangqiu"), lambda t: F.when(t == 0, "T-24h").otherwise("T-6h")
+    snapshot = lambda m: F.concat(F.lit("s"), key, F.lit(m))
+    has = {"ouzhi": key % 11 != 0, "rangqiu": key % 4 == 0}
+    results = F.create_map(*(x for m in names for x in (F.lit(m), F.struct(F.when(has.get(m, F.lit(True)), snapshot(m)).alias("snapshot_record_id")))))
+    batches = o.select(F.concat(F.lit("b"), key).alias("record_id"), F.col("o_custkey").alias("fixture_id"), target(key % 2).alias("target"), F.col("o_orderdate").cast("timestamp").alias("core_observed_at"), (F.col("o_orderdate") + hours((key % 3).cast("int"))).cast("timestamp").alias("completed_at"), (key % 10 != 0).alias("model_strict_eligible"), results.alias("market_results"))
+    each = o.select("*", F.explode(F.array(*map(F.lit, names))).alias("m"))
+    sha = F.concat(F.lit("h"), "o_custkey", F.lit("-"), F.year("o_orderdate"), F.col("m"))
+    seen = (F.col("o_orderdate") + hours(F.when(key % 7 == 0, 400).otherwise(0))).cast("timestamp")
+    moved = F.when((F.col("m") == "daxiao") & (key % 17 == 0), "T-10m").otherwise(target(key % 2))
+    snapshots = each.where("NOT (m = 'yazhi' AND o_orderkey % 13 = 0)").select(F.concat(F.lit("s"), key, F.col("m")).alias("record_id"), F.col("o_custkey").alias("fixture_id"), F.col("m").alias("market"), moved.alias("target"), seen.alias("observed_at"), sha.alias("raw_sha256"))
+    lines = _market_rows(spark, d).drop("market", "source_bookmaker_name").withColumn("m", F.explode(F.array(*map(F.lit, names)))).join(each.select(key.alias("l_orderkey"), "m", sha.alias("sha")), ["l_orderkey", "m"])
+    name = F.concat(F.lit(" b"), "l_suppkey").alias("source_bookmaker_name")
+    page = F.when((F.col("m") == "yazhi") & (F.col("l_orderkey") % 19 == 0), "x").otherwise(F.col("sha"))
+    common = [F.concat(F.lit("r"), "l_orderkey", F.lit("-"), "l_linenumber", F.lit("-"), "m").alias("record_id"), F.concat(F.lit("s"), "l_orderkey", "m").alias("source_snapshot_record_id"), name, F.col("l_linenumber").alias("source_row_index"), page.alias("source_page_sha256"), F.col("l_shipdate").cast("timestamp").alias("observed_at")]
+    part, supp = F.col("fixture"), F.col("l_suppkey")  # of a market row the fixture is the part
+    total, moved_line = 2 + (supp % 3) * 0.25 + (part % 2) * 0.25, (part % 5 - 2) * 0.25 + (supp % 3 - 1) * 0.25
+    lines = lines.withColumns({"opening_line": F.when(F.col("m") == "daxiao", total).otherwise((part % 4) * -0.25), "current_line": F.when(F.col("m") == "daxiao", total).otherwise((part % 4) * -0.25 + moved_line)})
+    rows = lines.where("m != 'rangqiu'").select(F.col("m").alias("market"), *common, F.col("sha").alias("source_workbook_sha256"), *(f"{s}_{f}" for s in ("opening", "current") for f in ("home", "draw", "away", "line", "over", "under")))
+    index = lines.where("m = 'rangqiu'").select(*common, ((F.col("l_linenumber") % 5 - 3) * 0.25).alias("line"), (F.col("l_discount") + 0.2).alias("home"), (F.col("l_tax") + 0.2).alias("draw"), (F.col("l_quantity") / 100).alias("away"))
+    both = o.select(F.col("o_custkey").alias("k")).distinct().withColumn("t", F.explode(F.array(F.lit(0), F.lit(1))))
+    cutoff = F.lit("1997-06-01").cast("timestamp") + hours((k % 300).cast("int")) - hours(1 - F.col("t"))
+    p = both.select(F.concat(F.lit("p"), k, F.lit("-"), F.col("t")).alias("prediction"), k.alias("fixture_id"), target(F.col("t")).alias("target"), cutoff.alias("prediction_cutoff"), (cutoff + hours(F.lit(0), F.when(k % 23 == 0, -1).otherwise((k % 2 * 30).cast("int")))).alias("published_at"))
+    last = guardrails.batch_history(p, batches).groupBy("prediction").agg(F.max_by("batch_record_id", F.struct("core_observed_at", "completed_at", "batch_record_id")).alias("last"))
+    own = p.join(last, "prediction", "left").withColumn("selected_batch_record_id", F.when(F.col("fixture_id") % 29 == 0, "other").otherwise(F.col("last"))).drop("last")
+    got = guardrails.first_guardrail_run(own, batches, snapshots, rows, index, F.lit("1999-01-01").cast("timestamp"), "v1")
+    text = lambda c: F.array_join(c, ",")
+    return got.select("prediction", F.col("batch_record_id").alias("batch"), F.col("audit_status").alias("status"), F.col("proposed_action").alias("action"), F.col("proposed_confidence_cap").alias("cap"), text("rule_flags").alias("flags"), text("hard_reasons").alias("hard"), text("opening_warnings").alias("warnings"), text("source_row_record_ids").alias("row_ids"), "observation_count", "span_seconds", "record_id", "previous_record")
+
+
 @_query(f"""WITH {_KEYED}, ev AS (SELECT * FROM e WHERE kh > 1 AND ka > 1), mf AS (SELECT f, count(*) AS n, median(ph) AS mh, median(pd) AS mdr, median(pa) AS ma FROM ev GROUP BY f
 ), dz AS (SELECT ev.f, greatest(median(abs(ph - mh)), median(abs(pd - mdr)), median(abs(pa - ma))) AS disp FROM ev JOIN mf USING (f) GROUP BY ev.f
 ), gd AS (SELECT f, n, mh / (mh + mdr + ma) AS ch, mdr / (mh + mdr + ma) AS cd, ma / (mh + mdr + ma) AS ca, disp FROM mf JOIN dz USING (f)

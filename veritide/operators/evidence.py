@@ -29,14 +29,20 @@ def chain_audit(results: DataFrame, candidates: DataFrame, observations: DataFra
 
 
 def tolerance_match(left: DataFrame, right: DataFrame, on: list[str], minutes: int, home: str = "home_team", away: str = "away_team", kickoff: str = "kickoff_at", left_id: str = "fixture_id", right_id: str = "match_id") -> DataFrame:
-    """(left_id, right_id, status): one candidate by slate and number, kickoff within minutes, names equal once canonical."""
-    r = right.select(*on, F.col(right_id).alias("_r"), F.col(kickoff).alias("_k"), canonical_name(home, True).alias("_h"), canonical_name(away, True).alias("_a"))
+    """(left_id, right_id, status): one candidate by slate and number, kickoff within minutes, names equal once canonical.
+
+    Several candidates are ambiguous whatever they are, so the right side is a count and one row for each slate and number before it is joined: no pairs are made.
+    """
+    one = F.struct(F.col(right_id).alias("r"), F.col(kickoff).alias("k"), canonical_name(home, True).alias("h"), canonical_name(away, True).alias("a"))
+    r = right.groupBy(*on).agg(F.count(right_id).alias("_n"), F.min(F.when(F.col(right_id).isNotNull(), one)).alias("_c"))
     l = left.select(*on, left_id, F.col(kickoff).alias("_lk"), canonical_name(home, True).alias("_lh"), canonical_name(away, True).alias("_la"))
-    n = F.count("_r").over(Window.partitionBy(left_id))
-    j = l.join(r, on, "left").withColumn("_n", n)
-    late = F.abs(F.unix_timestamp("_lk") - F.unix_timestamp("_k")) > minutes * 60
-    status = F.when(F.col("_n") == 0, "missing").when(F.col("_n") > 1, "rejected:ambiguous").when(late, "rejected:kickoff").when((F.col("_lh") != F.col("_h")) | (F.col("_la") != F.col("_a")), "rejected:team_names").otherwise("accepted")
-    return j.groupBy(left_id).agg(F.min(status).alias("status"), F.min(F.when(status == "accepted", F.col("_r"))).alias(right_id))
+    seen = l.join(r, on, "left")
+    rows = seen.groupBy(left_id).agg(F.sum("_n").alias("_all"), F.min(F.struct("_c", "_lk", "_lh", "_la")).alias("_p"), F.max(F.when(F.col("_n") > 0, F.struct("_c", "_lk", "_lh", "_la"))).alias("_q"))
+    p = F.coalesce("_q", "_p")
+    n = F.coalesce("_all", F.lit(0))
+    late = F.abs(F.unix_timestamp(p["_lk"]) - F.unix_timestamp(p["_c"]["k"])) > minutes * 60
+    status = F.when(n == 0, "missing").when(n > 1, "rejected:ambiguous").when(late, "rejected:kickoff").when((p["_lh"] != p["_c"]["h"]) | (p["_la"] != p["_c"]["a"]), "rejected:team_names").otherwise("accepted")
+    return rows.select(left_id, status.alias("status"), F.when(status == "accepted", p["_c"]["r"]).alias(right_id))
 
 
 def resolve(df: DataFrame, registry: DataFrame, aliases: DataFrame, ident: str, name: str) -> DataFrame:

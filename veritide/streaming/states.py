@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
+from datetime import date, timedelta
+from typing import Any
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues
 
 
 def claim_once(events: DataFrame, key: str, at: str, delay: str) -> DataFrame:
@@ -18,20 +22,56 @@ def claim_once(events: DataFrame, key: str, at: str, delay: str) -> DataFrame:
     return events.groupBy(key).agg(F.min_by(rest, F.struct(at, F.xxhash64(*(c for c in events.columns if c != key)))).alias("_r")).select(key, "_r.*")
 
 
-def append_new(target: str, key: str) -> Callable[[DataFrame, int], None]:
-    """A foreachBatch sink that appends rows whose id the target lacks: exact, also when a batch is replayed."""
+def _path(spark: SparkSession, name: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return at, at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+def append_new(target: str, key: str, at: str | None = None, buckets: int = 16, name: str = "stream") -> Callable[[DataFrame, int], None]:
+    """A foreachBatch sink that appends rows whose id the target lacks, and nothing when a batch is replayed.
+
+    The target has a folder for each day of `at` (all rows are of one without it), in it one for each bucket of ids, in it one for each epoch of the stream
+    called name. An id counts as known if it is on the same day or a day beside it: repeats come within a day at most, as after claim_once. Only these days are
+    listed, and of these only the buckets of the batch are read, so the work of a batch does not grow with the target. An epoch is written into folders of its own, replacing what an
+    attempt that failed left there, and is done once its mark stands below _epochs; a replay of a done one is skipped.
+    """
 
     def run(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
-        new = batch.dropDuplicates([key])
-        hadoop = spark._jvm.org.apache.hadoop.fs.Path(target)
-        if hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
-            new = new.join(spark.read.parquet(target).select(key), key, "left_anti")
-        new.write.mode("append").parquet(target)
+        mark, fs = _path(spark, f"{target}/_epochs/{name}-{epoch}")
+        if fs.exists(mark):
+            return
+        day = F.coalesce(F.date_format(at, "yyyy-MM-dd"), F.lit("none")) if at else F.lit("all")
+        own = f"{name}-{epoch}"
+        new = batch.dropDuplicates([key]).withColumns({"day": day, "bucket": F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int"), "epoch": F.lit(own)}).persist()
+        try:
+            held = new.select("day", "bucket").distinct().collect()  # days of a batch x buckets
+            if held:
+                days = {r["day"] for r in held}
+                beside = {str(date.fromisoformat(d) + timedelta(days=n)) for d in days if at and d != "none" for n in (-1, 0, 1)} | days
+                paths = [f"{target}/day={d}" for d in sorted(beside) if fs.exists(_path(spark, f"{target}/day={d}")[0])]
+                fresh = new
+                if paths:
+                    there = spark.read.option("basePath", target).schema(new.schema).parquet(*paths)
+                    known = there.where(F.col("bucket").isin({r["bucket"] for r in held}) & (F.col("epoch") != own)).select(key)
+                    fresh = new.join(known, key, "left_anti")
+                fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "bucket", "epoch").parquet(target)
+        finally:
+            new.unpersist()
+        fs.create(mark, True).close()
 
     return run
 
 
+def appended_rows(spark: SparkSession, target: str) -> DataFrame:
+    """The rows of epochs that are done."""
+    rows = spark.read.parquet(target)
+    marks, fs = _path(spark, f"{target}/_epochs")
+    done = [f.getPath().getName() for f in fs.listStatus(marks)] if fs.exists(marks) else []
+    marked = spark.createDataFrame([(m,) for m in done], "epoch string")
+    return rows.join(marked, "epoch", "left_semi").drop("day", "bucket", "epoch")
+
+
 STATUSES = ("new", "unchanged", "metadata_changed", "kickoff_changed", "identity_conflict")
 
 
@@ -89,6 +129,100 @@ def plan(identities: DataFrame, named: DataFrame, seen: str, kickoff: str) -> Da
     return due.withColumn("status", F.when(F.col("cutoff") < F.col(seen), "missed_before_discovery").otherwise("pending"))
 
 
+PLANNED = "fixture_id string, record_id string, target string, cutoff timestamp, status string, at timestamp"
+
+
+def plan_events(identities: DataFrame, named: DataFrame, upto: Column) -> DataFrame:
+    """What happens to the plan of each fixture until `upto`: rows of PLANNED. Batch form.
+
+    identities: fixture_id, observed_at, record_id, kickoff_at. The first of them, and each that moves the kickoff, makes a plan: its targets are pending, or
+    missed_before_discovery where their cutoff had passed. A pending one is superseded by the next plan if that is seen by its cutoff, else it expires there.
+    named: target, minutes (as asof.targets has them).
+    """
+    by = Window.partitionBy("fixture_id").orderBy("observed_at", "record_id")
+    moved = identities.withColumn("_before", F.lag("kickoff_at").over(by)).where("_before is null or kickoff_at != _before")
+    version = moved.withColumn("_next", F.lead("observed_at").over(by)).where(F.col("observed_at") <= upto)
+    minutes = {r["target"]: r["minutes"] for r in named.collect()}  # eight names at most
+    each = F.explode(F.array(*(F.struct(F.lit(n).alias("target"), (F.col("kickoff_at") - F.expr(f"INTERVAL {m} MINUTES")).alias("cutoff")) for n, m in minutes.items()))).alias("_t")
+    planned = version.select("fixture_id", "record_id", "observed_at", "_next", each).select("*", "_t.*")
+    missed, moved_by = F.col("cutoff") < F.col("observed_at"), F.coalesce((F.col("_next") <= F.col("cutoff")), F.lit(False))
+    first = F.struct(F.when(missed, "missed_before_discovery").otherwise("pending").alias("status"), F.col("observed_at").alias("at"))
+    last = F.when(~missed & moved_by & (F.col("_next") <= upto), F.struct(F.lit("superseded").alias("status"), F.col("_next").alias("at"))).when(~missed & ~moved_by & (F.col("cutoff") <= upto), F.struct(F.lit("expired").alias("status"), F.col("cutoff").alias("at")))
+    return planned.select("fixture_id", "record_id", "target", "cutoff", F.explode(F.array_compact(F.array(first, last))).alias("_e")).select("fixture_id", "record_id", "target", "cutoff", "_e.*")
+
+
+class PlanKeeper(StatefulProcessor):
+    """Keeps each fixture's plan as state. Observations wait until the watermark has passed them, so they take effect in order of their time, as cutoffs do; both are timers."""
+
+    def __init__(self, minutes: dict[str, int]):
+        self.minutes = minutes
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.plan = handle.getValueState("plan", "held string")
+
+    def _held(self) -> dict:
+        return json.loads(self.plan.get()[0]) if self.plan.exists() else {"waiting": [], "kickoff": None, "open": []}
+
+    def _wake(self, micros: int) -> None:
+        self.handle.registerTimer(-(-micros // 1000))
+
+    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+        held = self._held()
+        for batch in rows:
+            for r in batch.itertuples():
+                seen = r.observed_at.value // 1000
+                held["waiting"].append([seen, r.record_id, r.kickoff_at.value // 1000])
+                self._wake(seen)
+        self.plan.update((json.dumps(held),))
+        yield self._rows(key, [])
+
+    def handleExpiredTimer(self, key: Any, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
+        now, held, out = expiredTimerInfo.getExpiryTimeInMs() * 1000, self._held(), []
+        # an observation at a cutoff comes before it
+        due = sorted([(w[0], 0, w) for w in held["waiting"] if w[0] <= now] + [(o[0], 1, o) for o in held["open"] if o[0] <= now])
+        while due:
+            at, kind, what = due.pop(0)
+            if kind == 1:
+                if what in held["open"]:
+                    held["open"].remove(what)
+                    out.append((what[1], what[2], at, "expired", at))
+                continue
+            held["waiting"].remove(what)
+            _, record, kickoff = what
+            if kickoff == held["kickoff"]:
+                continue
+            out += [(o[1], o[2], o[0], "superseded", at) for o in held["open"]]
+            held["kickoff"], held["open"] = kickoff, []
+            for target, minutes in self.minutes.items():
+                cutoff = kickoff - minutes * 60_000_000
+                out.append((record, target, cutoff, "missed_before_discovery" if cutoff < at else "pending", at))
+                if cutoff >= at:
+                    held["open"].append([cutoff, record, target])
+                    if cutoff <= now:
+                        due = sorted([*due, (cutoff, 1, [cutoff, record, target])])
+                    else:
+                        self._wake(cutoff)
+        self.plan.update((json.dumps(held),))
+        yield self._rows(key, out)
+
+    def _rows(self, key: Any, out: list[tuple]) -> pd.DataFrame:
+        frame = pd.DataFrame([(key[0], *r) for r in out], columns=["fixture_id", "record_id", "target", "cutoff", "status", "at"])
+        return frame.assign(**{c: pd.to_datetime(frame[c], unit="us") for c in ("cutoff", "at")})
+
+    def close(self) -> None:
+        pass
+
+
+def plan_stream(identities: DataFrame, minutes: dict[str, int], delay: str) -> DataFrame:
+    """Stream form of plan_events: a row when something happens to a plan. Needs a state store with timers (spark.sql.streaming.stateStore.providerClass of RocksDB).
+
+    Rows later than `delay` after the latest are dropped by the watermark. A plan stays in the state: its fixture can move at any time.
+    """
+    rows = identities.select("fixture_id", "observed_at", "record_id", "kickoff_at").withWatermark("observed_at", delay)
+    return rows.groupBy("fixture_id").transformWithStateInPandas(PlanKeeper(minutes), PLANNED, "append", "eventTime")
+
+
 def result_checks(fixtures: DataFrame, kickoff: str, now: Column) -> DataFrame:
     """Checks at T+3/6/24 hours and R+2..7 days: expired, due or pending."""
     steps = [(f"T+{h}h", h) for h in CHECK_HOURS] + [(f"R+{d}d", 24 * d) for d in CHECK_DAYS]
@@ -132,10 +266,10 @@ def publish_once(candidates: DataFrame, published: DataFrame, keys: list[str]) -
     return marked.dropDuplicates(["publication_id"]).join(published.select("publication_id"), "publication_id", "left_anti")
 
 
-def drain(stream: DataFrame, checkpoint: str, target: str, key: str | None = None) -> None:
-    """Runs a stream over all files there are and stops: appends to a Parquet table, new ids only if a key is given."""
+def drain(stream: DataFrame, checkpoint: str, target: str, key: str | None = None, at: str | None = None, name: str = "stream") -> None:
+    """Runs a stream over all files there are and stops: appends to a Parquet table, new ids only if a key is given (see append_new)."""
     writer = stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
-    writer = writer.foreachBatch(append_new(target, key)) if key else writer.format("parquet").option("path", target).outputMode("append")
+    writer = writer.foreachBatch(append_new(target, key, at, name=name)) if key else writer.format("parquet").option("path", target).outputMode("append")
     writer.start().awaitTermination()
 
 
