@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as e
-from veritide.job_queries import _query as _  # noqa: F401  registers its queries
+from veritide import job_queries, record_queries  # noqa: F401  register their queries
 from veritide.queries import QUERIES, SQL
 
 DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")

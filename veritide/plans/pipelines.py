@@ -33,6 +33,23 @@ def import_facts(spark: SparkSession, path: str, stored: DataFrame | None = None
     return out if broken is None else out | {"violations": broken}
 
 
+def import_research(spark: SparkSession, path: str, stored: DataFrame) -> dict[str, DataFrame]:
+    """files (file, sha256, status: new, existing or changed), new records, and rejected lines of research logs. stored: file, sha256.
+
+    A file is taken whole or not at all: one that is stored is not read again beyond its hash, one whose hash changed is a violation and gives nothing, and of a
+    new one with a line that breaks the contract or whose flags don't fit its kind every line is rejected.
+    """
+    name = F.regexp_replace("path", "^file:/+", "file:///")
+    found = facts.blobs(spark, path).select(name.alias("path"), "size", "sha256")
+    files = facts.manifest_changes(found, stored.withColumnRenamed("file", "path")).withColumnRenamed("path", "file")
+    known = files.where("status != 'new'").join(found.select(F.col("path").alias("file"), F.col("size").alias("offset")), "file")
+    lines = facts.scan(spark, path, known.select("file", "offset", F.lit(0).cast("long").alias("line"), F.col("offset").alias("last_start")))
+    flags = F.from_json("raw", "research_kind string, research_only boolean, backfill boolean, strict_backtest_eligible boolean, cutoff_eligible boolean").alias("_f")
+    records, rejected = facts.validated(lines)
+    broken = records.select("file", flags).select("file", "_f.*").where(~F.coalesce(contracts.flag_contract(), F.lit(False))).select("file").distinct()
+    return {"files": files, "new": records.join(broken, "file", "left_anti"), "rejected": rejected.unionByName(records.join(broken, "file", "left_semi"))}
+
+
 def current_views(records: DataFrame) -> dict[str, DataFrame]:
     """Typed tables with derived views: current normalizations and rows, current verified results, invalidated fixtures."""
     of = lambda k: facts.typed(records, k)
@@ -273,3 +290,30 @@ def renormalise(exports: DataFrame, old_rows: DataFrame, body: str = "body") ->
     ok = market.parity(old_rows, signed, "snapshot", list(SIGNATURE))
     bad = ok.where("not ok").select("snapshot")
     return rows.join(bad, "snapshot", "left_anti"), bad
+
+
+def renormalise_window(exports: DataFrame, versions_held: DataFrame, old_rows: DataFrame, batches: DataFrame, start: Column, end: Column, version: int, at: Column) -> dict[str, DataFrame]:
+    """Another normalisation of the captures of a time window, beside those that stand.
+
+    exports: snapshot, market, captured_at, body; versions_held: snapshot, version, normalized_at, record_id, status; old_rows: snapshot, version and the columns of SIGNATURE;
+    batches: batch_id, completed_at, snapshots (array), strict_eligible; a batch that was retried has several rows.
+    A snapshot whose rows of its current version are all among the new ones, as often, gets an accepted version `version`, others a rejected one. Nothing that stands is changed.
+
+    versions: all versions, old and new; current: the accepted one of each snapshot that stands, with the rows' version; rows: the new rows of accepted ones;
+    assessments: one for each batch of the window, by its last try: data_complete where each of its snapshots has an accepted current version.
+    """
+    inside = exports.where((F.col("captured_at") >= start) & (F.col("captured_at") < end))
+    stands = versions.current_derivation(versions_held, ["snapshot"], "version", "normalized_at", "record_id", F.col("status") == "accepted")
+    kept_rows = old_rows.join(stands.select("snapshot", "version"), ["snapshot", "version"], "left_semi").join(inside.select("snapshot").distinct(), "snapshot", "left_semi")
+    rows, bad = renormalise(inside, kept_rows)
+    made = inside.select("snapshot").distinct().join(bad.withColumn("_bad", F.lit(True)), "snapshot", "left")
+    status = F.when(F.col("_bad"), "rejected").otherwise("accepted")
+    new = made.select("snapshot", F.lit(version).alias("version"), at.alias("normalized_at"), ids.stable_id("market_normalization", "snapshot", F.lit(version)).alias("record_id"), status.alias("status"))
+    every = versions_held.select(*new.columns).unionByName(new)
+    current = versions.current_derivation(every, ["snapshot"], "version", "normalized_at", "record_id", F.col("status") == "accepted")
+    last = versions.retry_merge(batches.where((F.col("completed_at") >= start) & (F.col("completed_at") < end)), "batch_id", "completed_at", "strict_eligible")
+    each = last.select("batch_id", "strict_eligible", F.explode_outer("snapshots").alias("snapshot")).join(current.select("snapshot", F.lit(True).alias("_ok")), "snapshot", "left")
+    complete = F.coalesce(F.bool_and(F.coalesce("_ok", F.lit(False))), F.lit(False))
+    judged = each.groupBy("batch_id").agg(F.first("strict_eligible").alias("collection_eligible"), complete.alias("data_complete"))
+    marked = judged.withColumns({"model_strict_eligible": F.col("collection_eligible") & F.col("data_complete"), "record_id": ids.stable_id("eligibility_assessment", "batch_id", F.lit(version))})
+    return {"versions": every, "current": current, "rows": rows, "assessments": marked}
