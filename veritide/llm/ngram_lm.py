@@ -40,7 +40,6 @@ from collections import Counter, OrderedDict
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -50,7 +49,7 @@ from pyspark.sql import functions as F
 
 from veritide.llm.shared import shared_path
 
-#: Bytes of text for each shard; tokens that are added up together; words and ids a worker remembers.
+#: Bytes of text for each shard; tokens that are added up together; words that a task counts before it tells them.
 SHARD_BYTES, BUFFER, REMEMBERED = 8 << 20, 1 << 20, 200_000
 #: Rows of a context in one shard before it is split, and the most words that are listed as frequent.
 SPLIT, FREQUENT = 1 << 18, 1 << 20
@@ -271,61 +270,37 @@ def power(counts: np.ndarray) -> np.ndarray:
 
 
 class Words:
-    """Ids and counts of words, by mapped arrays and a bounded memory. Unknown words have id -1 and count 0."""
+    """Ids and counts of words, by mapped arrays. Unknown words have id -1 and count 0."""
 
     def __init__(self, folder: str, more=None) -> None:
-        """Mapped too: bases, by shard and power of the count the first id, -1 for shards without words. more: gives further columns of ids, which are remembered too."""
+        """Mapped too: bases, by shard and power of the count the first id, -1 for shards without words. more: gives further columns of ids."""
         self.look, self.folder, self.bases = more, folder, mapped(f"{folder}/bases")["bases"]
         self.shift = np.uint64(64 - (len(self.bases) - 1).bit_length())
         self.shards = Remembered(lambda s: tuple(mapped(f"{folder}/words-{s}").values()))
-        self.clear()
-
-    def clear(self) -> None:
-        self.known: dict[bytes, int] = {}
         self.ids, self.counts, self.more = np.zeros(0, np.int64), np.zeros(0, np.int64), None
 
-    def shrink(self) -> None:
-        """Forget all but the most frequent half of what may be remembered."""
-        kept = np.argsort(-self.counts, kind="stable")[: REMEMBERED // 2]
-        names = list(self.known)  # in the order of their places
-        self.known = {names[i]: k for k, i in enumerate(kept.tolist())}
-        self.ids, self.counts = self.ids[kept], self.counts[kept]
-        self.more = None if self.more is None else self.more[kept]
-
-    def find(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        keys = digests(words)
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and counts of words by their hashes, which ascend: each shard is searched in its order."""
         shard = (keys >> self.shift).astype(np.int64) if self.shift < 64 else np.zeros(len(keys), np.int64)
-        ids, counts = np.full(len(words), -1, np.int64), np.zeros(len(words), np.int64)
-        order, edges = by_shard(shard)
-        for at in np.split(order, edges[1:-1]) if len(order) else []:
-            s = int(shard[at[0]])
+        ids, counts = np.full(len(keys), -1, np.int64), np.zeros(len(keys), np.int64)
+        edges = np.flatnonzero(np.diff(shard, prepend=-1, append=len(self.bases)))
+        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+            s = int(shard[a])
             if self.bases[s, 0] < 0:
                 continue
             stored, n, ranks = self.shards[s]
-            place = np.minimum(np.searchsorted(stored, keys[at]), len(stored) - 1)
-            hit = stored[place] == keys[at]
-            place, own = place[hit], at[hit]
+            place = np.minimum(np.searchsorted(stored, keys[a:b]), len(stored) - 1)
+            own = np.flatnonzero(stored[place] == keys[a:b])
+            place, own = place[own], own + a
             counts[own] = n[place]
             ids[own] = self.bases[s, power(counts[own])] + ranks[place]
         return ids, counts
 
     def places(self, words: list[bytes]) -> np.ndarray:
-        """Where ids, counts and more of the words are in self.ids, self.counts and self.more."""
-        found = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
-        missing = np.flatnonzero(found < 0)
-        if len(missing):
-            unseen = [words[i] for i in missing.tolist()]
-            new = list(dict.fromkeys(unseen))
-            if len(self.known) + len(new) > REMEMBERED and len(self.known) > REMEMBERED // 2:
-                self.shrink()
-                return self.places(words)
-            self.known.update(zip(new, range(len(self.ids), len(self.ids) + len(new)), strict=True))
-            ids, counts = self.find(new)
-            self.ids, self.counts = np.concatenate((self.ids, ids)), np.concatenate((self.counts, counts))
-            if self.look:
-                more = self.look(ids)
-                self.more = more if self.more is None else np.concatenate((self.more, more))
-            found[missing] = np.fromiter(map(self.known.__getitem__, unseen), np.int64, len(unseen))
+        """Where ids, counts and more of the words are in self.ids, self.counts and self.more, which hold the distinct ones."""
+        keys, found = np.unique(digests(words), return_inverse=True)
+        self.ids, self.counts = self.find(keys)
+        self.more = self.look(self.ids) if self.look else None
         return found
 
 
@@ -567,7 +542,7 @@ def train(spark: SparkSession, docs: DataFrame, order: int = 3, text_col: str =
     bases = np.ascontiguousarray((np.cumsum(down) - down).reshape(64, shards).T[:, ::-1])
     bases[sizes.sum(axis=1) == 0] = -1
     save(f"{folder}/bases", {"bases": bases})
-    texts = int(Words(folder).find([END])[1][0])
+    texts = int(Words(folder).find(digests([END]))[1][0])
     ids, counts = np.append(bases[shard[often], kind[often]] + rank[often], size_of_all), np.append(n[often], texts)
     by_id = np.argsort(ids)
     dealing = Dealing(shards, ids[by_id].astype(np.uint64), counts[by_id])
