@@ -131,9 +131,9 @@ def month_day_time(x: str | Column, kickoff: str | Column, zone: str = "UTC") ->
 
 
 def year_corrected(ts: str | Column, kickoff: str | Column, max_age_days: int = 30) -> Column:
-    """struct(ts, status) with the year of kickoff or the one before that gives the least age in [0, max]; validated, year_corrected or quarantined."""
+    """struct(ts, status) with the year of kickoff or the one before that gives the least age in [0, max]; validated, year_corrected or quarantined. A year that lacks the day (29 February) gives none."""
     ts, kickoff = _c(ts), _c(kickoff)
-    tries = [F.make_timestamp(F.year(kickoff) - k, F.month(ts), F.day(ts), F.hour(ts), F.minute(ts), F.second(ts)) for k in (0, 1)]
+    tries = [F.try_make_timestamp(F.year(kickoff) - k, F.month(ts), F.day(ts), F.hour(ts), F.minute(ts), F.second(ts)) for k in (0, 1)]
     aged = F.array(*(F.struct((F.unix_timestamp(kickoff) - F.unix_timestamp(t)).alias("age"), t.alias("ts")) for t in tries))
     best = F.array_min(F.filter(aged, lambda a: (a["age"] >= 0) & (a["age"] <= max_age_days * 86400)))
     return F.struct(best["ts"].alias("ts"), F.when(best.isNull(), "quarantined").when(best["ts"] == ts, "validated").otherwise("year_corrected").alias("status"))

@@ -97,18 +97,20 @@ def patched_payloads(spark: SparkSession, d: str) -> DataFrame:
 _CSV = ("Div", "Date", "HomeTeam", "AwayTeam", "FTHG", "FTAG", "B365H", "B365D", "B365A", "AvgCH", "AvgCD", "AvgCA")
 
 
-@_query(f"""WITH {_Q}, g AS (SELECT o_orderkey AS k, strftime(o_orderdate, '%d/%m/%Y') AS dt, o_orderdate FROM orders), w AS (SELECT fixture, min(round(home, 2)) AS h, min(round(draw, 2)) AS dr, min(round(away, 2)) AS a FROM q GROUP BY fixture
-), m AS (SELECT k, h, dr, a FROM g JOIN w ON fixture = k WHERE k % 50 <> 0)
-SELECT 'opening' AS cohort, 'B365' AS bookmaker, count(*) AS n, round(sum(h), 2) AS home FROM m WHERE h > 1 AND dr > 1 AND a > 1 UNION ALL SELECT 'closing', 'Avg', count(*), round(sum(h + 1), 2) FROM m""")
+@_query(f"""WITH {_Q}, w AS (SELECT fixture AS k, min(round(home, 2)) AS h, min(round(draw, 2)) AS dr, min(round(away, 2)) AS a FROM q GROUP BY fixture), m AS (SELECT w.*, sha256('s|E0|' || strftime(kickoff, '%Y-%m-%d') || '|H' || k || '|A' || k) AS id FROM w JOIN fx ON fixture = k)
+SELECT 'price' AS what, id, 'opening' AS cohort, 'B365' AS bookmaker, h AS home, dr AS draw, a AS away, NULL::BIGINT AS n FROM m WHERE k % 50 <> 0 AND h > 1 AND dr > 1 AND a > 1
+UNION ALL SELECT 'price', id, 'closing', 'Avg', round(h + 1, 2), round(dr + 1, 2), round(a + 1, 2), NULL FROM m WHERE k % 50 <> 0
+UNION ALL SELECT 'skip', CASE WHEN k % 50 = 0 THEN 'missing_identity' END, NULL, NULL, NULL, NULL, NULL, count(*) FROM m GROUP BY 2""")
 def normalised_odds(spark: SparkSession, d: str) -> DataFrame:
-    """Quotes as a CSV file of wide odds rows, read again: identities, skips and long prices."""
+    """Quotes as a CSV file of wide odds rows, read again: long prices of each fixture, and how many rows were skipped for what."""
     q = _quotes(spark, d).groupBy("fixture").agg(*(F.min(F.round(s, 2)).alias(s) for s in odds.SIDES)).join(_fixtures(spark, d), "fixture")
     home = F.when(F.col("fixture") % 50 != 0, F.concat(F.lit("H"), "fixture"))
     cells = [F.lit("E0"), F.date_format("kickoff", "dd/MM/yyyy"), home, F.concat(F.lit("A"), "fixture"), F.col("actual"), F.lit(1), *(F.round(F.col(s), 2) for s in odds.SIDES), *(F.round(F.col(s) + 1, 2) for s in odds.SIDES)]
     out = folder(spark)
     q.select(*(c.cast("string").alias(n) for c, n in zip(cells, _CSV, strict=True))).write.option("header", True).csv(out)
-    _, long, _ = pipelines.normalise_odds(odds_files.odds_csv(spark, [out]), "s")
-    return long.groupBy("cohort", "bookmaker").agg(F.count("*").alias("n"), F.round(F.sum(F.col("prices")[0]), 2).alias("home"))
+    _, long, skips = pipelines.normalise_odds(odds_files.odds_csv(spark, [out]), "s")
+    prices = long.select(F.lit("price").alias("what"), F.col("fixture_record_id").alias("id"), "cohort", "bookmaker", *(F.round(F.col("prices")[i], 2).alias(s) for i, s in enumerate(odds.SIDES)), F.lit(None).cast("long").alias("n"))
+    return prices.unionByName(skips.select(F.lit("skip").alias("what"), F.col("skip_reason").alias("id"), "n"), allowMissingColumns=True)
 
 
 @_query("""WITH c AS (SELECT user_id % 40 AS path, event_type, count(*) AS n FROM events GROUP BY 1, 2), g AS (SELECT path, sum(n) AS lines FROM c GROUP BY 1), m AS (SELECT DISTINCT user_id % 45 AS path FROM events)
@@ -175,12 +177,19 @@ def feed_pages(spark: SparkSession, d: str) -> DataFrame:
     return f.select("conv_id", F.col("row")["turn"].cast("long").alias("turn"), F.col("row")["role"].alias("role"), "total_pages")
 
 
-@_query("""WITH h AS (SELECT event_id, user_id, date_trunc('minute', ts) AS kick, (event_id % 701 - 350)::INT AS o FROM events), p AS (SELECT event_id, user_id, kick, o, kick - to_days((event_id % 40)::INT) AS seen FROM h), g AS (SELECT *, CASE WHEN event_id % 40 <= 30 THEN CASE WHEN event_id % 2 = 0 THEN 'validated' ELSE 'year_corrected' END ELSE 'quarantined' END AS st FROM p)
-SELECT event_id, CASE WHEN st <> 'quarantined' THEN seen END AS seen_at, st AS time_status, CASE WHEN o > 0 THEN round(1 + o / 100, 6) WHEN o < 0 THEN round(1 + 100 / abs(o), 6) END AS odds, st = 'quarantined' OR o = 0 AS quarantined FROM g WHERE NOT (month(seen) = 2 AND day(seen) = 29)""")
+def _dated(year: str, t: str) -> str:
+    """A time of another year in SQL; null where that year lacks the day."""
+    return f"CASE WHEN month({t}) = 2 AND day({t}) = 29 AND NOT (({year}) % 4 = 0 AND (({year}) % 100 <> 0 OR ({year}) % 400 = 0)) THEN NULL ELSE make_timestamp({year}, month({t}), day({t}), hour({t}), minute({t}), 0) END"
+
+
+@_query(f"""WITH h AS (SELECT event_id, date_trunc('minute', ts) AS kick, (event_id % 701 - 350)::INT AS o FROM events), p AS (SELECT *, kick - to_days((event_id % 40)::INT) + CASE WHEN event_id % 2 = 0 THEN INTERVAL 0 DAY ELSE INTERVAL 2 YEAR END AS given FROM h
+), c AS (SELECT *, {_dated('year(kick)', 'given')} AS c0, {_dated('year(kick) - 1', 'given')} AS c1 FROM p
+), g AS (SELECT *, CASE WHEN epoch(kick) - epoch(c0) BETWEEN 0 AND 2592000 THEN c0 WHEN epoch(kick) - epoch(c1) BETWEEN 0 AND 2592000 THEN c1 END AS seen FROM c)
+SELECT event_id, seen AS seen_at, CASE WHEN seen IS NULL THEN 'quarantined' WHEN seen = given THEN 'validated' ELSE 'year_corrected' END AS time_status, CASE WHEN o > 0 THEN round(1 + o / 100, 6) WHEN o < 0 THEN round(1 + 100 / abs(o), 6) END AS odds, seen IS NULL OR o = 0 AS quarantined FROM g""")
 def odds_points(spark: SparkSession, d: str) -> DataFrame:
     """Points of nested odds histories; every second has a year too late, some are older than a month."""
     k = F.col("event_id")
-    e = _read(spark, d, "events").withColumn("kickoff", F.date_trunc("minute", "ts")).withColumn("own", F.col("kickoff") - F.make_dt_interval((k % 40).cast("int"))).where("NOT (month(own) = 2 AND day(own) = 29)")
+    e = _read(spark, d, "events").withColumn("kickoff", F.date_trunc("minute", "ts")).withColumn("own", F.col("kickoff") - F.make_dt_interval((k % 40).cast("int")))
     point = F.struct(F.when(k % 2 == 0, F.col("own")).otherwise(F.col("own") + F.expr("INTERVAL 2 YEAR")).alias("timestamp"), (k % 701 - 350).cast("int").alias("odds"))
     group = F.struct(F.array(point).alias("history"), F.lit(None).cast("struct<timestamp:timestamp,odds:int>").alias("opening"))
     nested = e.select(k.cast("string").alias("match_id"), "kickoff", F.array(F.struct(F.lit("1x2").alias("market"), F.array(F.struct(F.lit("b").alias("bookmaker"), F.lit("full").alias("period"), F.array(group).alias("groups"))).alias("rows"))).alias("markets"))
@@ -209,12 +218,13 @@ def canonical_names(spark: SparkSession, d: str) -> DataFrame:
     return p.select("p_partkey", parse.canonical_name(messy).alias("name"), parse.canonical_name(messy, True).alias("matched"), parse.first_present(F.when(F.col("p_partkey") % 3 != 0, F.lit("  ")).otherwise(F.col("p_brand")), "p_type").alias("shown"))
 
 
-@_query("""WITH t AS (SELECT event_id, ts, date_trunc('minute', ts) + to_days((event_id % 300)::INT) AS kick FROM events), y AS (SELECT *, make_timestamp(year(kick), month(ts), day(ts), hour(ts), minute(ts), 0) AS now0, make_timestamp(year(kick) - 1, month(ts), day(ts), hour(ts), minute(ts), 0) AS old0 FROM t WHERE NOT (month(ts) = 2 AND day(ts) = 29)
-), z AS (SELECT *, CASE WHEN now0 > kick + INTERVAL 1 DAY THEN old0 ELSE now0 END AS dated, epoch(kick) - epoch(now0) AS a0, epoch(kick) - epoch(old0) AS a1 FROM y)
-SELECT event_id, dated, CASE WHEN a0 BETWEEN 0 AND 2592000 THEN now0 WHEN a1 BETWEEN 0 AND 2592000 THEN old0 END AS corrected, CASE WHEN a0 BETWEEN 0 AND 2592000 THEN CASE WHEN now0 = date_trunc('minute', ts) + INTERVAL 3 YEAR THEN 'validated' ELSE 'year_corrected' END WHEN a1 BETWEEN 0 AND 2592000 THEN 'year_corrected' ELSE 'quarantined' END AS status FROM z""")
+@_query(f"""WITH t AS (SELECT event_id, ts, date_trunc('minute', ts) + to_days((event_id % 300)::INT) AS kick, date_trunc('minute', ts) + INTERVAL 3 YEAR AS later FROM events
+), y AS (SELECT *, {_dated('year(kick)', 'ts')} AS now0, {_dated('year(kick) - 1', 'ts')} AS old0, {_dated('year(kick)', 'later')} AS now3, {_dated('year(kick) - 1', 'later')} AS old3 FROM t
+), z AS (SELECT *, CASE WHEN epoch(kick) - epoch(now3) BETWEEN 0 AND 2592000 THEN now3 WHEN epoch(kick) - epoch(old3) BETWEEN 0 AND 2592000 THEN old3 END AS corrected FROM y)
+SELECT event_id, CASE WHEN now0 > kick + INTERVAL 1 DAY THEN old0 ELSE now0 END AS dated, corrected, CASE WHEN corrected IS NULL THEN 'quarantined' WHEN corrected = later THEN 'validated' ELSE 'year_corrected' END AS status FROM z""")
 def dated_times(spark: SparkSession, d: str) -> DataFrame:
     """Times without a year, and times with a wrong one (three years on)."""
-    t = _read(spark, d, "events").where("NOT (month(ts) = 2 AND day(ts) = 29)").withColumn("kick", F.date_trunc("minute", "ts") + F.make_dt_interval((F.col("event_id") % 300).cast("int")))
+    t = _read(spark, d, "events").withColumn("kick", F.date_trunc("minute", "ts") + F.make_dt_interval((F.col("event_id") % 300).cast("int")))
     fixed = parse.year_corrected(F.date_trunc("minute", "ts") + F.expr("INTERVAL 3 YEAR"), "kick")
     return t.select("event_id", parse.month_day_time(F.date_format("ts", "MM-dd HH:mm"), "kick").alias("dated"), fixed["ts"].alias("corrected"), fixed["status"].alias("status"))
 
@@ -233,11 +243,11 @@ def feed_scalars(spark: SparkSession, d: str) -> DataFrame:
     return o.select("o_orderkey", parse.match_date(date).alias("played"), s["home"].alias("home"), s["away"].alias("away"), parse.cancelled(said).alias("cancelled"), parse.canonical_decimal(price).alias("price"), F.unix_timestamp(parse.day_bounds(F.to_date("o_orderdate"))["start"]).alias("day_start"))
 
 
-@_query("""WITH w AS (SELECT conv_id, turn, string_split(text, ' ') AS w FROM conversations WHERE text IS NOT NULL AND NOT contains(text, '|') AND NOT contains(text, '$')), r AS (SELECT conv_id, turn, unnest(range(len(w))) AS i, w FROM w)
-SELECT conv_id, turn, count(*) AS n, sum(i)::BIGINT AS places, CAST(2 * count(*) AS BIGINT) AS cells FROM r WHERE trim(w[i + 1]) <> '' OR true GROUP BY conv_id, turn""")
+@_query("""WITH b AS (SELECT conv_id, turn, string_split(array_to_string(list_transform(string_split(text, ' '), lambda w: w || '|x'), '$'), '$') AS rows FROM conversations WHERE text IS NOT NULL), r AS (SELECT conv_id, turn, unnest(rows) AS r, unnest(range(len(rows))) AS i FROM b)
+SELECT conv_id, turn, count(*) AS n, sum(i)::BIGINT AS places, sum(len(string_split(r, '|')))::BIGINT AS cells FROM r WHERE trim(r) <> '' GROUP BY conv_id, turn""")
 def export_cells(spark: SparkSession, d: str) -> DataFrame:
     """Words of a turn as rows of '$'-separated text with two cells each, cut again."""
-    c = _read(spark, d, "conversations").where("text IS NOT NULL AND NOT contains(text, '|') AND NOT contains(text, '$')")
+    c = _read(spark, d, "conversations").where("text IS NOT NULL")
     body = F.array_join(F.transform(F.split("text", " "), lambda w: F.concat(w, F.lit("|x"))), "$")
     rows = c.select("conv_id", "turn", F.explode(parse.export_rows(body)).alias("r"))
     return rows.groupBy("conv_id", "turn").agg(F.count("*").alias("n"), F.sum("r.row_index").alias("places"), F.sum(F.size("r.cells")).cast("long").alias("cells"))
@@ -342,13 +352,21 @@ def baseline_evaluation(spark: SparkSession, d: str) -> DataFrame:
     return got.select("baseline", "year", "competition", "sample_size", _r("log_loss"), _r("rps"), _r("accuracy"), F.round("ece", 6).alias("ece"), "conclusion")
 
 
-@_query(f"""WITH {_SCORED}, m AS (SELECT competition, count(*) AS fixtures, date_diff('day', min(kickoff), max(kickoff)) AS span_days, sum(hit)::BIGINT AS rule_hits, round(avg(hit - top), 9) AS residual FROM sc GROUP BY 1)
-SELECT competition, array_to_string(list_filter([CASE WHEN NOT fixtures >= 2200 THEN 'fixtures' END, CASE WHEN NOT span_days >= 90 THEN 'span_days' END, CASE WHEN NOT rule_hits >= 500 THEN 'rule_hits' END, CASE WHEN NOT residual <= -0.14 THEN 'residual' END], lambda x: x IS NOT NULL), ',') AS failed FROM m""")
+_GATES = {"fixtures": ">= 60", "span_days": ">= 300", "rule_hits": ">= 15", "first_hits": ">= 9", "second_hits": ">= 9", "residual": "<= -0.14", "relative_residual": "<= -0.2", "first_residual": "< 0", "second_residual": "< 0", "upper": "< 0", "adjusted_p": "<= 0.1"}
+
+
+@_query(f"""WITH {_SCORED}, m AS (SELECT competition, year(kickoff) AS year, count(*) AS fixtures, date_diff('day', min(kickoff), max(kickoff)) AS span_days, sum(hit)::BIGINT AS rule_hits, count(*) FILTER (WHERE hit = 1 AND fixture % 2 = 0) AS first_hits, count(*) FILTER (WHERE hit = 1 AND fixture % 2 = 1) AS second_hits,
+  round(avg(hit - top), 9) AS residual, round(avg(hit - top) - 0.06, 9) AS relative_residual, round(avg(hit - top + 0.1) FILTER (WHERE fixture % 2 = 0), 9) AS first_residual, round(avg(hit - top + 0.1) FILTER (WHERE fixture % 2 = 1), 9) AS second_residual, round(avg(hit - top) + 0.13, 9) AS upper, count(*) % 7 / 20 AS adjusted_p FROM sc GROUP BY 1, 2)
+SELECT competition, year, array_to_string(list_filter([{', '.join(f"CASE WHEN NOT coalesce({k} {limit}, false) THEN '{k}' END" for k, limit in _GATES.items())}], lambda x: x IS NOT NULL), ',') AS failed FROM m""")
 def review_gates(spark: SparkSession, d: str) -> DataFrame:
-    g = _scored(spark, d).groupBy("competition").agg(F.count("*").alias("fixtures"), F.datediff(F.max("kickoff"), F.min("kickoff")).alias("span_days"), F.sum("hit").alias("rule_hits"), F.round(F.avg(F.col("hit") - F.col("top")), 9).alias("residual"))
-    one = {"first_hits": 99, "second_hits": 99, "relative_residual": -1.0, "first_residual": -1.0, "second_residual": -1.0, "upper": -1.0, "adjusted_p": 0.0}
-    m = g.withColumns({k: F.lit(v) for k, v in one.items()})
-    return score.review_gate(m, fixtures=2200, hits=500, residual=-0.14).select("competition", F.array_join("failed", ",").alias("failed"))
+    """All conditions of a review, for each competition and year."""
+    v, own = F.col("hit") - F.col("top"), lambda n: F.col("fixture") % 2 == n
+    m = _scored(spark, d).groupBy("competition", F.year("kickoff").alias("year")).agg(
+        F.count("*").alias("fixtures"), F.datediff(F.max("kickoff"), F.min("kickoff")).alias("span_days"), F.sum("hit").alias("rule_hits"), F.count_if((F.col("hit") == 1) & own(0)).alias("first_hits"), F.count_if((F.col("hit") == 1) & own(1)).alias("second_hits"),
+        F.round(F.avg(v), 9).alias("residual"), F.round(F.avg(v) - 0.06, 9).alias("relative_residual"), F.round(F.avg(F.when(own(0), v + 0.1)), 9).alias("first_residual"), F.round(F.avg(F.when(own(1), v + 0.1)), 9).alias("second_residual"),
+        F.round(F.avg(v) + 0.13, 9).alias("upper"), (F.count("*") % 7 / 20).alias("adjusted_p"),
+    )
+    return score.review_gate(m, fixtures=60, days=300, hits=15, batch_hits=9, residual=-0.14, relative=-0.2).select("competition", "year", F.array_join("failed", ",").alias("failed"))
 
 
 _OPEN = """oc AS (SELECT fixture, book, any_value(line) AS line, CASE WHEN ch >= cd AND ch >= ca THEN 'home' WHEN cd >= ca THEN 'draw' ELSE 'away' END AS side FROM one JOIN cs USING (fixture) GROUP BY fixture, book, ch, cd, ca)"""
@@ -396,7 +414,7 @@ def policy_violations(spark: SparkSession, d: str) -> DataFrame:
 
 @_query("""WITH r AS (SELECT c_custkey AS k, c_custkey % 7 <> 0 AS id, ['league', 'cup', 'x'][(c_custkey % 3 + 1)::INT] AS kind, ['A', 'B', 'C', 'D'][(c_custkey % 4 + 1)::INT] AS tier, ['low', 'medium', 'high'][(c_nationkey % 3 + 1)::INT] AS cap, c_acctbal > 0 AS meta, c_custkey % 9 <> 0 AS al FROM customer), v AS (
 SELECT k, unnest(list_filter([CASE WHEN NOT id THEN 'competition_id' END, CASE WHEN kind = 'x' THEN 'competition_type' END, CASE WHEN tier = 'D' THEN 'market_evidence_tier' END, CASE WHEN NOT meta THEN 'profile_metadata' END, CASE WHEN tier = 'C' AND cap <> 'low' THEN 'tier_c_cap_above_low' END, CASE WHEN NOT al THEN 'name_aliases' END], lambda x: x IS NOT NULL)) AS code FROM r)
-SELECT code, count(*) AS n FROM v GROUP BY code UNION ALL SELECT 'policy:' || code, count(*) FROM (SELECT unnest(list_filter([CASE WHEN NOT (p_size % 10 >= 5) THEN 'thresholds_not_monotone' END, CASE WHEN p_retailprice > 1500 THEN 'share_out_of_range' END], lambda x: x IS NOT NULL)) AS code FROM part) GROUP BY 1""")
+SELECT k AS record, code FROM v UNION ALL SELECT p_partkey, unnest(list_filter([CASE WHEN NOT (p_size % 10 >= 5) THEN 'policy:thresholds_not_monotone' END, CASE WHEN p_retailprice > 1500 THEN 'policy:share_out_of_range' END], lambda x: x IS NOT NULL)) FROM part""")
 def registry_violations(spark: SparkSession, d: str) -> DataFrame:
     k = F.col("c_custkey")
     pick = lambda of, names: F.element_at(F.array(*map(F.lit, names)), (of + 1).cast("int"))
@@ -404,10 +422,10 @@ def registry_violations(spark: SparkSession, d: str) -> DataFrame:
         k, F.when(k % 7 == 0, "x1").otherwise(k.cast("string")).alias("competition_id"), pick(k % 3, ["league", "cup", "x"]).alias("competition_type"), pick(k % 4, "ABCD").alias("market_evidence_tier"), F.lit("confirmed").alias("classification_status"), pick(F.col("c_nationkey") % 3, ["low", "medium", "high"]).alias("confidence_cap"),
         F.when(F.col("c_acctbal") > 0, F.col("c_name")).alias("canonical_name"), F.lit("g").alias("evaluation_group"), F.lit("r").alias("classification_reason"), F.when(k % 9 == 0, F.array().cast("array<string>")).otherwise(F.array("c_name")).alias("name_aliases"),
     )
-    a = contracts.violations(rows, contracts.registry_contract(("league", "cup")), "c_custkey").groupBy("code").agg(F.count("*").alias("n"))
+    a = contracts.violations(rows, contracts.registry_contract(("league", "cup")), "c_custkey").select(F.col("c_custkey").alias("record"), "code")
     level = lambda n, gap, spread: F.struct(n.alias("bookmakers"), gap.alias("gap"), F.lit(spread).alias("dispersion"))
     policy = _read(spark, d, "part").select("p_partkey", level(F.col("p_size") % 10, F.when(F.col("p_retailprice") > 1500, 1.5).otherwise(0.15), 0.02).alias("high"), level(F.lit(5), F.lit(0.07), 0.035).alias("medium"), F.struct(F.lit(200).alias("fixtures"), F.lit(90).alias("days")).alias("gate"))
-    b = contracts.violations(policy, contracts.policy_contract(), "p_partkey").groupBy(F.concat(F.lit("policy:"), "code").alias("code")).agg(F.count("*").alias("n"))
+    b = contracts.violations(policy, contracts.policy_contract(), "p_partkey").select(F.col("p_partkey").alias("record"), F.concat(F.lit("policy:"), "code").alias("code"))
     return a.unionByName(b)
 
 
