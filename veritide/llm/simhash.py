@@ -184,7 +184,7 @@ def similar_links(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, ma
     with 0.99). A bucket's documents are compared with a hub, the one that meets most others
     over all its buckets: of an original and its copies that is the original. Buckets that still have documents
     of several components are compared with HUBS more. Documents of buckets that are in several components even
-    then are paired exactly: by the rarest of the differences that they have from their hub, and those very far from it
+    then are paired exactly: by the rarest of the differences that they have from one document near them, and those very far from it
     by their rarest shingles: any two similar
     sets share one among the first that make up 1 - similarity of either. Documents
     that merely share a common passage are not paired there, as its shingles come last. So no pair of a bucket
@@ -240,7 +240,7 @@ def _unlike_links(docs: DataFrame, shingle: int, similarity: float, max_distance
         live = cut(live.join(split, "band", "left_semi"), "members")
         if live.isEmpty():
             return found
-        pairs = _rest(live, hubs, scored, held, similarity) if last else _met(live, _hubs(live, HUBS))
+        pairs = _rest(live, scored, held, similarity) if last else _met(live, _hubs(live, HUBS))
         found = found.union(cut(_similar(cut(ordered(pairs), "candidates"), held, similarity).where("ok").select("a", "b"), "links"))
     return found
 
@@ -257,46 +257,54 @@ def _hubs(members: DataFrame, n: int) -> DataFrame:
     return members.groupBy("band", part).agg(F.max_by("rep", F.struct("weight", -F.col("rep"))).alias("rep")).select("band", "rep")
 
 
-def _rest(members: DataFrame, hubs: DataFrame, scored: DataFrame, held: DataFrame, similarity: float) -> DataFrame:
-    """Pairs (a, b) of different components of a bucket that may be similar, though not both are similar to its hub.
+def _rest(members: DataFrame, scored: DataFrame, held: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of different components of a bucket that may be similar.
 
-    Jaccard distance is a metric, and all members were compared with the hub. A member very far from it, by more than twice what
-    similar ones may be apart, can't be similar to one near it; pairs with such a member come from _rare(), others from _apart().
+    All members of a bucket are measured against one document, which may be any: the one that is the nearest to most of them of those that they were compared with. For near
+    copies of one text that is the original, also in buckets that lack it. Members similar to it are linked to it. Jaccard distance is a metric, so one very far
+    from it, by more than twice what similar ones may be apart, can't be similar to those; pairs with such a member come from _rare(), others from _apart().
     """
-    both = scored.select(F.col("a").alias("rep"), F.col("b").alias("hub"), "j", "ok").union(scored.select("b", "a", "j", "ok"))
-    placed = members.join(hubs.withColumnRenamed("rep", "hub"), "band").join(both, ["rep", "hub"], "left")
-    near = F.coalesce("ok", F.lit(False)) | (F.col("rep") == F.col("hub"))
-    very = ~near & (1 - F.coalesce("j", F.lit(0.0)) > 2 * (1 - similarity) + 1e-9)
-    placed = cut(placed.select("rep", "root", "hub", near.alias("near"), very.alias("very")).distinct(), "placed")
-    far = placed.where("not near").groupBy("rep").agg(F.min("root").alias("root"), F.max("very").alias("very"))
-    return _apart(placed.where("not very and rep != hub"), held, similarity).union(_rare(far, held, similarity))
-
-
-def _apart(placed: DataFrame, held: DataFrame, similarity: float) -> DataFrame:
-    """Pairs (a, b) of members (rep, root, hub, near) of which a is not near and the two may be similar, by how they differ from their hub.
-
-    With H shingles in the hub, and a document that has A others and lacks D of them, similarity s to the hub means s * A + D <= (1 - s) * H; call the left side its cost.
+    both = scored.select(F.col("a").alias("rep"), F.col("b").alias("hub"), "j").union(scored.select("b", "a", "j"))
+    nearest = both.groupBy("rep").agg(F.max_by("hub", F.struct("j", -F.col("hub"))).alias("hub"))
+    votes = members.select("band", "rep").join(nearest, "rep").groupBy("band", "hub").agg(F.count("*").alias("n"))
+    chosen = votes.groupBy("band").agg(F.max_by("hub", F.struct("n", -F.col("hub"))).alias("hub"))
+    placed = cut(members.join(chosen, "band").where("rep != hub").select("rep", "root", "hub").distinct(), "placed")
+    set_of = lambda name, col: held.select(F.col("id").alias(name), F.col("set").alias(col))
+    sets = placed.join(set_of("rep", "x"), "rep").join(set_of("hub", "h"), "hub")
+    each = sets.select("hub", "rep", "root", F.size("h").alias("size"), F.array_except("x", "h").alias("added"), F.array_except("h", "x").alias("lacking"))
+    shared, union = F.col("size") - F.size("lacking"), F.col("size") + F.size("added")
+    near, very = shared >= similarity * union, shared < (2 * similarity - 1) * union - 1e-9
+    cost = similarity * F.size("added") + F.size("lacking")
+    apart = cut(each.select("hub", "rep", "root", "size", near.alias("near"), very.alias("very"), cost.alias("cost"), F.concat("added", "lacking").alias("diff")), "apart")
+    linked = apart.where("near").select(F.col("rep").alias("a"), F.col("hub").alias("b"))
+    far = apart.where("not near").groupBy("rep").agg(F.min("root").alias("root"), F.max("very").alias("very"))
+    return linked.union(_apart(apart.where("not very"), similarity)).union(_rare(far, held, similarity))
+
+
+def _apart(apart: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of members of which a is not near and the two may be similar, by how they differ from one document.
+
+    apart: hub, rep, root, size (shingles of the hub), near, diff (what differs), cost. With H shingles in the hub, and a document that has A others and lacks D of them, similarity s to the
+    hub means s * A + D <= (1 - s) * H; the left side is its cost.
     Two documents of similarity s have (cost + cost - (1 - s) * H) / (1 + s) of these differences in common at least. If a is not near,
     its cost is above (1 - s) * H, so the other one has more than its own cost / (1 + s) of its differences in common with a, about half of them. So one of
-    the rest and one more, the rarest, is a difference of a: what the hub's whole group has in common brings no pairs.
+    the rest and one more, the rarest, is a difference of a: what the whole group has in common brings no pairs.
     """
-    hubs = placed.where("not near").select("hub").distinct()
-    set_of = lambda name, col: held.select(F.col("id").alias(name), F.col("set").alias(col))
-    both = placed.join(hubs, "hub", "left_semi").join(set_of("rep", "x"), "rep").join(set_of("hub", "h"), "hub")
-    added, lacking = F.array_except("x", "h"), F.array_except("h", "x")
-    apart = both.select("hub", "rep", "root", "near", F.size("h").alias("size"), (similarity * F.size(added) + F.size(lacking)).alias("cost"), F.concat(added, lacking).alias("diff"))
-    apart = cut(apart.withColumn("n", F.size("diff")), "apart")
+    hubs = apart.where("not near").select("hub").distinct()
+    apart = apart.join(hubs, "hub", "left_semi")
     each = apart.select("hub", "rep", "near", F.explode("diff").alias("s"))
-    # what no other member has, or none that is not near, is first in the order, as it brings no pairs
+    # what no other member has, or none that is not near, can't be in common
     often = cut(each.groupBy("hub", "s").agg(F.count("*").alias("df"), F.count_if(~F.col("near")).alias("far")).where("df > 1 and far > 0").select("hub", "s", "df"), "often")
     shared = each.join(often, ["hub", "s"]).groupBy("hub", "rep").agg(F.sort_array(F.collect_list(F.struct("df", "s"))).alias("shared"))
-    mine = cut(apart.drop("diff").join(shared, ["hub", "rep"]), "shared")
-    length = F.col("n") - F.floor(F.col("cost") / (1 + similarity) - 1e-9) - (F.col("n") - F.size("shared"))
-    first = mine.where(length > 0).select("hub", F.col("rep").alias("b"), F.col("root").alias("root_b"), F.col("cost").alias("cost_b"), F.col("n").alias("n_b"), F.explode(F.slice("shared", F.lit(1), length.cast("int"))).alias("d"))
-    far = mine.where("not near").select("hub", F.col("rep").alias("a"), "root", "cost", "n", "size", F.explode("shared").alias("d"))
-    common = (1 + similarity) * F.least("n", "n_b") + 1e-6 >= F.col("cost") + F.col("cost_b") - (1 - similarity) * F.col("size")
-    met = far.select("*", "d.s").drop("d").join(first.select("*", "d.s").drop("d"), ["hub", "s"])
-    return met.where((F.col("root") != F.col("root_b")) & common).select("a", "b")
+    mine = cut(apart.drop("diff").join(shared, ["hub", "rep"]).withColumn("k", F.size("shared")), "shared")
+    length = F.col("k") - F.floor(F.col("cost") / (1 + similarity) - 1e-9)
+    own = lambda df, *names: df.select("hub", *(F.col(c).alias(n) for c, n in names), F.col("d.s").alias("s"))
+    first = mine.where(length > 0).select("*", F.posexplode(F.slice("shared", F.lit(1), length.cast("int"))).alias("i", "d"))
+    far = mine.where("not near").select("*", F.posexplode("shared").alias("i", "d"))
+    met = own(far, ("rep", "a"), ("root", "root"), ("cost", "cost"), ("size", "size"), ("k", "k"), ("i", "i")).join(own(first, ("rep", "b"), ("root", "root_b"), ("cost", "cost_b"), ("k", "k_b"), ("i", "i_b")), ["hub", "s"])
+    # where this is the first difference that the two have in common, no more are than what is left from here on
+    enough = (1 + similarity) * F.least(F.col("k") - F.col("i"), F.col("k_b") - F.col("i_b")) + 1e-6 >= F.col("cost") + F.col("cost_b") - (1 - similarity) * F.col("size")
+    return met.where((F.col("root") != F.col("root_b")) & enough).select("a", "b")
 
 
 def _rare(docs: DataFrame, held: DataFrame, similarity: float) -> DataFrame:
