@@ -185,18 +185,17 @@ def block_bootstrap(rows: DataFrame, groups: list[str], at: str, value: str, ite
     weekly = rows.groupBy(*groups, week.alias("_week")).agg(F.sum(value).alias("_s"), F.count(value).alias("_n"))
     sizes = weekly.groupBy(*groups).agg(F.count("*").alias("weeks"), F.sum("_n").alias("n"), F.sort_array(F.collect_list(F.struct("_week", "_s", "_n"))).alias("_w"))
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    runs = sizes.select(*groups, "weeks", "_w", F.explode(F.sequence(F.lit(0), F.lit(iterations - 1))).alias("_b")).repartition(parts, *groups, "_b")
+    runs = sizes.select(*groups, "weeks", "n", "_w", F.explode(F.sequence(F.lit(0), F.lit(iterations - 1))).alias("_b")).repartition(parts, *groups, "_b")
     label = F.concat_ws(":", F.lit(str(seed)), *(F.col(g).cast("string") for g in groups), F.col("_b").cast("string"))
     pick = lambda slot: F.get(F.col("_w"), (F.conv(F.substring(F.md5(F.concat_ws(":", label, slot.cast("string"))), 1, 8), 16, 10).cast("long") % F.col("weeks")).cast("int"))
     drawn = F.transform(F.sequence(F.lit(0), F.col("weeks").cast("int") - 1), pick)
     zero = F.struct(F.lit(0.0).alias("s"), F.lit(0).cast("long").alias("n"))
     folded = F.aggregate(drawn, zero, lambda a, w: F.struct((a["s"] + w["_s"]).alias("s"), (a["n"] + w["_n"]).alias("n")), lambda a: a["s"] / a["n"])
-    means = runs.select(*groups, "_b", folded.alias("_m"))
+    means = runs.select(*groups, "weeks", "n", "_b", folded.alias("_m"))
     alpha = (1 - confidence) / 2
     order = F.row_number().over(Window.partitionBy(*groups).orderBy("_m", "_b")) - 1  # `iterations` rows of two numbers
     lo, hi = max(0, int(alpha * iterations)), min(iterations - 1, int((1 - alpha) * iterations))
-    bounds = means.withColumn("_k", order).groupBy(*groups).agg(F.max(F.when(F.col("_k") == lo, F.col("_m"))).alias("lower"), F.max(F.when(F.col("_k") == hi, F.col("_m"))).alias("upper"), ((1 + F.count_if(F.col("_m") >= 0)) / (1 + iterations)).alias("p_value"))
-    return sizes.select(*groups, "weeks", "n").join(bounds, groups)
+    return means.withColumn("_k", order).groupBy(*groups, "weeks", "n").agg(F.max(F.when(F.col("_k") == lo, F.col("_m"))).alias("lower"), F.max(F.when(F.col("_k") == hi, F.col("_m"))).alias("upper"), ((1 + F.count_if(F.col("_m") >= 0)) / (1 + iterations)).alias("p_value"))
 
 
 def halves(rows: DataFrame, groups: list[str], order: list[str], value: str) -> DataFrame:
@@ -236,7 +235,7 @@ def cohorts(queries: DataFrame, history: DataFrame, query_id: str, least: int =
     past = history.select(*([F.col(label_at).alias("_at")] if cutoff else []), cells).select(*(["_at"] if cutoff else []), "_c.*")
     if cutoff:
         both = past.select("_i", "_cell", "_at", F.lit(0).alias("_asks"), F.lit(None).cast(queries.schema[query_id].dataType).alias(query_id)).unionByName(asked.select("_i", "_cell", "_at", F.lit(1).alias("_asks"), query_id))
-        ran = bucketed(both, ["_i", "_cell"], day("_at"), ["_at", "_asks"], {"n": 1 - F.col("_asks")})
+        ran = bucketed(staged(both), ["_i", "_cell"], day("_at"), ["_at", "_asks"], {"n": 1 - F.col("_asks")})  # read twice
         found = ran.where("_asks = 1").select(query_id, "_i", "n")
     else:
         counts = past.groupBy("_i", "_cell").agg(F.count("*").alias("n"))
