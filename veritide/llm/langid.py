@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from veritide.llm.shared import columns
+from veritide.llm.shared import columns, trimmed
 
 DIMENSIONS, UNKNOWN = 1024, "und"
 #: Texts are handled in groups of so many code points, longer ones in pieces of that many; and so many rows at once.
@@ -133,7 +133,7 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", dimen
             yield pa.RecordBatch.from_pydict({"lang": [lang] * dimensions, "dim": np.arange(dimensions, dtype=np.int32), "x": np.rint(total * 2**24).astype(np.int64)})
 
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).cast("string"), text_col)
-    parts = rows.mapInArrow(run, "lang string, dim int, x long").groupBy("lang", "dim").agg(F.sum("x").alias("x"))
+    parts = rows.mapInArrow(trimmed(run), "lang string, dim int, x long").groupBy("lang", "dim").agg(F.sum("x").alias("x"))
     found = parts.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("dim", "x"))).alias("v")).limit(max_languages + 1).collect()
     if len(found) > max_languages:
         raise ValueError(f"more than {max_languages} labels: not languages")
@@ -164,7 +164,7 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], keep: list[str |
 
     schema = StructType([*kept.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
     rows = kept if inside else docs.select(*keep, F.col(text_col).cast("string").alias("_text_of_row"))
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(trimmed(run), schema)
 
 
 def held_out(id_col: str, parts: int = 3, part: int = 1) -> Column:

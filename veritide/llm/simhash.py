@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veritide.llm.shared import columns, components, cut, sieve, sifted, unused
+from veritide.llm.shared import columns, components, cut, sieve, sifted, trimmed, unused
 
 SEED, BLOCK = 42, 1 << 16
 #: Bits of a segment: coarse first, finer ones for grid points that are full. At 1 the bound is the distance itself.
@@ -72,7 +72,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text
             yield pa.RecordBatch.from_arrays([batch.column(0), fps], ["id", "fp"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"))
-    return rows.mapInArrow(run, "id long, fp long")
+    return rows.mapInArrow(trimmed(run), "id long, fp long")
 
 
 def grid_points(fp: Column, width: int) -> Column:
@@ -166,7 +166,7 @@ def sketches(docs: DataFrame, shingle: int, id_col: str, text_col: str) -> tuple
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(cols[0], pa.binary()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.list_(pa.int64()))], ["id", "words", "fp", "bands"])
 
     rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"))
-    own = cut(rows.mapInArrow(run, "id long, words binary, fp long, bands array<long>"), "sketches")
+    own = cut(rows.mapInArrow(trimmed(run), "id long, words binary, fp long, bands array<long>"), "sketches")
     mixed = cut(own.select("id", F.xxhash64("words").alias("w")).groupBy("id").agg(F.min("w").alias("lo"), F.max("w").alias("hi")).where("lo < hi").select("id"), "mixed")
     if mixed.isEmpty():
         return own.withColumnRenamed("id", "node"), None
@@ -231,7 +231,7 @@ def _unlike_links(docs: DataFrame, shingle: int, similarity: float, max_distance
 
     used = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     near_rows = sifted(rows, "id", sieve(used, "id"), held=True).join(used, "id", "left_semi")
-    held = cut(near_rows.mapInArrow(sets, "id long, set array<long>"), "sets")
+    held = cut(near_rows.mapInArrow(trimmed(sets), "id long, set array<long>"), "sets")
     scored = cut(_similar(pairs, held, similarity), "scored")
     found = scored.where("ok").select("a", "b")
     for last in (False, True):
