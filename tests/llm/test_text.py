@@ -421,3 +421,37 @@ def test_method_finds_what_base_rules_miss(spark):
     hit = [bool(pii.find(f"lorem {f()} ipsum", trees, thresholds)[1]) for f in good * 60]
     false = [bool(pii.find(f"lorem {f()} ipsum", trees, thresholds)[1]) for f in bad * 60]
     assert sum(hit) / len(hit) > 0.9 and sum(hit) / (sum(hit) + sum(false)) > 0.9
+
+
+def test_trees_and_thresholds_take_all_candidates(spark):
+    """Beyond any number of documents every candidate counts, whatever the partitions: in the prior, in the first split's sums and in the thresholds."""
+    rng = random.Random(8)
+    number = lambda k: "".join(rng.choices("123456789", k=k))
+    texts = [(i, rng.choice((f"u{i}@mail.example", f"+1 (974) 555-{number(4)}", f"order {number(8)} of {number(5)}", f"10.0.{i % 300}.{i % 400}", f"key = '{number(24)}'")) + " or so") for i in range(9000)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    trees, thresholds = pii.train(docs, rounds=2)
+    again = pii.train(docs.repartition(7), rounds=2)
+    assert (trees.prior, thresholds) == (again[0].prior, again[1]) and [s for s, _ in trees.trees] == [s for s, _ in again[0].trees]
+    seen, held = [], []
+    for i, text in texts:
+        key = int(hashlib.md5(f"1:{i}:{zlib.crc32(text.encode())}".encode()).hexdigest()[:15], 16)
+        for k, row in enumerate(pii.examples(text)):
+            (held if int(hashlib.md5(f"{key}:{k}".encode()).hexdigest()[:8], 16) % 3 == 0 else seen).append(row)
+    share = sum(y for y, _ in seen) / len(seen)
+    assert len(seen) > 9000 and trees.prior == pytest.approx(math.log(share / (1 - share)), rel=1e-12)
+    splits, values = trees.trees[0]
+    x, y = np.array([r for _, r in seen]), np.array([v for v, _ in seen])
+    leaf = np.zeros(len(y), int)
+    for level in range(3):
+        beyond = [(leaf == n) & (x[:, s[0]] > s[1]) for n in range(2**level) if (s := splits[2**level - 1 + n])]
+        leaf = 2 * leaf + sum(beyond, np.zeros(len(y), bool))
+    sums = np.array([[(y - share)[leaf == n].sum(), share * (1 - share) * (leaf == n).sum()] for n in range(8)])
+    assert values == pytest.approx(0.3 * sums[:, 0] / (sums[:, 1] + 1), abs=1e-6)
+    p = trees.predict(np.array([r for _, r in held]))
+    for j, kind in enumerate(pii.KINDS):
+        own = sorted((-a, yy) for a, (yy, r) in zip(p, held, strict=True) if r[j])
+        good = [-a for k, (a, _) in enumerate(own) if (k + 1 == len(own) or own[k + 1][0] != a) and (hit := sum(v for _, v in own[: k + 1])) >= 20 and hit >= 0.97 * (k + 1)]
+        if good:
+            assert 0 <= good[-1] - thresholds[kind] < 0.01, kind
+        else:
+            assert thresholds[kind] == 2.0

@@ -6,12 +6,12 @@ its format (lengths, shares of digits and letters, groups, check digits, octets,
 (words that tell of a kind, digits and signs within AROUND code points on its line); a candidate is redacted if its score passes its kind's threshold and it
 overlaps no base span and no candidate with a better score.
 
-Training takes documents until `sample_docs` are expected (a seeded hash of the id below a bound) and
-at most `sample_rows` of their candidates. Positive are base spans, also rewritten into the formats that
+Training takes the candidates of all documents. Positive are base spans, also rewritten into the formats that
 base rules miss, and tokens that are assigned to a name such as `token` or `key`; negative are other
-candidates and base spans with a broken check. Thresholds are calibrated on a third of the rows,
-which the trees don't see: the least score from which `precision` is reached; a kind without
-`least` positives there gets no candidate accepted.
+candidates and base spans with a broken check. The trees learn from two thirds of them: tasks add up gradients by
+node, feature and bin, and a level is grown from the sums, which are whole numbers and so don't depend on partitions. Bins come from
+counts of all values. Thresholds come from the other third, which the trees don't see: of all its rows,
+counted by score, the least score from which `precision` is reached; a kind without `least` positives there gets no candidate accepted.
 
 Spans are (kind, start, end) in code points, end exclusive. Defined results: a null text counts as
 empty. Empty tables and tables without candidates train no trees, and base spans alone remain.
@@ -24,14 +24,16 @@ import hashlib
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veritide.llm.ranks import HASH_BITS, seeded
+from veritide.llm.ranks import seeded
+from veritide.llm.shared import cut, forget, trimmed
 
 BASE_KINDS, SECRET = ("email", "ip", "card", "phone"), "secret"
 KINDS = (*BASE_KINDS, SECRET)
@@ -157,113 +159,219 @@ def _variants(kind: str, s: str) -> list[tuple[str, int]]:
     return []
 
 
-def examples(text: str) -> list[tuple[int, list[float]]]:
+def each_example(text: str) -> Iterator[tuple[int, list[float]]]:
     """(label, features) of the candidates of a text, as weak rules see them."""
-    base, out = base_spans(text), []
+    base = base_spans(text)
     for kind, start, end in base:
-        out.append((1, describe(text, kind, start, end)))
+        yield 1, describe(text, kind, start, end)
         for variant, label in _variants(kind, text[start:end]):
             at = min(AROUND, start)
             other = text[start - at : start] + variant + text[end : end + AROUND]
-            out.append((label, describe(other, kind, at, at + len(variant))))
+            yield label, describe(other, kind, at, at + len(variant))
     covered = Taken(len(text), base)
     for c in candidates(text):
         if c not in covered:
-            out.append((int(c[0] == SECRET and bool(NAMES.search(text[max(0, c[1] - 24) : c[1]]))), describe(text, *c)))
-    return out
+            yield int(c[0] == SECRET and bool(NAMES.search(text[max(0, c[1] - 24) : c[1]]))), describe(text, *c)
+
+
+def examples(text: str) -> list[tuple[int, list[float]]]:
+    return list(each_example(text))
+
+
+#: Trees see a feature in steps of 1 / STEPS, rounded up, at most MOST of them, in at most BINS bins; sums count in units of 1 / UNIT.
+STEPS, MOST, BINS, UNIT = 256, 65_535, 32, 1 << 30
+#: Levels of a unit of log odds in which scores are counted for the thresholds.
+LEVELS = 256
+#: Rows of a partition that trees learn from.
+PART = 100_000
+#: A split sends rows beyond its value right: feature, value, bin.
+Split = tuple[int, float, int]
+
+
+def _descend(n: int, splits: dict[int, Split | None], depth: int, beyond: Callable[[Split], np.ndarray]) -> np.ndarray:
+    """The node of each of n rows at a depth, numbered from the left."""
+    node = np.zeros(n, np.int16)
+    for level in range(depth):
+        new = 2 * node
+        for i in range(2**level):
+            if split := splits[2**level - 1 + i]:
+                new += (node == i) & beyond(split)
+        node = new
+    return node
+
+
+def _share(log_odds: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-log_odds))
 
 
 class Trees:
     """Gradient-boosted regression trees on the logistic loss, grown level by level over binned features."""
 
-    def __init__(self, rounds: int = 40, depth: int = 3, rate: float = 0.3, bins: int = 32, least: float = 2.0) -> None:
-        self.rounds, self.depth, self.rate, self.bins, self.least = rounds, depth, rate, bins, least
-        self.prior, self.trees = 0.0, []
-
-    def fit(self, x: np.ndarray, y: np.ndarray) -> Trees:
-        share = min(max(y.mean(), 1e-3), 1 - 1e-3)
-        self.prior = math.log(share / (1 - share))
-        edges = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, self.bins + 1)[1:-1])) for j in range(x.shape[1])]
-        binned = np.stack([np.searchsorted(e, x[:, j], side="left") for j, e in enumerate(edges)], axis=1)
-        score = np.full(len(y), self.prior)
-        for _ in range(self.rounds):
-            p = 1 / (1 + np.exp(-score))
-            grad, hess = y - p, p * (1 - p)
-            node, splits = np.zeros(len(y), int), {}
-            for level in range(self.depth):
-                for n in range(2**level - 1, 2 ** (level + 1) - 1):
-                    own = node == n
-                    best = (1e-6, 0, 0.0)
-                    for j, e in enumerate(edges):
-                        if len(e) and own.any():
-                            g = np.bincount(binned[own, j], grad[own], len(e) + 1).cumsum()
-                            h = np.bincount(binned[own, j], hess[own], len(e) + 1).cumsum()
-                            gain = g[:-1] ** 2 / (h[:-1] + 1) + (g[-1] - g[:-1]) ** 2 / (h[-1] - h[:-1] + 1) - g[-1] ** 2 / (h[-1] + 1)
-                            gain[(h[:-1] < self.least) | (h[-1] - h[:-1] < self.least)] = 0
-                            k = int(gain.argmax())
-                            if gain[k] > best[0]:
-                                best = (float(gain[k]), j, float(e[k]))
-                    splits[n] = best[1:] if best[0] > 1e-6 else None
-                    right = own & (x[:, best[1]] > best[2]) if splits[n] else np.zeros(len(y), bool)
-                    node[own] = 2 * n + 1
-                    node[right] = 2 * n + 2
-            leaf = node - (2**self.depth - 1)
-            g, h = np.bincount(leaf, grad, 2**self.depth), np.bincount(leaf, hess, 2**self.depth)
-            values = self.rate * g / (h + 1)
-            self.trees.append((splits, values))
-            score += values[leaf]
-        return self
+    def __init__(self, prior: float, depth: int = 3) -> None:
+        self.prior, self.depth, self.trees = prior, depth, []
 
-    def predict(self, x: np.ndarray) -> np.ndarray:
-        score = np.full(len(x), self.prior)
+    def _log_odds(self, n: int, beyond: Callable[[Split], np.ndarray]) -> np.ndarray:
+        score = np.full(n, self.prior)
         for splits, values in self.trees:
-            node = np.zeros(len(x), int)
-            for level in range(self.depth):
-                new = 2 * node + 1
-                for n in range(2**level - 1, 2 ** (level + 1) - 1):
-                    if splits[n]:
-                        new += (node == n) & (x[:, splits[n][0]] > splits[n][1])
-                node = new
-            score += values[node - (2**self.depth - 1)]
-        return 1 / (1 + np.exp(-score))
-
-
-def calibrate(kinds: np.ndarray, y: np.ndarray, p: np.ndarray, precision: float, least: int) -> dict[str, float]:
-    """The least score of each kind from which the precision of all better scores is reached; 2 if there is none."""
-    out = {}
-    for k, name in enumerate(KINDS):
-        own = kinds == k
-        order = np.argsort(-p[own], kind="stable")
-        hit, score = y[own][order].cumsum(), p[own][order]
-        ends = np.concatenate((score[1:] != score[:-1], [True])) if len(score) else np.zeros(0, bool)
-        good = np.flatnonzero(ends & (hit >= least) & (hit >= precision * np.arange(1, len(score) + 1)))
-        out[name] = float(score[good[-1]]) if len(good) else 2.0
+            score += values[_descend(n, splits, self.depth, beyond)]
+        return score
+
+    def predict(self, x: np.ndarray) -> np.ndarray:
+        return _share(self._log_odds(len(x), lambda s: x[:, s[0]] > s[1]))
+
+    def log_odds(self, codes: np.ndarray) -> np.ndarray:
+        """codes: bins, a row for each feature."""
+        return self._log_odds(codes.shape[1], lambda s: codes[s[0]] > s[2])
+
+
+def _packed(x: np.ndarray) -> pa.Array:
+    """Rows of a matrix as binary values of one length."""
+    x, width = np.ascontiguousarray(x), x.shape[1] * x.dtype.itemsize
+    return pa.Array.from_buffers(pa.binary(), len(x), [None, pa.py_buffer(np.arange(len(x) + 1, dtype=np.int32) * np.int32(width)), pa.py_buffer(x)])
+
+
+def _unpacked(column: pa.Array, dtype: type) -> np.ndarray:
+    """What _packed() took, with a row for each feature."""
+    if not len(column):
+        return np.zeros((0, 0), dtype)
+    column = column.cast(pa.binary())
+    first = int(np.frombuffer(column.buffers()[1], np.int32)[column.offset])
+    width = len(column[0].as_py()) // np.dtype(dtype).itemsize
+    return np.ascontiguousarray(np.frombuffer(column.buffers()[2], dtype, len(column) * width, first).reshape(len(column), width).T)
+
+
+def _example_rows(docs: DataFrame, seed: int, id_col: str, text_col: str) -> DataFrame:
+    """(fold, label, x): a row for each example of all documents; the trees don't see fold true."""
+    key = seeded(seed, id_col, F.crc32(F.coalesce(F.col(text_col), F.lit("")).cast("binary")))
+    hinted = docs.where(F.col(text_col).rlike(HINT.pattern)).select(F.col(text_col).alias("text"), key.alias("key"))  # no other text has an example
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts = ((t.as_py(), k.as_py()) for batch in batches for t, k in zip(batch.column(0), batch.column(1), strict=True))
+        rows = ((int(hashlib.md5(f"{k}:{i}".encode()).hexdigest()[:8], 16) % 3 == 0, label, x) for t, k in texts for i, (label, x) in enumerate(each_example(t)))
+        while part := list(islice(rows, GROUP)):
+            folds, labels, x = zip(*part, strict=True)
+            steps = np.minimum(np.ceil(np.array(x) * STEPS), MOST).astype(np.uint16)
+            yield pa.RecordBatch.from_arrays([pa.array(folds, pa.bool_()), pa.array(labels, pa.int64()), _packed(steps)], ["fold", "label", "x"])
+
+    return hinted.mapInArrow(trimmed(run), "fold boolean, label long, x binary")
+
+
+def _edges(rows: DataFrame) -> list[np.ndarray]:
+    """Bounds of each feature's bins, in steps: all its values but the last if these are few, else quantiles."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for j, values in enumerate(_unpacked(batch.column(0), np.uint16)):
+                found, n = np.unique(values, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), j), pa.int64()), pa.array(found.astype(np.int64)), pa.array(n.astype(np.int64))], ["feature", "step", "n"])
+
+    counted = rows.select("x").mapInArrow(run, "feature long, step long, n long").groupBy("feature", "step").agg(F.sum("n").alias("n")).toArrow()
+    feature, step, n = (counted[c].to_numpy() for c in ("feature", "step", "n"))
+    out = []
+    for j in range(int(feature.max()) + 1):
+        order = np.argsort(step[feature == j])
+        values, upto = step[feature == j][order], n[feature == j][order].cumsum()
+        few = len(values) <= BINS
+        out.append(values[:-1] if few else np.setdiff1d(values[np.searchsorted(upto * BINS, upto[-1] * np.arange(1, BINS))], values[-1:]))
     return out
 
 
-def train(docs: DataFrame, sample_docs: int = 4000, sample_rows: int = 20_000, precision: float = 0.97, least: int = 20, seed: int = 1, id_col: str = "doc_id", text_col: str = "text") -> tuple[Trees | None, dict[str, float]]:
-    """Trees and thresholds from a bounded sample of docs."""
-    h = seeded(seed, id_col, F.crc32(F.coalesce(F.col(text_col), F.lit("")).cast("binary")))
-    hinted = docs.where(F.col(text_col).rlike("[0-9@]")).select(F.col(text_col).alias("text"), h.alias("h"))
-    share = min(1.0, sample_docs / max(1, hinted.count()))
+def _binned(rows: DataFrame, edges: list[np.ndarray]) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                codes = np.stack([np.searchsorted(e, v).astype(np.uint8) for e, v in zip(edges, _unpacked(batch.column(2), np.uint16), strict=True)], axis=1)
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), _packed(codes)], ["fold", "label", "x"])
+
+    return rows.mapInArrow(run, "fold boolean, label long, x binary")
+
+
+def _sums(rows: DataFrame, trees: Trees, splits: dict[int, Split | None], level: int, features: int) -> np.ndarray:
+    """Gradients and second derivatives of all rows by node of the level, feature and bin, in whole units."""
+    shape = (2, 2**level, features, BINS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros(shape, np.int64)
         for batch in batches:
-            rows = [(hashlib.md5(f"{key}:{i}".encode()).hexdigest(), label, x) for t, key in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for i, (label, x) in enumerate(examples(t))]
-            cols = list(zip(*rows, strict=True)) or [(), (), ()]
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.list_(pa.float64()))], ["h", "label", "x"])
-
-    sample = hinted.where(F.col("h") < int(share * 2**HASH_BITS)) if share < 1 else hinted
-    found = sample.mapInArrow(run, "h string, label long, x array<double>").orderBy("h", "label").limit(sample_rows).toArrow()
-    y, x = np.array(found["label"].to_pylist(), float), np.array(found["x"].to_pylist(), float)
-    if not len(y) or y.min() == y.max():
-        return None, {}
-    fold = np.array([int(k[:8], 16) % 3 == 0 for k in found["h"].to_pylist()])
-    if fold.all() or not fold.any():
+            if not batch.num_rows:
+                continue
+            codes = _unpacked(batch.column(1), np.uint8)
+            p = _share(trees.log_odds(codes))
+            parts = np.rint((p - batch.column(0).to_numpy()) * UNIT), np.rint(p * (1 - p) * UNIT)
+            at = _descend(len(p), splits, level, lambda s: codes[s[0]] > s[2]) * BINS
+            for j, own in enumerate(codes):
+                for k, part in enumerate(parts):
+                    sums[k, :, j] += np.bincount(at + own, part, 2**level * BINS).astype(np.int64).reshape(-1, BINS)
+        g, h = sums.reshape(2, -1)
+        held = np.flatnonzero((g != 0) | (h != 0))
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in (held, g[held], h[held])], ["cell", "g", "h"])
+
+    found = rows.select("label", "x").mapInArrow(run, "cell long, g long, h long").groupBy("cell").agg(F.sum("g").alias("g"), F.sum("h").alias("h")).toArrow()
+    out = np.zeros((2, math.prod(shape[1:])))
+    out[:, found["cell"].to_numpy()] = found["g"].to_numpy() / UNIT, found["h"].to_numpy() / UNIT
+    return out.reshape(shape)
+
+
+def boost(rows: DataFrame, edges: list[np.ndarray], share: float, rounds: int = 40, depth: int = 3, rate: float = 0.3, least: float = 2.0) -> Trees:
+    """Trees from all rows (label, x: bins); share: of them, with label 1."""
+    share = min(max(share, 1e-3), 1 - 1e-3)
+    trees = Trees(math.log(share / (1 - share)), depth)
+    for _ in range(rounds):
+        splits, values = {}, []
+        for level in range(depth):
+            for i, (g, h) in enumerate(_sums(rows, trees, splits, level, len(edges)).cumsum(axis=3).swapaxes(0, 1)):
+                gain = g[:, :-1] ** 2 / (h[:, :-1] + 1) + (g[:, -1:] - g[:, :-1]) ** 2 / (h[:, -1:] - h[:, :-1] + 1) - g[:, -1:] ** 2 / (h[:, -1:] + 1)
+                gain[(h[:, :-1] < least) | (h[:, -1:] - h[:, :-1] < least)] = 0
+                j, k = np.unravel_index(gain.argmax(), gain.shape)
+                found = gain[j, k] > 1e-6
+                splits[2**level - 1 + i] = (int(j), float(edges[j][k]) / STEPS, int(k)) if found else None
+                if level == depth - 1:
+                    left = (g[j, k], h[j, k]) if found else (g[0, -1], h[0, -1])
+                    values += [rate * -left[0] / (left[1] + 1), rate * -(g[0, -1] - left[0]) / (h[0, -1] - left[1] + 1)]
+        trees.trees.append((splits, np.array(values)))
+    return trees
+
+
+def calibrate(rows: DataFrame, trees: Trees, precision: float, least: int) -> dict[str, float]:
+    """The least score of each kind, at a level, from which the precision of all better scores of rows is reached; 2 if there is none."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                codes = _unpacked(batch.column(1), np.uint8)
+                kind = codes[: len(KINDS)].argmax(axis=0)
+                level = np.floor(trees.log_odds(codes) * LEVELS).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(kind), pa.array(level), batch.column(0)], ["kind", "level", "label"])
+
+    found = rows.select("label", "x").mapInArrow(run, "kind long, level long, label long").groupBy("kind", "level").agg(F.sum("label").alias("hits"), F.count("*").alias("n")).toArrow()
+    kind, level, hits, n = (found[c].to_numpy() for c in ("kind", "level", "hits", "n"))
+    out = {}
+    for k, name in enumerate(KINDS):
+        own = np.flatnonzero(kind == k)
+        own = own[np.argsort(-level[own])]
+        hit, all_ = hits[own].cumsum(), n[own].cumsum()
+        good = np.flatnonzero((hit >= least) & (hit >= precision * all_))
+        out[name] = float(_share(level[own[good[-1]]] / LEVELS)) if len(good) else 2.0
+    return out
+
+
+def train(docs: DataFrame, precision: float = 0.97, least: int = 20, seed: int = 1, rounds: int = 40, id_col: str = "doc_id", text_col: str = "text") -> tuple[Trees | None, dict[str, float]]:
+    """Trees and thresholds from all docs."""
+    rows = cut(_example_rows(docs, seed, id_col, text_col), "pii-examples")
+    counts = {r["fold"]: (r["n"], r["hits"]) for r in rows.groupBy("fold").agg(F.count("*").alias("n"), F.sum("label").alias("hits")).collect()}
+    n, hits = (sum(c[i] for c in counts.values()) for i in (0, 1))
+    if len(counts) < 2 or hits in (0, n):
+        forget(rows)
         return None, {}
-    trees = Trees().fit(x[~fold], y[~fold])
-    kinds = x[:, : len(KINDS)].argmax(axis=1)
-    return trees, calibrate(kinds[fold], y[fold], trees.predict(x[fold]), precision, least)
+    edges = _edges(rows.where("not fold"))
+    binned = _binned(rows, edges)
+    seen, held = (cut(binned.where(F.col("fold") == f).coalesce(-(-counts[f][0] // PART)), "pii-bins") for f in (False, True))
+    forget(rows)
+    trees = boost(seen, edges, counts[False][1] / counts[False][0], rounds)
+    thresholds = calibrate(held, trees, precision, least)
+    forget(seen)
+    forget(held)
+    return trees, thresholds
 
 
 def find(text: str, trees: Trees | None, thresholds: dict[str, float]) -> tuple[list, list]:
