@@ -47,7 +47,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veritide.llm.shared import shared_path
+from veritide.llm.shared import shared_path, trimmed
 
 #: Bytes of text for each shard; tokens that are added up together; words that a task counts before it tells them.
 SHARD_BYTES, BUFFER, REMEMBERED = 8 << 20, 1 << 20, 200_000
@@ -57,6 +57,8 @@ SPLIT, FREQUENT = 1 << 18, 1 << 20
 BUCKET = 16
 #: Stored shards of which a worker holds a map, and shards of SHARD_BYTES before they grow along with the texts.
 MAPS, EVEN = 4096, 4096
+#: Rows that are hashed or dealt together, so that what this needs besides its result is small.
+PIECE = 1 << 16
 END = b"\n"  # never part of a word
 LOW = np.uint64(0xFFFFFFFF)
 SHUFFLED = "shard int, level int, data binary"
@@ -79,6 +81,16 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
+def by_piece(f, cols: list[np.ndarray]) -> np.ndarray:
+    """f of columns, a piece of these after the other."""
+    return np.concatenate([f([c[i : i + PIECE] for c in cols]) for i in range(0, max(1, len(cols[0])), PIECE)])
+
+
+def narrow(x: np.ndarray) -> np.ndarray:
+    """The same whole numbers from 0 on, in 32 bits where they fit."""
+    return x.astype(np.uint32) if x.max(initial=0) <= LOW else x.astype(np.uint64)
+
+
 def hashed(cols: list[np.ndarray]) -> np.ndarray:
     """A 64-bit hash of the id tuples in columns."""
     h = np.full(len(cols[0]), len(cols), np.uint64)
@@ -97,8 +109,8 @@ def runs(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def numbered(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The rank of each key among the distinct ones, and a place of each of these."""
     order, first = runs(key)
-    rank = np.empty(len(key), np.int64)
-    rank[order] = np.repeat(np.arange(len(first)), np.diff(first, append=len(key)))
+    rank = np.empty(len(key), np.min_scalar_type(len(key)))
+    rank[order] = np.repeat(np.arange(len(first), dtype=rank.dtype), np.diff(first, append=len(key)))
     return rank, order[first]
 
 
@@ -108,7 +120,7 @@ def coded(values: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     key = reduce(np.bitwise_or, (v.astype(np.int64) << 3 * i for i, v in enumerate(values)))
     rest = np.flatnonzero(~small)
     if len(rest):
-        key[rest] = 8 ** len(values) + numbered(hashed([v[rest].astype(np.uint64) for v in values]))[0]
+        key[rest] = 8 ** len(values) + numbered(hashed([v[rest].astype(np.uint64) for v in values]))[0].astype(np.int64)
     code = (np.cumsum(np.bincount(key) > 0) - 1)[key] if len(key) else key
     first = np.zeros(int(code.max(initial=-1)) + 1, np.int64)
     first[code] = np.arange(len(code))
@@ -148,19 +160,19 @@ def packed(cols: list[np.ndarray], values: list[np.ndarray] = ()) -> bytes:
 
 
 def unpacked(data: bytes) -> list[np.ndarray]:
-    """The columns and then the values of packed()."""
+    """The columns and then the values of packed(), but the first in 32 bits where they fit."""
     raw = np.frombuffer(pa.decompress(data[8:], int.from_bytes(data[:8], "little"), "zstd", asbytes=True), np.uint8)
     n, distinct, width_of_table = (int(x) for x in raw[:24].view("<u8"))
     at = 24 + 8 * distinct * width_of_table
     table, cols = raw[24:at].view("<u8").reshape(width_of_table, distinct), []
     while at < len(raw):
         width = int(raw[at])
-        planes = np.zeros((8, n), np.uint8)
+        planes = np.zeros((4 if width <= 4 else 8, n), np.uint8)
         planes[:width] = raw[at + 1 : at + 1 + width * n].reshape(width, n)
-        cols.append(np.ascontiguousarray(planes.T).view("<u8").ravel())
+        cols.append(np.ascontiguousarray(planes.T).view(f"<u{len(planes)}").ravel())
         at += 1 + width * n
     cols[0] = np.cumsum(cols[0], dtype=np.uint64)
-    return cols if not width_of_table else [*cols[:-1], *(t[cols[-1].astype(np.int64)] for t in table)]
+    return cols if not width_of_table else [*cols[:-1], *(narrow(t)[cols[-1]] for t in table)]
 
 
 def dealt(shard: np.ndarray, cols: list[np.ndarray], values: list[np.ndarray], level: int, most: int) -> Iterator[pa.RecordBatch]:
@@ -254,14 +266,13 @@ class Shard:
         low = ((hashes << np.uint64(self.bits)) >> np.uint64(32)).astype(np.uint32)
         bucket = (hashes >> np.uint64(64 - self.bits)).astype(np.int64) if self.bits else np.zeros(len(hashes), np.int64)
         at, end = self.starts[bucket].astype(np.int64), self.starts[bucket + 1].astype(np.int64)
-        stop, last = end.copy(), len(self.low) - 1
-        for _ in range(self.steps):
-            middle = (at + stop) >> 1
-            less = (self.low[np.minimum(middle, last)] < low) & (at < stop)
-            at, stop = np.where(less, middle + 1, at), np.where(less, stop, middle)
-        place = np.minimum(at, last)
-        hit = (at < end) & (self.low[place] == low)
-        return self.rows[np.where(hit, self.codes[place], len(self.rows) - 1)]
+        for step in reversed(range(self.steps)):  # all before `at` are less
+            last = at + ((1 << step) - 1)
+            less = self.low.take(last, mode="clip") < low
+            less &= last < end
+            at += less.astype(np.int64) << step
+        hit = (at < end) & (self.low.take(at, mode="clip") == low)
+        return self.rows.take(np.where(hit, self.codes.take(at, mode="clip"), len(self.rows) - 1), axis=0)
 
 
 def power(counts: np.ndarray) -> np.ndarray:
@@ -343,7 +354,7 @@ class Dealing:
         split = np.flatnonzero(pieces > 1)
         if len(split):
             h[split] = mixed(h[split] + mixed(cols[-1][split] + np.uint64(7)) % pieces[split].astype(np.uint64))
-        return (h % np.uint64(self.shards)).astype(np.int64)
+        return (h % np.uint64(self.shards)).astype(np.int32)
 
 
 @dataclass
@@ -396,7 +407,7 @@ def _count_words(shards: int):
 
 
 def _gathered(batches: Iterator[pa.RecordBatch]) -> tuple[int | None, list[np.ndarray], list[bytes]]:
-    """The shard of a partition, the columns of its rows, and what tasks before have told."""
+    """The shard of a partition, the columns of its rows, and what tasks before have told. Each column is put together and its runs are freed before the next."""
     shard, runs, told = None, [], []
     for batch in batches:
         for s, level, data in zip(*(batch.column(i) for i in range(3)), strict=True):
@@ -405,7 +416,9 @@ def _gathered(batches: Iterator[pa.RecordBatch]) -> tuple[int | None, list[np.nd
             else:
                 shard = s.as_py()
                 runs.append(unpacked(data.as_py()))
-    return shard, [np.concatenate(c) for c in zip(*runs, strict=True)], told
+    for r in runs:
+        r.reverse()
+    return shard, [np.concatenate([r.pop() for r in runs]) for _ in range(len(runs[0]) if runs else 0)], told
 
 
 def _write_words(folder: str, split: int):
@@ -463,12 +476,12 @@ def _count_grams(folder: str, order: int, size: int, dealing: Dealing):
 
 def _deal_grams(cols: list[np.ndarray], values: list[np.ndarray], dealing: Dealing) -> Iterator[pa.RecordBatch]:
     """Sorted n-grams with their values, as rows of SHUFFLED. Columns of a row: two first ids together, further ids, values."""
-    key = cols[0].astype(np.uint64) << np.uint64(32) | cols[1] if len(cols) > 1 else cols[0]
-    shard = dealing.shard(cols) if len(cols) > 1 else (mixed(cols[0] >> np.uint64(12)) % np.uint64(dealing.shards)).astype(np.int64)
+    key = cols[0].astype(np.uint64) << np.uint64(32) | cols[1] if len(cols) > 1 else cols[0].astype(np.uint64)
+    shard = by_piece(dealing.shard, cols) if len(cols) > 1 else (mixed(key >> np.uint64(12)) % np.uint64(dealing.shards)).astype(np.int32)
     yield from dealt(shard, [key, *cols[2:]], values, len(cols), BUFFER)
 
 
-def _write_grams(folder: str, level: int, highest: bool, dealing: Dealing):
+def _write_grams(folder: str, level: int, dealing: Dealing):
     """A task that sums and writes a shard of the n-grams of a level, and tells the level below and the counts of counts.
 
     Values of a row: the count of an n-gram and, but for the highest level, what stands of it as a
@@ -481,37 +494,42 @@ def _write_grams(folder: str, level: int, highest: bool, dealing: Dealing):
             yield _rows([s], k, [data])
         if shard is None:
             return
-        ids = [cols[0] >> np.uint64(32), cols[0] & LOW, *cols[1 : level - 1]] if level > 1 else [cols[0]]
-        values = cols[max(1, level - 1) :]
+        key = cols.pop(0)
+        ids = [(key >> np.uint64(32)).astype(np.uint32), (key & LOW).astype(np.uint32), *cols[: level - 2]] if level > 1 else [key.astype(np.uint32)]
+        values = cols[max(0, level - 2) :]
+        del key, cols  # here and below: what isn't needed is freed, as a shard is held once for each core of a host
         by, first = grouped(ids)
-        ids, values = [c[by[first]] for c in ids], [np.add.reduceat(v[by].astype(np.int64), first) for v in values]
-        Shard.write(f"{folder}/grams{level}-{shard}", hashed(ids), values)
+        for c, own in enumerate(values):
+            values[c] = narrow(np.add.reduceat(own[by], first, dtype=np.int64))
+        by = by[first]
+        for c, own in enumerate(ids):
+            ids[c] = own[by]
+        del by, first, own
+        Shard.write(f"{folder}/grams{level}-{shard}", by_piece(hashed, ids), values)
         n = values[0]
-        counts = np.array([*((n == c).sum() for c in (1, 2, 3, 4)), (n > 2).sum(), n.sum(), len(n)], np.int64)
-        yield _rows([shard], -level, [counts.tobytes()])
+        counts = [*((n == c).sum() for c in (1, 2, 3, 4)), (n > 2).sum(), n.sum(), len(n)]
+        yield _rows([shard], -level, [",".join(map(str, map(int, counts))).encode()])
         if level == 1:
             return
-        seen = n > 0
-        suffix, one = [c[seen] for c in ids[1:]], np.ones(int(seen.sum()), np.int64)
-        none = np.zeros_like(one)
-        begin = np.flatnonzero(np.concatenate(([True], np.any([c[1:] != c[:-1] for c in ids[:-1]], axis=0))))
-        context = [c[begin] for c in ids[:-1]]
-        ahead = [np.add.reduceat(x.astype(np.int64), begin) for x in (n, n == 1, n == 2, n > 2)]
-        below = [np.concatenate(c) for c in zip(suffix, context, strict=True)]
-        more = [np.concatenate((one, np.zeros(len(begin), np.int64))), *(np.concatenate((none, a)) for a in ahead)]
+        kind, seen = np.uint64 if n.sum() > LOW else np.uint32, np.flatnonzero(n > 0)
+        begin = np.flatnonzero(np.concatenate(([True], reduce(np.logical_or, (c[1:] != c[:-1] for c in ids[:-1])))))
+        ahead = [np.add.reduceat(x, begin, dtype=kind) for x in (n, n == 1, n == 2, n > 2)]
+        below = [np.concatenate((suffix[seen], context[begin])) for suffix, context in zip(ids[1:], ids[:-1], strict=True)]
+        one, none = np.ones(len(seen), kind), np.zeros(len(seen), kind)
+        more = [np.concatenate((one, np.zeros(len(begin), kind))), *(np.concatenate((none, a)) for a in ahead)]
+        del ids, values, n, seen, begin, ahead, one, none
         by, first = grouped(below)
-        yield from _deal_grams([c[by[first]] for c in below], [np.add.reduceat(v[by], first).astype(np.uint64) for v in more], dealing)
+        for c, own in enumerate(more):
+            more[c] = np.add.reduceat(own[by], first, dtype=kind)
+        by = by[first]
+        for c, own in enumerate(below):
+            below[c] = own[by]
+        del by, first, own
+        yield from _deal_grams(below, more, dealing)
 
     return run
 
 
-def _told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of counts of counts, from what all levels told."""
-    for batch in batches:
-        rows = np.array([np.frombuffer(x.as_py(), np.int64) for x in batch.column(2)], np.int64).reshape(-1, 7)
-        yield pa.RecordBatch.from_arrays([batch.column(1), *(pa.array(rows[:, i]) for i in range(7))], ["level", *"abcdefg"])
-
-
 def shards_for(size: int) -> float:
     """How many shards texts of so many bytes need: one for SHARD_BYTES up to EVEN shards, from there on shards grow along with their number."""
     n = size / SHARD_BYTES
@@ -530,8 +548,8 @@ def train(spark: SparkSession, docs: DataFrame, order: int = 3, text_col: str =
     deal = lambda df: df.repartitionById(shards, F.col("shard"))
 
     split = max(SPLIT, size // FREQUENT)  # at most FREQUENT words stand as often
-    counted = deal(rows.mapInArrow(_count_words(shards), SHUFFLED))
-    stored = counted.mapInArrow(_write_words(folder, split), "shard int, kind int, n long, rank long").toArrow()
+    counted = deal(rows.mapInArrow(trimmed(_count_words(shards)), SHUFFLED))
+    stored = counted.mapInArrow(trimmed(_write_words(folder, split)), "shard int, kind int, n long, rank long").toArrow()
     shard, kind, n, rank = (stored[c].to_numpy() for c in ("shard", "kind", "n", "rank"))
     sizes, by_power, often, total = np.zeros((shards, 64), np.int64), (kind < 0) & (kind > -100), kind >= 0, int(n[kind == -100].sum())
     sizes[shard[by_power], -1 - kind[by_power]] = n[by_power]
@@ -547,10 +565,11 @@ def train(spark: SparkSession, docs: DataFrame, order: int = 3, text_col: str =
     by_id = np.argsort(ids)
     dealing = Dealing(shards, ids[by_id].astype(np.uint64), counts[by_id])
 
-    grams = rows.mapInArrow(_count_grams(folder, order, size_of_all, dealing), SHUFFLED)
+    grams = rows.mapInArrow(trimmed(_count_grams(folder, order, size_of_all, dealing)), SHUFFLED)
     for level in range(order, 0, -1):
-        grams = deal(grams).mapInArrow(_write_grams(folder, level, level == order, dealing), SHUFFLED)
-    sums = grams.mapInArrow(_told, "level int, a long, b long, c long, d long, e long, f long, g long").groupBy("level").agg(*(F.sum(x).alias(x) for x in "abcdefg")).collect()
+        grams = deal(grams).mapInArrow(trimmed(_write_grams(folder, level, dealing)), SHUFFLED)
+    told = F.split(F.col("data").cast("string"), ",")  # natively: another Python function would double the workers of this stage
+    sums = grams.groupBy("level").agg(*(F.sum(told[i].cast("long")).alias(x) for i, x in enumerate("abcdefg"))).collect()
     by_level = {-r["level"]: r for r in sums}
     found = [discounts([by_level[k][x] if k in by_level else 0 for x in "abcd"]) for k in range(1, order + 1)]
     low = by_level.get(1)
@@ -588,12 +607,13 @@ def score(docs: DataFrame, model: Model, keep: list[str | Column], text_col: str
             out = np.repeat(nothing[level - 1], len(known), axis=0)
             own = np.flatnonzero(known)
             cols = [c[own] for c in cols]
-            shard = model.dealing.shard(cols) if level > 1 else (mixed(cols[0] >> np.uint64(12)) % np.uint64(model.dealing.shards)).astype(np.int64)
-            hashes, (by, edges) = hashed(cols), by_shard(shard)
-            for at in np.split(by, edges[1:-1]) if len(by) else []:
-                found = stored[level, int(shard[at[0]])]
+            shard = by_piece(model.dealing.shard, cols) if level > 1 else (mixed(cols[0] >> np.uint64(12)) % np.uint64(model.dealing.shards)).astype(np.int64)
+            by, edges = by_shard(shard)
+            hashes, own = by_piece(hashed, cols)[by], own[by]
+            for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+                found = stored[level, int(shard[by[a]])]
                 if found.there:
-                    out[own[at]] = found.find(hashes[at])
+                    out[own[a:b]] = found.find(hashes[a:b])
             return out
 
         vocabulary = Words(model.folder, lambda ids: find([ids.astype(np.uint64)], ids >= 0))
@@ -626,7 +646,7 @@ def score(docs: DataFrame, model: Model, keep: list[str | Column], text_col: str
     schema = kept.schema
     for name in names[len(schema) :]:
         schema = schema.add(name, "double" if name.endswith("score") else "long")
-    return docs.select(*keep, F.col(text_col).cast("binary").alias("_text_of_row")).mapInArrow(run, schema)
+    return docs.select(*keep, F.col(text_col).cast("binary").alias("_text_of_row")).mapInArrow(trimmed(run), schema)
 
 
 def held_out(id_col: str) -> Column:
