@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import pickle
 
 import pytest
 from pyspark.sql import functions as F
@@ -123,6 +124,21 @@ def test_lines_keep_their_numbers_in_any_pieces(spark, tmp_path):
     assert got[1 << 25] == got[20_000] == got[999] and {(i, n) for i, n, _ in got[999]} == {(str(i), i + 1) for i in range(3000)} | {("last", 1)}
 
 
+def test_many_small_files_take_few_tasks(spark, tmp_path):
+    rows = spark.range(2000).selectExpr("concat('{\"record_id\":\"', id, '\",\"record_type\":\"Odd\",\"schema_version\":1}') AS value", "id % 4 AS part", "id % 100 AS chunk", "id")
+    assert lines.write(rows, ["part", "chunk"], ["id"], f"file://{tmp_path}/log") == 100
+    scanned = facts.scan(spark, f"{tmp_path}/log")
+    assert scanned.rdd.getNumPartitions() <= 8
+    assert {(r["record_id"], r["line"]) for r in scanned.collect()} == {(str(i), i // 100 + 1) for i in range(2000)}
+    text = (tmp_path / "log/part=3/chunk=7/lines.txt").read_text().splitlines()
+    assert [json.loads(t)["record_id"] for t in text] == [str(i) for i in range(7, 2000, 100)] and not list(tmp_path.rglob("_*"))
+    files = lines.listed(f"{tmp_path}/log")
+    done = {f: [n, 20, 0] for f, n in files.items()}
+    reader = lines.Reader({"path": f"{tmp_path}/log", "mode": "tails", "tasks": "4", "checkpoints": json.dumps(done)})
+    assert [len(p.pieces) for p in reader.partitions()] == [25] * 4 and len(pickle.dumps(reader)) < 1000  # checkpoints stay with the driver
+    assert lines.appended(spark, f"{tmp_path}/log", "tails", done).where("raw is not null").count() == 100
+
+
 def test_patched_json(spark):
     df = spark.createDataFrame([('{"a": 1, "b": [1, {"c": "x"}]}',), ('{"a": null}',)], "j string")
     got = [json.loads(r["p"]) for r in df.select(facts.patched("j", {"a": F.lit("new"), "k": F.lit(2)}).alias("p")).collect()]

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from veritide.functions import ids, odds, parse
 from veritide.operators import asof, contracts, evidence, market, models, reports, rules, score, versions
-from veritide.operators.staged import folder
+from veritide.operators.staged import folder, staged
 from veritide.plans import guardrails, pipelines
 from veritide.queries import SQL, _D, _Q, _SCORED, _agreed, _fixtures, _query, _quoted, _quotes, _r, _read, _scored
 from veritide.sources import facts
@@ -43,7 +43,7 @@ def _log_rows(spark: SparkSession, d: str) -> DataFrame:
 def _written(rows: DataFrame) -> str:
     """A tree of JSONL files, one for each part and chunk."""
     out = folder(rows.sparkSession)
-    rows.repartition("part", "chunk").sortWithinPartitions("part", "chunk", "event_id").select("value", "part", "chunk").write.partitionBy("part", "chunk").text(out)
+    lines_source.write(rows, ["part", "chunk"], ["event_id"], out)
     return out
 
 
@@ -74,7 +74,7 @@ def incremental_scan(spark: SparkSession, d: str) -> DataFrame:
     old = _written(rows.where("line <= 50"))
     changed = rows.withColumn("value", F.when((F.col("part") == 7) & (F.col("line") == F.least(F.lit(50), lines)) & (lines > 20), F.regexp_replace("value", '"record_id":"r', '"record_id":"q')).otherwise(F.col("value")))
     now = _written(changed.where("part != 11 AND (part != 3 OR line <= 20)"))
-    seen = facts.checkpoint(facts.scan(spark, old)).selectExpr("offset", "line", "last_start", "last_record_id", *_PART)
+    seen = staged(facts.checkpoint(facts.scan(spark, old)).selectExpr("offset", "line", "last_start", "last_record_id", *_PART))
     # the files that stand now under the same part and chunk; of part 11 none does
     here = spark.createDataFrame([(f,) for f in lines_source.listed(now)], "file string").selectExpr("file", *_PART)
     before = seen.join(here, ["part", "chunk"], "left").withColumn("file", F.coalesce("file", F.concat(F.lit(f"{now}/part="), "part", F.lit("/chunk="), "chunk", F.lit("/gone"))))
