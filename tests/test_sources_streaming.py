@@ -139,6 +139,18 @@ def test_many_small_files_take_few_tasks(spark, tmp_path):
     assert lines.appended(spark, f"{tmp_path}/log", "tails", done).where("raw is not null").count() == 100
 
 
+def test_an_import_reads_its_lines_once_for_each_output(spark, tmp_path):
+    write(tmp_path / "a.jsonl", [rec("1"), rec("2", occurred_at="never"), rec("2")])
+    (tmp_path / "b.jsonl").write_text(json.dumps(rec("3")).replace("occurred_at", "\\u006fccurred_at") + "\n" + json.dumps(rec("4", observed_at={"parsed": "2026-02-01T00:00:00Z"})) + "\n")
+    write(tmp_path / "c.jsonl", [rec("5"), "{broken"])
+    out = pipelines.import_facts(spark, str(tmp_path))
+    assert {r["record_id"]: r["event_at"] and r["event_at"].month for r in out["new"].collect()} == {"1": 1, "2": None, "3": 1, "4": 2}
+    for name in ("new", "rejected", "conflicts"):
+        plan = out[name]._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("appended_lines") == 1 and "strategy=broadcast" in plan
+    assert out["rejected"].count() == 2 and [r["record_id"] for r in out["conflicts"].collect()] == ["2"]
+
+
 def test_patched_json(spark):
     df = spark.createDataFrame([('{"a": 1, "b": [1, {"c": "x"}]}',), ('{"a": null}',)], "j string")
     got = [json.loads(r["p"]) for r in df.select(facts.patched("j", {"a": F.lit("new"), "k": F.lit(2)}).alias("p")).collect()]

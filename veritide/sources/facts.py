@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from veritide.functions.parse import event_time
+from veritide.operators.staged import staged
 from veritide.sources import lines as lines_source
 
 ENVELOPE = T.StructType([T.StructField("record_id", T.StringType()), T.StructField("record_type", T.StringType()), T.StructField("schema_version", T.IntegerType()), T.StructField("fixture_id", T.StringType())])
@@ -93,16 +94,22 @@ def record_contract(version: int = 1) -> dict[str, Column]:
 
 
 def validated(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(records, rejected): a file with one bad line is rejected as a whole."""
+    """(records, rejected): a file with one bad line is rejected as a whole.
+
+    The names of bad files are looked for at once and stored, so what is made of the two reads the lines once each, and shuffles none of them for up to SMALL names.
+    """
     ok = F.lit(True)
     for check in record_contract().values():
         ok = ok & F.coalesce(check, F.lit(False))
-    bad = lines.where(~ok).select("file").distinct()
+    bad = staged(lines.where(~ok).select("file").distinct())
+    bad = F.broadcast(bad) if bad.count() <= SMALL else bad
     return lines.join(bad, "file", "left_anti"), lines.join(bad, "file", "left_semi")
 
 
 def with_event_time(records: DataFrame) -> DataFrame:
-    named = records.withColumns({f"_{n}": F.coalesce(F.get_json_object("raw", f"$.{n}.parsed"), F.get_json_object("raw", f"$.{n}")) for n in EVENT_TIMES})
+    # a name that stands nowhere in the text, nor any escape that could spell it, needs no parsing
+    there = lambda n: F.col("raw").contains(n) | F.col("raw").contains("\\u")
+    named = records.withColumns({f"_{n}": F.when(there(n), F.coalesce(F.get_json_object("raw", f"$.{n}.parsed"), F.get_json_object("raw", f"$.{n}"))) for n in EVENT_TIMES})
     return named.withColumn("event_at", event_time(*(f"_{n}" for n in EVENT_TIMES))).drop(*(f"_{n}" for n in EVENT_TIMES))
 
 
