@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from veritide.functions import ids, odds, parse
 from veritide.operators import asof, contracts, evidence, market, models, reports, rules, score, versions
-from veritide.operators.staged import folder, staged
+from veritide.operators.staged import dealt, folder, staged
 from veritide.plans import guardrails, pipelines
 from veritide.queries import SQL, _D, _Q, _SCORED, _agreed, _fixtures, _query, _quoted, _quotes, _r, _read, _scored
 from veritide.sources import facts
@@ -766,7 +766,11 @@ _KEYED = _ROWS.replace("l_shipdate, l_tax, l_discount FROM lineitem", f"l_shipda
 ), nw AS (SELECT mr.* REPLACE (CASE WHEN coalesce(id, known) IS NOT NULL THEN 'id:' || coalesce(id, known) ELSE 'name:' || mr.b END AS b), oh + st AS kh, oa - st AS ka FROM mr LEFT JOIN pn ON pn.f = mr.f AND pn.b = mr.b WHERE NOT coalesce(gone, false)""").replace("'duplicate_company_conflict:' || m || ':' || b", "'duplicate_company_conflict:' || b || ':' || m")
 
 
-def _market_rows(spark: SparkSession, d: str) -> DataFrame:
+#: What market rows, their index and their series are made of.
+_LINES = ["l_partkey", "l_orderkey", "l_suppkey", "l_linenumber", "l_quantity", "l_discount", "l_tax", "l_shipdate"]
+
+
+def _market_rows(lines: DataFrame) -> DataFrame:
     """Market rows of three markets from line items: opening prices, and current ones that moved."""
     part, supp = F.col("l_partkey"), F.col("l_suppkey")
     step = (part % 3 - 1) * 0.12 + (supp % 5 - 2) * 0.05
@@ -776,7 +780,7 @@ def _market_rows(spark: SparkSession, d: str) -> DataFrame:
     line = F.when(name == "daxiao", total)
     side |= {"current_home": side["opening_home"] + step, "current_draw": side["opening_draw"], "current_away": side["opening_away"] - step, "opening_line": F.coalesce(line, (part % 4) * -0.25), "current_line": F.coalesce(line, (part % 4) * -0.25 + (part % 5 - 2) * 0.25 + (supp % 3 - 1) * 0.25)}
     side |= {"opening_over": side["opening_home"], "opening_under": side["opening_away"], "current_over": side["current_home"], "current_under": side["current_away"]}
-    return _read(spark, d, "lineitem").select(part.alias("fixture"), F.concat(F.lit(" b"), (F.col("l_orderkey") % 499).cast("string")).alias("source_bookmaker_name"), F.expr(_IDENT).alias("source_bookmaker_id"), name.alias("market"), *_ROW_ORDER, "l_suppkey", "l_shipdate", "l_tax", "l_discount", *(c.alias(n) for n, c in side.items()))
+    return lines.select(part.alias("fixture"), F.concat(F.lit(" b"), (F.col("l_orderkey") % 499).cast("string")).alias("source_bookmaker_name"), F.expr(_IDENT).alias("source_bookmaker_id"), name.alias("market"), *_ROW_ORDER, "l_suppkey", "l_shipdate", "l_tax", "l_discount", *(c.alias(n) for n, c in side.items()))
 
 
 _ROW_ORDER = ["l_linenumber", "l_orderkey", "l_quantity"]
@@ -800,10 +804,10 @@ SELECT f AS fixture, CASE WHEN bad OR ((r1 OR r2) AND (r3 OR r4 OR r6)) THEN 'ab
   CASE WHEN bad THEN 'r0_data_integrity' ELSE array_to_string(list_filter([CASE WHEN r1 THEN 'r1_shallow_favorite_cooling' END, CASE WHEN r2 THEN 'r2_asian_retreat' END, CASE WHEN r2f THEN 'r2_euro_strong_asian_flat' END, CASE WHEN r3 THEN 'r3_low_total_draw_tail' END, CASE WHEN r4 THEN 'r4_handicap_cover_conflict' END, CASE WHEN r5 THEN 'r5_live_market_stability' END, CASE WHEN r6 THEN 'r6_bookmaker_dispersion' END], lambda v: v IS NOT NULL), ',') END AS flags, array_to_string(hard, ',') AS hard FROM z""")
 def first_guardrail_job(spark: SparkSession, d: str) -> DataFrame:
     """Market rows to features to rules, all fixtures at once."""
-    l = _read(spark, d, "lineitem")
+    l = dealt(_read(spark, d, "lineitem").select(*_LINES), ["l_partkey"])
     index = l.select(F.col("l_partkey").alias("fixture"), F.concat(F.lit("b"), (F.col("l_orderkey") % 499).cast("string")).alias("book"), ((F.col("l_linenumber") % 5 - 3) * 0.25).alias("line"), (F.col("l_discount") + 0.2).alias("home"), (F.col("l_tax") + 0.2).alias("draw"), (F.col("l_quantity") / 100).alias("away"), *_ROW_ORDER)
     series = l.select(F.col("l_partkey").alias("fixture"), F.col("l_shipdate").alias("observed_at"), ((F.col("l_linenumber") % 2) * 0.25).alias("line"), (F.col("l_tax") / 8).alias("probability"))
-    g = rules.first_guardrail(pipelines.first_guardrail_features(_market_rows(spark, d), index, series, ["fixture"], _ROW_ORDER))
+    g = rules.first_guardrail(pipelines.first_guardrail_features(_market_rows(l), index, series, ["fixture"], _ROW_ORDER))
     return g.select("fixture", F.col("proposed_action").alias("action"), F.col("proposed_confidence_cap").alias("cap"), F.array_join("rule_flags", ",").alias("flags"), F.array_join("hard_reasons", ",").alias("hard"))
 
 
@@ -868,7 +872,7 @@ def guardrail_run(spark: SparkSession, d: str) -> DataFrame:
     seen = (F.col("o_orderdate") + hours(F.when(key % 7 == 0, 400).otherwise(0))).cast("timestamp")
     moved = F.when((F.col("m") == "daxiao") & (key % 17 == 0), "T-10m").otherwise(target(key % 2))
     snapshots = each.where("NOT (m = 'yazhi' AND o_orderkey % 13 = 0)").select(F.concat(F.lit("s"), key, F.col("m")).alias("record_id"), F.col("o_custkey").alias("fixture_id"), F.col("m").alias("market"), moved.alias("target"), seen.alias("observed_at"), sha.alias("raw_sha256"))
-    lines = _market_rows(spark, d).drop("market", "source_bookmaker_name").withColumn("m", F.explode(F.array(*map(F.lit, names)))).join(each.select(key.alias("l_orderkey"), "m", sha.alias("sha")), ["l_orderkey", "m"])
+    lines = _market_rows(l).drop("market", "source_bookmaker_name").withColumn("m", F.explode(F.array(*map(F.lit, names)))).join(each.select(key.alias("l_orderkey"), "m", sha.alias("sha")), ["l_orderkey", "m"])
     name = F.concat(F.lit(" b"), "l_suppkey").alias("source_bookmaker_name")
     page = F.when((F.col("m") == "yazhi") & (F.col("l_orderkey") % 19 == 0), "x").otherwise(F.col("sha"))
     common = [F.concat(F.lit("r"), "l_orderkey", F.lit("-"), "l_linenumber", F.lit("-"), "m").alias("record_id"), F.concat(F.lit("s"), "l_orderkey", "m").alias("source_snapshot_record_id"), name, F.col("l_linenumber").alias("source_row_index"), page.alias("source_page_sha256"), F.col("l_shipdate").cast("timestamp").alias("observed_at")]
@@ -909,7 +913,7 @@ def guardrail_run(spark: SparkSession, d: str) -> DataFrame:
 SELECT f AS fixture, CASE WHEN bad OR (flip AND few) OR main >= 2 THEN 'abstain' WHEN main = 1 THEN 'downgrade' WHEN aux OR NOT sup OR (NOT dr AND NOT con) THEN 'caution' ELSE 'keep' END AS action, CASE WHEN bad OR (flip AND few) OR main >= 2 THEN 'observation_only' WHEN main = 1 THEN 'low' WHEN NOT few AND NOT weak AND NOT wide THEN 'medium' ELSE 'low' END AS cap, coalesce(array_to_string(warns, ','), '') AS warnings FROM y""")
 def second_guardrail_job(spark: SparkSession, d: str) -> DataFrame:
     """Institutions across three markets, paired by their keys, with their signals, anomalies and series, to rules. Some ids have several names and some names several ids."""
-    rows = _market_rows(spark, d)
+    rows = _market_rows(dealt(_read(spark, d, "lineitem").select(*_LINES), ["l_partkey"]))
     series = market.bookmaker_keys(rows, ["fixture"], "source_bookmaker_name", "source_bookmaker_id")[0].select("fixture", F.col("bookmaker_key").alias("book"), F.col("l_shipdate").alias("observed_at"), F.struct("l_linenumber", "l_orderkey").alias("record_id"), (F.col("l_tax") / 8).alias("probability"), (F.col("l_discount") - 0.05).alias("deviation"))
     g = rules.second_guardrail(pipelines.second_guardrail_features(rows, series, ["fixture"], _ROW_ORDER))
     return g.select("fixture", F.col("proposed_action").alias("action"), F.col("proposed_confidence_cap").alias("cap"), F.array_join("pairing_warnings", ",").alias("warnings"))

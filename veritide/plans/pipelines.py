@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from veritide.functions import ids, odds
 from veritide.functions.parse import source_role
 from veritide.operators import asof, contracts, evidence, market, models, reports, rules, score, versions
+from veritide.operators.staged import staged
 from veritide.sources import facts
 from veritide.sources import odds as odds_files
 from veritide.streaming import states
@@ -200,21 +201,21 @@ def first_guardrail_features(rows: DataFrame, index: DataFrame, series: DataFram
     """Features of the first guardrail for every key (such as fixture and target) at once, from market rows.
 
     rows: keys, market, bookmaker, opening_ and current_ prices, order; index: keys, book, line, home, draw, away probabilities, order;
-    series: keys, observed_at, line, probability: the live observations of a key. Hard reasons say which market has too few bookmakers,
+    series: keys, observed_at, line, probability: the live observations of a key. Tables that staged.dealt() has dealt by the keys are not shuffled again. Hard reasons say which market has too few bookmakers,
     too few pairs, or a bookmaker that contradicts itself.
     """
     picked = {m: _selected(rows, m, keys, bookmaker, order) for m in PRICED}
     euro = picked["ouzhi"][0]
     current = market.quotes(euro.select(*keys, "book", *(F.col(f"current_{s}").alias(s) for s in odds.SIDES)), keys, "book", odds.SIDES, "finite")
-    agreed = market.consensus(current, keys, "book", 1)
+    agreed = staged(market.consensus(current, keys, "book", 1))  # used four times
     pairs = euro.select(*keys, *(F.struct(*(F.col(f"{side}_{s}").cast("double").alias(s) for s in odds.SIDES)).alias(side) for side in ("opening", "current")))
     lines = picked["yazhi"][0].select(*keys, F.col("opening_line").cast("double"), F.col("current_line").cast("double"))
-    total = picked["daxiao"][0].groupBy(*keys).agg(F.median(F.col("current_line").cast("double")).alias("total_line"))
-    counts = reduce(lambda a, b: a.join(b, keys, "full"), (picked[m][0].groupBy(*keys).agg(F.count("*").alias(f"n_{m}")) for m in PRICED))
+    total = {"daxiao": [F.median(F.col("current_line").cast("double")).alias("total_line")]}
+    counts = reduce(lambda a, b: a.join(b, keys, "full"), (picked[m][0].groupBy(*keys).agg(F.count("*").alias(f"n_{m}"), *total.get(m, [])) for m in PRICED))
     bad = reduce(DataFrame.unionByName, (picked[m][1].select(*keys, F.concat_ws(":", F.lit("duplicate_company_conflict"), F.lit(m), "book").alias("code")) for m in PRICED)).groupBy(*keys).agg(F.collect_set("code").alias("conflicts"))
     seen = versions.trajectory(series, keys, "observed_at", ["line", "probability"])
     out = rows.select(*keys).distinct().join(counts, keys, "left").join(bad, keys, "left").join(agreed, keys, "left").join(market.movement(pairs, keys, agreed), keys, "left").join(market.line_movement(lines, keys, agreed), keys, "left")
-    out = out.join(total, keys, "left").join(market.cover_conflict(index, keys, agreed, bookmaker="book", order=order), keys, "left").join(seen, keys, "left")
+    out = out.join(market.cover_conflict(index, keys, agreed, bookmaker="book", order=order), keys, "left").join(seen, keys, "left")
     few = [F.when(F.coalesce(f"n_{m}", F.lit(0)) < least, f"insufficient_bookmakers:{m}") for m in PRICED]
     few += [F.when(F.coalesce("bookmakers", F.lit(0)) < least, "insufficient_paired_bookmakers:ouzhi"), F.when(odds.favourite("p").isin(0, 2) & (F.coalesce("paired_lines", F.lit(0)) < least), "insufficient_paired_bookmakers:yazhi")]
     reasons = F.array_sort(F.array_union(F.coalesce("conflicts", F.array().cast("array<string>")), F.array_compact(F.array(*few))))

@@ -177,7 +177,7 @@ SELECT k, line, m AS market, CASE m WHEN 'ouzhi' THEN gap NOT IN (0, 1) WHEN 'ya
 def complete_rows(spark: SparkSession, d: str) -> DataFrame:
     """Rows that have all prices of their market; of each row one price is missing, by its supplier."""
     gap = F.col("l_suppkey") % 4
-    rows = _market_rows(spark, d)
+    rows = _market_rows(_read(spark, d, "lineitem"))
     lacks = {"opening_draw": gap == 0, "current_home": gap == 1, "opening_line": gap == 2, "current_under": gap == 3}
     rows = rows.withColumns({c: F.when(~missing, F.col(c)) for c, missing in lacks.items()})
     return rows.select(F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("line"), "market", contracts.complete_row().alias("complete"))
