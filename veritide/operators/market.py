@@ -12,7 +12,10 @@ from pyspark.sql import functions as F
 
 from veritide.functions.odds import SIDES, devig, devig_pair, favourite, favourite_line, favourite_side, gap
 from veritide.functions.parse import bookmaker_name
+from veritide.operators.staged import staged
 
+#: So many names are broadcast at most.
+SMALL = 200_000
 #: Summary rows among bookmakers.
 SUMMARY = ("Avg", "Max", "Min", "Average", "Highest", "Lowest")
 
@@ -202,19 +205,22 @@ def bookmaker_keys(rows: DataFrame, fixture: list[str], name: str, ident: str) -
     A name with several ids, and an id with several names, are contradictions: they exclude all rows of such names, those with a name
     alone too. Other rows have their own id, or the one id that their name has elsewhere, or else their name. Rows with neither are left out.
     """
-    named = rows.withColumns({"_name": F.nullif(F.coalesce(bookmaker_name(name), F.lit("")), F.lit("")), "_ident": F.nullif(F.coalesce(F.trim(F.col(ident).cast("string")), F.lit("")), F.lit(""))})
+    spelt = staged(rows.select(F.col(name).alias("_spelt")).distinct().withColumn("_name", F.nullif(F.coalesce(bookmaker_name("_spelt"), F.lit("")), F.lit(""))))  # a Python function over rows would undo how they are dealt
+    spelt = F.broadcast(spelt) if spelt.count() <= SMALL else spelt
+    named = rows.join(spelt, F.col(name) == F.col("_spelt"), "left").drop("_spelt").withColumn("_ident", F.nullif(F.coalesce(F.trim(F.col(ident).cast("string")), F.lit("")), F.lit("")))
     pairs = named.where("_name is not null and _ident is not null").select(*fixture, "_name", "_ident").distinct()
     over = lambda by: Window.partitionBy(*fixture, by)  # noqa: E731  a fixture's bookmakers are few by nature
     counted = pairs.withColumns({"_ids": F.count("*").over(over("_name")), "_names": F.count("*").over(over("_ident"))})
-    by_name = counted.groupBy(*fixture, "_name").agg(F.max((F.col("_ids") > 1) | (F.col("_names") > 1)).alias("_out"), F.min("_ident").alias("_known"))
-    by_id = counted.groupBy(*fixture, "_ident").agg((F.max("_names") > 1).alias("_id_out"))
     warned = counted.select(*fixture, F.explode(F.array_compact(F.array(
         F.when(F.col("_ids") > 1, F.concat(F.lit("bookmaker_name_maps_multiple_ids:"), "_name")), F.when(F.col("_names") > 1, F.concat(F.lit("bookmaker_id_maps_multiple_names:"), "_ident")),
     ))).alias("warning")).distinct()
-    marked = named.join(by_name, [*fixture, "_name"], "left").join(by_id, [*fixture, "_ident"], "left")
-    fine_id = F.col("_ident").isNotNull() & ~F.coalesce("_id_out", F.lit(False))
+    several = lambda c, by: F.coalesce(F.min(c).over(over(by)) != F.max(c).over(over(by)), F.lit(False))
+    has_name, has_id = F.col("_name").isNotNull(), F.col("_ident").isNotNull()
+    # windows and no joins, as these shuffle rows that are dealt by the fixture alone
+    marked = named.withColumn("_id_out", has_id & several("_name", "_ident")).withColumns({"_out": has_name & (several("_ident", "_name") | F.max("_id_out").over(over("_name"))), "_known": F.when(has_name, F.min("_ident").over(over("_name")))})
+    fine_id = has_id & ~F.col("_id_out")
     key = F.when(fine_id, F.concat(F.lit("id:"), "_ident")).when(F.col("_known").isNotNull(), F.concat(F.lit("id:"), "_known")).when(F.col("_name").isNotNull(), F.concat(F.lit("name:"), "_name"))
-    kept = marked.withColumn("bookmaker_key", key).where(~F.coalesce("_out", F.lit(False)) & F.col("bookmaker_key").isNotNull())
+    kept = marked.withColumn("bookmaker_key", key).where(~F.col("_out") & F.col("bookmaker_key").isNotNull())
     return kept.select(*rows.columns, "bookmaker_key"), warned
 
 

@@ -231,14 +231,14 @@ def second_guardrail_features(rows: DataFrame, series: DataFrame, keys: list[str
     """
     keyed, warned = market.bookmaker_keys(rows.where(source_role(bookmaker) == "bookmaker"), keys, bookmaker, ident)
     both = {m: _priced(keyed, m, keys, order) for m in PRICED}
-    picked = {m: kept for m, (kept, _) in both.items()}
+    picked = {m: staged(kept) for m, (kept, _) in both.items()}  # each is used several times, and its rows come through windows and sorts
     clashes = reduce(DataFrame.unionByName, (bad.select(*keys, F.concat_ws(":", F.lit("duplicate_company_conflict"), "book", F.lit(m)).alias("warning")) for m, (_, bad) in both.items()))
     warnings = warned.unionByName(clashes).groupBy(*keys).agg(F.array_sort(F.collect_set("warning")).alias("pairing_warnings"))
     euro = picked["ouzhi"]
     price = lambda side: odds.devig(*(F.col(f"{side}_{s}") for s in odds.SIDES), rule="above_one")
     valid = euro.withColumns({"_o": price("opening"), "_c": price("current")}).where("_o is not null and _c is not null").select(*keys, "book", F.col("_c.p").alias("p"), F.zip_with("_c.p", "_o.p", lambda a, b: a - b).alias("delta"))
     quoted = valid.select(*keys, "book", "p")
-    agreed = market.consensus(quoted, keys, "book", 1).withColumn("base_direction", odds.favourite_side("p"))
+    agreed = staged(market.consensus(quoted, keys, "book", 1).withColumn("base_direction", odds.favourite_side("p")))
     odd = market.anomalies(quoted, agreed, keys, "book").select(*keys, "book", "anomaly", "max_deviation")
     named = lambda m, cols: picked[m].select(*keys, "book", *(F.col(c).cast("double").alias(n) for c, n in cols.items()))
     asian = named("yazhi", {f"{s}_{f}": f"{s}_asian_{f}" for s in ("opening", "current") for f in ("line", "home", "away")})
