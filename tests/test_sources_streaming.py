@@ -135,7 +135,7 @@ def test_many_small_files_take_few_tasks(spark, tmp_path):
     files = lines.listed(f"{tmp_path}/log")
     done = {f: [n, 20, 0] for f, n in files.items()}
     reader = lines.Reader({"path": f"{tmp_path}/log", "mode": "tails", "tasks": "4", "checkpoints": json.dumps(done)})
-    assert [len(p.pieces) for p in reader.partitions()] == [25] * 4 and len(pickle.dumps(reader)) < 1000  # checkpoints stay with the driver
+    assert [len(p.pieces) in (24, 25, 26) for p in reader.partitions()] == [True] * 4 and len(pickle.dumps(reader)) < 1000  # checkpoints stay with the driver
     assert lines.appended(spark, f"{tmp_path}/log", "tails", done).where("raw is not null").count() == 100
 
 
@@ -151,6 +151,23 @@ def test_an_import_reads_its_lines_once_for_each_output(spark, tmp_path):
     assert out["rejected"].count() == 2 and [r["record_id"] for r in out["conflicts"].collect()] == ["2"]
 
 
+def test_sealed_files_are_read_as_their_text(spark, tmp_path):
+    rows = spark.range(30_000).selectExpr("concat('{\"record_id\":\"', id, '\",\"record_type\":\"Odd\",\"schema_version\":1,\"x\":\"', repeat(sha2(string(id), 256), 2), '\"}') AS value", "id % 2 AS part", "id")
+    for sealed, name in ((False, "plain"), (True, "sealed")):
+        assert lines.write(rows, ["part"], ["id"], f"file://{tmp_path}/{name}", sealed) == 2
+    files = {name: lines.listed(f"{tmp_path}/{name}") for name in ("plain", "sealed")}
+    assert sum(files["sealed"].values()) < 0.7 * sum(files["plain"].values()) and all(f.endswith(lines.SEALED) for f in files["sealed"])
+    got = {name: {(r["record_id"], r["line"], r["start"], r["stop"]) for r in facts.scan(spark, f"{tmp_path}/{name}", piece=300_000).collect()} for name in files}
+    assert got["plain"] == got["sealed"] and len(got["plain"]) == 30_000
+    mark = facts.checkpoint(facts.scan(spark, f"{tmp_path}/sealed"))
+    mark = spark.createDataFrame(mark.collect(), mark.schema)
+    assert facts.scan(spark, f"{tmp_path}/sealed", mark).count() == 0 and facts.append_violations(spark, f"{tmp_path}/sealed", mark).count() == 0
+    earlier = mark.withColumns({"offset": F.col("last_start"), "line": F.col("line") - 1})
+    assert sorted(r["record_id"] for r in facts.scan(spark, f"{tmp_path}/sealed", earlier).collect()) == ["29998", "29999"]
+    longer = mark.withColumn("offset", F.col("offset") + 1)
+    assert {r["violation"] for r in facts.append_violations(spark, f"{tmp_path}/sealed", longer).collect()} == {"shrunk"}
+
+
 def test_patched_json(spark):
     df = spark.createDataFrame([('{"a": 1, "b": [1, {"c": "x"}]}',), ('{"a": null}',)], "j string")
     got = [json.loads(r["p"]) for r in df.select(facts.patched("j", {"a": F.lit("new"), "k": F.lit(2)}).alias("p")).collect()]

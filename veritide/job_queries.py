@@ -40,10 +40,10 @@ def _log_rows(spark: SparkSession, d: str) -> DataFrame:
     return e.select("event_id", body.alias("value"), (F.col("user_id") % 13).alias("part"), F.floor(F.col("event_id") / _FILE).alias("chunk"))
 
 
-def _written(rows: DataFrame) -> str:
+def _written(rows: DataFrame, sealed: bool = False) -> str:
     """A tree of JSONL files, one for each part and chunk."""
     out = folder(rows.sparkSession)
-    lines_source.write(rows, ["part", "chunk"], ["event_id"], out)
+    lines_source.write(rows, ["part", "chunk"], ["event_id"], out, sealed)
     return out
 
 

@@ -42,7 +42,8 @@ def _records(spark: SparkSession, d: str) -> DataFrame:
     for df, n, cols in parts:
         own = df.select(F.to_json(F.struct(*cols)).alias("value"), (n % 8).alias("part"), F.floor(n / 20_000).alias("chunk"), n.alias("event_id"))
         rows = own if rows is None else rows.unionByName(own)
-    return staged(pipelines.import_facts(spark, _written(rows))["new"])  # read by every view
+    new = pipelines.import_facts(spark, _written(rows, sealed=True))["new"]
+    return staged(new.select("record_id", "record_type", "raw"))  # what every view reads
 
 
 _GONE = "(SELECT c_custkey FROM customer WHERE c_custkey % 7 = 0)"

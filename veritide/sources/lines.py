@@ -5,6 +5,7 @@ bytes from its checkpoint to its end, in pieces of `piece` bytes. A piece is rea
 that begin in it; the last of them may end beyond it. With `tasks`, a partition takes as many pieces as make its share of
 the bytes, up to `piece` of them, so a log of many small files is read by few tasks. Checkpoints are for planning and
 don't travel with tasks. Files are opened through pyarrow's file systems, so any store that these know can be read.
+A file whose name ends in SEALED is compressed as a whole: it is one piece, and its bytes are those of its text.
 
 Modes:
 * lines: raw, file, start, stop (bytes), piece, place (from 1 within the piece), base (lines before the checkpoint), utf8.
@@ -32,6 +33,7 @@ PIECE = 32 << 20
 BATCH = 10_000
 #: A piece counts as so many bytes more when pieces are dealt to partitions: what opening its file costs.
 OPENING = 64 << 10
+SEALED = ".zst"
 SCHEMAS = {
     "lines": "raw string, file string, start long, stop long, piece int, place long, base long, utf8 boolean",
     "counts": "file string, piece int, lines long",
@@ -54,16 +56,13 @@ class Pieces(InputPartition):
 
 
 def together(pieces: list[Piece], tasks: int, most: int) -> list[Pieces]:
-    """Pieces in their order, dealt to partitions of equal shares of the bytes for so many tasks, of `most` bytes at most unless one piece has more."""
+    """Pieces in their order, dealt to partitions of equal shares of the bytes: so many, or more of `most` bytes; a share may be exceeded by its last piece."""
     cost = lambda p: OPENING + p.stop - p.start
-    share, held, size, found = min(most, -(-sum(map(cost, pieces)) // tasks)), [], 0, []
+    share, at, found = min(most, -(-sum(map(cost, pieces)) // tasks)), 0, {}
     for p in pieces:
-        if held and size + cost(p) > share:
-            found.append(Pieces(held))
-            held, size = [], 0
-        held.append(p)
-        size += cost(p)
-    return [*found, Pieces(held)]
+        found.setdefault(at // share, []).append(p)
+        at += cost(p)
+    return [*map(Pieces, found.values())]
 
 
 def opened(file: str):
@@ -82,8 +81,29 @@ def listed(root: str) -> dict[str, int]:
     return {f"{head}{f.path}": f.size for f in found if f.is_file and not any(part.startswith(("_", ".")) for part in below(f.path))}
 
 
+def unsealed(file: str, start: int = 0) -> Iterator[bytes]:
+    """The text of a sealed file from a byte on, in parts."""
+    fs, path = pafs.FileSystem.from_uri(file)
+    with fs.open_input_stream(path, compression="zstd") as f:
+        while part := f.read(1 << 20):
+            if start < len(part):
+                yield part[start:]
+            start = max(0, start - len(part))
+
+
 def line_bytes(piece: Piece) -> Iterator[tuple[int, bytes]]:
     """(start, line without its end) of the lines that begin in a piece and do end."""
+    if piece.file.endswith(SEALED):
+        at, held = piece.start, []
+        for part in unsealed(piece.file, at):
+            *lines, rest = part.split(b"\n")
+            for line in lines:
+                line = b"".join([*held, line])
+                held = []
+                yield at, line
+                at += len(line) + 1
+            held.append(rest)
+        return
     with opened(piece.file) as f:
         at = piece.start
         if piece.number:  # the line before may reach into this piece
@@ -137,6 +157,9 @@ class Reader(DataSourceReader):
             return [Piece(f, at[2], at[0], 0, 0, files.get(f)) for f, at in sorted(self.done.items())]
         for f, size in sorted(files.items()):
             offset, base, _ = self.done.get(f, (0, 0, 0))
+            if f.endswith(SEALED):
+                found += [Piece(f, offset, offset + size, 0, base, size)] * (self.mode == "lines")
+                continue
             starts = range(offset, size, self.piece)
             if self.mode == "lines" or len(starts) > 1:
                 found += [Piece(f, s, min(s + self.piece, size), i, base, size) for i, s in enumerate(starts)]
@@ -161,6 +184,13 @@ class Reader(DataSourceReader):
 
     def tail(self, piece: Piece) -> tuple:
         raw = None
+        if piece.size is not None and piece.file.endswith(SEALED):
+            size, kept = 0, []
+            for part in unsealed(piece.file):
+                kept.append(part[max(0, piece.start - size) : max(0, piece.stop - size)])
+                size += len(part)
+            raw = b"".join(kept)
+            return piece.file, size, raw[:-1].decode("utf-8", "replace") if size >= piece.stop and raw.endswith(b"\n") else None
         if piece.size is not None and piece.size >= piece.stop:
             with opened(piece.file) as f:
                 f.seek(piece.start)
@@ -206,16 +236,16 @@ def done_of(checkpoints: DataFrame | None) -> dict[str, list[int]]:
 def appended(spark: SparkSession, path: str, mode: str = "lines", done: dict[str, list[int]] | None = None, piece: int = PIECE) -> DataFrame:
     """Lines, counts or tails of the files below path. done: for each file the bytes and lines that were read, and where the last of these lines starts."""
     spark.dataSource.register(AppendedLines)
-    tasks = str(spark.sparkContext.defaultParallelism)
+    tasks = str(2 * spark.sparkContext.defaultParallelism)
     return spark.read.format("appended_lines").option("mode", mode).option("piece", str(piece)).option("tasks", tasks).option("checkpoints", json.dumps(done or {})).load(path)
 
 
 def later_pieces(path: str, done: dict[str, list[int]], piece: int = PIECE) -> int:
     """How many pieces are not the first of their file: 0 if no file has more than `piece` new bytes."""
-    return sum(max(0, -(-(size - done.get(f, (0,))[0]) // piece) - 1) for f, size in listed(path).items())
+    return sum(max(0, -(-(size - done.get(f, (0,))[0]) // piece) - 1) for f, size in listed(path).items() if not f.endswith(SEALED))
 
 
-def _writer(root: str, by: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _writer(root: str, by: list[str], sealed: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """A function for mapInArrow that writes `value` of rows that come by folder, and returns how many files it made."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -224,7 +254,7 @@ def _writer(root: str, by: list[str]) -> Callable[[Iterator[pa.RecordBatch]], It
 
         def done() -> None:
             out.close()
-            fs.move(torn, f"{here}/lines.txt")  # a task that runs again puts the same file there
+            fs.move(torn, f"{here}/lines.txt{SEALED if sealed else ''}")  # a task that runs again puts the same file there
 
         for batch in batches:
             if not batch.num_rows:
@@ -243,7 +273,7 @@ def _writer(root: str, by: list[str]) -> Callable[[Iterator[pa.RecordBatch]], It
                         done()
                     fs.create_dir(folder, recursive=True)
                     here, torn, made = folder, f"{folder}/_{uuid.uuid4().hex}", made + 1
-                    out = fs.open_output_stream(torn)
+                    out = fs.open_output_stream(torn, compression="zstd" if sealed else None)
                 out.write("".join(f"{v or ''}\n" for v in values.slice(i, j - i).to_pylist()).encode())
         if out:
             done()
@@ -252,10 +282,10 @@ def _writer(root: str, by: list[str]) -> Callable[[Iterator[pa.RecordBatch]], It
     return run
 
 
-def write(rows: DataFrame, by: list[str], order: list[str], out: str) -> int:
-    """Writes `value` as lines of one file for each folder `by` (name=value/...), in order, and returns how many there are. by: whole numbers.
+def write(rows: DataFrame, by: list[str], order: list[str], out: str, sealed: bool = False) -> int:
+    """Writes `value` as lines of one file for each folder `by` (name=value/...), in order, and returns how many there are. by: whole numbers; sealed: files are compressed.
 
     Spark's own writer takes far longer for each of many small files.
     """
     near = rows.repartition(*by).sortWithinPartitions(*by, *order).select("value", *by)
-    return near.mapInArrow(_writer(out, by), "files long").agg(F.coalesce(F.sum("files"), F.lit(0))).first()[0]
+    return near.mapInArrow(_writer(out, by, sealed), "files long").agg(F.coalesce(F.sum("files"), F.lit(0))).first()[0]
