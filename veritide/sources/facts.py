@@ -115,8 +115,8 @@ def with_event_time(records: DataFrame) -> DataFrame:
 
 def new_records(records: DataFrame, stored: DataFrame | None, key: str = "record_id", order: tuple[str, ...] = ("file", "line")) -> DataFrame:
     """Records not stored yet; of repeats within the input the first stays. A replay gives none."""
-    row = F.struct(*(c for c in records.columns if c != key))
-    first = records.groupBy(key).agg(F.min_by(row, F.struct(*order)).alias("_row")).select(key, "_row.*")
+    row = F.struct(*order, *(c for c in records.columns if c not in (key, *order)))
+    first = records.groupBy(key).agg(F.min(row).alias("_row")).select(key, "_row.*")
     return first if stored is None else first.join(stored.select(key), key, "left_anti")
 
 
